@@ -1 +1,113 @@
-"""Queries (filled in below)."""
+"""IP-path queries: distinct addresses, lookup, normalise/validate, reports."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from clickflow.functions.ipv4 import IPV4_PATTERN, IPV6_PATTERN
+from clickflow.operators import geo
+from clickflow.operators import quality as dq
+from clickflow.operators import reports as rep
+from clickflow.plans.registry import register
+from clickflow.sources import fixtures as fx
+from clickflow.sources.fixtures import with_fixtures
+from clickflow.plans.sqlparts import strip_sql
+
+
+def _located(spark, d) -> DataFrame:
+    return geo.locate_ips(geo.unique_ips(fx.raw_data(spark, d)), fx.ip_ranges(spark, d))
+
+
+def _validated(spark, d) -> DataFrame:
+    return dq.validate_location(dq.normalize_location(_located(spark, d)))
+
+
+NUM = ("CAST(split_part(ip, '.', 1) AS BIGINT) * 16777216 + CAST(split_part(ip, '.', 2) AS BIGINT) * 65536"
+       " + CAST(split_part(ip, '.', 3) AS BIGINT) * 256 + CAST(split_part(ip, '.', 4) AS BIGINT)")
+PARSED = f"""ips AS (SELECT DISTINCT ip FROM raw_data),
+ parsed AS (SELECT ip, CASE WHEN regexp_matches(ip, '{IPV4_PATTERN}') THEN {NUM} END AS n FROM ips)"""
+BAD = f"(p.n IS NULL AND NOT (p.ip IS NULL OR p.ip = '' OR regexp_matches(p.ip, '{IPV6_PATTERN}')))"
+LOCATED = f"""{PARSED},
+ located AS (SELECT p.ip,
+  CASE WHEN {BAD} THEN 'INVALID IP ADDRESS' ELSE r.country_short END AS country_short,
+  CASE WHEN {BAD} THEN 'INVALID IP ADDRESS' ELSE r.country_long END AS country_long,
+  CASE WHEN {BAD} THEN 'INVALID IP ADDRESS' ELSE r.region END AS region,
+  CASE WHEN {BAD} THEN 'INVALID IP ADDRESS' ELSE r.city END AS city
+  FROM parsed p LEFT JOIN ip_ranges r ON p.n BETWEEN r.ip_from AND r.ip_to)"""
+NORMALIZED = f"""normalized AS (SELECT {strip_sql('ip')} AS ip, {strip_sql('country_short')} AS country_short,
+  {strip_sql('country_long')} AS country_long, {strip_sql('region')} AS region, {strip_sql('city')} AS city
+  FROM located)"""
+MISSING = " OR ".join(f"{c} IN ('-', '', 'n/a', 'N/A')" for c in geo.LOCATION_COLS)
+REASON = f"""CASE WHEN ip = '' THEN 'missing_ip' WHEN {MISSING} THEN 'missing_location_info'
+  WHEN upper(country_long) = 'INVALID IP ADDRESS' THEN 'invalid_ip' ELSE 'valid' END"""
+VALIDATED = f"validated AS (SELECT *, {REASON} AS reason FROM normalized)"
+QUALITY = """count(*) AS total, count(*) FILTER (WHERE reason = 'missing_ip') AS dq_missing_ip,
+ count(*) FILTER (WHERE reason = 'missing_location_info') AS dq_missing_location_info,
+ count(*) FILTER (WHERE reason = 'invalid_ip') AS dq_invalid_ip,
+ count(*) FILTER (WHERE reason = 'valid') AS dq_valid"""
+FIX = ("raw_data", "ip_ranges")
+
+
+@register("count_ips", with_fixtures(
+    "SELECT count(*) AS distinct_ips, count(ip) AS distinct_ips_non_null FROM (SELECT DISTINCT ip FROM raw_data) z",
+    "raw_data"))
+def q_count_ips(spark, d):
+    """OP-26: distinct address count, null group counted (and not)."""
+    return geo.count_ips(fx.raw_data(spark, d))
+
+
+@register("unique_ips", with_fixtures("SELECT DISTINCT ip FROM raw_data", "raw_data"))
+def q_unique_ips(spark, d):
+    """OP-27: unique address list."""
+    return geo.unique_ips(fx.raw_data(spark, d))
+
+
+@register("parse_ipv4", with_fixtures(
+    f"WITH {PARSED} SELECT ip, n AS ip_number, n IS NOT NULL AS is_ipv4 FROM parsed", "raw_data"))
+def q_parse_ipv4(spark, d):
+    """IPv4 text -> number with strict octet syntax."""
+    return geo.parse_ipv4(geo.unique_ips(fx.raw_data(spark, d)))
+
+
+@register("locate_ips", with_fixtures(f"WITH {LOCATED} SELECT * FROM located", *FIX))
+def q_locate_ips(spark, d):
+    """OP-22: range lookup of every distinct address (as-of per /16 bin)."""
+    return _located(spark, d)
+
+
+@register("normalize_location", with_fixtures(f"WITH {LOCATED}, {NORMALIZED} SELECT * FROM normalized", *FIX))
+def q_normalize_location(spark, d):
+    """OP-18: null -> '', cast, strip for the five location fields."""
+    return dq.normalize_location(_located(spark, d))
+
+
+@register("validate_location", with_fixtures(
+    f"WITH {LOCATED}, {NORMALIZED}, {VALIDATED} SELECT *, reason = 'valid' AS is_valid FROM validated", *FIX))
+def q_validate_location(spark, d):
+    """OP-19: ordered location rules."""
+    return _validated(spark, d)
+
+
+@register("ip_locations", with_fixtures(
+    f"WITH {LOCATED}, {NORMALIZED}, {VALIDATED} SELECT ip, country_short, country_long, region, city "
+    "FROM validated WHERE reason = 'valid'", *FIX))
+def q_ip_locations(spark, d):
+    """OP-20/45a: clean ip_locations rows (full-refresh content)."""
+    clean, _ = dq.split_valid(_validated(spark, d))
+    return clean
+
+
+@register("ip_quality", with_fixtures(f"WITH {LOCATED}, {NORMALIZED}, {VALIDATED} SELECT {QUALITY} FROM validated",
+                                      *FIX))
+def q_ip_quality(spark, d):
+    """OP-29: location reason counters (they sum to the distinct address count)."""
+    return rep.location_quality(_validated(spark, d))
+
+
+@register("ip_report", with_fixtures(
+    f"""WITH {LOCATED}, {NORMALIZED}, {VALIDATED}, q AS (SELECT {QUALITY} FROM validated)
+ SELECT *, round(CASE WHEN total = 0 THEN NULL ELSE dq_valid * 100.0 / total END, 1) AS valid_rate FROM q""", *FIX))
+def q_ip_report(spark, d):
+    """OP-30: final IP report row."""
+    return rep.ip_report(_validated(spark, d))
