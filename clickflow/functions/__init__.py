@@ -2,11 +2,11 @@
 
 from clickflow.functions.text import blank_to_null, first_truthy, is_blank, strip_ws, to_text
 from clickflow.functions.ipv4 import ipv4_to_long, is_ipv4, is_ipv6
-from clickflow.functions.paths import part_table_name, staging_name
+from clickflow.functions.paths import part_number, part_table_name, staging_name
 from clickflow.functions.html import decode_entities, extract_product_name, strip_tags
 
 __all__ = [
     "blank_to_null", "first_truthy", "is_blank", "strip_ws", "to_text",
-    "ipv4_to_long", "is_ipv4", "is_ipv6", "part_table_name", "staging_name",
+    "ipv4_to_long", "is_ipv4", "is_ipv6", "part_number", "part_table_name", "staging_name",
     "decode_entities", "extract_product_name", "strip_tags",
 ]

@@ -1,13 +1,17 @@
 """Ordered, chunked, incremental export.
 
 Global numbering in key order without a single-task window:
-  1. ``repartitionByRange(n, key)``: partition i holds a key range below partition i+1;
-  2. per partition its row count (a tiny aggregate) -> exclusive prefix sums (n rows);
-  3. ``sortWithinPartitions(key)`` + ``monotonically_increasing_id`` gives each row its
-     partition index (high bits) and in-partition position (low 33 bits);
-  4. row number = offset[partition] + position, joined with the broadcast offsets
-     (n rows: bounded by the partition count, not by the data).
-Steps 2 and 3 share one range exchange (exchange reuse), so the data moves once.
+  1. ``repartitionByRange(n, key)`` + ``sortWithinPartitions(key)``: partition i holds a
+     key range below partition i+1, rows sorted inside;
+  2. that result is materialised ONCE (persisted, or checkpointed to the shared folder).
+     Both passes below must see the same partition boundaries, and a range exchange
+     that is planned twice samples its bounds twice with different seeds;
+  3. per partition its row count (a tiny aggregate) -> exclusive prefix sums (n rows);
+  4. ``monotonically_increasing_id`` gives each row its partition index (high bits) and
+     in-partition position (low 33 bits); row number = offset[partition] + position,
+     via a join with the broadcast offsets (n rows: bounded by the partition count).
+A lost executor recomputes lost cached blocks from the same lineage (same partitioner),
+so numbering stays stable under failures.
 """
 
 from __future__ import annotations
@@ -36,20 +40,33 @@ def ordered_export(df: DataFrame, keys: Sequence[str] | str = "_id", num_partiti
     return df.repartitionByRange(_num_partitions(df, num_partitions), *keys).sortWithinPartitions(*keys)
 
 
+def materialize_ranged(df: DataFrame, keys: Sequence[str], num_partitions: int | None = None,
+                       mode: str = "persist") -> DataFrame:
+    """Range-partition and sort by ``keys`` and materialise the result once.
+
+    ``persist``: executor memory/disk with lineage (recomputed identically on loss);
+    ``checkpoint``: reliable copy in the shared checkpoint folder (lineage cut)."""
+    from pyspark import StorageLevel
+    from clickflow.session import checkpoint_root
+    ranged = df.repartitionByRange(_num_partitions(df, num_partitions), *keys).sortWithinPartitions(*keys)
+    if mode == "checkpoint":
+        checkpoint_root(df.sparkSession)
+        return ranged.checkpoint(eager=True)
+    return ranged.persist(StorageLevel.MEMORY_AND_DISK)
+
+
 def row_numbers(df: DataFrame, keys: Sequence[str] | str, num_partitions: int | None = None,
-                out: str = "row_number") -> DataFrame:
+                out: str = "row_number", mode: str = "persist") -> DataFrame:
     """1-based global row number in ``keys`` order (keys should be unique; ties are
-    broken arbitrarily)."""
+    broken arbitrarily). The materialised ranged data stays cached until
+    ``unpersist_ranged`` or the session ends."""
     keys = [keys] if isinstance(keys, str) else list(keys)
-    n = _num_partitions(df, num_partitions)
-    ranged = df.repartitionByRange(n, *keys)
+    ranged = materialize_ranged(df, keys, num_partitions, mode)
     counts = (ranged.select(F.spark_partition_id().alias("_p"))
               .groupBy("_p").agg(F.count(F.lit(1)).alias("_n")))
     w = Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     offsets = counts.select("_p", (F.sum("_n").over(w) - F.col("_n")).alias("_off"))
-    mid = F.monotonically_increasing_id()
-    numbered = (ranged.sortWithinPartitions(*keys)
-                .withColumn("_mid", mid)
+    numbered = (ranged.withColumn("_mid", F.monotonically_increasing_id())
                 .withColumn("_p", F.shiftright("_mid", _POS_BITS).cast("int")))
     joined = numbered.join(F.broadcast(offsets), "_p")
     rn = F.col("_off") + F.col("_mid").bitwiseAND(F.lit(_POS_MASK)) + F.lit(1)

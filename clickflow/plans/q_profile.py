@@ -1 +1,78 @@
-"""Queries (filled in below)."""
+"""Profile queries: one-pass quality profile, its narrow parts, column catalogue."""
+
+from __future__ import annotations
+
+from clickflow.config import ProfileConfig
+from clickflow.operators import profile as pf
+from clickflow.plans.registry import register
+from clickflow.sources import fixtures as fx
+from clickflow.sources.fixtures import with_fixtures
+from clickflow.sources.tables import RAW_DATA_SCHEMA
+
+
+def _pct(col: str) -> str:
+    return (f"CAST(round(CAST(count(*) FILTER (WHERE {col} IS NULL OR {col} = '') AS DECIMAL(38,0)) * 100 "
+            f"/ CAST(nullif(count(*), 0) AS DECIMAL(38,0)), 2) AS DOUBLE)")
+
+
+KEY = """count(*) AS total_rows, count(DISTINCT _id) AS distinct_id_count,
+ CASE WHEN count(*) = count(DISTINCT _id) THEN 'Passed' ELSE 'Failed - Duplicated' END AS is_id_unique,
+ count(*) FILTER (WHERE _id IS NULL) AS null_key_count"""
+PROFILE = f"""SELECT {KEY},
+ count(*) FILTER (WHERE user_id_db IS NULL OR user_id_db = '') AS null_user_id_db,
+ {_pct('user_id_db')} AS null_pct_user_id_db,
+ count(*) FILTER (WHERE device_id IS NULL OR device_id = '') AS null_device_id,
+ count(DISTINCT device_id) AS distinct_devices, count(DISTINCT store_id) AS distinct_stores,
+ count(DISTINCT api_version) AS distinct_api_versions,
+ count(*) FILTER (WHERE price IS NULL OR price = '' OR price = '0') AS zero_or_null_price_count
+FROM raw_data"""
+
+
+@register("profile_raw", with_fixtures(PROFILE, "raw_data"))
+def q_profile_raw(spark, d):
+    """OP-32: the one-row quality profile of raw_data."""
+    return pf.profile(fx.raw_data(spark, d), ProfileConfig())
+
+
+@register("key_uniqueness", with_fixtures(f"SELECT {KEY} FROM raw_data", "raw_data"))
+def q_key_uniqueness(spark, d):
+    """OP-32 (narrow): key distinct count and uniqueness verdict."""
+    return pf.key_uniqueness(fx.raw_data(spark, d), "_id")
+
+
+@register("blank_rates", with_fixtures(
+    "SELECT count(*) AS total_rows, "
+    + ", ".join(f"count(*) FILTER (WHERE {c} IS NULL OR {c} = '') AS null_{c}, {_pct(c)} AS null_pct_{c}"
+                for c in ("user_id_db", "device_id")) + " FROM raw_data", "raw_data"))
+def q_blank_rates(spark, d):
+    """OP-32 (narrow): blank-or-null counts and percentages."""
+    return pf.blank_rates(fx.raw_data(spark, d), ["user_id_db", "device_id"])
+
+
+@register("distinct_counts", with_fixtures(
+    "SELECT count(DISTINCT device_id) AS distinct_device_id, count(DISTINCT store_id) AS distinct_store_id, "
+    "count(DISTINCT api_version) AS distinct_api_version FROM raw_data", "raw_data"))
+def q_distinct_counts(spark, d):
+    """OP-32 (narrow): exact distinct counts."""
+    return pf.distinct_counts(fx.raw_data(spark, d), ["device_id", "store_id", "api_version"])
+
+
+@register("zero_price", with_fixtures(
+    "SELECT count(*) FILTER (WHERE price IS NULL OR price = '' OR price = '0') AS zero_or_null_price_count "
+    "FROM raw_data", "raw_data"))
+def q_zero_price(spark, d):
+    """OP-32 (narrow): null, blank or '0' prices."""
+    return pf.zero_counts(fx.raw_data(spark, d), ["price"])
+
+
+_CAT = " UNION ALL ".join(
+    f"SELECT 'raw_data' AS table_name, '{f.name}' AS column_name, '{f.dataType.simpleString().upper()}' AS data_type, "
+    f"'YES' AS is_nullable, {i + 1} AS ordinal_position, count({f.name}) AS non_null_count FROM raw_data"
+    for i, f in enumerate(RAW_DATA_SCHEMA.fields))
+
+
+@register("catalog_columns", with_fixtures(f"SELECT * FROM ({_CAT}) z", "raw_data"))
+def q_catalog_columns(spark, d):
+    """OP-40: column catalogue (name, type, nullability, position) with non-null counts."""
+    # Catalogue of the table as stored: its declared schema (every column nullable).
+    return pf.catalog_columns({"raw_data": fx.raw_data(spark, d)}, {"raw_data": RAW_DATA_SCHEMA})
