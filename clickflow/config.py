@@ -80,6 +80,8 @@ class ProfileConfig:
     distinct_cols: tuple[str, ...] = ("device_id", "store_id", "api_version")
     zero_cols: tuple[str, ...] = ("price",)
     approximate: bool = False
+    # relative standard deviation of the HyperLogLog sketches when approximate
+    rsd: float = 0.05
     extra: dict = field(default_factory=dict)
 
 

@@ -37,7 +37,11 @@ def profile(df: DataFrame, cfg: ProfileConfig = ProfileConfig(), names: dict[str
     ``approximate`` swaps exact distinct counts (one Expand branch per column) for
     HyperLogLog sketches."""
     names = {**DEFAULT_NAMES, **(names or {})}
-    distinct = F.approx_count_distinct if cfg.approximate else F.count_distinct
+    if cfg.approximate:
+        def distinct(c):
+            return F.approx_count_distinct(c, cfg.rsd)
+    else:
+        distinct = F.count_distinct
     total = F.count(F.lit(1))
     dkey = distinct(cfg.key)
     aggs = [total.alias("total_rows"), dkey.alias("distinct_id_count"),

@@ -75,8 +75,10 @@ def create_from(df: DataFrame, table: str, path: str) -> bool:
 
 
 def append_rows(df: DataFrame, table: str) -> None:
-    """Append rows already aligned to the table's column order."""
+    """Append rows already aligned to the table's column order, then refresh the
+    table's cached file listing so every reader in the session sees the new files."""
     df.write.insertInto(table, overwrite=False)
+    df.sparkSession.catalog.refreshTable(table)
 
 
 def load_part(batch: DataFrame, table: str, path: str, key: str = "_id",
@@ -86,6 +88,7 @@ def load_part(batch: DataFrame, table: str, path: str, key: str = "_id",
     if create_from(batch, table, path):
         return "created"
     spark = batch.sparkSession
+    spark.catalog.refreshTable(table)   # parts may have landed from another writer
     target = spark.table(table)
     aligned, _lost = align_to(batch, target.schema)
     new = merge_insert_only(target, aligned, key, source_is_bounded=source_is_bounded)

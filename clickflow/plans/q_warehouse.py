@@ -17,7 +17,7 @@ from clickflow.plans.registry import register
 from clickflow.session import work_path
 from clickflow.sources import fixtures as fx
 from clickflow.sources.fixtures import with_fixtures
-from clickflow.streaming.load import start_part_load
+from clickflow.streaming.load import load_available
 
 
 def _name(prefix: str) -> str:
@@ -97,11 +97,8 @@ def q_stream_load(spark, d):
     on the first and merges the rest (availableNow trigger)."""
     root = _exported(spark, d)
     target = _name("raw_data_stream")
-    q = start_part_load(spark, root, "raw_data", target, work_path(spark, target),
-                        work_path(spark, target + "_ckpt"), max_files_per_trigger=4)
-    q.awaitTermination()
-    if q.exception() is not None:
-        raise RuntimeError(str(q.exception()))
+    load_available(spark, root, "raw_data", target, work_path(spark, target),
+                   work_path(spark, target + "_ckpt"), max_files_per_trigger=64)
     return spark.table(target)
 
 

@@ -39,8 +39,12 @@ def start_part_load(spark: SparkSession, root: str, table: str, target: str, tar
     src = stream_parts(spark, root, table, schema, max_files_per_trigger)
 
     def body(batch: DataFrame, batch_id: int) -> None:
-        rows = batch.drop("_source_file", *[c for c in drop_cols if c in batch.columns])
-        load_part(rows, target, target_path, key)
+        # The merge reads the batch twice (keys, then rows): keep it for the batch only.
+        rows = batch.drop("_source_file", *[c for c in drop_cols if c in batch.columns]).persist()
+        try:
+            load_part(rows, target, target_path, key)
+        finally:
+            rows.unpersist()
 
     writer = src.writeStream.foreachBatch(body).option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="10 seconds")
@@ -52,3 +56,21 @@ def part_files(df_with_path: DataFrame, path_col: str = "_source_file") -> DataF
     return (df_with_path.groupBy(path_col)
             .agg(F.count(F.lit(1)).alias("rows"))
             .withColumn("table_name", part_table_name(F.col(path_col))))
+
+
+def load_available(spark: SparkSession, root: str, table: str, target: str, target_path: str,
+                   checkpoint: str, key: str = "_id", max_files_per_trigger: int | None = None) -> int:
+    """Load every part present now (``availableNow``), wait for it, fail on a batch
+    error, and refresh the target in the calling session (batches run on a cloned
+    session whose table cache is separate). Returns the number of input rows."""
+    q = start_part_load(spark, root, table, target, target_path, checkpoint, key,
+                        max_files_per_trigger=max_files_per_trigger)
+    q.awaitTermination()
+    if q.exception() is not None:
+        raise RuntimeError(f"part load failed: {q.exception()}")
+    if spark.catalog.tableExists(target):
+        spark.catalog.refreshTable(target)
+    per_batch: dict[int, int] = {}
+    for p in q.recentProgress:           # a batch may report more than one progress event
+        per_batch[p["batchId"]] = max(per_batch.get(p["batchId"], 0), int(p.get("numInputRows", 0)))
+    return sum(per_batch.values())
