@@ -18,10 +18,19 @@ def spark():
     s.stop()
 
 
+def _key(t):
+    return tuple("" if v is None else str(v) for v in t)
+
+
+def srt(items):
+    """Expected rows in the order ``rows`` returns them."""
+    return sorted((tuple(t) for t in items), key=_key)
+
+
 def rows(df, *cols):
     """Sorted list of tuples (optionally of selected columns)."""
     d = df.select(*cols) if cols else df
-    return sorted((tuple(r) for r in d.collect()), key=lambda t: tuple("" if v is None else str(v) for v in t))
+    return srt(tuple(r) for r in d.collect())
 
 
 def plan_text(df) -> str:
