@@ -55,22 +55,28 @@ def locate_ips(ips: DataFrame, ranges: DataFrame, ip_col: str = "ip") -> DataFra
 
     * valid IPv4: fields of the range holding it, null when no range does;
     * null, blank or IPv6 text: null fields (no IPv6 ranges);
-    * anything else: every field is the invalid-address text."""
-    addr = ips.select(F.col(ip_col).alias("ip")).withColumn("_n", ipv4_to_long("ip"))
-    parsed = addr.where(F.col("_n").isNotNull())
-    unparsed = addr.where(F.col("_n").isNull())
-
-    rtype = range_starts(ranges).schema["_r"].dataType
-    points = parsed.select(F.shiftright("_n", BIN_BITS).alias("_bin"), F.col("_n").alias("_pos"),
-                           F.lit(1).alias("_kind"), "ip", F.lit(None).cast(rtype).alias("_r"))
-    u = range_starts(ranges).unionByName(points)
+    * anything else: every field is the invalid-address text.
+
+    All addresses take one path (one scan, one exchange): text that is not IPv4 is
+    spread over negative bins by hash, where no range starts, so it finds no range and
+    cannot pile up in a single window partition."""
+    n = ipv4_to_long(F.col(ip_col))
+    hashed_bin = -F.lit(1) - F.pmod(F.xxhash64(F.col(ip_col)), F.lit(1 << BIN_BITS))
+    points = ips.select(
+        F.when(n.isNotNull(), F.shiftright(n, BIN_BITS)).otherwise(hashed_bin).alias("_bin"),
+        F.coalesce(n, F.lit(-1).cast("bigint")).alias("_pos"),
+        F.lit(1).alias("_kind"),
+        F.col(ip_col).alias("ip"),
+    )
+    starts = range_starts(ranges)
+    points = points.withColumn("_r", F.lit(None).cast(starts.schema["_r"].dataType))
     w = (Window.partitionBy("_bin").orderBy("_pos", "_kind")
          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    located = (u.withColumn("_hit", F.last("_r", ignorenulls=True).over(w))
+    located = (starts.unionByName(points)
+               .withColumn("_hit", F.last("_r", ignorenulls=True).over(w))
                .where(F.col("_kind") == 1))
-    inside = F.col("_hit.ip_to") >= F.col("_pos")
-    found = located.select("ip", *[F.when(inside, F.col(f"_hit.{c}")).alias(c) for c in LOCATION_COLS])
-
-    bad = ~(is_blank("ip") | is_ipv6("ip"))
-    invalid = unparsed.select("ip", *[F.when(bad, F.lit(INVALID_ADDRESS_TEXT)).alias(c) for c in LOCATION_COLS])
-    return found.unionByName(invalid)
+    valid = F.col("_bin") >= 0
+    inside = valid & (F.col("_hit.ip_to") >= F.col("_pos"))
+    bad = ~valid & ~(is_blank("ip") | is_ipv6("ip"))
+    return located.select("ip", *[F.when(bad, F.lit(INVALID_ADDRESS_TEXT)).when(inside, F.col(f"_hit.{c}")).alias(c)
+                                  for c in LOCATION_COLS])
