@@ -1,0 +1,28 @@
+"""Export and load plans over several tables."""
+
+from __future__ import annotations
+
+from functools import reduce
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from clickflow.config import EXPORT_CHUNK_SIZE
+from clickflow.operators import export as ex
+
+
+def export_tables(spark: SparkSession, tables: dict[str, DataFrame], root: str, key: str = "_id",
+                  size: int = EXPORT_CHUNK_SIZE) -> DataFrame:
+    """Incremental export of each table (parts + state); one table's failure is logged in
+    the result and does not stop the others. Returns (table_name, part_number, rows,
+    first_id, last_id) of the parts written now."""
+    out = []
+    for name, df in tables.items():
+        try:
+            m = ex.incremental_export(spark, df, root, name, key, size)
+            out.append(m.select(F.lit(name).alias("table_name"), "*"))
+        except Exception as exc:  # noqa: BLE001 - continue with the next table
+            print(f"export of {name} failed: {type(exc).__name__}: {exc}")
+    if not out:
+        return spark.createDataFrame([], "table_name string, part_number int, rows bigint, first_id string, last_id string")
+    return reduce(lambda a, b: a.unionByName(b), out)

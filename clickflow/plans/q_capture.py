@@ -266,3 +266,13 @@ def q_crawl_report(spark, d):
 def q_chunk_progress(spark, d):
     """OP-36: cumulative progress per capture batch of 100 items."""
     return rep.chunk_progress(_resolved_attempts(spark, d))
+
+
+@register("capture_round", with_fixtures(
+    f"""WITH {TAGGED}, {RESOLVED}, {VALID_URLS}, {FIRST_URL.format(src='valid_urls')},
+ {CLASSIFIED.replace('FROM attempts', 'FROM attempts WHERE product_id IN (SELECT product_id FROM first_url)')},
+ {FINAL}, {RESULT_LOG} SELECT * FROM result_log""", "raw_data", *ATT_PAGES))
+def q_capture_round(spark, d):
+    """One capture round end to end: candidates -> their attempts -> result log."""
+    from clickflow.plans.capture import capture_round
+    return capture_round(fx.raw_data(spark, d), fx.attempts(spark, d), fx.product_pages(spark, d), None, M).log
