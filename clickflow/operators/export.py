@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import json
 from collections.abc import Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -55,13 +56,7 @@ def materialize_ranged(df: DataFrame, keys: Sequence[str], num_partitions: int |
     return ranged.persist(StorageLevel.MEMORY_AND_DISK)
 
 
-def row_numbers(df: DataFrame, keys: Sequence[str] | str, num_partitions: int | None = None,
-                out: str = "row_number", mode: str = "persist") -> DataFrame:
-    """1-based global row number in ``keys`` order (keys should be unique; ties are
-    broken arbitrarily). The materialised ranged data stays cached until
-    ``unpersist_ranged`` or the session ends."""
-    keys = [keys] if isinstance(keys, str) else list(keys)
-    ranged = materialize_ranged(df, keys, num_partitions, mode)
+def _number(ranged: DataFrame, out: str) -> DataFrame:
     counts = (ranged.select(F.spark_partition_id().alias("_p"))
               .groupBy("_p").agg(F.count(F.lit(1)).alias("_n")))
     w = Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -73,12 +68,36 @@ def row_numbers(df: DataFrame, keys: Sequence[str] | str, num_partitions: int |
     return joined.withColumn(out, rn).drop("_p", "_mid", "_off")
 
 
+def row_numbers(df: DataFrame, keys: Sequence[str] | str, num_partitions: int | None = None,
+                out: str = "row_number", mode: str = "persist") -> DataFrame:
+    """1-based global row number in ``keys`` order (keys should be unique; ties are
+    broken arbitrarily). The materialised ranged rows stay cached for the session; use
+    ``numbered_rows`` to release them when done."""
+    keys = [keys] if isinstance(keys, str) else list(keys)
+    return _number(materialize_ranged(df, keys, num_partitions, mode), out)
+
+
+@contextmanager
+def numbered_rows(df: DataFrame, keys: Sequence[str] | str, num_partitions: int | None = None,
+                  out: str = "row_number", mode: str = "persist"):
+    """``row_numbers`` whose cached range partitions are released on exit."""
+    keys = [keys] if isinstance(keys, str) else list(keys)
+    ranged = materialize_ranged(df, keys, num_partitions, mode)
+    try:
+        yield _number(ranged, out)
+    finally:
+        ranged.unpersist()
+
+
+def chunk_column(rn_col: str, size: int, start: int = 1):
+    return (F.floor((F.col(rn_col) - 1) / F.lit(size)) + F.lit(start)).cast("int")
+
+
 def assign_chunks(df: DataFrame, keys: Sequence[str] | str = "_id", size: int = EXPORT_CHUNK_SIZE,
                   start: int = 1, num_partitions: int | None = None, out: str = "part_number") -> DataFrame:
     """Part number per row: rows in key order, ``size`` per part, numbered from ``start``."""
     numbered = row_numbers(df, keys, num_partitions, out="_rn")
-    part = (F.floor((F.col("_rn") - 1) / F.lit(size)) + F.lit(start)).cast("int")
-    return numbered.withColumn(out, part).drop("_rn")
+    return numbered.withColumn(out, chunk_column("_rn", size, start)).drop("_rn")
 
 
 def chunk_manifest(df: DataFrame, key: str = "_id", part_col: str = "part_number") -> DataFrame:
@@ -147,8 +166,9 @@ def incremental_export(spark: SparkSession, df: DataFrame, root: str, table: str
     last_id, last_part = load_state(spark, root, table)
     sliced = slice_after(df, key, last_id)
     std = standardize(sliced, FORCE_STRING_COLUMNS if force_string is None else force_string)
-    numbered = assign_chunks(std, [key], size, start=last_part + 1, num_partitions=num_partitions)
-    path = export_parts(numbered, root, table)
+    with numbered_rows(std, [key], num_partitions, out="_rn") as rn:
+        numbered = rn.withColumn("part_number", chunk_column("_rn", size, last_part + 1)).drop("_rn")
+        path = export_parts(numbered, root, table)
     written = spark.read.parquet(path).where(F.col("part_number") > F.lit(last_part))
     manifest = chunk_manifest(written, key)
     if written.limit(1).count() > 0:

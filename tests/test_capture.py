@@ -114,3 +114,22 @@ def test_candidates_plan_partial_aggregate_before_shuffle(spark):
     text = plan_text(cand.candidates(df))
     # map-side combine: a partial aggregate sits below the exchange
     assert "partial_min" in text
+
+
+def test_candidates_disjoint_from_finished(spark):
+    from conftest import SF_SMALL
+    from clickflow.sources import fixtures as fx
+    raw = fx.raw_data(spark, SF_SMALL)
+    first = cand.candidates(raw)
+    finished = first.select("product_id").orderBy("product_id").limit(50)   # some products are done
+    nxt = cand.candidates(raw, finished)
+    assert nxt.join(finished, "product_id").count() == 0
+    assert nxt.select("product_id").distinct().count() == nxt.count()
+
+
+def test_exclude_finished_is_hash_anti_join(spark):
+    from conftest import plan_text
+    df = ev.tag_event_group(raw(spark, [("01", G1, "A", "B", "u", "r")]))
+    finished = spark.createDataFrame([("A",)], "product_id string")
+    text = plan_text(cand.exclude_finished(df, finished))
+    assert "LeftAnti" in text and "NestedLoop" not in text and "Cartesian" not in text
