@@ -81,8 +81,14 @@ def resolve_attempts(df: DataFrame, max_attempts: int = MAX_ATTEMPTS, id_col: st
     return out.select("product_id", "url", "attempts", "status", "http_code", "error_msg")
 
 
-def extract_name(df: DataFrame, html_col: str = "html", out: str = "product_name") -> DataFrame:
-    """Product name from the page: heading span, else og:title, else 'Unknown name'."""
+def extract_name(df: DataFrame, html_col: str = "html", out: str = "product_name",
+                 method: str = "regex") -> DataFrame:
+    """Product name from the page: heading span, else og:title, else 'Unknown name'.
+    ``method="regex"`` stays in the JVM (default); ``"parser"`` uses the HTML parser in
+    an Arrow-batched pandas UDF for markup the regex cannot follow (nested spans)."""
+    if method == "parser":
+        from clickflow.functions.html_parser import extract_product_name_parsed
+        return df.withColumn(out, extract_product_name_parsed(F.col(html_col)))
     return df.withColumn(out, extract_product_name(F.col(html_col)))
 
 

@@ -65,3 +65,22 @@ def test_result_log_names_only_for_success(spark):
                                    ("b", '<meta property="og:title" content="B">')], "product_id string, html string")
     got = rows(att.result_log(res, pages), "product_id", "product_name", "status")
     assert got == [("a", "A", "success"), ("b", None, "err_404")]
+
+
+def test_parser_method_agrees_with_regex_on_fixture_pages(spark):
+    from conftest import SF_SMALL
+    from clickflow.sources import fixtures as fx
+    pages = fx.product_pages(spark, SF_SMALL)
+    a = rows(att.extract_name(pages), "page_id", "product_name")
+    b = rows(att.extract_name(pages, method="parser"), "page_id", "product_name")
+    assert a == b
+
+
+def test_parser_method_handles_nesting(spark):
+    df = spark.createDataFrame([
+        ("1", '<h1 class="page-title"><span><span>Inner</span> tail &amp; co</span></h1>'),
+        ("2", '<h1 class="page-title">x</h1><span>outside</span><meta property="og:title" content="Og">'),
+        ("3", None),
+    ], "product_id string, html string")
+    got = dict(rows(att.extract_name(df, method="parser"), "product_id", "product_name"))
+    assert got == {"1": "Innertail & co", "2": "Og", "3": "Unknown name"}
