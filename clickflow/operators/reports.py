@@ -53,13 +53,37 @@ def ip_report(validated: DataFrame) -> DataFrame:
     return rep.withColumn("valid_rate", success_rate("dq_valid", "total"))
 
 
+def running_totals(df: DataFrame, order_col: str, sum_cols: list[str], block: int = 1024) -> DataFrame:
+    """Cumulative sums (``cum_<c>``) and grand totals (``total_<c>``) of ``sum_cols`` in
+    ``order_col`` order, for integer, distinct ``order_col`` values.
+
+    Two-level prefix sums, so no window sees more than ``block`` rows or one row per
+    block: rows are grouped into blocks of ``block`` consecutive keys; per block its
+    totals (one row per block) get exclusive prefix sums; inside a block a running sum
+    over at most ``block`` rows is added to the block's offset."""
+    blk = F.floor(F.col(order_col) / F.lit(block))
+    with_block = df.withColumn("_blk", blk)
+    blocks = with_block.groupBy("_blk").agg(*[F.sum(c).alias(f"_bt_{c}") for c in sum_cols])
+    wb = Window.orderBy("_blk").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    wt = Window.orderBy("_blk").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    offsets = blocks.select(
+        "_blk",
+        *[(F.sum(f"_bt_{c}").over(wb) - F.col(f"_bt_{c}")).alias(f"_bo_{c}") for c in sum_cols],
+        *[F.sum(f"_bt_{c}").over(wt).alias(f"total_{c}") for c in sum_cols])
+    wi = Window.partitionBy("_blk").orderBy(order_col).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    j = with_block.join(offsets, "_blk")
+    return j.select(*df.columns,
+                    *[(F.col(f"_bo_{c}") + F.sum(c).over(wi)).alias(f"cum_{c}") for c in sum_cols],
+                    *[F.col(f"total_{c}") for c in sum_cols])
+
+
 def chunk_progress(results: DataFrame, order_col: str = "product_id", size: int = CAPTURE_BATCH_SIZE,
-                   status_col: str = "status") -> DataFrame:
+                   status_col: str = "status", block: int = 1024) -> DataFrame:
     """Running progress per capture batch of ``size`` items in ``order_col`` order:
     per chunk its counts, then cumulative counters and items pending.
 
-    Numbering uses the distributed two-pass chunking (no single-task window over rows);
-    only the per-chunk rows (total / size of them) meet in the cumulative window."""
+    Numbering uses the distributed chunking and the cumulative counters the two-level
+    prefix sums: no window over all rows or all chunks."""
     from clickflow.operators.export import assign_chunks
     numbered = assign_chunks(results, [order_col], size, start=1, out="chunk")
     st = F.col(status_col)
@@ -68,13 +92,12 @@ def chunk_progress(results: DataFrame, order_col: str = "product_id", size: int
         _count_if(st == "success").alias("n_success"),
         _count_if(st == "err_404").alias("n_404"),
         _count_if(~st.isin("success", "err_404")).alias("n_retry"))
-    w = Window.orderBy("chunk").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    wall = Window.partitionBy(F.lit(0))
-    return per.select(
+    cum = running_totals(per, "chunk", ["n", "n_success", "n_404", "n_retry"], block)
+    return cum.select(
         "chunk", "n",
-        F.sum("n").over(w).alias("processed"),
-        F.sum("n_success").over(w).alias("success"),
-        F.sum("n_404").over(w).alias("err_404"),
-        F.sum("n_retry").over(w).alias("to_retry"),
-        (F.sum("n").over(wall) - F.sum("n").over(w)).alias("pending"),
+        F.col("cum_n").alias("processed"),
+        F.col("cum_n_success").alias("success"),
+        F.col("cum_n_404").alias("err_404"),
+        F.col("cum_n_retry").alias("to_retry"),
+        (F.col("total_n") - F.col("cum_n")).alias("pending"),
     )

@@ -54,3 +54,23 @@ def test_rate_on_empty_input_is_null(spark):
     empty = spark.createDataFrame([], "ip string, country_short string, country_long string, region string, city string")
     r = rep.ip_report(dq.validate_location(dq.normalize_location(empty))).first()
     assert r["total"] == 0 and r["valid_rate"] is None
+
+
+def test_running_totals_two_level_matches_plain_cumsum(spark):
+    import random
+    rnd = random.Random(11)
+    data = [(k, rnd.randint(0, 9)) for k in rnd.sample(range(1, 5000), 700)]
+    df = spark.createDataFrame(data, "k long, v long")
+    got = {r["k"]: (r["cum_v"], r["total_v"]) for r in rep.running_totals(df, "k", ["v"], block=16).collect()}
+    acc, total = 0, sum(v for _, v in data)
+    for k, v in sorted(data):
+        acc += v
+        assert got[k] == (acc, total)
+
+
+def test_running_totals_plan_bounded_windows(spark):
+    from conftest import plan_text
+    df = spark.createDataFrame([(1, 1), (2, 2)], "k long, v long")
+    text = plan_text(rep.running_totals(df, "k", ["v"]))
+    # the row-level window is partitioned by block; only the per-block table is un-partitioned
+    assert "hashpartitioning(_blk" in text
