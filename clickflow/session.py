@@ -54,3 +54,32 @@ def checkpoint_root(spark: SparkSession) -> str:
 def work_path(spark: SparkSession, name: str) -> str:
     """A fresh folder under the shared checkpoint root for written tables."""
     return f"{checkpoint_root(spark).rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def scale_conf(input_bytes: int, target_partition_bytes: int = 256 << 20,
+               broadcast_bytes: int = 64 << 20) -> dict[str, str]:
+    """Settings sized for an input of ``input_bytes`` on a cluster.
+
+    Scan splits and shuffle partitions aim at ``target_partition_bytes`` per task (the
+    shuffle count is an upper bound: AQE coalesces small ones and splits skewed ones).
+    Broadcasts stay behind Spark's size estimate with a fixed cap; nothing is broadcast
+    by size-unknown force."""
+    shuffle = max(200, -(-int(input_bytes) // int(target_partition_bytes)))
+    return {
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.shuffle.partitions": str(shuffle),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(target_partition_bytes),
+        "spark.sql.autoBroadcastJoinThreshold": str(broadcast_bytes),
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": str(broadcast_bytes),
+        "spark.sql.sources.partitionOverwriteMode": "dynamic",
+        "spark.sql.session.timeZone": "UTC",
+    }
+
+
+def apply_conf(spark: SparkSession, conf: dict[str, str]) -> None:
+    for k, v in conf.items():
+        spark.conf.set(k, v)
