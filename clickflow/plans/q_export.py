@@ -42,7 +42,7 @@ def first_half(raw: DataFrame, cutoff: int) -> DataFrame:
 STD_COLS = ("_id, collection, product_id, viewing_product_id, current_url, referrer_url, ip, user_id_db, "
             "device_id, store_id, api_version, price, coalesce(CAST(cat_id AS VARCHAR), '') AS cat_id, "
             "coalesce(CAST(is_paypal AS VARCHAR), '') AS is_paypal, ts, "
-            "to_json([{'k': cat_id, 'v': store_id}]) AS tags")
+            "CAST(to_json([{'k': cat_id, 'v': store_id}]) AS VARCHAR) AS tags")
 STD = f"std AS (SELECT {STD_COLS} FROM raw_data)"
 PART = f"CAST(floor((row_number() OVER (ORDER BY _id) - 1) / {QUERY_CHUNK}) AS INTEGER) + 1"
 NUMBERED = f"numbered AS (SELECT *, {PART} AS part_number FROM std)"
@@ -62,7 +62,7 @@ def q_standardize(spark, d):
 
 
 @register("nested_to_json", with_fixtures(
-    "SELECT _id, to_json([{'k': cat_id, 'v': store_id}]) AS tags FROM raw_data", "raw_data"))
+    "SELECT _id, CAST(to_json([{'k': cat_id, 'v': store_id}]) AS VARCHAR) AS tags FROM raw_data", "raw_data"))
 def q_nested_to_json(spark, d):
     """OP-34a: JSON text of a nested column (null fields kept)."""
     return st.nested_to_json(with_tags(fx.raw_data(spark, d)).select("_id", "tags"))
