@@ -38,9 +38,8 @@ def exclude_finished(df: DataFrame, finished: DataFrame, group_col: str = "event
     out = (df.withColumn("_k1", k1)
            .join(f, F.col("_k1") == f["_fid"], "left_anti")
            .drop("_k1"))
-    f2 = _ids(finished)
     out = (out.withColumn("_k2", F.col("viewing_product_id").cast("string"))
-           .join(f2, F.col("_k2") == f2["_fid"], "left_anti")
+           .join(f, F.col("_k2") == f["_fid"], "left_anti")
            .drop("_k2"))
     return out
 
@@ -69,13 +68,12 @@ def candidates(raw: DataFrame, finished: DataFrame | None = None, markers: Seque
     rows with their own product_id must stay at row level."""
     ev = tag_event_group(raw.select(*_NEEDED), group1, group2)
     ev = resolve_url(resolve_product_id(ev), markers)
-    if finished is not None:
-        f = _ids(finished)
+    f = _ids(finished) if finished is not None else None
+    if f is not None:
         ev = (ev.withColumn("_k2", F.col("viewing_product_id").cast("string"))
               .join(f, F.col("_k2") == f["_fid"], "left_anti").drop("_k2"))
     best = first_url(ev)
-    if finished is not None:
-        f = _ids(finished)
+    if f is not None:
         best = best.join(f, best["product_id"] == f["_fid"], "left_anti")
     return best
 

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from clickflow.config import GROUP1_EVENTS, GROUP2_EVENTS
-from clickflow.functions.text import blank_to_null, first_truthy
+from clickflow.functions.text import first_truthy, truthy_text
 
 
 def tag_event_group(df: DataFrame, group1: Sequence[str] = GROUP1_EVENTS,
@@ -22,16 +22,18 @@ def tag_event_group(df: DataFrame, group1: Sequence[str] = GROUP1_EVENTS,
             .withColumn(out, F.when(ev.isin(g1), F.lit(1)).otherwise(F.lit(2))))
 
 
-def resolved_product_id(group_col: str = "event_group") -> "F.Column":
-    """Group 1: first truthy of product_id, viewing_product_id; group 2: viewing_product_id."""
-    return (F.when(F.col(group_col) == 1, first_truthy("product_id", "viewing_product_id"))
-            .otherwise(blank_to_null(F.col("viewing_product_id").cast("string"))))
+def resolved_product_id(group_col: str = "event_group", types: dict | None = None) -> "F.Column":
+    """Group 1: first truthy of product_id, viewing_product_id; group 2: viewing_product_id
+    when truthy. The result is text (ids are compared as strings everywhere)."""
+    types = types or {}
+    return (F.when(F.col(group_col) == 1, first_truthy("product_id", "viewing_product_id", types=types))
+            .otherwise(truthy_text("viewing_product_id", types.get("viewing_product_id"))))
 
 
 def resolve_product_id(df: DataFrame, group_col: str = "event_group", out: str = "resolved_id") -> DataFrame:
-    """Add the resolved product id (null when no truthy id exists). Ids are compared as
-    strings, so cast both sides before any exclusion test."""
-    return df.withColumn(out, resolved_product_id(group_col).cast("string"))
+    """Add the resolved product id (null when no truthy id exists)."""
+    types = {f.name: f.dataType for f in df.schema.fields}
+    return df.withColumn(out, resolved_product_id(group_col, types).cast("string"))
 
 
 def resolve_url(df: DataFrame, markers: Sequence[str] = (), group_col: str = "event_group",

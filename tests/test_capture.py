@@ -133,3 +133,14 @@ def test_exclude_finished_is_hash_anti_join(spark):
     finished = spark.createDataFrame([("A",)], "product_id string")
     text = plan_text(cand.exclude_finished(df, finished))
     assert "LeftAnti" in text and "NestedLoop" not in text and "Cartesian" not in text
+
+
+def test_integer_ids_match_string_finished_ids(spark):
+    """T3: ids compared as strings on both sides."""
+    df = spark.createDataFrame([("01", G1, 7, 8, "u1", "r"), ("02", G1, 9, 10, "u2", "r"),
+                                ("03", G1, 0, 11, "u3", "r")],     # 0 is falsy: falls through to 11 (T1)
+                               "_id string, collection string, product_id bigint, viewing_product_id bigint, "
+                               "current_url string, referrer_url string")
+    finished = spark.createDataFrame([("7",)], "product_id string")
+    assert rows(cand.candidates(df, finished), "product_id") == [("11",), ("9",)]
+    assert [r[0] for r in rows(cand.exclude_finished(ev.tag_event_group(df), finished), "_id")] == ["02", "03"]

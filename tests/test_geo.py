@@ -92,3 +92,16 @@ def test_parse_ipv4(spark):
     got = dict(rows(geo.parse_ipv4(df), "ip", "ip_number"))
     assert got == {"1.2.3.4": 16909060, "255.255.255.255": 4294967295, "256.1.1.1": None, "1.2.3": None,
                    "a.b.c.d": None}
+
+
+def test_csv_range_source_and_missing_file(spark, tmp_path):
+    import pytest
+    from clickflow.sources.tables import read_ip_ranges
+    p = tmp_path / "ranges.csv"
+    p.write_text("0,255,US,United States,CA,LA\n256,511,-,-,-,-\n")
+    r = read_ip_ranges(spark, str(p), fmt="csv")
+    assert [f.name for f in r.schema.fields] == ["ip_from", "ip_to", "country_short", "country_long", "region", "city"]
+    df = spark.createDataFrame([("0.0.0.7",), ("0.0.1.1",)], "ip string")
+    assert rows(geo.locate_ips(df, r), "ip", "country_short") == [("0.0.0.7", "US"), ("0.0.1.1", "-")]
+    with pytest.raises(FileNotFoundError):
+        read_ip_ranges(spark, str(tmp_path / "absent.csv"), fmt="csv")
