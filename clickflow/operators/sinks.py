@@ -42,8 +42,15 @@ def write_result_log(df: DataFrame, path: str, fmt: str = "csv", observe: bool =
     return obs.get if obs is not None else None
 
 
-def append_products(df: DataFrame, path: str) -> None:
-    df.select(*PRODUCT_COLUMNS).write.mode("append").parquet(path)
+def append_products(df: DataFrame, path: str, key: str | None = "product_id") -> None:
+    """Append clean products. With ``key``, only products whose key is not stored yet
+    are appended (insert-only), so replaying a round after a crash adds nothing twice."""
+    from clickflow.operators.warehouse import merge_insert_only
+    from clickflow.sources.tables import _exists
+    rows = df.select(*PRODUCT_COLUMNS)
+    if key is not None and _exists(df.sparkSession, path):
+        rows = merge_insert_only(df.sparkSession.read.parquet(path), rows, key)
+    rows.write.mode("append").parquet(path)
 
 
 def refresh_locations(validated: DataFrame, path: str) -> dict:

@@ -54,7 +54,9 @@ def merge_insert_only(target: DataFrame, source: DataFrame, key: str = "_id",
     if source_is_bounded:
         skeys = F.broadcast(skeys)
     tkeys = target.select(F.col(key).alias("_k")).where(F.col("_k").isNotNull())
-    matched = tkeys.join(skeys, "_k", "left_semi")
+    # distinct: a key repeated in the target collapses map-side, so the matched set is
+    # bounded by the source's distinct keys
+    matched = tkeys.join(skeys, "_k", "left_semi").distinct()
     if source_is_bounded:
         matched = F.broadcast(matched)
     return source.join(matched, source[key] == matched["_k"], "left_anti")

@@ -61,3 +61,14 @@ def test_event_scan_pushdown_and_pruning(spark):
     assert "PushedFilters: [IsNotNull(collection), In(collection, [view_product_detail])]" in text \
         or "EqualTo(collection,view_product_detail)" in text
     assert "ReadSchema: struct<_id:string,collection:string,product_id:string>" in text
+
+
+def test_append_products_is_idempotent(spark):
+    from clickflow.operators.sinks import append_products
+    path = work_path(spark, "t-products")
+    df = spark.createDataFrame([("1", "A", "u1"), ("2", "B", "u2")], "product_id string, product_name string, url string")
+    append_products(df, path)
+    append_products(df, path)                       # replayed round
+    more = spark.createDataFrame([("2", "B", "u2"), ("3", "C", "u3")], "product_id string, product_name string, url string")
+    append_products(more, path)
+    assert sorted(r[0] for r in spark.read.parquet(path).select("product_id").collect()) == ["1", "2", "3"]
