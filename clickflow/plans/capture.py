@@ -45,8 +45,19 @@ def capture_round(raw: DataFrame, attempts: DataFrame, pages: DataFrame, finishe
     return CaptureRound(cands, log, validated, clean, rejects, rep.crawl_report(log, validated))
 
 
+def finished_rows(rnd: CaptureRound, retry_invalid: bool = False) -> DataFrame:
+    """Result rows that finish their item. By default a success finishes the item even
+    when its name fails validation (it is never fetched again); with ``retry_invalid``
+    such items stay open for the next round."""
+    log = rnd.log
+    if not retry_invalid:
+        return log
+    bad = rnd.rejects.select(F.col("product_id").alias("_bad"))
+    return log.join(bad, (log["product_id"] == bad["_bad"]) & (log["status"] == "success"), "left_anti")
+
+
 def run_capture(spark: SparkSession, raw: DataFrame, attempts: DataFrame, pages: DataFrame, out_root: str,
-                markers: Sequence[str] = (), rounds: int = MAX_ROUNDS) -> list[dict]:
+                markers: Sequence[str] = (), rounds: int = MAX_ROUNDS, retry_invalid: bool = False) -> list[dict]:
     """Up to ``rounds`` rounds. Each round reads the finished ids written so far, appends
     the result log and the clean products, then appends its finished ids (last, so a
     crash before it only repeats work). Stops early when a round finishes nothing new."""
@@ -58,7 +69,7 @@ def run_capture(spark: SparkSession, raw: DataFrame, attempts: DataFrame, pages:
         rnd = capture_round(raw, attempts, pages, finished, markers)
         counters = sinks.write_result_log(rnd.log, f"{root}/result_log")
         sinks.append_products(rnd.clean, f"{root}/product_names")
-        sinks.append_finished(rnd.log, f"{root}/finished")
+        sinks.append_finished(finished_rows(rnd, retry_invalid), f"{root}/finished")
         reports.append({"round": r, **(counters or {})})
         done_now = (counters or {}).get("success", 0) + (counters or {}).get("err_404", 0)
         if done_now == 0:

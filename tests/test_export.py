@@ -112,3 +112,12 @@ def test_watermark_slice_pushed_to_scan(spark):
 
 def test_state_json_shape():
     assert json.loads(ex.state_json("abc", 3)) == {"last_id": "abc", "part_number": 3}
+
+
+def test_standardize_nested_timestamps(spark):
+    """T24: nested datetimes are encoded, not an error."""
+    import datetime as dt
+    schema = T.StructType([T.StructField("_id", T.StringType()),
+                           T.StructField("ev", T.StructType([T.StructField("at", T.TimestampType())]))])
+    df = spark.createDataFrame([("1", (dt.datetime(2024, 1, 2, 3, 4, 5),))], schema)
+    assert st.standardize(df).first()["ev"] == '{"at":"2024-01-02T03:04:05.000Z"}'

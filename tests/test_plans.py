@@ -72,3 +72,18 @@ def test_append_products_is_idempotent(spark):
     more = spark.createDataFrame([("2", "B", "u2"), ("3", "C", "u3")], "product_id string, product_name string, url string")
     append_products(more, path)
     assert sorted(r[0] for r in spark.read.parquet(path).select("product_id").collect()) == ["1", "2", "3"]
+
+
+def test_retry_invalid_keeps_unnamed_successes_open(spark):
+    from clickflow.plans.capture import capture_round, finished_rows
+    raw = spark.createDataFrame([("01", "view_product_detail", "A", None, "u", "r"),
+                                 ("02", "view_product_detail", "B", None, "u", "r")],
+                                "_id string, collection string, product_id string, viewing_product_id string, "
+                                "current_url string, referrer_url string")
+    att = spark.createDataFrame([("A", "u", 1, 200, None), ("B", "u", 1, 200, None)],
+                                "product_id string, url string, attempt int, status_code int, error_kind string")
+    pages = spark.createDataFrame([("A", '<meta property="og:title" content="Name A">'), ("B", "<p>no name</p>")],
+                                  "product_id string, html string")
+    rnd = capture_round(raw, att, pages, None)
+    assert sorted(r[0] for r in finished_rows(rnd).select("product_id").collect()) == ["A", "B"]       # T9
+    assert [r[0] for r in finished_rows(rnd, retry_invalid=True).select("product_id").collect()] == ["A"]
