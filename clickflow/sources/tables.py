@@ -105,3 +105,22 @@ def read_ip_ranges(spark: SparkSession, path: str, fmt: str = "parquet") -> Data
 def read_pages(spark: SparkSession, path: str) -> DataFrame:
     """Captured product pages (product_id, url, html[, status_code])."""
     return spark.read.parquet(path)
+
+
+# Extended-JSON object id: {"$oid": "<24 hex>"}
+_OID = r'^\s*\{\s*"\$oid"\s*:\s*"([0-9A-Fa-f]{24})"\s*\}\s*$'
+
+
+def read_json_events(spark: SparkSession, path: str, schema: T.StructType = RAW_DATA_SCHEMA,
+                     id_col: str = "_id") -> DataFrame:
+    """Raw events exported as JSON lines (one document per line, extended JSON).
+
+    Read with an explicit schema: a field declared string keeps any scalar as text and any
+    nested value as its JSON text, so mixed-type fields never fail the read. The object
+    id ``{"$oid": "..."}`` becomes its 24-hex string (fixed width, so text order is the
+    id order)."""
+    reader_schema = T.StructType([T.StructField(f.name, T.StringType() if f.name == id_col else f.dataType)
+                                  for f in schema.fields])
+    df = spark.read.schema(reader_schema).option("mode", "PERMISSIVE").json(path)
+    oid = F.nullif(F.regexp_extract(F.col(id_col), _OID, 1), F.lit(""))
+    return df.withColumn(id_col, F.coalesce(F.lower(oid), F.col(id_col)))
