@@ -83,15 +83,17 @@ def zero_counts(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return df.agg(*[_count_if(_blank(c) | (F.col(c) == "0")).alias(f"zero_or_null_{c}_count") for c in cols])
 
 
-def catalog_columns(tables: dict[str, DataFrame], schemas: dict | None = None) -> DataFrame:
+def catalog_columns(tables: dict, schemas: dict | None = None, spark=None) -> DataFrame:
     """(table_name, column_name, data_type, is_nullable, ordinal_position, non_null_count)
-    ordered by table and position. Names/types come from each table's declared schema
-    (``schemas``) or its DataFrame schema; the non-null counts are one aggregate per
-    table."""
+    ordered by table and position. ``tables`` maps names to DataFrames or to catalog
+    table names (read with ``spark.table``). Names/types come from each table's declared
+    schema (``schemas``) or its schema; the non-null counts are one aggregate per table."""
     from functools import reduce
     schemas = schemas or {}
     parts = []
     for tname, df in tables.items():
+        if isinstance(df, str):
+            df = spark.table(df)
         fields = (schemas.get(tname) or df.schema).fields
         wide = df.agg(*[F.count(F.col(f"`{f.name}`")).alias(f"c{i}") for i, f in enumerate(fields)])
         rows = F.explode(F.array(*[

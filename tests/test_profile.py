@@ -49,3 +49,12 @@ def test_catalog_columns(spark):
     df = spark.createDataFrame([("a", 1), (None, 2)], "x string, y bigint")
     got = rows(pf.catalog_columns({"t": df}))
     assert got == [("t", "x", "STRING", "YES", 1, 1), ("t", "y", "BIGINT", "YES", 2, 2)]
+
+
+def test_catalog_columns_from_catalog_table(spark):
+    import uuid
+    from clickflow.session import work_path
+    name = f"t_cat_{uuid.uuid4().hex[:8]}"
+    spark.createDataFrame([("a", 1)], "x string, y bigint").write.option("path", work_path(spark, name)).saveAsTable(name)
+    got = rows(pf.catalog_columns({"t": name}, spark=spark), "column_name", "non_null_count")
+    assert got == [("x", 1), ("y", 1)]
