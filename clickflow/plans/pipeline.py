@@ -11,15 +11,17 @@ from clickflow.config import EXPORT_CHUNK_SIZE
 from clickflow.operators import export as ex
 
 
-def export_tables(spark: SparkSession, tables: dict[str, DataFrame], root: str, key: str = "_id",
+def export_tables(spark: SparkSession, tables: dict, root: str, key: str = "_id",
                   size: int = EXPORT_CHUNK_SIZE) -> DataFrame:
-    """Incremental export of each table (parts + state); one table's failure is logged in
-    the result and does not stop the others. Returns (table_name, part_number, rows,
-    first_id, last_id) of the parts written now."""
+    """Incremental export of each table (parts + state); one table's failure is logged and
+    does not stop the others. ``tables`` maps a name to a DataFrame or to
+    ``(DataFrame, key)`` (a business key per table, e.g. product_id, ip). Returns
+    (table_name, part_number, rows, first_id, last_id) of the parts written now."""
     out = []
-    for name, df in tables.items():
+    for name, spec in tables.items():
+        df, k = spec if isinstance(spec, tuple) else (spec, key)
         try:
-            m = ex.incremental_export(spark, df, root, name, key, size)
+            m = ex.incremental_export(spark, df, root, name, k, size)
             out.append(m.select(F.lit(name).alias("table_name"), "*"))
         except Exception as exc:  # noqa: BLE001 - continue with the next table
             print(f"export of {name} failed: {type(exc).__name__}: {exc}")

@@ -228,6 +228,15 @@ def q_clean_products(spark, d):
     return clean
 
 
+@register("product_rejects", with_fixtures(
+    f"WITH {CLASSIFIED}, {FINAL}, {RESULT_LOG}, {NORMALIZED}, {VALIDATED} "
+    "SELECT product_id, product_name, url, reason FROM validated WHERE reason <> 'valid'", *ATT_PAGES))
+def q_product_rejects(spark, d):
+    """OP-20: quarantined product rows with the first failing rule."""
+    _, rejects = dq.split_valid(_validated_success(spark, d))
+    return rejects
+
+
 @register("outcome_counts", with_fixtures(
     f"WITH {CLASSIFIED}, {FINAL} SELECT {OUTCOMES} FROM final", *ATT))
 def q_outcome_counts(spark, d):

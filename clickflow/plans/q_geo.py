@@ -98,6 +98,15 @@ def q_ip_locations(spark, d):
     return clean
 
 
+@register("location_rejects", with_fixtures(
+    f"WITH {LOCATED}, {NORMALIZED}, {VALIDATED} SELECT ip, country_short, country_long, region, city, reason "
+    "FROM validated WHERE reason <> 'valid'", *FIX))
+def q_location_rejects(spark, d):
+    """OP-20: quarantined location rows with the first failing rule."""
+    _, rejects = dq.split_valid(_validated(spark, d))
+    return rejects
+
+
 @register("ip_quality", with_fixtures(f"WITH {LOCATED}, {NORMALIZED}, {VALIDATED} SELECT {QUALITY} FROM validated",
                                       *FIX))
 def q_ip_quality(spark, d):

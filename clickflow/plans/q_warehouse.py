@@ -111,3 +111,35 @@ def q_parse_part_path(spark, d):
     files = spark.read.parquet(f"{root}/raw_data").select(F.col("_metadata.file_path").alias("path"))
     return (files.select(part_table_name("path").alias("table_name"), part_number("path").alias("part_number"))
             .groupBy("table_name", "part_number").agg(F.count(F.lit(1)).alias("rows")))
+
+
+def _part_rows(table: str, key: str, sql: str) -> str:
+    return (f"SELECT '{table}' AS table_name, CAST(floor((row_number() OVER (ORDER BY {key}) - 1) / {QUERY_CHUNK}) "
+            f"AS INTEGER) + 1 AS part_number, {key} AS k FROM ({sql}) z")
+
+
+def _export_all_sql() -> str:
+    from clickflow.plans.registry import REGISTRY
+    raw = with_fixtures("SELECT _id FROM raw_data", "raw_data")
+    parts = " UNION ALL ".join([
+        _part_rows("raw_data", "_id", raw),
+        _part_rows("product_names", "product_id", REGISTRY["clean_products"].sql),
+        _part_rows("ip_locations", "ip", REGISTRY["ip_locations"].sql),
+    ])
+    return (f"SELECT table_name, part_number, count(*) AS rows, min(k) AS first_id, max(k) AS last_id "
+            f"FROM ({parts}) p GROUP BY table_name, part_number")
+
+
+
+def q_export_all_tables(spark, d):
+    """OP-45c/45d over the three exported tables, each ordered by its own key."""
+    from clickflow.operators import quality as dq
+    from clickflow.plans.pipeline import export_tables
+    from clickflow.plans.q_capture import _validated_success
+    from clickflow.plans.q_geo import _validated
+    root = work_path(spark, "export-all")
+    products, _ = dq.split_valid(_validated_success(spark, d))
+    locations, _ = dq.split_valid(_validated(spark, d))
+    return export_tables(spark, {"raw_data": (std_raw(spark, d), "_id"),
+                                 "product_names": (products, "product_id"),
+                                 "ip_locations": (locations, "ip")}, root, size=QUERY_CHUNK)

@@ -35,8 +35,13 @@ def register(name: str, sql: str | None = None, doc: str = ""):
 
 
 def _load_all() -> None:
-    # Importing the modules fills REGISTRY.
+    # Importing the modules fills REGISTRY; queries whose oracle embeds other queries'
+    # SQL are registered after those exist.
     from clickflow.plans import q_capture, q_geo, q_export, q_warehouse, q_profile  # noqa: F401
+    if "export_all_tables" not in REGISTRY:
+        REGISTRY["export_all_tables"] = Query("export_all_tables", q_warehouse.q_export_all_tables,
+                                              q_warehouse._export_all_sql(),
+                                              (q_warehouse.q_export_all_tables.__doc__ or "").strip())
 
 
 def queries() -> dict[str, QueryFn]:
