@@ -158,7 +158,9 @@ def incremental_export(spark: SparkSession, df: DataFrame, root: str, table: str
 
     Order of commits: parts first, state second. A crash between the two rewrites the
     same part numbers on the next run (dynamic overwrite makes that idempotent).
-    Returns the manifest of the parts written by this run (read back from storage)."""
+    Row count and last key of the slice come from one aggregate over the materialised
+    range partitions (two scalars to the driver). Returns the manifest of the parts
+    written by this run (read back from storage, lazily)."""
     from clickflow.config import FORCE_STRING_COLUMNS
     from clickflow.operators.events import slice_after
     from clickflow.operators.standardize import standardize
@@ -166,14 +168,21 @@ def incremental_export(spark: SparkSession, df: DataFrame, root: str, table: str
     last_id, last_part = load_state(spark, root, table)
     sliced = slice_after(df, key, last_id)
     std = standardize(sliced, FORCE_STRING_COLUMNS if force_string is None else force_string)
+    path = f"{root.rstrip('/')}/{table}"
     with numbered_rows(std, [key], num_partitions, out="_rn") as rn:
-        numbered = rn.withColumn("part_number", chunk_column("_rn", size, last_part + 1)).drop("_rn")
-        path = export_parts(numbered, root, table)
+        summary = rn.agg(F.count(F.lit(1)).alias("n"), F.max(key).alias("last_id")).first()
+        n = int(summary["n"])
+        if n > 0:
+            numbered = rn.withColumn("part_number", chunk_column("_rn", size, last_part + 1)).drop("_rn")
+            export_parts(numbered, root, table)
+            new_last_part = last_part + -(-n // size)
+            state = spark.createDataFrame([(table, str(summary["last_id"]), new_last_part)],
+                                          "table string, last_id string, part_number int")
+            state.coalesce(1).write.mode("overwrite").json(_state_path(root, table))
+    if n == 0:
+        return spark.createDataFrame([], "part_number int, rows bigint, first_id string, last_id string")
     written = spark.read.parquet(path).where(F.col("part_number") > F.lit(last_part))
-    manifest = chunk_manifest(written, key)
-    if written.limit(1).count() > 0:
-        save_state(manifest, root, table)
-    return manifest
+    return chunk_manifest(written, key)
 
 
 def state_json(last_id: str | None, part_number: int) -> str:
