@@ -169,16 +169,21 @@ def incremental_export(spark: SparkSession, df: DataFrame, root: str, table: str
     sliced = slice_after(df, key, last_id)
     std = standardize(sliced, FORCE_STRING_COLUMNS if force_string is None else force_string)
     path = f"{root.rstrip('/')}/{table}"
-    with numbered_rows(std, [key], num_partitions, out="_rn") as rn:
-        summary = rn.agg(F.count(F.lit(1)).alias("n"), F.max(key).alias("last_id")).first()
+    ranged = materialize_ranged(std, [key], num_partitions)
+    try:
+        # fills the cache; the numbering and the write then read it
+        summary = ranged.agg(F.count(F.lit(1)).alias("n"), F.max(key).alias("last_id")).first()
         n = int(summary["n"])
         if n > 0:
-            numbered = rn.withColumn("part_number", chunk_column("_rn", size, last_part + 1)).drop("_rn")
+            numbered = (_number(ranged, "_rn")
+                        .withColumn("part_number", chunk_column("_rn", size, last_part + 1)).drop("_rn"))
             export_parts(numbered, root, table)
             new_last_part = last_part + -(-n // size)
             state = spark.createDataFrame([(table, str(summary["last_id"]), new_last_part)],
                                           "table string, last_id string, part_number int")
             state.coalesce(1).write.mode("overwrite").json(_state_path(root, table))
+    finally:
+        ranged.unpersist()
     if n == 0:
         return spark.createDataFrame([], "part_number int, rows bigint, first_id string, last_id string")
     written = spark.read.parquet(path).where(F.col("part_number") > F.lit(last_part))

@@ -28,15 +28,22 @@ def std_raw(spark, d) -> DataFrame:
     return st.standardize(with_tags(fx.raw_data(spark, d)))
 
 
+def epoch_micros(c: str = "ts"):
+    """Microseconds since 1970-01-01 of a timestamp_ntz, independent of the session time
+    zone (no cast through a zoned timestamp)."""
+    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+    return F.timestamp_diff("MICROSECOND", epoch, F.col(c))
+
+
 def first_half_cutoff(raw: DataFrame) -> int:
     """Middle of the event-time span in epoch microseconds (one scalar)."""
-    us = F.unix_micros(F.col("ts").cast("timestamp"))
+    us = epoch_micros("ts")
     row = raw.agg(F.floor((F.min(us) + F.max(us)) / 2).cast("bigint").alias("c")).first()
     return int(row["c"])
 
 
 def first_half(raw: DataFrame, cutoff: int) -> DataFrame:
-    return raw.where(F.unix_micros(F.col("ts").cast("timestamp")) <= F.lit(cutoff))
+    return raw.where(epoch_micros("ts") <= F.lit(cutoff))
 
 
 STD_COLS = ("_id, collection, product_id, viewing_product_id, current_url, referrer_url, ip, user_id_db, "
