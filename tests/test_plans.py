@@ -87,3 +87,12 @@ def test_retry_invalid_keeps_unnamed_successes_open(spark):
     rnd = capture_round(raw, att, pages, None)
     assert sorted(r[0] for r in finished_rows(rnd).select("product_id").collect()) == ["A", "B"]       # T9
     assert [r[0] for r in finished_rows(rnd, retry_invalid=True).select("product_id").collect()] == ["A"]
+
+
+def test_observed_counters_equal_aggregate(spark):
+    from clickflow.operators import attempts as att_ops
+    from clickflow.operators.reports import outcome_counts
+    from clickflow.operators.sinks import write_result_log
+    log = att_ops.result_log(att_ops.resolve_attempts(fx.attempts(spark, SF_SMALL)), fx.product_pages(spark, SF_SMALL))
+    observed = write_result_log(log, work_path(spark, "t-log"))
+    assert observed == outcome_counts(log).first().asDict()
