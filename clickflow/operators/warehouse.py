@@ -38,7 +38,8 @@ def align_to(df: DataFrame, schema: T.StructType) -> tuple[DataFrame, list[str]]
 
 
 def merge_insert_only(target: DataFrame, source: DataFrame, key: str = "_id",
-                      source_is_bounded: bool = False, dedupe_source: bool = False) -> DataFrame:
+                      source_is_bounded: bool = False, dedupe_source: bool = False,
+                      prune_target: bool = False) -> DataFrame:
     """Rows of ``source`` to append: those whose key is absent from ``target``. Matched
     rows are left alone (never updated); null keys are always inserted; duplicates inside
     the source are all inserted unless ``dedupe_source``.
@@ -47,9 +48,17 @@ def merge_insert_only(target: DataFrame, source: DataFrame, key: str = "_id",
     target is scanned (one column) but never shuffled when the source is small; the
     source is then anti-joined with the few matched keys. ``source_is_bounded`` states
     that the source is one export part (size known), which makes its keys safe to
-    broadcast; otherwise the size estimate and AQE choose the strategy."""
+    broadcast; otherwise the size estimate and AQE choose the strategy.
+
+    ``prune_target`` bounds the target scan by the source's key range (two scalars from
+    one small aggregate): parts arrive in key order, so the filter reaches the Parquet
+    scan and row-group statistics skip nearly all of a target written in key order."""
     if dedupe_source:
         source = source.dropDuplicates([key])
+    if prune_target:
+        lo_hi = source.agg(F.min(key).alias("lo"), F.max(key).alias("hi")).first()
+        if lo_hi["lo"] is not None:
+            target = target.where(F.col(key).between(F.lit(lo_hi["lo"]), F.lit(lo_hi["hi"])))
     skeys = source.select(F.col(key).alias("_k")).where(F.col("_k").isNotNull())
     if source_is_bounded:
         skeys = F.broadcast(skeys)
@@ -84,7 +93,7 @@ def append_rows(df: DataFrame, table: str) -> None:
 
 
 def load_part(batch: DataFrame, table: str, path: str, key: str = "_id",
-              source_is_bounded: bool = False) -> str:
+              source_is_bounded: bool = False, prune_target: bool = True) -> str:
     """One arriving part: create the target from it, or align it to the target's schema
     and insert the rows whose key is new. Returns 'created' or 'merged'."""
     if create_from(batch, table, path):
@@ -93,7 +102,8 @@ def load_part(batch: DataFrame, table: str, path: str, key: str = "_id",
     spark.catalog.refreshTable(table)   # parts may have landed from another writer
     target = spark.table(table)
     aligned, _lost = align_to(batch, target.schema)
-    new = merge_insert_only(target, aligned, key, source_is_bounded=source_is_bounded)
+    new = merge_insert_only(target, aligned, key, source_is_bounded=source_is_bounded,
+                            prune_target=prune_target)
     append_rows(new, table)
     return "merged"
 

@@ -63,3 +63,16 @@ def test_load_full_isolates_failures(spark):
     # a second full load replaces, it does not append
     wh.load_full(spark, root, ["good"], {"good": work_path(spark, name)}, {"good": name})
     assert spark.table(name).count() == 50
+
+
+def test_merge_prunes_target_scan_by_source_key_range(spark):
+    path = work_path(spark, "t-prune")
+    spark.range(5000).select(F.format_string("%08d", "id").alias("_id")).write.parquet(path)
+    source = spark.createDataFrame([("00000100",), ("00000200",), ("zzz",)], "_id string")
+    target = spark.read.parquet(path)
+    new = wh.merge_insert_only(target, source, "_id", prune_target=True)
+    assert rows(new) == [("zzz",)]
+    text = plan_text(new)
+    assert "GreaterThanOrEqual(_id,00000100)" in text and "LessThanOrEqual(_id,zzz)" in text
+    # same answer without pruning
+    assert rows(wh.merge_insert_only(target, source, "_id")) == [("zzz",)]
