@@ -92,10 +92,14 @@ def extract_name(df: DataFrame, html_col: str = "html", out: str = "product_name
     return df.withColumn(out, extract_product_name(F.col(html_col)))
 
 
-def result_log(resolved: DataFrame, pages: DataFrame) -> DataFrame:
+def result_log(resolved: DataFrame, pages: DataFrame, method: str = "regex") -> DataFrame:
     """The six-column result log: every outcome, product_name only for successes
-    (extracted from the captured page), absent fields null."""
-    p = pages.select(F.col("product_id").cast("string").alias("_pid"), F.col("html"))
-    j = resolved.join(p, resolved["product_id"] == p["_pid"], "left")
-    name = F.when(F.col("status") == "success", extract_product_name(F.col("html")))
+    (extracted from the captured page), absent fields null.
+
+    The name is extracted on the page side before the join (a narrow, map-side step), so
+    only (product_id, name) is shuffled or broadcast, never the HTML."""
+    names = extract_name(pages.select(F.col("product_id").cast("string").alias("_pid"), "html"),
+                         "html", "_name", method).drop("html")
+    j = resolved.join(names, resolved["product_id"] == names["_pid"], "left")
+    name = F.when(F.col("status") == "success", F.col("_name"))
     return j.select("product_id", name.alias("product_name"), "url", "status", "http_code", "error_msg")
