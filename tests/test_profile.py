@@ -58,3 +58,29 @@ def test_catalog_columns_from_catalog_table(spark):
     spark.createDataFrame([("a", 1)], "x string, y bigint").write.option("path", work_path(spark, name)).saveAsTable(name)
     got = rows(pf.catalog_columns({"t": name}, spark=spark), "column_name", "non_null_count")
     assert got == [("x", 1), ("y", 1)]
+
+
+def test_profile_matches_pandas_on_fixture(spark):
+    from decimal import ROUND_HALF_UP, Decimal
+
+    from clickflow.sources import fixtures as fx
+    from conftest import SF_SMALL
+    raw = fx.raw_data(spark, SF_SMALL)
+    pdf = raw.select("_id", "user_id_db", "device_id", "store_id", "api_version", "price").toPandas()
+    blank = lambda c: pdf[c].isna() | (pdf[c] == "")
+    n = len(pdf)
+    exp = {
+        "total_rows": n,
+        "distinct_id_count": pdf["_id"].nunique(),
+        "null_user_id_db": int(blank("user_id_db").sum()),
+        "null_pct_user_id_db": float((Decimal(int(blank("user_id_db").sum())) * 100 / Decimal(n))
+                                     .quantize(Decimal("0.01"), rounding=ROUND_HALF_UP)),
+        "null_device_id": int(blank("device_id").sum()),
+        "distinct_devices": pdf["device_id"].nunique(),
+        "distinct_stores": pdf["store_id"].nunique(),
+        "distinct_api_versions": pdf["api_version"].nunique(),
+        "zero_or_null_price_count": int((blank("price") | (pdf["price"] == "0")).sum()),
+    }
+    got = pf.profile(raw, ProfileConfig()).first().asDict()
+    assert {k: got[k] for k in exp} == exp
+    assert got["is_id_unique"] == ("Passed" if exp["distinct_id_count"] == n else "Failed - Duplicated")
