@@ -32,10 +32,14 @@ class CaptureRound:
 
 
 def capture_round(raw: DataFrame, attempts: DataFrame, pages: DataFrame, finished: DataFrame | None,
-                  markers: Sequence[str] = (), max_attempts: int = MAX_ATTEMPTS) -> CaptureRound:
+                  markers: Sequence[str] = (), max_attempts: int = MAX_ATTEMPTS,
+                  round_no: int | None = None) -> CaptureRound:
     """One round over the work left: candidates not finished, their final outcome, the
-    six-column result log, validated names and the report row."""
+    six-column result log, validated names and the report row. When the attempt log
+    has a ``round`` column, only this round's attempts count (``round_no``)."""
     cands = cand.candidates(raw, finished, markers)
+    if round_no is not None and "round" in attempts.columns:
+        attempts = attempts.where(F.col("round") == F.lit(round_no)).drop("round")
     tried = attempts.join(cands.select("product_id"), "product_id", "left_semi")
     resolved = att.resolve_attempts(tried, max_attempts)
     log = att.result_log(resolved, pages)
@@ -64,14 +68,17 @@ def run_capture(spark: SparkSession, raw: DataFrame, attempts: DataFrame, pages:
     from clickflow.sources.tables import read_finished_ids
     root = out_root.rstrip("/")
     reports = []
+    per_round = "round" in attempts.columns
     for r in range(1, rounds + 1):
         finished = read_finished_ids(spark, *sinks.finished_paths(f"{root}/finished"))
-        rnd = capture_round(raw, attempts, pages, finished, markers)
-        counters = sinks.write_result_log(rnd.log, f"{root}/result_log")
+        # the original's "total": distinct ids minus finished ids (an estimate)
+        total = cand.pending_count(raw, finished, markers).first()["pending_estimate"]
+        rnd = capture_round(raw, attempts, pages, finished, markers, round_no=r if per_round else None)
+        counters = sinks.write_result_log(rnd.log, f"{root}/result_log") or {}
         sinks.append_products(rnd.clean, f"{root}/product_names")
         sinks.append_finished(finished_rows(rnd, retry_invalid), f"{root}/finished")
-        reports.append({"round": r, **(counters or {})})
-        done_now = (counters or {}).get("success", 0) + (counters or {}).get("err_404", 0)
-        if done_now == 0:
+        reports.append({"round": r, "total": total, **counters})
+        done_now = counters.get("success", 0) + counters.get("err_404", 0)
+        if done_now == 0 and not per_round:
             break
     return reports

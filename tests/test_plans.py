@@ -96,3 +96,26 @@ def test_observed_counters_equal_aggregate(spark):
     log = att_ops.result_log(att_ops.resolve_attempts(fx.attempts(spark, SF_SMALL)), fx.product_pages(spark, SF_SMALL))
     observed = write_result_log(log, work_path(spark, "t-log"))
     assert observed == outcome_counts(log).first().asDict()
+
+
+def test_rounds_with_per_round_attempts(spark):
+    root = work_path(spark, "t-rounds")
+    raw = spark.createDataFrame([("01", "view_product_detail", "A", None, "ua", "r"),
+                                 ("02", "view_product_detail", "B", None, "ub", "r"),
+                                 ("03", "view_product_detail", "C", None, "uc", "r")],
+                                "_id string, collection string, product_id string, viewing_product_id string, "
+                                "current_url string, referrer_url string")
+    att = spark.createDataFrame([
+        # round 1: A ok, B rate-limited three times, C 404
+        (1, "A", "ua", 1, 200, None), (1, "B", "ub", 1, 429, None), (1, "B", "ub", 2, 429, None),
+        (1, "B", "ub", 3, 429, None), (1, "C", "uc", 1, 404, None),
+        # round 2: B is fetched again and succeeds; A and C are finished and not fetched
+        (2, "B", "ub", 1, 200, None), (2, "A", "ua", 1, 500, None),
+    ], "round int, product_id string, url string, attempt int, status_code int, error_kind string")
+    pages = spark.createDataFrame([("A", '<meta property="og:title" content="Name A">'),
+                                   ("B", '<meta property="og:title" content="Name B">')], "product_id string, html string")
+    reps = run_capture(spark, raw, att, pages, root, rounds=3)
+    assert [(r["round"], r["total"], r["processed"], r["success"], r["err_404"], r["err_429"]) for r in reps] == [
+        (1, 3, 3, 1, 1, 1), (2, 1, 1, 1, 0, 0), (3, 0, 0, 0, 0, 0)]
+    names = sorted(r[0] for r in spark.read.parquet(f"{root}/product_names").select("product_name").collect())
+    assert names == ["Name A", "Name B"]
