@@ -124,3 +124,21 @@ def read_json_events(spark: SparkSession, path: str, schema: T.StructType = RAW_
     df = spark.read.schema(reader_schema).option("mode", "PERMISSIVE").json(path)
     oid = F.nullif(F.regexp_extract(F.col(id_col), _OID, 1), F.lit(""))
     return df.withColumn(id_col, F.coalesce(F.lower(oid), F.col(id_col)))
+
+
+def read_source(spark: SparkSession, fmt: str, path: str | None = None, schema: T.StructType | None = None,
+                **options: str) -> DataFrame:
+    """Any Spark data source (e.g. a document-store connector with
+    ``fmt="mongodb"`` and its connection options, ``jdbc``, ``json``, ``orc``), giving the
+    same DataFrame the rest of the pipeline expects. A format whose connector is not on
+    the classpath fails with a clear message."""
+    reader = spark.read.format(fmt).options(**options)
+    if schema is not None:
+        reader = reader.schema(schema)
+    try:
+        return reader.load(path) if path is not None else reader.load()
+    except Exception as exc:  # noqa: BLE001
+        if "DATA_SOURCE_NOT_FOUND" in str(exc) or "Failed to find data source" in str(exc):
+            raise RuntimeError(f"data source '{fmt}' is not available: add its connector to the "
+                               "session (spark.jars.packages) and retry") from exc
+        raise

@@ -39,3 +39,13 @@ def test_read_parts_merge_schema(spark):
     assert set(merged.columns) == {"_id", "a", "b", "part_number"}
     assert merged.count() == 2
     assert merged.where(F.col("part_number") == 2).first()["b"] == "x"
+
+
+def test_read_source_generic_and_missing_connector(spark):
+    import pytest
+    from clickflow.sources.tables import read_source
+    path = work_path(spark, "t-src")
+    spark.createDataFrame([("1", "view_product_detail")], "_id string, collection string").write.orc(path)
+    assert read_source(spark, "orc", path).count() == 1
+    with pytest.raises(RuntimeError, match="not available"):
+        read_source(spark, "no.such.connector", uri="x://y").count()
