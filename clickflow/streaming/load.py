@@ -28,24 +28,55 @@ def stream_parts(spark: SparkSession, root: str, table: str, schema: T.StructTyp
     return df.withColumn("_source_file", F.col("_metadata.file_path"))
 
 
-def start_part_load(spark: SparkSession, root: str, table: str, target: str, target_path: str,
-                    checkpoint: str, key: str = "_id", schema: T.StructType | None = None,
-                    drop_cols: tuple[str, ...] = ("part_number",), available_now: bool = True,
-                    max_files_per_trigger: int | None = None) -> StreamingQuery:
-    """Start the load stream for one table. ``schema`` defaults to the schema of the
-    parts already present (read from the Parquet footers)."""
-    if schema is None:
-        schema = spark.read.parquet(f"{root.rstrip('/')}/{table}").schema
-    src = stream_parts(spark, root, table, schema, max_files_per_trigger)
+def _fs_path(spark: SparkSession, path: str):
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def batch_loader(target: str, target_path: str, key: str = "_id", marker_root: str | None = None,
+                 drop_cols: tuple[str, ...] = ("part_number",)):
+    """The ``foreachBatch`` body: create or insert-only merge the batch into ``target``.
+
+    With ``marker_root`` a batch id is recorded after its rows are committed and a batch
+    seen again (a replay after a failure) is skipped, so even rows without a key land
+    exactly once."""
 
     def body(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        marker = f"{marker_root.rstrip('/')}/{batch_id}" if marker_root else None
+        if marker is not None:
+            mp, fs = _fs_path(spark, marker)
+            if fs.exists(mp):
+                return
         # The merge reads the batch twice (keys, then rows): keep it for the batch only.
         rows = batch.drop("_source_file", *[c for c in drop_cols if c in batch.columns]).persist()
         try:
             load_part(rows, target, target_path, key)
         finally:
             rows.unpersist()
+        if marker is not None:
+            fs.create(mp, True).close()
 
+    return body
+
+
+def start_part_load(spark: SparkSession, root: str, table: str, target: str, target_path: str,
+                    checkpoint: str, key: str = "_id", schema: T.StructType | None = None,
+                    drop_cols: tuple[str, ...] = ("part_number",), available_now: bool = True,
+                    max_files_per_trigger: int | None = None) -> StreamingQuery:
+    """Start the load stream for one table. ``schema`` defaults to the schema of the
+    parts already present (read from the Parquet footers); give it explicitly when the
+    stream starts before the first part exists. Committed batch ids are recorded under
+    the checkpoint folder, so a replayed batch is not loaded twice."""
+    path = f"{root.rstrip('/')}/{table}"
+    if schema is None:
+        p, fs = _fs_path(spark, path)
+        if not fs.exists(p):
+            raise ValueError(f"no parts under {path} yet: pass the part schema explicitly")
+        schema = spark.read.parquet(path).schema
+    src = stream_parts(spark, root, table, schema, max_files_per_trigger)
+    body = batch_loader(target, target_path, key, f"{checkpoint.rstrip('/')}/_loaded_batches", drop_cols)
     writer = src.writeStream.foreachBatch(body).option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="10 seconds")
     return writer.start()
