@@ -143,3 +143,31 @@ def q_export_all_tables(spark, d):
     return export_tables(spark, {"raw_data": (std_raw(spark, d), "_id"),
                                  "product_names": (products, "product_id"),
                                  "ip_locations": (locations, "ip")}, root, size=QUERY_CHUNK)
+
+
+def _load_all_sql() -> str:
+    from clickflow.plans.registry import REGISTRY
+    raw = with_fixtures("SELECT _id FROM raw_data", "raw_data")
+    parts = " UNION ALL ".join(
+        f"SELECT '{t}' AS table_name, 'loaded' AS status, count(*) AS rows, CAST(NULL AS VARCHAR) AS error "
+        f"FROM ({sql}) z"
+        for t, sql in (("raw_data", raw), ("product_names", REGISTRY["clean_products"].sql),
+                       ("ip_locations", REGISTRY["ip_locations"].sql)))
+    return parts
+
+
+def q_load_all_tables(spark, d):
+    """OP-47 over the three exported tables: truncate-and-load each from its parts; the
+    report has one row per table (a failing table would not stop the others)."""
+    from clickflow.operators import quality as dq
+    from clickflow.plans.pipeline import export_tables
+    from clickflow.plans.q_capture import _validated_success
+    from clickflow.plans.q_geo import _validated
+    root = work_path(spark, "load-all")
+    products, _ = dq.split_valid(_validated_success(spark, d))
+    locations, _ = dq.split_valid(_validated(spark, d))
+    export_tables(spark, {"raw_data": (std_raw(spark, d), "_id"), "product_names": (products, "product_id"),
+                          "ip_locations": (locations, "ip")}, root, size=QUERY_CHUNK)
+    tables = ["raw_data", "product_names", "ip_locations"]
+    names = {t: _name(t) for t in tables}
+    return wh.load_full(spark, root, tables, {t: work_path(spark, names[t]) for t in tables}, names)
