@@ -113,6 +113,19 @@ def q_finished_ids(spark, d):
     return _finished(spark, d)
 
 
+@register("finished_files", with_fixtures(
+    f"WITH {CLASSIFIED}, {FINAL}, {FINISHED} SELECT product_id FROM finished", *ATT))
+def q_finished_files(spark, d):
+    """OP-45b then OP-03: finished ids appended as text per status, read back (strip,
+    blanks dropped, union of both files, deduplicated)."""
+    from clickflow.operators.sinks import append_finished, finished_paths
+    from clickflow.session import work_path
+    from clickflow.sources.tables import read_finished_ids
+    root = work_path(spark, "finished")
+    append_finished(_resolved_attempts(spark, d), root)
+    return read_finished_ids(spark, *finished_paths(root))
+
+
 @register("exclude_finished", with_fixtures(
     f"""WITH {CLASSIFIED}, {FINAL}, {FINISHED}, {TAGGED}
  SELECT _id, event_group, product_id, viewing_product_id FROM tagged t
