@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 from clickflow.config import FINAL_STATUSES, STATUSES
 
 RESULT_LOG_COLUMNS = ("product_id", "product_name", "url", "status", "http_code", "error_msg")
+RESULT_LOG_SCHEMA = ("product_id string, product_name string, url string, status string, "
+                     "http_code int, error_msg string")
 PRODUCT_COLUMNS = ("product_id", "product_name", "url")
 LOCATION_COLUMNS = ("ip", "country_short", "country_long", "region", "city")
 

@@ -213,6 +213,19 @@ def q_result_log(spark, d):
     return _result_log(spark, d)
 
 
+@register("result_log_csv", with_fixtures(
+    f"WITH {CLASSIFIED}, {FINAL}, {RESULT_LOG} SELECT product_id, nullif(product_name, '') AS product_name, url, "
+    "status, http_code, nullif(error_msg, '') AS error_msg FROM result_log", *ATT_PAGES))
+def q_result_log_csv(spark, d):
+    """OP-44: the result log appended as CSV with a header and read back. CSV has one
+    blank: absent fields and empty text are both written blank and read back as null."""
+    from clickflow.operators.sinks import RESULT_LOG_SCHEMA, write_result_log
+    from clickflow.session import work_path
+    path = work_path(spark, "result-log")
+    write_result_log(_result_log(spark, d), path)
+    return spark.read.schema(RESULT_LOG_SCHEMA).option("header", "true").csv(path)
+
+
 @register("normalize_product", with_fixtures(
     f"WITH {CLASSIFIED}, {FINAL}, {RESULT_LOG}, {NORMALIZED} SELECT * FROM normalized", *ATT_PAGES))
 def q_normalize_product(spark, d):
