@@ -38,7 +38,10 @@ def write_result_log(df: DataFrame, path: str, fmt: str = "csv", observe: bool =
         out = out.observe(obs, *_status_counters())
     w = out.write.mode("append")
     if fmt == "csv":
-        w.option("header", "true").option("encoding", "UTF-8").csv(path)
+        # keep values as they are: Spark's CSV writer trims surrounding spaces by default
+        (w.option("header", "true").option("encoding", "UTF-8")
+         .option("ignoreLeadingWhiteSpace", "false").option("ignoreTrailingWhiteSpace", "false")
+         .csv(path))
     else:
         w.format(fmt).save(path)
     return obs.get if obs is not None else None

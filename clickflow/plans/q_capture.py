@@ -223,7 +223,8 @@ def q_result_log_csv(spark, d):
     from clickflow.session import work_path
     path = work_path(spark, "result-log")
     write_result_log(_result_log(spark, d), path)
-    return spark.read.schema(RESULT_LOG_SCHEMA).option("header", "true").csv(path)
+    return (spark.read.schema(RESULT_LOG_SCHEMA).option("header", "true")
+            .option("ignoreLeadingWhiteSpace", "false").option("ignoreTrailingWhiteSpace", "false").csv(path))
 
 
 @register("normalize_product", with_fixtures(
