@@ -264,6 +264,21 @@ def q_product_rejects(spark, d):
     return rejects
 
 
+@register("product_names_append", with_fixtures(
+    f"WITH {CLASSIFIED}, {FINAL}, {RESULT_LOG}, {NORMALIZED}, {VALIDATED} "
+    "SELECT product_id, product_name, url FROM validated WHERE reason = 'valid'", *ATT_PAGES))
+def q_product_names_append(spark, d):
+    """OP-45: clean products appended twice (a replayed round) by product_id, read back:
+    the replay adds nothing."""
+    from clickflow.operators.sinks import append_products
+    from clickflow.session import work_path
+    path = work_path(spark, "product_names")
+    clean, _ = dq.split_valid(_validated_success(spark, d))
+    for _ in range(2):
+        append_products(clean, path)
+    return spark.read.parquet(path)
+
+
 @register("outcome_counts", with_fixtures(
     f"WITH {CLASSIFIED}, {FINAL} SELECT {OUTCOMES} FROM final", *ATT))
 def q_outcome_counts(spark, d):

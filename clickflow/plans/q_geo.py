@@ -107,6 +107,20 @@ def q_location_rejects(spark, d):
     return rejects
 
 
+@register("ip_locations_refresh", with_fixtures(
+    f"WITH {LOCATED}, {NORMALIZED}, {VALIDATED} SELECT ip, country_short, country_long, region, city "
+    "FROM validated WHERE reason = 'valid'", *FIX))
+def q_ip_locations_refresh(spark, d):
+    """OP-45a: ip_locations rebuilt twice by full refresh (replaced, not appended) and read
+    back."""
+    from clickflow.plans.iplocate import run_ip_locations
+    from clickflow.session import work_path
+    out = work_path(spark, "ip_locations")
+    for _ in range(2):
+        run_ip_locations(spark, fx.raw_data(spark, d), fx.ip_ranges(spark, d), out)
+    return spark.read.parquet(out)
+
+
 @register("ip_quality", with_fixtures(f"WITH {LOCATED}, {NORMALIZED}, {VALIDATED} SELECT {QUALITY} FROM validated",
                                       *FIX))
 def q_ip_quality(spark, d):
