@@ -62,3 +62,11 @@ def test_expected_fixture_values(spark):
     o = q["outcome_counts"](spark, SF_MID).first()
     assert (o["success"], o["err_404"], o["err_403"], o["err_other"], o["err_429"], o["err_5xx"], o["err_network"]) == \
         (123, 44, 21, 19, 18, 17, 8)
+
+
+@pytest.mark.parametrize("name", sorted(entry.queries()))
+def test_query_plan_has_no_pairs_and_no_python(spark, name):
+    from conftest import plan_text
+    text = plan_text(entry.queries()[name](spark, SF_SMALL))
+    for bad in ("NestedLoopJoin", "CartesianProduct", "BatchEvalPython", "ArrowEvalPython"):
+        assert bad not in text, f"{name}: {bad}"
