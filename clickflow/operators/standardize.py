@@ -53,8 +53,10 @@ def nested_to_json(df: DataFrame, cols: Sequence[str] | None = None) -> DataFram
 
 
 def looks_nested(c: Column) -> Column:
-    """A JSON text value holding an array or an object."""
-    return F.coalesce(F.try_parse_json(c).isNotNull() & F.trim(c).rlike(r"^[\[{]"), F.lit(False))
+    """A JSON text value holding an array or an object. The first-character test comes
+    first, so the parser only runs on values that can be arrays/objects."""
+    opens = F.substring(F.ltrim(c), 1, 1).isin("[", "{")
+    return F.coalesce(opens & F.try_parse_json(c).isNotNull(), F.lit(False))
 
 
 def detect_nested(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
