@@ -50,6 +50,24 @@ def range_starts(ranges: DataFrame) -> DataFrame:
                     F.struct("ip_to", *LOCATION_COLS).alias("_r")))
 
 
+def overlapping_ranges(ranges: DataFrame) -> DataFrame:
+    """Pairs of ranges that overlap (the as-of lookup assumes none). Checked per /16 bin
+    on the cut ranges: within a bin, a range starting at or before the end of the range
+    before it overlaps it. Every overlap shows up in some bin, and each bin is bounded
+    like the lookup's. Returns (ip_from, ip_to, prev_from, prev_to), one row per overlap
+    found per bin (an overlap spanning several bins appears once per bin)."""
+    r = ranges.where(F.col("ip_from").isNotNull() & F.col("ip_to").isNotNull() & (F.col("ip_from") <= F.col("ip_to")))
+    b = F.explode(F.sequence(F.shiftright("ip_from", BIN_BITS), F.shiftright("ip_to", BIN_BITS)))
+    cut = r.select("ip_from", "ip_to", b.alias("_bin")).withColumn(
+        "_pos", F.greatest(F.col("ip_from"), F.shiftleft("_bin", BIN_BITS)))
+    w = Window.partitionBy("_bin").orderBy("_pos", "ip_from", "ip_to")
+    prev_to = F.max("ip_to").over(w.rowsBetween(Window.unboundedPreceding, -1))
+    prev_from = F.lag("ip_from").over(w)
+    return (cut.withColumn("prev_to", prev_to).withColumn("prev_from", prev_from)
+            .where(F.col("prev_to") >= F.col("_pos"))
+            .select("ip_from", "ip_to", "prev_from", "prev_to"))
+
+
 def locate_ips(ips: DataFrame, ranges: DataFrame, ip_col: str = "ip") -> DataFrame:
     """Location fields for each row of ``ips`` (usually distinct addresses).
 

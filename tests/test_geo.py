@@ -105,3 +105,20 @@ def test_csv_range_source_and_missing_file(spark, tmp_path):
     assert rows(geo.locate_ips(df, r), "ip", "country_short") == [("0.0.0.7", "US"), ("0.0.1.1", "-")]
     with pytest.raises(FileNotFoundError):
         read_ip_ranges(spark, str(tmp_path / "absent.csv"), fmt="csv")
+
+
+
+def test_overlapping_ranges_detected(spark):
+    ok = spark.createDataFrame([(0, 99, "a", "b", "c", "d"), (100, 70000, "a", "b", "c", "d"),
+                                (70001, 200000, "a", "b", "c", "d")], RSCHEMA)
+    assert geo.overlapping_ranges(ok).count() == 0
+    bad = spark.createDataFrame([(0, 99, "a", "b", "c", "d"), (50, 70000, "a", "b", "c", "d"),
+                                 (69000, 69500, "a", "b", "c", "d")], RSCHEMA)
+    got = {(r["ip_from"], r["prev_from"]) for r in geo.overlapping_ranges(bad).collect()}
+    assert got == {(50, 0), (69000, 50)}
+
+
+def test_fixture_ranges_are_disjoint(spark):
+    from clickflow.sources import fixtures as fx
+    from conftest import SF_SMALL
+    assert geo.overlapping_ranges(fx.ip_ranges(spark, SF_SMALL)).count() == 0
