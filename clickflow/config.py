@@ -33,6 +33,8 @@ FORCE_STRING_COLUMNS = ("cat_id", "is_paypal")
 # Part size of the incremental export and batch size of the capture loop.
 EXPORT_CHUNK_SIZE = 250_000
 CAPTURE_BATCH_SIZE = 100
+# Insert batch of the IP job.
+IP_INSERT_BATCH = 10_000
 # Attempts per page and retry rounds of the capture loop.
 MAX_ATTEMPTS = 3
 MAX_ROUNDS = 3

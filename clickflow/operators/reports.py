@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from clickflow.config import CAPTURE_BATCH_SIZE, LOCATION_REASONS, PRODUCT_REASONS, STATUSES
+from clickflow.config import CAPTURE_BATCH_SIZE, IP_INSERT_BATCH, LOCATION_REASONS, PRODUCT_REASONS, STATUSES
 
 
 def _count_if(cond):
@@ -77,27 +77,33 @@ def running_totals(df: DataFrame, order_col: str, sum_cols: list[str], block: in
                     *[F.col(f"total_{c}") for c in sum_cols])
 
 
+def progress(df: DataFrame, order_col: str, size: int, counters: dict, block: int = 1024) -> DataFrame:
+    """Running progress per chunk of ``size`` rows in ``order_col`` order: per chunk its
+    row count ``n``, cumulative ``processed`` and cumulative counter columns (one per
+    ``counters`` entry: name -> condition), and rows ``pending`` after the chunk.
+    Distributed numbering and two-level prefix sums: no window over all rows or chunks."""
+    from clickflow.operators.export import assign_chunks
+    numbered = assign_chunks(df, [order_col], size, start=1, out="chunk")
+    per = numbered.groupBy("chunk").agg(F.count(F.lit(1)).alias("n"),
+                                        *[_count_if(cond).alias(f"n_{k}") for k, cond in counters.items()])
+    sums = ["n"] + [f"n_{k}" for k in counters]
+    cum = running_totals(per, "chunk", sums, block)
+    return cum.select("chunk", "n", F.col("cum_n").alias("processed"),
+                      *[F.col(f"cum_n_{k}").alias(k) for k in counters],
+                      (F.col("total_n") - F.col("cum_n")).alias("pending"))
+
+
 def chunk_progress(results: DataFrame, order_col: str = "product_id", size: int = CAPTURE_BATCH_SIZE,
                    status_col: str = "status", block: int = 1024) -> DataFrame:
-    """Running progress per capture batch of ``size`` items in ``order_col`` order:
-    per chunk its counts, then cumulative counters and items pending.
-
-    Numbering uses the distributed chunking and the cumulative counters the two-level
-    prefix sums: no window over all rows or all chunks."""
-    from clickflow.operators.export import assign_chunks
-    numbered = assign_chunks(results, [order_col], size, start=1, out="chunk")
+    """Capture progress per batch of ``size`` items: cumulative successes, 404s, items to
+    retry, and items pending."""
     st = F.col(status_col)
-    per = numbered.groupBy("chunk").agg(
-        F.count(F.lit(1)).alias("n"),
-        _count_if(st == "success").alias("n_success"),
-        _count_if(st == "err_404").alias("n_404"),
-        _count_if(~st.isin("success", "err_404")).alias("n_retry"))
-    cum = running_totals(per, "chunk", ["n", "n_success", "n_404", "n_retry"], block)
-    return cum.select(
-        "chunk", "n",
-        F.col("cum_n").alias("processed"),
-        F.col("cum_n_success").alias("success"),
-        F.col("cum_n_404").alias("err_404"),
-        F.col("cum_n_retry").alias("to_retry"),
-        (F.col("total_n") - F.col("cum_n")).alias("pending"),
-    )
+    return progress(results, order_col, size, {"success": st == "success", "err_404": st == "err_404",
+                                               "to_retry": ~st.isin("success", "err_404")}, block)
+
+
+def ip_progress(validated: DataFrame, size: int = IP_INSERT_BATCH, block: int = 1024) -> DataFrame:
+    """IP progress per insert batch of ``size`` distinct addresses (address order):
+    cumulative valid rows and rejects per reason, and addresses pending."""
+    r = F.col("reason")
+    return progress(validated, "ip", size, {f"dq_{x}": r == x for x in LOCATION_REASONS}, block)

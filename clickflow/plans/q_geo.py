@@ -134,3 +134,25 @@ def q_ip_quality(spark, d):
 def q_ip_report(spark, d):
     """OP-30: final IP report row."""
     return rep.ip_report(_validated(spark, d))
+
+
+IP_QUERY_CHUNK = 1000
+_PROG_COLS = ", ".join(f"CAST(sum(n_dq_{x}) OVER w AS BIGINT) AS dq_{x}"
+                       for x in ("missing_ip", "missing_location_info", "invalid_ip", "valid"))
+
+
+@register("ip_chunk_progress", with_fixtures(
+    f"""WITH {LOCATED}, {NORMALIZED}, {VALIDATED},
+ numbered AS (SELECT *, CAST(floor((row_number() OVER (ORDER BY ip NULLS FIRST) - 1) / {IP_QUERY_CHUNK}) AS INTEGER) + 1
+  AS chunk FROM validated),
+ per AS (SELECT chunk, count(*) AS n,
+  count(*) FILTER (WHERE reason = 'missing_ip') AS n_dq_missing_ip,
+  count(*) FILTER (WHERE reason = 'missing_location_info') AS n_dq_missing_location_info,
+  count(*) FILTER (WHERE reason = 'invalid_ip') AS n_dq_invalid_ip,
+  count(*) FILTER (WHERE reason = 'valid') AS n_dq_valid FROM numbered GROUP BY chunk)
+ SELECT chunk, n, CAST(sum(n) OVER w AS BIGINT) AS processed, {_PROG_COLS},
+  CAST(sum(n) OVER () - sum(n) OVER w AS BIGINT) AS pending
+ FROM per WINDOW w AS (ORDER BY chunk ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)""", *FIX))
+def q_ip_chunk_progress(spark, d):
+    """OP-36 for the IP job: progress per insert batch of distinct addresses."""
+    return rep.ip_progress(_validated(spark, d), IP_QUERY_CHUNK)
