@@ -64,8 +64,9 @@ def candidates(raw: DataFrame, finished: DataFrame | None = None, markers: Seque
     Equivalent to the row-level exclusion followed by ``first_url``: every row whose
     resolved id is finished is excluded anyway (the resolved id is one of the tested
     fields), so that test moves after the aggregate, where the data is one row per
-    product and already partitioned by it. Only the viewing_product_id test of group-1
-    rows with their own product_id must stay at row level."""
+    product and already partitioned by it. The viewing_product_id test stays at row
+    level for every row: for a group-1 row with its own product_id it is the only test
+    that can differ from the resolved-id test (and for the others it repeats it)."""
     ev = tag_event_group(raw.select(*_NEEDED), group1, group2)
     ev = resolve_url(resolve_product_id(ev), markers)
     f = _ids(finished) if finished is not None else None
