@@ -3,7 +3,8 @@
 Range lookup as an as-of join per /16 bin (no pair generation):
   * each range is cut at /16 bin borders: one "range start" row per bin it covers, at
     max(ip_from, bin start) -- at most (#ranges + 65,536) rows for non-overlapping ranges;
-  * each distinct IPv4 address is one row in its bin;
+  * each distinct IPv4 address is one row in its bin; text that is not IPv4 goes to a
+    hashed negative bin where no range starts (it finds no range);
   * per bin, ordered by position (range starts before addresses at equal position), the
     last range start at or before an address is the only range that can hold it;
     it holds it when the address is <= ip_to.
