@@ -70,3 +70,13 @@ def test_query_plan_has_no_pairs_and_no_python(spark, name):
     text = plan_text(entry.queries()[name](spark, SF_SMALL))
     for bad in ("NestedLoopJoin", "CartesianProduct", "BatchEvalPython", "ArrowEvalPython"):
         assert bad not in text, f"{name}: {bad}"
+
+
+@pytest.mark.parametrize("view", ["raw_data", "ip_ranges", "product_pages", "attempts"])
+def test_fixture_views_equal_their_sql(spark, con, view):
+    from clickflow.sources import fixtures as fx
+    sdf = getattr(fx, view)(spark, SF_SMALL)
+    res = con.execute(fx.FIXTURE_SQL[view])
+    dcols = [d[0] for d in res.description]
+    assert sdf.columns == dcols
+    assert _canon(sdf.columns, [tuple(r) for r in sdf.collect()]) == _canon(dcols, res.fetchall())
