@@ -1,5 +1,5 @@
 """Structured Streaming: event-driven warehouse load of arriving Parquet parts."""
 
-from clickflow.streaming.load import load_available, start_part_load, stream_parts
+from clickflow.streaming.load import load_available, load_available_tables, start_part_load, stream_parts
 
-__all__ = ["load_available", "start_part_load", "stream_parts"]
+__all__ = ["load_available", "load_available_tables", "start_part_load", "stream_parts"]

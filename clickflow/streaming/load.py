@@ -105,3 +105,15 @@ def load_available(spark: SparkSession, root: str, table: str, target: str, targ
     for p in q.recentProgress:           # a batch may report more than one progress event
         per_batch[p["batchId"]] = max(per_batch.get(p["batchId"], 0), int(p.get("numInputRows", 0)))
     return sum(per_batch.values())
+
+
+def load_available_tables(spark: SparkSession, root: str, tables: dict[str, str], target_root: str,
+                          checkpoint_root: str, max_files_per_trigger: int | None = None) -> dict[str, int]:
+    """Event-driven load for several tables: one stream per target table (so two first
+    loads of one table cannot race), each with its own checkpoint. ``tables`` maps a
+    table name to its key. Returns input rows per table."""
+    out = {}
+    for table, key in tables.items():
+        out[table] = load_available(spark, root, table, table, f"{target_root.rstrip('/')}/{table}",
+                                    f"{checkpoint_root.rstrip('/')}/{table}", key, max_files_per_trigger)
+    return out

@@ -45,3 +45,18 @@ def test_replayed_batch_is_loaded_once(spark):
     spark.catalog.refreshTable(target)
     assert spark.table(target).count() == 4
     assert spark.table(target).where("_id is null").count() == 2
+
+
+
+def test_multi_table_load(spark):
+    from clickflow.plans.pipeline import export_tables
+    from clickflow.streaming.load import load_available_tables
+    root = work_path(spark, "t-multi")
+    a = spark.createDataFrame([(f"{i:04d}", i) for i in range(120)], "_id string, v int")
+    b = spark.createDataFrame([(f"p{i:03d}", f"n{i}") for i in range(40)], "product_id string, product_name string")
+    sfx = uuid.uuid4().hex[:6]
+    export_tables(spark, {f"ev_{sfx}": (a, "_id"), f"pn_{sfx}": (b, "product_id")}, root, size=50)
+    got = load_available_tables(spark, root, {f"ev_{sfx}": "_id", f"pn_{sfx}": "product_id"},
+                                work_path(spark, "t-multi-wh"), work_path(spark, "t-multi-ck"))
+    assert got == {f"ev_{sfx}": 120, f"pn_{sfx}": 40}
+    assert rows(spark.table(f"pn_{sfx}")) == rows(b)
