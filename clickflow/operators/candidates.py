@@ -108,6 +108,14 @@ def finished_ids(results: DataFrame, id_col: str = "product_id", status_col: str
             .distinct())
 
 
+def finished_union(*id_frames: DataFrame, col: str = "product_id") -> DataFrame:
+    """Finished ids from several id sources (e.g. the success ids and the 404 ids):
+    union, blanks dropped, deduplicated."""
+    from functools import reduce
+    parts = [_ids(f, col).withColumnRenamed("_fid", "product_id") for f in id_frames]
+    return reduce(lambda a, b: a.unionByName(b), parts).distinct()
+
+
 def next_round(cands: DataFrame, results: DataFrame, final: Sequence[str] = FINAL_STATUSES) -> DataFrame:
     """Work for the next round: candidates whose last result is not final."""
     done = finished_ids(results, final=final).withColumnRenamed("product_id", "_fid")

@@ -34,6 +34,13 @@ def location_quality(validated: DataFrame, reason_col: str = "reason") -> DataFr
                          *[_count_if(r == x).alias(f"dq_{x}") for x in LOCATION_REASONS])
 
 
+def quality_counts(validated: DataFrame, kind: str = "product", reason_col: str = "reason") -> DataFrame:
+    """Reason counters of validated rows: ``kind`` is ``product`` or ``location``."""
+    if kind == "location":
+        return location_quality(validated, reason_col)
+    return product_quality(validated, reason_col)
+
+
 def success_rate(num: str, den: str, digits: int = 1):
     """Percent, rounded half away from zero; null instead of an error on a zero total."""
     return F.round(F.try_divide(F.col(num) * F.lit(100.0), F.col(den)), digits)

@@ -144,3 +144,10 @@ def test_integer_ids_match_string_finished_ids(spark):
     finished = spark.createDataFrame([("7",)], "product_id string")
     assert rows(cand.candidates(df, finished), "product_id") == [("11",), ("9",)]
     assert [r[0] for r in rows(cand.exclude_finished(ev.tag_event_group(df), finished), "_id")] == ["02", "03"]
+
+
+
+def test_finished_union(spark):
+    ok = spark.createDataFrame([("a",), ("b",), ("",)], "product_id string")
+    gone = spark.createDataFrame([("b",), ("c",), (None,)], "product_id string")
+    assert rows(cand.finished_union(ok, gone)) == [("a",), ("b",), ("c",)]

@@ -74,3 +74,10 @@ def test_running_totals_plan_bounded_windows(spark):
     text = plan_text(rep.running_totals(df, "k", ["v"]))
     # the row-level window is partitioned by block; only the per-block table is un-partitioned
     assert "hashpartitioning(_blk" in text
+
+
+
+def test_quality_counts_dispatch(spark):
+    df = spark.createDataFrame([("valid",), ("missing_ip",)], "reason string")
+    assert rep.quality_counts(df, "location").first()["dq_missing_ip"] == 1
+    assert rep.quality_counts(df).first()["dq_valid"] == 1
