@@ -76,3 +76,45 @@ def q_catalog_columns(spark, d):
     """OP-40: column catalogue (name, type, nullability, position) with non-null counts."""
     # Catalogue of the table as stored: its declared schema (every column nullable).
     return pf.catalog_columns({"raw_data": fx.raw_data(spark, d)}, {"raw_data": RAW_DATA_SCHEMA})
+
+
+def _strings(*names: str):
+    from pyspark.sql import types as T
+    return T.StructType([T.StructField(n, T.StringType()) for n in names])
+
+
+PRODUCT_NAMES_SCHEMA = _strings("product_id", "product_name", "url")
+IP_LOCATIONS_SCHEMA = _strings("ip", "country_short", "country_long", "region", "city")
+
+
+def _cat_rows(table: str, cols: list[tuple[str, str]], sql: str) -> str:
+    return " UNION ALL ".join(
+        f"SELECT '{table}' AS table_name, '{c}' AS column_name, '{t}' AS data_type, 'YES' AS is_nullable, "
+        f"{i + 1} AS ordinal_position, count({c}) AS non_null_count FROM ({sql}) z"
+        for i, (c, t) in enumerate(cols))
+
+
+def _catalog_all_sql() -> str:
+    from clickflow.plans.registry import REGISTRY
+    raw = with_fixtures("SELECT * FROM raw_data", "raw_data")
+    parts = [
+        _cat_rows("raw_data", [(f.name, f.dataType.simpleString().upper()) for f in RAW_DATA_SCHEMA.fields], raw),
+        _cat_rows("product_names", [(c, "STRING") for c in ("product_id", "product_name", "url")],
+                  REGISTRY["clean_products"].sql),
+        _cat_rows("ip_locations", [(c, "STRING") for c in ("ip", "country_short", "country_long", "region", "city")],
+                  REGISTRY["ip_locations"].sql),
+    ]
+    return " UNION ALL ".join(parts)
+
+
+def q_catalog_all_tables(spark, d):
+    """OP-40 over the three warehouse tables (raw_data, product_names, ip_locations)."""
+    from clickflow.operators import quality as dq
+    from clickflow.plans.q_capture import _validated_success
+    from clickflow.plans.q_geo import _validated
+    products, _ = dq.split_valid(_validated_success(spark, d))
+    locations, _ = dq.split_valid(_validated(spark, d))
+    schemas = {"raw_data": RAW_DATA_SCHEMA, "product_names": PRODUCT_NAMES_SCHEMA,
+               "ip_locations": IP_LOCATIONS_SCHEMA}
+    return pf.catalog_columns({"raw_data": fx.raw_data(spark, d), "product_names": products,
+                               "ip_locations": locations}, schemas)

@@ -42,6 +42,10 @@ def _load_all() -> None:
         REGISTRY["export_all_tables"] = Query("export_all_tables", q_warehouse.q_export_all_tables,
                                               q_warehouse._export_all_sql(),
                                               (q_warehouse.q_export_all_tables.__doc__ or "").strip())
+    if "catalog_all_tables" not in REGISTRY:
+        REGISTRY["catalog_all_tables"] = Query("catalog_all_tables", q_profile.q_catalog_all_tables,
+                                               q_profile._catalog_all_sql(),
+                                               (q_profile.q_catalog_all_tables.__doc__ or "").strip())
     if "load_all_tables" not in REGISTRY:
         REGISTRY["load_all_tables"] = Query("load_all_tables", q_warehouse.q_load_all_tables,
                                             q_warehouse._load_all_sql(),
