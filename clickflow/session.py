@@ -46,7 +46,10 @@ def checkpoint_root(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
-        configured = tempfile.mkdtemp(prefix="clickflow-ckpt-")
+        if not sc.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir is not set: a cluster needs a shared folder "
+                               "(e.g. on HDFS or an object store) for checkpoints and written tables")
+        configured = tempfile.mkdtemp(prefix="clickflow-ckpt-")   # local mode only (tests)
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir()
 
