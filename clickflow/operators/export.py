@@ -146,9 +146,8 @@ def save_state(manifest: DataFrame, root: str, table: str) -> None:
 
 def reset_state(spark: SparkSession, root: str, table: str) -> None:
     """Explicit state reset (the next export starts from part 1 over all rows)."""
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(_state_path(root, table))
-    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+    from clickflow.sources.fs import delete
+    delete(spark, _state_path(root, table))
 
 
 def incremental_export(spark: SparkSession, df: DataFrame, root: str, table: str, key: str = "_id",

@@ -73,10 +73,8 @@ def read_parts(spark: SparkSession, root: str, table: str | None = None,
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    hpath = jvm.org.apache.hadoop.fs.Path(path)
-    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return bool(fs.exists(hpath))
+    from clickflow.sources.fs import exists
+    return exists(spark, path)
 
 
 def read_finished_ids(spark: SparkSession, *paths: str) -> DataFrame:

@@ -14,6 +14,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from clickflow.functions.paths import part_table_name
+from clickflow.sources import fs
 from clickflow.operators.warehouse import load_part
 
 
@@ -28,12 +29,6 @@ def stream_parts(spark: SparkSession, root: str, table: str, schema: T.StructTyp
     return df.withColumn("_source_file", F.col("_metadata.file_path"))
 
 
-def _fs_path(spark: SparkSession, path: str):
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-
-
 def batch_loader(target: str, target_path: str, key: str = "_id", marker_root: str | None = None,
                  drop_cols: tuple[str, ...] = ("part_number",)):
     """The ``foreachBatch`` body: create or insert-only merge the batch into ``target``.
@@ -45,10 +40,8 @@ def batch_loader(target: str, target_path: str, key: str = "_id", marker_root: s
     def body(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         marker = f"{marker_root.rstrip('/')}/{batch_id}" if marker_root else None
-        if marker is not None:
-            mp, fs = _fs_path(spark, marker)
-            if fs.exists(mp):
-                return
+        if marker is not None and fs.exists(spark, marker):
+            return
         # The merge reads the batch twice (keys, then rows): keep it for the batch only.
         rows = batch.drop("_source_file", *[c for c in drop_cols if c in batch.columns]).persist()
         try:
@@ -56,7 +49,7 @@ def batch_loader(target: str, target_path: str, key: str = "_id", marker_root: s
         finally:
             rows.unpersist()
         if marker is not None:
-            fs.create(mp, True).close()
+            fs.touch(spark, marker)
 
     return body
 
@@ -71,8 +64,7 @@ def start_part_load(spark: SparkSession, root: str, table: str, target: str, tar
     the checkpoint folder, so a replayed batch is not loaded twice."""
     path = f"{root.rstrip('/')}/{table}"
     if schema is None:
-        p, fs = _fs_path(spark, path)
-        if not fs.exists(p):
+        if not fs.exists(spark, path):
             raise ValueError(f"no parts under {path} yet: pass the part schema explicitly")
         schema = spark.read.parquet(path).schema
     src = stream_parts(spark, root, table, schema, max_files_per_trigger)
