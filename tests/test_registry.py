@@ -59,6 +59,11 @@ def test_expected_fixture_values(spark):
     assert (c["distinct_ips"], c["distinct_ips_non_null"]) == (4091, 4090)
     r = q["ip_quality"](spark, SF_MID).first()
     assert (r["dq_valid"], r["dq_missing_location_info"], r["dq_invalid_ip"], r["dq_missing_ip"]) == (3187, 900, 2, 2)
+    from pyspark.sql import functions as F
+    v = q["validate_product"](spark, SF_MID)
+    shapes = {(r["shape"], r["reason"]): r["n"] for r in
+              v.groupBy((F.col("page_id") % 4).alias("shape"), "reason").agg(F.count(F.lit(1)).alias("n")).collect()}
+    assert shapes == {(0, "valid"): 63, (1, "valid"): 63, (2, "valid"): 62, (3, "missing_name"): 62}
     o = q["outcome_counts"](spark, SF_MID).first()
     assert (o["success"], o["err_404"], o["err_403"], o["err_other"], o["err_429"], o["err_5xx"], o["err_network"]) == \
         (123, 44, 21, 19, 18, 17, 8)
