@@ -82,3 +82,8 @@ def append_finished(results: DataFrame, path: str, final: Sequence[str] = FINAL_
 
 def finished_paths(root: str, final: Sequence[str] = FINAL_STATUSES) -> list[str]:
     return [f"{root.rstrip('/')}/status={s}" for s in final]
+
+
+def append_rejects(rejects: DataFrame, path: str) -> None:
+    """Quarantine: rejected rows with their first failing rule, appended as Parquet."""
+    rejects.write.mode("append").parquet(path)

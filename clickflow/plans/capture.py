@@ -76,6 +76,7 @@ def run_capture(spark: SparkSession, raw: DataFrame, attempts: DataFrame, pages:
         rnd = capture_round(raw, attempts, pages, finished, markers, round_no=r if per_round else None)
         counters = sinks.write_result_log(rnd.log, f"{root}/result_log") or {}
         sinks.append_products(rnd.clean, f"{root}/product_names")
+        sinks.append_rejects(rnd.rejects, f"{root}/product_rejects")
         sinks.append_finished(finished_rows(rnd, retry_invalid), f"{root}/finished")
         reports.append({"round": r, "total": total, **counters})
         done_now = counters.get("success", 0) + counters.get("err_404", 0)

@@ -14,9 +14,18 @@ def validated_locations(raw: DataFrame, ranges: DataFrame, ip_col: str = "ip") -
     return dq.validate_location(dq.normalize_location(geo.locate_ips(geo.unique_ips(raw, ip_col), ranges)))
 
 
-def run_ip_locations(spark: SparkSession, raw: DataFrame, ranges: DataFrame, out_path: str) -> dict:
-    """Rebuild ip_locations; returns total and per-reason counts (they sum to total)."""
-    counters = sinks.refresh_locations(validated_locations(raw, ranges), out_path)
+def run_ip_locations(spark: SparkSession, raw: DataFrame, ranges: DataFrame, out_path: str,
+                     rejects_path: str | None = None) -> dict:
+    """Rebuild ip_locations (and, with ``rejects_path``, the quarantined rows); returns
+    total and per-reason counts (they sum to total)."""
+    validated = validated_locations(raw, ranges)
+    if rejects_path is not None:
+        validated = validated.persist()          # shared by the two sinks
+    counters = sinks.refresh_locations(validated, out_path)
+    if rejects_path is not None:
+        rejects = validated.where(~validated["is_valid"]).drop("is_valid")
+        rejects.write.mode("overwrite").parquet(rejects_path)
+        validated.unpersist()
     total = counters.get("total", 0)
     counters["valid_rate"] = round(100.0 * counters.get("dq_valid", 0) / total, 1) if total else None
     return counters

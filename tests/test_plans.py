@@ -119,3 +119,11 @@ def test_rounds_with_per_round_attempts(spark):
         (1, 3, 3, 1, 1, 1), (2, 1, 1, 1, 0, 0), (3, 0, 0, 0, 0, 0)]
     names = sorted(r[0] for r in spark.read.parquet(f"{root}/product_names").select("product_name").collect())
     assert names == ["Name A", "Name B"]
+
+
+
+def test_ip_rejects_sink(spark):
+    out, rej = work_path(spark, "t-ip2"), work_path(spark, "t-iprej")
+    c = run_ip_locations(spark, fx.raw_data(spark, SF_SMALL), fx.ip_ranges(spark, SF_SMALL), out, rej)
+    r = spark.read.parquet(rej)
+    assert r.count() == c["total"] - c["dq_valid"] and "reason" in r.columns
