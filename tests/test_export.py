@@ -121,3 +121,26 @@ def test_standardize_nested_timestamps(spark):
                            T.StructField("ev", T.StructType([T.StructField("at", T.TimestampType())]))])
     df = spark.createDataFrame([("1", (dt.datetime(2024, 1, 2, 3, 4, 5),))], schema)
     assert st.standardize(df).first()["ev"] == '{"at":"2024-01-02T03:04:05.000Z"}'
+
+
+from hypothesis import HealthCheck, given, settings, strategies as hst
+
+
+@settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(hst.sets(hst.integers(0, 10 ** 6), min_size=1, max_size=300), hst.integers(1, 9))
+def test_row_numbers_property(spark, keys, nparts):
+    df = spark.createDataFrame([(f"{k:08d}",) for k in keys], "_id string")
+    got = [r["row_number"] for r in ex.row_numbers(df, "_id", num_partitions=nparts).orderBy("_id").collect()]
+    assert got == list(range(1, len(keys) + 1))
+
+
+def test_row_numbers_with_duplicate_keys_is_a_permutation(spark):
+    df = spark.createDataFrame([(f"{i % 37:03d}", i) for i in range(1000)], "_id string, v int")
+    got = ex.row_numbers(df, "_id", num_partitions=6)
+    rn = sorted(r["row_number"] for r in got.collect())
+    assert rn == list(range(1, 1001))
+    # and still in key order: a smaller key never gets a larger number than a bigger key
+    per_key = {r["_id"]: (r["lo"], r["hi"]) for r in got.groupBy("_id").agg(
+        F.min("row_number").alias("lo"), F.max("row_number").alias("hi")).collect()}
+    ordered = [per_key[k] for k in sorted(per_key)]
+    assert all(a[1] < b[0] for a, b in zip(ordered, ordered[1:]))
