@@ -120,28 +120,35 @@ def export_parts(df: DataFrame, root: str, table: str, part_col: str = "part_num
 
 
 def _state_path(root: str, table: str) -> str:
-    return f"{root.rstrip('/')}/_state/{table}"
+    return f"{root.rstrip('/')}/_state/{table}.json"
 
 
 def load_state(spark: SparkSession, root: str, table: str) -> tuple[str | None, int]:
     """(last_id, part_number) saved for ``table``; (None, 0) when none exists. The state
-    is one small row."""
-    from clickflow.sources.tables import _exists
-    path = _state_path(root, table)
-    if not _exists(spark, path):
+    is one small JSON document per table."""
+    from clickflow.sources.fs import read_text
+    text = read_text(spark, _state_path(root, table))
+    if not text:
         return None, 0
-    row = spark.read.schema("table string, last_id string, part_number int").json(path).first()
-    if row is None:
-        return None, 0
-    return row["last_id"], int(row["part_number"] or 0)
+    state = json.loads(text)
+    return state.get("last_id"), int(state.get("part_number") or 0)
+
+
+def write_state(spark: SparkSession, root: str, table: str, last_id, part_number: int) -> None:
+    """Replace the table's state document (atomically: temporary file, then rename)."""
+    from clickflow.sources.fs import write_text
+    write_text(spark, _state_path(root, table),
+               json.dumps({"table": table, "last_id": None if last_id is None else str(last_id),
+                           "part_number": int(part_number)}))
 
 
 def save_state(manifest: DataFrame, root: str, table: str) -> None:
-    """Save the highest part and its last key, computed by Spark from the manifest."""
-    state = manifest.agg(F.max_by("last_id", "part_number").alias("last_id"),
-                         F.max("part_number").alias("part_number")).select(
-        F.lit(table).alias("table"), "last_id", "part_number")
-    state.coalesce(1).write.mode("overwrite").json(_state_path(root, table))
+    """Save the highest part and its last key, computed by Spark from the manifest (one
+    row to the driver)."""
+    row = manifest.agg(F.max_by("last_id", "part_number").alias("last_id"),
+                       F.max("part_number").alias("part_number")).first()
+    if row["part_number"] is not None:
+        write_state(manifest.sparkSession, root, table, row["last_id"], row["part_number"])
 
 
 def reset_state(spark: SparkSession, root: str, table: str) -> None:
@@ -177,10 +184,7 @@ def incremental_export(spark: SparkSession, df: DataFrame, root: str, table: str
             numbered = (_number(ranged, "_rn")
                         .withColumn("part_number", chunk_column("_rn", size, last_part + 1)).drop("_rn"))
             export_parts(numbered, root, table)
-            new_last_part = last_part + -(-n // size)
-            state = spark.createDataFrame([(table, str(summary["last_id"]), new_last_part)],
-                                          "table string, last_id string, part_number int")
-            state.coalesce(1).write.mode("overwrite").json(_state_path(root, table))
+            write_state(spark, root, table, summary["last_id"], last_part + -(-n // size))
     finally:
         ranged.unpersist()
     if n == 0:

@@ -25,3 +25,39 @@ def delete(spark: SparkSession, path: str) -> bool:
 def touch(spark: SparkSession, path: str) -> None:
     p, fs = _path(spark, path)
     fs.create(p, True).close()
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """Replace a small text file: write a temporary sibling, then rename it over the
+    target, so a reader sees the old or the new content, never a partial one."""
+    p, fs = _path(spark, path)
+    jvm = spark.sparkContext._jvm
+    tmp = jvm.org.apache.hadoop.fs.Path(path + "._tmp")
+    out = fs.create(tmp, True)
+    try:
+        out.write(bytearray(text.encode("utf-8")))
+    finally:
+        out.close()
+    if fs.exists(p):
+        fs.delete(p, False)
+    if not fs.rename(tmp, p):
+        raise OSError(f"could not move {tmp} to {path}")
+
+
+def read_text(spark: SparkSession, path: str) -> str | None:
+    """Content of a small text file, None when absent."""
+    p, fs = _path(spark, path)
+    if not fs.exists(p):
+        return None
+    jvm = spark.sparkContext._jvm
+    stream = fs.open(p)
+    try:
+        reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, "UTF-8"))
+        lines = []
+        line = reader.readLine()
+        while line is not None:
+            lines.append(line)
+            line = reader.readLine()
+        return "\n".join(lines)
+    finally:
+        stream.close()
