@@ -57,7 +57,8 @@ def batch_loader(target: str, target_path: str, key: str = "_id", marker_root: s
 def start_part_load(spark: SparkSession, root: str, table: str, target: str, target_path: str,
                     checkpoint: str, key: str = "_id", schema: T.StructType | None = None,
                     drop_cols: tuple[str, ...] = ("part_number",), available_now: bool = True,
-                    max_files_per_trigger: int | None = None) -> StreamingQuery:
+                    max_files_per_trigger: int | None = None,
+                    trigger_interval: str = "10 seconds") -> StreamingQuery:
     """Start the load stream for one table. ``schema`` defaults to the schema of the
     parts already present (read from the Parquet footers); give it explicitly when the
     stream starts before the first part exists. Committed batch ids are recorded under
@@ -70,7 +71,7 @@ def start_part_load(spark: SparkSession, root: str, table: str, target: str, tar
     src = stream_parts(spark, root, table, schema, max_files_per_trigger)
     body = batch_loader(target, target_path, key, f"{checkpoint.rstrip('/')}/_loaded_batches", drop_cols)
     writer = src.writeStream.foreachBatch(body).option("checkpointLocation", checkpoint)
-    writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="10 seconds")
+    writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=trigger_interval)
     return writer.start()
 
 

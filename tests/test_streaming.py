@@ -60,3 +60,21 @@ def test_multi_table_load(spark):
                                 work_path(spark, "t-multi-wh"), work_path(spark, "t-multi-ck"))
     assert got == {f"ev_{sfx}": 120, f"pn_{sfx}": 40}
     assert rows(spark.table(f"pn_{sfx}")) == rows(b)
+
+
+def test_continuous_trigger_picks_up_new_parts(spark):
+    from clickflow.streaming.load import start_part_load
+    root = work_path(spark, "t-cont")
+    df = spark.createDataFrame([(f"{i:04d}", i) for i in range(90)], "_id string, v int")
+    ex.export_parts(ex.assign_chunks(df.where(F.col("v") < 40), "_id", 20), root, "ev")
+    target = f"t_cont_{uuid.uuid4().hex[:8]}"
+    q = start_part_load(spark, root, "ev", target, work_path(spark, target), work_path(spark, target + "_ck"),
+                        available_now=False, trigger_interval="1 second")
+    try:
+        q.processAllAvailable()
+        ex.export_parts(ex.assign_chunks(df, "_id", 20).where(F.col("part_number") >= 3), root, "ev")
+        q.processAllAvailable()
+    finally:
+        q.stop()
+    spark.catalog.refreshTable(target)
+    assert rows(spark.table(target)) == rows(df)
