@@ -56,27 +56,51 @@ def first_url(df: DataFrame, id_col: str = "resolved_id", group_col: str = "even
                     F.col("_b.o").alias(order_col)))
 
 
+# Budget for broadcasting the finished ids (bytes per id is a generous allowance for a
+# short string key plus hash-table overhead).
+BROADCAST_LIMIT_BYTES = 64 << 20
+ID_BYTES = 64
+
+
 def candidates(raw: DataFrame, finished: DataFrame | None = None, markers: Sequence[str] = (),
-               group1: Sequence[str] = GROUP1_EVENTS, group2: Sequence[str] = GROUP2_EVENTS) -> DataFrame:
+               group1: Sequence[str] = GROUP1_EVENTS, group2: Sequence[str] = GROUP2_EVENTS,
+               broadcast_limit_bytes: int = BROADCAST_LIMIT_BYTES) -> DataFrame:
     """Work items (product_id, url, event_group, _id): the first valid URL per product
     among events not touching a finished id.
 
     Equivalent to the row-level exclusion followed by ``first_url``: every row whose
     resolved id is finished is excluded anyway (the resolved id is one of the tested
     fields), so that test moves after the aggregate, where the data is one row per
-    product and already partitioned by it. The viewing_product_id test stays at row
-    level for every row: for a group-1 row with its own product_id it is the only test
-    that can differ from the resolved-id test (and for the others it repeats it)."""
+    product and already partitioned by it. The viewing_product_id test is applied to
+    every row: for a group-1 row with its own product_id it is the only test that can
+    differ from the resolved-id test (and for the others it repeats it).
+
+    The finished ids are counted first (one small job). When they fit
+    ``broadcast_limit_bytes`` the viewing-id test is a broadcast hash anti-join on the
+    event rows (no shuffle). Beyond it, events are first reduced map-side to one row per
+    (product, viewing id) with ``min(struct)``, and only those rows meet the finished ids
+    in a shuffled anti-join (the test is constant inside such a group, so the result is
+    the same); a second ``min`` per product finishes the job."""
     ev = tag_event_group(raw.select(*_NEEDED), group1, group2)
     ev = resolve_url(resolve_product_id(ev), markers)
-    f = _ids(finished) if finished is not None else None
-    if f is not None:
-        ev = (ev.withColumn("_k2", F.col("viewing_product_id").cast("string"))
-              .join(f, F.col("_k2") == f["_fid"], "left_anti").drop("_k2"))
-    best = first_url(ev)
-    if f is not None:
-        best = best.join(f, best["product_id"] == f["_fid"], "left_anti")
-    return best
+    if finished is None:
+        return first_url(ev)
+    f = _ids(finished)
+    small = f.count() * ID_BYTES <= broadcast_limit_bytes
+    ev = ev.withColumn("_k2", F.col("viewing_product_id").cast("string"))
+    if small:
+        fb = F.broadcast(f)
+        kept = ev.join(fb, F.col("_k2") == fb["_fid"], "left_anti").drop("_k2")
+        best = first_url(kept)
+        return best.join(fb, best["product_id"] == fb["_fid"], "left_anti")
+    key = F.struct(F.col("event_group").alias("g"), F.col("_id").alias("o"), F.col("url").alias("u"))
+    pairs = (ev.where(F.col("resolved_id").isNotNull())
+             .groupBy("resolved_id", "_k2").agg(F.min(key).alias("_b")))
+    pairs = pairs.join(f, pairs["_k2"] == f["_fid"], "left_anti")
+    best = (pairs.groupBy(F.col("resolved_id").alias("product_id")).agg(F.min("_b").alias("_b"))
+            .select("product_id", F.col("_b.u").alias("url"), F.col("_b.g").alias("event_group"),
+                    F.col("_b.o").alias("_id")))
+    return best.join(f, best["product_id"] == f["_fid"], "left_anti")
 
 
 def count_products(raw: DataFrame, group1: Sequence[str] = GROUP1_EVENTS,

@@ -151,3 +151,20 @@ def test_finished_union(spark):
     ok = spark.createDataFrame([("a",), ("b",), ("",)], "product_id string")
     gone = spark.createDataFrame([("b",), ("c",), (None,)], "product_id string")
     assert rows(cand.finished_union(ok, gone)) == [("a",), ("b",), ("c",)]
+
+
+
+def test_large_finished_path_equals_broadcast_path(spark):
+    import random
+    rnd = random.Random(3)
+    ids = [f"p{i}" for i in range(30)] + ["", None]
+    data = [(f"{i:04d}", rnd.choice([G1, G2, "x"]), rnd.choice(ids), rnd.choice(ids),
+             f"https://w/c{i}", f"https://w/r{i}") for i in range(600)]
+    df = raw(spark, data)
+    finished = spark.createDataFrame([(f"p{i}",) for i in range(0, 30, 4)], "product_id string")
+    small = cand.candidates(df, finished)
+    large = cand.candidates(df, finished, broadcast_limit_bytes=0)      # force the pre-aggregated path
+    assert rows(small) == rows(large)
+    from conftest import plan_text
+    text = plan_text(cand.candidates(df, finished, broadcast_limit_bytes=0))
+    assert text.count("partial_min") >= 2                                # reduced before each shuffle
