@@ -53,6 +53,12 @@ LOCATION_REASONS = ("missing_ip", "missing_location_info", "invalid_ip", "valid"
 # ---------------------------------------------------------------------------
 
 
+# Budget for broadcasting a key set checked by count (finished ids, merge source keys);
+# bytes per key is a generous allowance for a short string key plus hash-table overhead.
+BROADCAST_LIMIT_BYTES = 64 << 20
+ID_BYTES = 64
+
+
 @dataclass(frozen=True)
 class CaptureConfig:
     """Parameters of candidate selection (event groups and test-site URL markers)."""

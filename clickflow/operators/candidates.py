@@ -15,7 +15,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clickflow.config import FINAL_STATUSES, GROUP1_EVENTS, GROUP2_EVENTS
+from clickflow.config import BROADCAST_LIMIT_BYTES, FINAL_STATUSES, GROUP1_EVENTS, GROUP2_EVENTS, ID_BYTES
 from clickflow.operators.common import merge_rows
 from clickflow.operators.events import resolve_product_id, resolve_url, tag_event_group
 
@@ -28,12 +28,17 @@ def _ids(finished: DataFrame, col: str = "product_id") -> DataFrame:
             .where(F.col("_fid").isNotNull() & (F.col("_fid") != "")))
 
 
-def exclude_finished(df: DataFrame, finished: DataFrame, group_col: str = "event_group") -> DataFrame:
+def exclude_finished(df: DataFrame, finished: DataFrame, group_col: str = "event_group",
+                     broadcast_limit_bytes: int | None = None) -> DataFrame:
     """Row-level store-side exclusion: a group-1 row is dropped when either its
     product_id or its viewing_product_id is finished; a group-2 row when its
     viewing_product_id is. Rows with a null key are kept (left_anti, never NOT IN).
-    The join strategy (broadcast or shuffle) is left to the size estimate and AQE."""
+    The finished ids are broadcast when their count fits ``broadcast_limit_bytes``;
+    beyond it the anti-joins shuffle (sort-merge), chosen by Spark."""
     f = _ids(finished)
+    limit = BROADCAST_LIMIT_BYTES if broadcast_limit_bytes is None else broadcast_limit_bytes
+    if f.count() * ID_BYTES <= limit:
+        f = F.broadcast(f)
     k1 = F.when(F.col(group_col) == 1, F.col("product_id").cast("string"))
     out = (df.withColumn("_k1", k1)
            .join(f, F.col("_k1") == f["_fid"], "left_anti")
@@ -56,12 +61,6 @@ def first_url(df: DataFrame, id_col: str = "resolved_id", group_col: str = "even
                     F.col("_b.o").alias(order_col)))
 
 
-# Budget for broadcasting the finished ids (bytes per id is a generous allowance for a
-# short string key plus hash-table overhead).
-BROADCAST_LIMIT_BYTES = 64 << 20
-ID_BYTES = 64
-
-
 def candidates(raw: DataFrame, finished: DataFrame | None = None, markers: Sequence[str] = (),
                group1: Sequence[str] = GROUP1_EVENTS, group2: Sequence[str] = GROUP2_EVENTS,
                broadcast_limit_bytes: int = BROADCAST_LIMIT_BYTES) -> DataFrame:

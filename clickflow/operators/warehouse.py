@@ -38,7 +38,7 @@ def align_to(df: DataFrame, schema: T.StructType) -> tuple[DataFrame, list[str]]
 
 
 def merge_insert_only(target: DataFrame, source: DataFrame, key: str = "_id",
-                      source_is_bounded: bool = False, dedupe_source: bool = False,
+                      source_is_bounded: bool | None = None, dedupe_source: bool = False,
                       prune_target: bool = False) -> DataFrame:
     """Rows of ``source`` to append: those whose key is absent from ``target``. Matched
     rows are left alone (never updated); null keys are always inserted; duplicates inside
@@ -48,7 +48,8 @@ def merge_insert_only(target: DataFrame, source: DataFrame, key: str = "_id",
     target is scanned (one column) but never shuffled when the source is small; the
     source is then anti-joined with the few matched keys. ``source_is_bounded`` states
     that the source is one export part (size known), which makes its keys safe to
-    broadcast; otherwise the size estimate and AQE choose the strategy.
+    broadcast. ``None`` (default) checks it: the source keys are counted and broadcast
+    only when they fit the budget; beyond it the joins shuffle (sort-merge).
 
     ``prune_target`` bounds the target scan by the source's key range (two scalars from
     one small aggregate): parts arrive in key order, so the filter reaches the Parquet
@@ -60,6 +61,9 @@ def merge_insert_only(target: DataFrame, source: DataFrame, key: str = "_id",
         if lo_hi["lo"] is not None:
             target = target.where(F.col(key).between(F.lit(lo_hi["lo"]), F.lit(lo_hi["hi"])))
     skeys = source.select(F.col(key).alias("_k")).where(F.col("_k").isNotNull())
+    if source_is_bounded is None:
+        from clickflow.config import BROADCAST_LIMIT_BYTES, ID_BYTES
+        source_is_bounded = skeys.count() * ID_BYTES <= BROADCAST_LIMIT_BYTES
     if source_is_bounded:
         skeys = F.broadcast(skeys)
     tkeys = target.select(F.col(key).alias("_k")).where(F.col("_k").isNotNull())
@@ -93,7 +97,7 @@ def append_rows(df: DataFrame, table: str) -> None:
 
 
 def load_part(batch: DataFrame, table: str, path: str, key: str = "_id",
-              source_is_bounded: bool = False, prune_target: bool = True) -> str:
+              source_is_bounded: bool | None = None, prune_target: bool = True) -> str:
     """One arriving part: create the target from it, or align it to the target's schema
     and insert the rows whose key is new. Returns 'created' or 'merged'."""
     if create_from(batch, table, path):
