@@ -75,6 +75,33 @@ def q_event_scan(spark: SparkSession, d: str) -> DataFrame:
             .select("_id", "collection", "product_id", "viewing_product_id"))
 
 
+@register("event_scan_stored", with_fixtures(
+    f"SELECT _id, collection, product_id, viewing_product_id FROM raw_data WHERE collection IN ({G12})",
+    "raw_data"))
+def q_event_scan_stored(spark, d):
+    """OP-01 on a stored table: raw_data written as Parquet, then read with the event-name
+    predicate and projection pushed into the scan."""
+    from clickflow.session import work_path
+    from clickflow.sources.tables import read_events
+    path = work_path(spark, "raw_data")
+    fx.raw_data(spark, d).write.parquet(path)
+    return read_events(spark, path, ["_id", "collection", "product_id", "viewing_product_id"],
+                       list(GROUP1_EVENTS + GROUP2_EVENTS))
+
+
+@register("event_scan_json", with_fixtures(
+    "SELECT _id, collection, product_id, viewing_product_id, current_url, referrer_url, ip, user_id_db, "
+    "device_id, store_id, api_version, price, cat_id, is_paypal, ts FROM raw_data", "raw_data"))
+def q_event_scan_json(spark, d):
+    """OP-01 on a JSON-lines export (one document per line, explicit schema)."""
+    from clickflow.session import work_path
+    from clickflow.sources.tables import read_json_events
+    path = work_path(spark, "raw_json")
+    # microsecond timestamps (the JSON writer keeps milliseconds by default)
+    fx.raw_data(spark, d).write.option("timestampNTZFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").json(path)
+    return read_json_events(spark, path)
+
+
 @register("event_groups", with_fixtures(
     f"WITH {TAGGED} SELECT _id, collection, event_group FROM tagged", "raw_data"))
 def q_event_groups(spark, d):
