@@ -91,7 +91,8 @@ def q_event_scan_stored(spark, d):
 
 @register("event_scan_json", with_fixtures(
     "SELECT _id, collection, product_id, viewing_product_id, current_url, referrer_url, ip, user_id_db, "
-    "device_id, store_id, api_version, price, cat_id, is_paypal, ts FROM raw_data", "raw_data"))
+    "device_id, store_id, api_version, price, cat_id, CAST(is_paypal AS VARCHAR) AS is_paypal, ts FROM raw_data",
+    "raw_data"))
 def q_event_scan_json(spark, d):
     """OP-01 on a JSON-lines export (one document per line, explicit schema)."""
     from clickflow.session import work_path

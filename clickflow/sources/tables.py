@@ -28,6 +28,11 @@ RAW_DATA_SCHEMA = T.StructType([
     T.StructField("ts", T.TimestampNTZType()),
 ])
 
+# JSON exports: the mixed-type fields (forced to text at export) are read as text, so a
+# value of an unexpected type is kept instead of becoming null.
+RAW_JSON_SCHEMA = T.StructType([T.StructField(f.name, T.StringType() if f.name in ("is_paypal",) else f.dataType)
+                                for f in RAW_DATA_SCHEMA.fields])
+
 IP_RANGES_SCHEMA = T.StructType([
     T.StructField("ip_from", T.LongType()),
     T.StructField("ip_to", T.LongType()),
@@ -109,7 +114,7 @@ def read_pages(spark: SparkSession, path: str) -> DataFrame:
 _OID = r'^\s*\{\s*"\$oid"\s*:\s*"([0-9A-Fa-f]{24})"\s*\}\s*$'
 
 
-def read_json_events(spark: SparkSession, path: str, schema: T.StructType = RAW_DATA_SCHEMA,
+def read_json_events(spark: SparkSession, path: str, schema: T.StructType = RAW_JSON_SCHEMA,
                      id_col: str = "_id") -> DataFrame:
     """Raw events exported as JSON lines (one document per line, extended JSON).
 

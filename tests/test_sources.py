@@ -13,7 +13,7 @@ def test_json_export_with_oid_and_mixed_types(spark, tmp_path):
         '{"_id": {"$oid": "65A0000000000000000000B2"}, "collection": "view_product_detail", "product_id": 123, '
         '"viewing_product_id": "9", "current_url": "https://w/1", "price": 12.5, "cat_id": [1, 2], "is_paypal": true}',
         '{"_id": {"$oid": "65a0000000000000000000b1"}, "collection": "view_product_detail", "product_id": "abc", '
-        '"current_url": "https://w/2", "price": "0", "cat_id": "7", "extra": {"x": 1}}',
+        '"current_url": "https://w/2", "price": "0", "cat_id": "7", "is_paypal": "yes", "extra": {"x": 1}}',
         '{"_id": "plain-id", "collection": "other"}',
     ]
     p = tmp_path / "raw.jsonl"
@@ -23,8 +23,9 @@ def test_json_export_with_oid_and_mixed_types(spark, tmp_path):
     assert set(got) == {"65a0000000000000000000b2", "65a0000000000000000000b1", "plain-id"}
     a = got["65a0000000000000000000b2"]
     # a nested value in a text field keeps its source JSON text
-    assert (a["product_id"], a["price"], a["cat_id"], a["is_paypal"]) == ("123", "12.5", "[1, 2]", True)
+    assert (a["product_id"], a["price"], a["cat_id"], a["is_paypal"]) == ("123", "12.5", "[1, 2]", "true")
     assert got["65a0000000000000000000b1"]["price"] == "0"
+    assert got["65a0000000000000000000b1"]["is_paypal"] == "yes"        # mixed type kept as text
     # the capture path runs on it directly
     c = cand.candidates(df)
     assert sorted(r[0] for r in c.select("product_id").collect()) == ["123", "abc"]
