@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 from clickflow.functions.paths import part_number, part_table_name
 from clickflow.operators import export as ex
 from clickflow.operators import warehouse as wh
-from clickflow.plans.q_export import (NUMBERED, QUERY_CHUNK, STD, STD_COLS, first_half, first_half_cutoff,
+from clickflow.plans.q_export import (NUMBERED, QUERY_CHUNK, STD, first_half, first_half_cutoff,
                                       std_raw, with_tags)
 from clickflow.plans.registry import register
 from clickflow.session import work_path
