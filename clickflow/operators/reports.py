@@ -90,9 +90,13 @@ def progress(df: DataFrame, order_col: str, size: int, counters: dict, block: in
     ``counters`` entry: name -> condition), and rows ``pending`` after the chunk.
     Distributed numbering and two-level prefix sums: no window over all rows or chunks."""
     from clickflow.operators.export import assign_chunks
+    from pyspark import StorageLevel
     numbered = assign_chunks(df, [order_col], size, start=1, out="chunk")
-    per = numbered.groupBy("chunk").agg(F.count(F.lit(1)).alias("n"),
-                                        *[_count_if(cond).alias(f"n_{k}") for k, cond in counters.items()])
+    # one row per chunk (rows / size of them), used twice below: kept so the numbered
+    # data is read once
+    per = (numbered.groupBy("chunk").agg(F.count(F.lit(1)).alias("n"),
+                                         *[_count_if(cond).alias(f"n_{k}") for k, cond in counters.items()])
+           .persist(StorageLevel.MEMORY_AND_DISK))
     sums = ["n"] + [f"n_{k}" for k in counters]
     cum = running_totals(per, "chunk", sums, block)
     return cum.select("chunk", "n", F.col("cum_n").alias("processed"),
