@@ -46,12 +46,26 @@ def success_rate(num: str, den: str, digits: int = 1):
     return F.round(F.try_divide(F.col(num) * F.lit(100.0), F.col(den)), digits)
 
 
-def crawl_report(results: DataFrame, validated_success: DataFrame) -> DataFrame:
+def crawl_report(log: DataFrame, validated_success: DataFrame | None = None) -> DataFrame:
     """One row: outcome counters, product data-quality counters and the success rate
-    (percent of processed items, one decimal)."""
-    from clickflow.operators.common import merge_rows
-    rep = merge_rows(outcome_counts(results), product_quality(validated_success))
-    return rep.withColumn("success_rate", success_rate("success", "processed"))
+    (percent of processed items, one decimal).
+
+    Given only the result log, everything is one aggregation over it: the rules are
+    evaluated inline for successful rows, so the log is read once."""
+    if validated_success is not None:
+        from clickflow.operators.common import merge_rows
+        rep = merge_rows(outcome_counts(log), product_quality(validated_success))
+        return rep.withColumn("success_rate", success_rate("success", "processed"))
+    from clickflow.operators.quality import normalize_product, product_reason
+    norm = normalize_product(log)
+    reason = F.when(F.col("status") == "success", product_reason())
+    st = F.col("status")
+    known = [x for x in STATUSES if x != "err_other"]
+    aggs = [F.count(F.lit(1)).alias("processed")]
+    aggs += [_count_if(st == x).alias(x) for x in known]
+    aggs.append(_count_if(~st.isin(known) | st.isNull()).alias("err_other"))
+    aggs += [_count_if(reason == x).alias(f"dq_{x}") for x in PRODUCT_REASONS]
+    return norm.agg(*aggs).withColumn("success_rate", success_rate("success", "processed"))
 
 
 def ip_report(validated: DataFrame) -> DataFrame:

@@ -46,7 +46,7 @@ def capture_round(raw: DataFrame, attempts: DataFrame, pages: DataFrame, finishe
     success = log.where(F.col("status") == "success").select("product_id", "product_name", "url")
     validated = dq.validate_product(dq.normalize_product(success))
     clean, rejects = dq.split_valid(validated)
-    return CaptureRound(cands, log, validated, clean, rejects, rep.crawl_report(log, validated))
+    return CaptureRound(cands, log, validated, clean, rejects, rep.crawl_report(log))
 
 
 def finished_rows(rnd: CaptureRound, retry_invalid: bool = False) -> DataFrame:

@@ -329,7 +329,7 @@ def q_product_quality(spark, d):
  FROM o, q""", *ATT_PAGES))
 def q_crawl_report(spark, d):
     """OP-30: the final capture report row."""
-    return rep.crawl_report(_resolved_attempts(spark, d), _validated_success(spark, d))
+    return rep.crawl_report(_result_log(spark, d))
 
 
 @register("chunk_progress", with_fixtures(
