@@ -49,14 +49,16 @@ def capture_round(raw: DataFrame, attempts: DataFrame, pages: DataFrame, finishe
     return CaptureRound(cands, log, validated, clean, rejects, rep.crawl_report(log))
 
 
-def finished_rows(rnd: CaptureRound, retry_invalid: bool = False) -> DataFrame:
+def finished_rows(rnd: CaptureRound, retry_invalid: bool = False, log: DataFrame | None = None,
+                  rejects: DataFrame | None = None) -> DataFrame:
     """Result rows that finish their item. By default a success finishes the item even
     when its name fails validation (it is never fetched again); with ``retry_invalid``
     such items stay open for the next round."""
-    log = rnd.log
+    log = rnd.log if log is None else log
+    rejects = rnd.rejects if rejects is None else rejects
     if not retry_invalid:
         return log
-    bad = rnd.rejects.select(F.col("product_id").alias("_bad"))
+    bad = rejects.select(F.col("product_id").alias("_bad"))
     return log.join(bad, (log["product_id"] == bad["_bad"]) & (log["status"] == "success"), "left_anti")
 
 
@@ -74,10 +76,17 @@ def run_capture(spark: SparkSession, raw: DataFrame, attempts: DataFrame, pages:
         # the original's "total": distinct ids minus finished ids (an estimate)
         total = cand.pending_count(raw, finished, markers).first()["pending_estimate"]
         rnd = capture_round(raw, attempts, pages, finished, markers, round_no=r if per_round else None)
-        counters = sinks.write_result_log(rnd.log, f"{root}/result_log") or {}
-        sinks.append_products(rnd.clean, f"{root}/product_names")
-        sinks.append_rejects(rnd.rejects, f"{root}/product_rejects")
-        sinks.append_finished(finished_rows(rnd, retry_invalid), f"{root}/finished")
+        # the round's log feeds four sinks: computed once, kept for the round
+        log = rnd.log.persist()
+        try:
+            counters = sinks.write_result_log(log, f"{root}/result_log") or {}
+            success = log.where(F.col("status") == "success").select("product_id", "product_name", "url")
+            clean, rejects = dq.split_valid(dq.validate_product(dq.normalize_product(success)))
+            sinks.append_products(clean, f"{root}/product_names")
+            sinks.append_rejects(rejects, f"{root}/product_rejects")
+            sinks.append_finished(finished_rows(rnd, retry_invalid, log, rejects), f"{root}/finished")
+        finally:
+            log.unpersist()
         reports.append({"round": r, "total": total, **counters})
         done_now = counters.get("success", 0) + counters.get("err_404", 0)
         if done_now == 0 and not per_round:
