@@ -84,7 +84,7 @@ def main(argv: list[str] | None = None) -> int:
         out = run_ip_locations(spark, spark.read.parquet(a.events),
                                read_ip_ranges(spark, a.ranges, a.ranges_format), a.out)
     elif a.cmd == "export":
-        from clickflow.plans.pipeline import export_tables
+        from clickflow.plans.multi_table import export_tables
         tables = dict(t.split("=", 1) for t in a.table)
         m = export_tables(spark, {k: spark.read.parquet(v) for k, v in tables.items()}, a.root, a.key, a.size)
         out = m.groupBy("table_name").count().toPandas().to_dict("records")

@@ -134,7 +134,7 @@ def _export_all_sql() -> str:
 def q_export_all_tables(spark, d):
     """OP-45c/45d over the three exported tables, each ordered by its own key."""
     from clickflow.operators import quality as dq
-    from clickflow.plans.pipeline import export_tables
+    from clickflow.plans.multi_table import export_tables
     from clickflow.plans.q_capture import _validated_success
     from clickflow.plans.q_geo import _validated
     root = work_path(spark, "export-all")
@@ -160,7 +160,7 @@ def q_load_all_tables(spark, d):
     """OP-47 over the three exported tables: truncate-and-load each from its parts; the
     report has one row per table (a failing table would not stop the others)."""
     from clickflow.operators import quality as dq
-    from clickflow.plans.pipeline import export_tables
+    from clickflow.plans.multi_table import export_tables
     from clickflow.plans.q_capture import _validated_success
     from clickflow.plans.q_geo import _validated
     root = work_path(spark, "load-all")

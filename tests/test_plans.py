@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from clickflow.plans.capture import run_capture
 from clickflow.plans.iplocate import run_ip_locations
-from clickflow.plans.pipeline import export_tables
+from clickflow.plans.multi_table import export_tables
 from clickflow.session import work_path
 from clickflow.sources import fixtures as fx
 from clickflow.sources.tables import read_events, read_finished_ids

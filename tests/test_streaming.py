@@ -49,7 +49,7 @@ def test_replayed_batch_is_loaded_once(spark):
 
 
 def test_multi_table_load(spark):
-    from clickflow.plans.pipeline import export_tables
+    from clickflow.plans.multi_table import export_tables
     from clickflow.streaming.load import load_available_tables
     root = work_path(spark, "t-multi")
     a = spark.createDataFrame([(f"{i:04d}", i) for i in range(120)], "_id string, v int")
