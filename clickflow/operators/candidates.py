@@ -28,6 +28,18 @@ def _ids(finished: DataFrame, col: str = "product_id") -> DataFrame:
             .where(F.col("_fid").isNotNull() & (F.col("_fid") != "")))
 
 
+def _sized_ids(finished: DataFrame, limit: int) -> tuple[DataFrame, bool]:
+    """The finished ids and whether they fit the broadcast budget. They are kept while
+    counted; within the budget (so at most that size) they stay cached for the joins,
+    beyond it the cache is released."""
+    from pyspark import StorageLevel
+    f = _ids(finished).persist(StorageLevel.MEMORY_AND_DISK)
+    small = f.count() * ID_BYTES <= limit
+    if not small:
+        f.unpersist()
+    return f, small
+
+
 def exclude_finished(df: DataFrame, finished: DataFrame, group_col: str = "event_group",
                      broadcast_limit_bytes: int | None = None) -> DataFrame:
     """Row-level store-side exclusion: a group-1 row is dropped when either its
@@ -35,9 +47,9 @@ def exclude_finished(df: DataFrame, finished: DataFrame, group_col: str = "event
     viewing_product_id is. Rows with a null key are kept (left_anti, never NOT IN).
     The finished ids are broadcast when their count fits ``broadcast_limit_bytes``;
     beyond it the anti-joins shuffle (sort-merge), chosen by Spark."""
-    f = _ids(finished)
     limit = BROADCAST_LIMIT_BYTES if broadcast_limit_bytes is None else broadcast_limit_bytes
-    if f.count() * ID_BYTES <= limit:
+    f, small = _sized_ids(finished, limit)
+    if small:
         f = F.broadcast(f)
     k1 = F.when(F.col(group_col) == 1, F.col("product_id").cast("string"))
     out = (df.withColumn("_k1", k1)
@@ -84,8 +96,7 @@ def candidates(raw: DataFrame, finished: DataFrame | None = None, markers: Seque
     ev = resolve_url(resolve_product_id(ev), markers)
     if finished is None:
         return first_url(ev)
-    f = _ids(finished)
-    small = f.count() * ID_BYTES <= broadcast_limit_bytes
+    f, small = _sized_ids(finished, broadcast_limit_bytes)
     ev = ev.withColumn("_k2", F.col("viewing_product_id").cast("string"))
     if small:
         fb = F.broadcast(f)
