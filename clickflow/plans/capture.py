@@ -65,8 +65,12 @@ def finished_rows(rnd: CaptureRound, retry_invalid: bool = False, log: DataFrame
 def run_capture(spark: SparkSession, raw: DataFrame, attempts: DataFrame, pages: DataFrame, out_root: str,
                 markers: Sequence[str] = (), rounds: int = MAX_ROUNDS, retry_invalid: bool = False) -> list[dict]:
     """Up to ``rounds`` rounds. Each round reads the finished ids written so far, appends
-    the result log and the clean products, then appends its finished ids (last, so a
-    crash before it only repeats work). Stops early when a round finishes nothing new."""
+    the result log, the clean products (insert-only by product_id) and the rejects, then
+    appends its finished ids (last, so a crash before it only repeats work). With a
+    ``round`` column in the attempt log each round uses its own attempts; without one the
+    loop stops early when a round finishes nothing new. Returns one report per round
+    (the original's pending estimate as ``total`` plus the counters observed on the log
+    write)."""
     from clickflow.sources.tables import read_finished_ids
     root = out_root.rstrip("/")
     reports = []
