@@ -110,7 +110,7 @@ def signatures(docs: DataFrame) -> DataFrame:
 
 
 def full_sets(docs: DataFrame) -> DataFrame:
-    """(f1, f2, tokens) of every row of ``docs``: its fingerprint and its whole set."""
+    """(f1, f2, tokens, bits) of every row of ``docs``: its fingerprint, whole set and parity bits."""
     import pyarrow as pa
 
     def made(batches):
@@ -119,11 +119,13 @@ def full_sets(docs: DataFrame) -> DataFrame:
                 values, owner, sizes = shingle_sets(part)
                 f1, f2 = fingerprints(values, owner, len(part))
                 ends = np.r_[0, np.cumsum(sizes)].astype(np.int32)
+                bits = setjoin.parity_bits(values, owner, len(part)).reshape(-1)
+                words = np.arange(0, len(bits) + 1, setjoin.WORDS, dtype=np.int32)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(f1), pa.array(f2), pa.ListArray.from_arrays(ends, pa.array(values.view(np.int64)))],
-                    names=["f1", "f2", "tokens"])
+                    [pa.array(f1), pa.array(f2), pa.ListArray.from_arrays(ends, pa.array(values.view(np.int64))),
+                     pa.ListArray.from_arrays(words, pa.array(bits))], names=["f1", "f2", "tokens", "bits"])
 
-    return docs.select("text").mapInArrow(made, "f1 long, f2 long, tokens array<long>")
+    return docs.select("text").mapInArrow(made, "f1 long, f2 long, tokens array<long>, bits array<long>")
 
 
 def prefixes(sets: DataFrame, counts: np.ndarray, num: int, den: int) -> DataFrame:
@@ -159,7 +161,7 @@ def _links(clustered: DataFrame, docs: DataFrame, num: int, den: int) -> DataFra
     wanted = saved(clustered.select("first").distinct(), "near-wanted")
     texts = join_measured(docs, wanted, {"first": F.col("doc_id")}, "left_semi")
     sets = full_sets(texts).join(clustered.select("id", "cluster", "f1", "f2"), ["f1", "f2"])
-    sets = saved(sets.select("id", "cluster", "tokens").dropDuplicates(["id"]), "near-sets")
+    sets = saved(sets.select("id", "cluster", "tokens", "bits").dropDuplicates(["id"]), "near-sets")
     token = F.explode("tokens").alias("x")
     bucket = F.shiftrightunsigned("x", 20).bitwiseAND(F.lit(setjoin.BUCKETS - 1)).alias("bucket")
     counts = setjoin.gathered_sketch(sets.select(token).select(bucket, F.lit(1).alias("n")))
@@ -167,8 +169,9 @@ def _links(clustered: DataFrame, docs: DataFrame, num: int, den: int) -> DataFra
     found = saved(setjoin.verified(setjoin.central_pairs(postings, num, den), sets, num, den)
                   .select(F.col("a").alias("u"), F.col("b").alias("v")), "near-links")
     known = saved(components(found), "near-known")
-    labelled = postings.join(known, F.col("id") == F.col("node"), "left").select(
-        "t", "id", "n", "p", F.coalesce("component", "id").alias("c"))
+    labels = sets.select("id", "bits").join(known, F.col("id") == F.col("node"), "left").select(
+        "id", "bits", F.coalesce("component", "id").alias("c"))
+    labelled = postings.join(labels, "id").select("t", "id", "n", "p", "c", "bits")
     rest = setjoin.open_pairs(labelled, F.col("x_c") < F.col("y_c"), num, den)
     more = setjoin.verified(rest, sets, num, den).select(F.col("a").alias("u"), F.col("b").alias("v"))
     return found.unionByName(more)

@@ -8,7 +8,8 @@ the same for all sets gives exact results, so collisions in the sketch cost time
 Postings (token, set, size, position) of tokens that one set alone holds are dropped after
 one count. The rest is joined in two steps: first each token's most central set (the one
 with the fewest rarer tokens) with the token's other sets, then, once the callers have
-merged or removed what that finds, whatever pairs are still open. Groups of copies so cost
+merged or removed what that finds, whatever pairs are still open and whose parity bits
+differ in few enough places (an exact filter). Groups of copies so cost
 one pair per member instead of all pairs, and no pair is lost. Candidates are verified on
 the full sets. All joins are plain shuffled ones, whose hot keys adaptive execution splits.
 """
@@ -22,6 +23,8 @@ from pyspark.sql import functions as F
 from clickflow.llm.common import join_measured, saved
 
 BUCKETS = 1 << 16
+#: 64-bit words of a set's parity bits.
+WORDS = 8
 
 
 def bucket_of(values: np.ndarray) -> np.ndarray:
@@ -74,13 +77,32 @@ def central_pairs(postings: DataFrame, num: int, den: int) -> DataFrame:
     return joined.select(F.least("id", "h.id").alias("a"), F.greatest("id", "h.id").alias("b")).distinct()
 
 
+def parity_bits(values: np.ndarray, owner: np.ndarray, n: int) -> np.ndarray:
+    """``WORDS`` 64-bit words per set: each member flips one bit."""
+    out = np.zeros((n, WORDS), dtype=np.uint64)
+    at = values >> np.uint64(40)
+    np.bitwise_xor.at(out, (owner, (at % np.uint64(WORDS)).astype(np.int64)),
+                      np.uint64(1) << ((at // np.uint64(WORDS)) % np.uint64(64)))
+    return out.view(np.int64)
+
+
+def _bits_allow(x: Column, y: Column, n1: Column, n2: Column, num: int, den: int) -> Column:
+    """Members of one set alone flip bits apart: bits that differ are at most as many as members
+    that differ, so too many of them rule a pair out (never a similar one)."""
+    apart = F.lit(0)
+    for i in range(WORDS):
+        apart = apart + F.bit_count(F.get(x, F.lit(i)).bitwiseXOR(F.get(y, F.lit(i))))
+    return apart <= n1 + n2 - 2 * _needed(n1, n2, num, den)
+
+
 def open_pairs(postings: DataFrame, is_open: Column, num: int, den: int) -> DataFrame:
     """Distinct candidates (a, b) of all sets that share a token and for which ``is_open``,
-    over the columns of ``postings`` prefixed x_ and y_, holds. ``postings`` may carry more
-    columns. Symmetric: ``is_open`` decides which side is which."""
+    over the columns of ``postings`` prefixed x_ and y_, holds. ``postings`` has the parity
+    ``bits`` of each set and may carry more columns. ``is_open`` decides which side is which."""
     x, y = (postings.select(*[F.col(c).alias(f"{s}_{c}") for c in postings.columns]) for s in "xy")
     joined = x.join(y, (F.col("x_t") == F.col("y_t")) & is_open & _filters(
-        F.col("x_n"), F.col("x_p"), F.col("y_n"), F.col("y_p"), num, den))
+        F.col("x_n"), F.col("x_p"), F.col("y_n"), F.col("y_p"), num, den) & _bits_allow(
+        F.col("x_bits"), F.col("y_bits"), F.col("x_n"), F.col("y_n"), num, den))
     return joined.select(F.least("x_id", "y_id").alias("a"), F.greatest("x_id", "y_id").alias("b")).distinct()
 
 
