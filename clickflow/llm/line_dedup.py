@@ -105,11 +105,10 @@ def _first_prefixes(docs: DataFrame, later: DataFrame, counts: np.ndarray, num:
     return made.select("t", F.struct("d", "l").alias("id"), "n", "p")
 
 
-def _sets(docs: DataFrame, pairs: DataFrame) -> DataFrame:
-    """A saved table of the full sets (id, tokens) of the lines in ``pairs``."""
+def _sets(docs: DataFrame, lines: DataFrame) -> DataFrame:
+    """A saved table of the full sets (id, tokens, bits) of the lines in ``lines`` (id)."""
     import pyarrow as pa
 
-    lines = pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct()
     wanted = saved(lines.groupBy(F.col("id.d").alias("doc")).agg(F.collect_set("id.l").alias("lines")), "line-wanted")
     rows = join_measured(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), wanted, {"doc": F.col("doc_id")}, "inner")
 
@@ -117,14 +116,17 @@ def _sets(docs: DataFrame, pairs: DataFrame) -> DataFrame:
         for b in batches:
             want = [(lambda at, s=frozenset(s or ()): at in s) for s in b.column(2).to_pylist()]
             for part in _line_groups(b.column(0).to_pylist(), b.column(1).to_pylist(), want):
-                values, _, sizes = shingle_sets([r[2] for r in part])
+                values, owner, sizes = shingle_sets([r[2] for r in part])
                 ends = np.r_[0, np.cumsum(sizes)].astype(np.int32)
+                bits = setjoin.parity_bits(values, owner, len(part)).reshape(-1)
+                words = np.arange(0, len(bits) + 1, setjoin.WORDS, dtype=np.int32)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([r[0] for r in part], pa.int64()), pa.array([r[1] for r in part], pa.int32()),
-                     pa.ListArray.from_arrays(ends, pa.array(values.view(np.int64)))], names=["d", "l", "tokens"])
+                     pa.ListArray.from_arrays(ends, pa.array(values.view(np.int64))),
+                     pa.ListArray.from_arrays(words, pa.array(bits))], names=["d", "l", "tokens", "bits"])
 
-    got = rows.select("doc_id", "text", "lines").mapInArrow(made, "d long, l int, tokens array<long>")
-    return saved(got.select(F.struct("d", "l").alias("id"), "tokens").dropDuplicates(["id"]), "line-sets")
+    got = rows.select("doc_id", "text", "lines").mapInArrow(made, "d long, l int, tokens array<long>, bits array<long>")
+    return saved(got.select(F.struct("d", "l").alias("id"), "tokens", "bits").dropDuplicates(["id"]), "line-sets")
 
 
 def removed_lines(docs: DataFrame, num: int = 80, den: int = 100) -> DataFrame:
@@ -134,12 +136,12 @@ def removed_lines(docs: DataFrame, num: int = 80, den: int = 100) -> DataFrame:
         .where("c > 1").select("f1", "f2", "first")
     later = saved(lines.join(repeated, ["f1", "f2"]).where("struct(d, l) <> first").select("d", "l").distinct(), "line-copies")
     postings = setjoin.shared_postings(_first_prefixes(docs, later, counts, num, den))
+    sets = _sets(docs, postings.select("id").distinct())
     central = saved(setjoin.central_pairs(postings, num, den), "line-central")
-    gone = saved(setjoin.verified(central, _sets(docs, central), num, den).select("b").distinct(), "line-gone")
-    marked = postings.join(gone.select(F.col("b").alias("id"), F.lit(True).alias("gone")), "id", "left")
-    rest = saved(setjoin.open_pairs(marked, F.col("y_gone").isNull() & (F.col("x_id") < F.col("y_id")), num, den)
-                 .join(central, ["a", "b"], "left_anti"), "line-open")
-    more = setjoin.verified(rest, _sets(docs, rest), num, den).select("b")
+    gone = saved(setjoin.verified(central, sets, num, den).select("b").distinct(), "line-gone")
+    labels = sets.select("id", "bits").join(gone.select(F.col("b").alias("id"), F.lit(True).alias("gone")), "id", "left")
+    rest = setjoin.open_pairs(postings.join(labels, "id"), F.col("y_gone").isNull() & (F.col("x_id") < F.col("y_id")), num, den)
+    more = setjoin.verified(rest.join(central, ["a", "b"], "left_anti"), sets, num, den).select("b")
     near = gone.unionByName(more).distinct().select("b.d", "b.l")
     return saved(later.unionByName(near), "line-removed")
 
