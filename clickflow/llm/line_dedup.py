@@ -36,18 +36,15 @@ from clickflow.llm.shingles import fingerprints, lines_of, portions, shingle_set
 def _line_groups(ids: list, texts: list, chosen: list | None = None):
     """Portions of lines with words: (ids, line numbers, word lists); ``chosen`` limits each
     document to some line numbers, None to all but those in the list."""
-    rows = []
-    for i, (key, text) in enumerate(zip(ids, texts, strict=True)):
-        if key is None or not text:
-            continue
-        pick = chosen[i] if chosen is not None else None
-        for at, words in enumerate(lines_of(text)):
-            if words and (pick is None or pick(at)):
-                rows.append((key, at, words))
-                if len(rows) >= 50_000:
-                    yield from portions(rows, lambda r: len(r[2]))
-                    rows = []
-    yield from portions(rows, lambda r: len(r[2]))
+    def rows():
+        for i, (key, text) in enumerate(zip(ids, texts, strict=True)):
+            if key is None or not text:
+                continue
+            pick = chosen[i] if chosen is not None else None
+            for at, words in enumerate(lines_of(text)):
+                if words and (pick is None or pick(at)):
+                    yield key, at, words
+    yield from portions(rows(), lambda r: len(r[2]), 150_000)
 
 
 def line_classes(docs: DataFrame) -> tuple[DataFrame, np.ndarray]:

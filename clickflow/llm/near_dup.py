@@ -93,9 +93,9 @@ def signatures(docs: DataFrame) -> DataFrame:
 
     def signed(batches):
         for b in batches:
-            texts = [words_of(t) if t else [] for t in b.column(1).to_pylist()]
             at = 0
-            for part in portions(texts, len):
+            for texts in portions([t or "" for t in b.column(1).to_pylist()], len):
+                part = [words_of(t) for t in texts]
                 values, owner, sizes = shingle_sets(part)
                 f1, f2 = fingerprints(values, owner, len(part))
                 keys = band_keys(super_minhash(values, owner, len(part)))
@@ -115,7 +115,8 @@ def full_sets(docs: DataFrame) -> DataFrame:
 
     def made(batches):
         for b in batches:
-            for part in portions([words_of(t) if t else [] for t in b.column(0).to_pylist()], len):
+            for texts in portions([t or "" for t in b.column(0).to_pylist()], len):
+                part = [words_of(t) for t in texts]
                 values, owner, sizes = shingle_sets(part)
                 f1, f2 = fingerprints(values, owner, len(part))
                 ends = np.r_[0, np.cumsum(sizes)].astype(np.int32)

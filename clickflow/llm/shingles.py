@@ -70,8 +70,8 @@ def fingerprints(values: np.ndarray, owner: np.ndarray, n: int) -> tuple[np.ndar
     return out[0], out[1]
 
 
-def portions(items: list, weight, limit: int = 200_000):
-    """Runs of ``items`` whose weights add up to about ``limit`` at most."""
+def portions(items, weight, limit: int = 1 << 20):
+    """Runs of ``items`` (texts, by characters) whose weights add up to about ``limit``."""
     held, size = [], 0
     for x in items:
         held.append(x)
