@@ -7,12 +7,14 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from clickflow.config import BROADCAST_LIMIT_BYTES
 from clickflow.session import work_path
+from clickflow.sources import fs
 
 #: A word: a run of characters outside space and \\x09-\\x0D.
 WORD = r"[^\x20\x09-\x0D]+"
 #: A side is broadcast only when its measured size is at most this many bytes.
-BROADCAST_BYTES = 8 << 20
+BROADCAST_BYTES = BROADCAST_LIMIT_BYTES
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -27,7 +29,15 @@ def saved(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = work_path(spark, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    made = spark.read.schema(df.schema).parquet(path)
+    made._saved_path = path
+    return made
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete tables of ``saved`` that nothing will read again."""
+    for t in tables:
+        fs.delete(t.sparkSession, t._saved_path)
 
 
 def _width(df: DataFrame) -> Column:

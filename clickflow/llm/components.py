@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clickflow.llm.common import saved
+from clickflow.llm.common import discard, saved
 
 
 def _state(edges: DataFrame) -> tuple:
@@ -32,6 +32,7 @@ def components(edges: DataFrame) -> DataFrame:
         small = large.join(near, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         made = saved(small.unionByName(near.select("u", F.col("m").alias("v"))).distinct(), "cc-edges")
         after = _state(made)
+        discard(now)
         now, done, state = made, after == state, after
         if done:
             break

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from clickflow.llm import setjoin
-from clickflow.llm.common import WORD, join_measured, packed, saved
+from clickflow.llm.common import WORD, discard, join_measured, packed, saved
 from clickflow.llm.shingles import fingerprints, lines_of, portions, shingle_sets
 
 
@@ -48,8 +48,8 @@ def _line_groups(ids: list, texts: list, chosen: list | None = None):
 
 
 def line_classes(docs: DataFrame) -> tuple[DataFrame, np.ndarray]:
-    """A saved table of all lines with words (d, l, f1, f2, n) and the count sketch of their
-    tokens, from one pass over the texts."""
+    """A saved table of all lines with words (d, l, f1, f2, n; bucket null) and the count sketch
+    of their tokens, from one pass over the texts."""
     import pyarrow as pa
 
     names = ["d", "l", "f1", "f2", "n", "bucket"]
@@ -72,7 +72,7 @@ def line_classes(docs: DataFrame) -> tuple[DataFrame, np.ndarray]:
     rows = saved(docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(
         read, "d long, l int, f1 long, f2 long, n long, bucket int"), "line-rows")
     counts = setjoin.gathered_sketch(rows.where("bucket is not null").select("bucket", "n"))
-    return rows.where("bucket is null").drop("bucket"), counts
+    return rows, counts
 
 
 def _first_prefixes(docs: DataFrame, later: DataFrame, counts: np.ndarray, num: int, den: int) -> DataFrame:
@@ -128,7 +128,8 @@ def _sets(docs: DataFrame, lines: DataFrame) -> DataFrame:
 
 def removed_lines(docs: DataFrame, num: int = 80, den: int = 100) -> DataFrame:
     """(d, l) of every line of ``docs`` (doc_id, text) that matches an earlier one."""
-    lines, counts = line_classes(docs)
+    rows, counts = line_classes(docs)
+    lines = rows.where("bucket is null")
     repeated = lines.groupBy("f1", "f2").agg(F.min(F.struct("d", "l")).alias("first"), F.count(F.lit(1)).alias("c")) \
         .where("c > 1").select("f1", "f2", "first")
     later = saved(lines.join(repeated, ["f1", "f2"]).where("struct(d, l) <> first").select("d", "l").distinct(), "line-copies")
@@ -140,7 +141,9 @@ def removed_lines(docs: DataFrame, num: int = 80, den: int = 100) -> DataFrame:
     rest = setjoin.open_pairs(postings.join(labels, "id"), F.col("y_gone").isNull() & (F.col("x_id") < F.col("y_id")), num, den)
     more = setjoin.verified(rest.join(central, ["a", "b"], "left_anti"), sets, num, den).select("b")
     near = gone.unionByName(more).distinct().select("b.d", "b.l")
-    return saved(later.unionByName(near), "line-removed")
+    removed = saved(later.unionByName(near), "line-removed")
+    discard(rows, later, postings, sets, central, gone)
+    return removed
 
 
 def dedup_lines(docs: DataFrame, num: int = 80, den: int = 100) -> DataFrame:

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from clickflow.llm import setjoin
-from clickflow.llm.common import join_measured, packed, saved
+from clickflow.llm.common import discard, join_measured, packed, saved
 from clickflow.llm.components import components
 from clickflow.llm.shingles import fingerprints, mixed, portions, shingle_sets, words_of
 
@@ -175,7 +175,9 @@ def _links(clustered: DataFrame, docs: DataFrame, num: int, den: int) -> DataFra
     labelled = postings.join(labels, "id").select("t", "id", "n", "p", "c", "bits")
     rest = setjoin.open_pairs(labelled, F.col("x_c") < F.col("y_c"), num, den)
     more = setjoin.verified(rest, sets, num, den).select(F.col("a").alias("u"), F.col("b").alias("v"))
-    return found.unionByName(more)
+    links = saved(found.unionByName(more), "near-links")
+    discard(wanted, sets, postings, found, known)
+    return links
 
 
 def near_duplicates(docs: DataFrame, num: int = 85, den: int = 100) -> DataFrame:
@@ -191,11 +193,13 @@ def near_duplicates(docs: DataFrame, num: int = 85, den: int = 100) -> DataFrame
     clusters = components(edges)
     clustered = saved(classes.join(clusters, F.col("id") == F.col("node")).select(
         "id", F.col("component").alias("cluster"), "f1", "f2", "first"), "near-clustered")
-    grouped = saved(components(_links(clustered, docs, num, den)), "near-groups")
+    links = _links(clustered, docs, num, den)
+    grouped = saved(components(links), "near-groups")
     named = classes.join(grouped, F.col("id") == F.col("node"), "left").select(
         "f1", "f2", "first", F.coalesce("component", "id").alias("g"))
     ids = named.groupBy("g").agg(F.min("first").alias("component_id"))
     named = saved(named.join(ids, "g").select("f1", "f2", "component_id"), "near-named")
+    discard(classes, clustered, links, grouped)
     alone = signed.where("n_shingles = 0").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
     together = join_measured(some, named, ["f1", "f2"]).select("doc_id", "n_shingles", "component_id")
     return together.unionByName(alone).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
@@ -205,8 +209,9 @@ def keep_one(docs: DataFrame, num: int = 80, den: int = 100) -> DataFrame:
     """The rows of ``docs`` without near duplicates: one document of each group stays. Rows that
     repeat a kept document's id and text are dropped."""
     whole = packed(docs, _id=F.col("doc_id"), _text=F.col("text"))
-    kept = saved(near_duplicates(docs, num, den).where("kept").groupBy("doc_id").agg(F.count(F.lit(1)).alias("times")), "near-kept")
-    rows = join_measured(whole, kept, {"doc_id": F.col("_id")}, "inner")
-    once = rows.where("times = 1").select("_row.*")
-    again = rows.where("times > 1").dropDuplicates(["_id", "_text"]).select("_row.*")
+    ids = saved(near_duplicates(docs, num, den).groupBy("doc_id").agg(F.max("kept").alias("kept"), F.sum(
+        F.col("kept").cast("long")).alias("times")).where("not kept or times > 1"), "near-kept")
+    rows = join_measured(whole, ids, {"doc_id": F.col("_id")})
+    once = rows.where("kept is null").select("_row.*")
+    again = rows.where("kept").dropDuplicates(["_id", "_text"]).select("_row.*")
     return once.unionByName(again)

@@ -20,7 +20,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from clickflow.llm.common import join_measured, saved
+from clickflow.llm.common import discard, join_measured, saved
 
 BUCKETS = 1 << 16
 #: 64-bit words of a set's parity bits.
@@ -40,8 +40,10 @@ def gathered_sketch(rows: DataFrame) -> np.ndarray:
 
 
 def rarity_order(values: np.ndarray, owner: np.ndarray, counts: np.ndarray) -> np.ndarray:
-    """Order of tokens group by group, the rarest first."""
-    return np.lexsort((values, counts[bucket_of(values)], owner))
+    """Order of tokens group by group, the rarest first. The tokens of a group come in order of
+    value, which a stable sort keeps among equally rare ones."""
+    rare = np.minimum(counts[bucket_of(values)], (1 << 40) - 1)
+    return np.argsort((owner.astype(np.int64) << 40) | rare, kind="stable")
 
 
 def prefix_size(n, num: int, den: int):
@@ -65,7 +67,9 @@ def _filters(n1, p1, n2, p2, num: int, den: int) -> Column:
 def shared_postings(postings: DataFrame) -> DataFrame:
     """The postings (t, id, n, p) whose token more than one set holds, saved."""
     often = saved(postings.groupBy("t").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("t"), "join-shared")
-    return saved(join_measured(postings, often, ["t"], "inner"), "join-postings")
+    made = saved(join_measured(postings, often, ["t"], "inner"), "join-postings")
+    discard(often)
+    return made
 
 
 def central_pairs(postings: DataFrame, num: int, den: int) -> DataFrame:

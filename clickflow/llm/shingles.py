@@ -5,6 +5,8 @@ Words are runs of bytes outside space and \\x09-\\x0D after lower-casing A-Z. A
 
 from __future__ import annotations
 
+from itertools import chain
+
 import numpy as np
 
 WIDTH = 5
@@ -35,24 +37,22 @@ def shingle_sets(groups: list[list[bytes]]) -> tuple[np.ndarray, np.ndarray, np.
 
     sizes = np.array([len(g) for g in groups], dtype=np.int64)
     total = int(sizes.sum())
-    digest = xxhash.xxh3_64_intdigest
-    w = np.fromiter((digest(x) for g in groups for x in g), dtype=np.uint64, count=total)
+    w = np.fromiter(map(xxhash.xxh3_64_intdigest, chain.from_iterable(groups)), dtype=np.uint64, count=total)
     of = np.repeat(np.arange(len(groups)), sizes)
     place = np.arange(total) - np.repeat(np.cumsum(sizes) - sizes, sizes)
     length = np.repeat(sizes, sizes)
-    full = place + WIDTH <= length
-    at = np.flatnonzero(full)
+    at = np.flatnonzero(place + WIDTH <= length)
     h = np.zeros(len(at), dtype=np.uint64)
     for k in range(WIDTH):
-        h += mixed(w[at + k], k + 1) * _ODD[k]
+        h += w[at + k] * _ODD[k]
     short_at = np.flatnonzero((length < WIDTH) & (place == 0))
-    s = length[short_at].astype(np.uint64)
+    s = mixed(length[short_at].astype(np.uint64), 5)
     for k in range(WIDTH - 1):
         inside = length[short_at] > k
-        s[inside] += mixed(w[short_at[inside] + k], k + 1) * _ODD[k]
+        s[inside] += w[short_at[inside] + k] * _ODD[k]
     values = mixed(np.r_[h, s], 7)
     owner = np.r_[of[at], of[short_at]]
-    order = np.lexsort((values, owner))
+    order = _order(values, owner, len(groups))
     values, owner = values[order], owner[order]
     if len(values):
         keep = np.r_[True, (values[1:] != values[:-1]) | (owner[1:] != owner[:-1])]
@@ -60,6 +60,17 @@ def shingle_sets(groups: list[list[bytes]]) -> tuple[np.ndarray, np.ndarray, np.
     return values, owner, np.bincount(owner, minlength=len(groups)).astype(np.int64)
 
 
+def _order(values: np.ndarray, owner: np.ndarray, n: int) -> np.ndarray:
+    """Order by (owner, value): one sort of both in 64 bits, or two where that loses bits."""
+    bits = max(1, int(n).bit_length())
+    key = (owner.astype(np.uint64) << _U(64 - bits)) | (values >> _U(bits))
+    order = np.argsort(key)
+    key, in_order = key[order], values[order]
+    if np.any((key[1:] == key[:-1]) & (in_order[1:] != in_order[:-1])):
+        return np.lexsort((values, owner))
+    return order
+
+
 def fingerprints(values: np.ndarray, owner: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
     """Two independent 64-bit fingerprints of each group's set (sums of mixed members)."""
     out = []
