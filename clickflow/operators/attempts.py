@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from clickflow.config import MAX_ATTEMPTS, MSG_403, MSG_404, MSG_429
+from clickflow.config import MAX_ATTEMPTS, MSG_403, MSG_404, MSG_429, UNKNOWN_NAME
 from clickflow.functions.html import extract_product_name
 
 
@@ -96,10 +96,21 @@ def result_log(resolved: DataFrame, pages: DataFrame, method: str = "regex") ->
     """The six-column result log: every outcome, product_name only for successes
     (extracted from the captured page), absent fields null.
 
-    The name is extracted on the page side before the join (a narrow, map-side step), so
-    only (product_id, name) is shuffled or broadcast, never the HTML."""
-    names = extract_name(pages.select(F.col("product_id").cast("string").alias("_pid"), "html"),
-                         "html", "_name", method).drop("html")
+    One row per item whatever the number of captured pages: with an ``attempt`` column the page
+    of the winning attempt counts, and pages that are left give one name per product. Only
+    pages of successful items are read for names; after the semi-join only
+    (product_id, name) moves on, never the HTML."""
+    wins = resolved.where(F.col("status") == "success").select(F.col("product_id").alias("_won"), F.col("attempts").alias("_try"))
+    by_attempt = "attempt" in pages.columns
+    p = pages.select(F.col("product_id").cast("string").alias("_pid"), "html", *(["attempt"] if by_attempt else []))
+    on = F.col("_pid") == F.col("_won")
+    if by_attempt:   # the page of the attempt that succeeded
+        on = on & (F.col("attempt") == F.col("_try"))
+    captured = p.join(wins, on, "left_semi")
+    named = extract_name(captured, "html", "_one", method).drop("html")
+    # several pages of one attempt make one row: a found name before the fallback text
+    best = F.min(F.struct((F.col("_one") == F.lit(UNKNOWN_NAME)).alias("u"), F.col("_one").alias("n")))
+    names = named.groupBy("_pid").agg(best.alias("_b")).select("_pid", F.col("_b.n").alias("_name"))
     j = resolved.join(names, resolved["product_id"] == names["_pid"], "left")
     name = F.when(F.col("status") == "success", F.col("_name"))
     return j.select("product_id", name.alias("product_name"), "url", "status", "http_code", "error_msg")

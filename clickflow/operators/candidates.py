@@ -29,15 +29,20 @@ def _ids(finished: DataFrame, col: str = "product_id") -> DataFrame:
 
 
 def _sized_ids(finished: DataFrame, limit: int) -> tuple[DataFrame, bool]:
-    """The finished ids and whether they fit the broadcast budget. They are kept while
-    counted; within the budget (so at most that size) they stay cached for the joins,
-    beyond it the cache is released."""
-    from pyspark import StorageLevel
-    f = _ids(finished).persist(StorageLevel.MEMORY_AND_DISK)
-    small = f.count() * ID_BYTES <= limit
-    if not small:
-        f.unpersist()
-    return f, small
+    """The finished ids and whether their measured bytes fit the broadcast budget."""
+    f = _ids(finished)
+    size = f.agg(F.sum(F.octet_length("_fid") + F.lit(ID_BYTES))).first()[0] or 0
+    return f, size <= limit
+
+
+def _without(df: DataFrame, col: str, ids: DataFrame, small: bool) -> DataFrame:
+    """Rows of ``df`` whose ``col`` is not among ``ids``. Null keys are kept in any case; in a
+    shuffled join they go past it, so that they do not meet in one task."""
+    if small:
+        ids = F.broadcast(ids)
+        return df.join(ids, F.col(col) == ids["_fid"], "left_anti")
+    keyed = df.where(F.col(col).isNotNull()).join(ids, F.col(col) == ids["_fid"], "left_anti")
+    return keyed.unionByName(df.where(F.col(col).isNull()))
 
 
 def exclude_finished(df: DataFrame, finished: DataFrame, group_col: str = "event_group",
@@ -49,16 +54,10 @@ def exclude_finished(df: DataFrame, finished: DataFrame, group_col: str = "event
     beyond it the anti-joins shuffle (sort-merge), chosen by Spark."""
     limit = BROADCAST_LIMIT_BYTES if broadcast_limit_bytes is None else broadcast_limit_bytes
     f, small = _sized_ids(finished, limit)
-    if small:
-        f = F.broadcast(f)
     k1 = F.when(F.col(group_col) == 1, F.col("product_id").cast("string"))
-    out = (df.withColumn("_k1", k1)
-           .join(f, F.col("_k1") == f["_fid"], "left_anti")
-           .drop("_k1"))
-    out = (out.withColumn("_k2", F.col("viewing_product_id").cast("string"))
-           .join(f, F.col("_k2") == f["_fid"], "left_anti")
-           .drop("_k2"))
-    return out
+    out = _without(df.withColumn("_k1", k1), "_k1", f, small).drop("_k1")
+    out = _without(out.withColumn("_k2", F.col("viewing_product_id").cast("string")), "_k2", f, small)
+    return out.drop("_k2")
 
 
 def first_url(df: DataFrame, id_col: str = "resolved_id", group_col: str = "event_group",
@@ -106,7 +105,7 @@ def candidates(raw: DataFrame, finished: DataFrame | None = None, markers: Seque
     key = F.struct(F.col("event_group").alias("g"), F.col("_id").alias("o"), F.col("url").alias("u"))
     pairs = (ev.where(F.col("resolved_id").isNotNull())
              .groupBy("resolved_id", "_k2").agg(F.min(key).alias("_b")))
-    pairs = pairs.join(f, pairs["_k2"] == f["_fid"], "left_anti")
+    pairs = _without(pairs, "_k2", f, False)
     best = (pairs.groupBy(F.col("resolved_id").alias("product_id")).agg(F.min("_b").alias("_b"))
             .select("product_id", F.col("_b.u").alias("url"), F.col("_b.g").alias("event_group"),
                     F.col("_b.o").alias("_id")))

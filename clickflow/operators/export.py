@@ -120,14 +120,15 @@ def export_parts(df: DataFrame, root: str, table: str, part_col: str = "part_num
 
 
 def _state_path(root: str, table: str) -> str:
-    return f"{root.rstrip('/')}/_state/{table}.json"
+    return f"{root.rstrip('/')}/_state/{table}"
 
 
 def load_state(spark: SparkSession, root: str, table: str) -> tuple[str | None, int]:
-    """(last_id, part_number) saved for ``table``; (None, 0) when none exists. The state
-    is one small JSON document per table."""
-    from clickflow.sources.fs import read_text
-    text = read_text(spark, _state_path(root, table))
+    """(last_id, part_number) saved for ``table``; (None, 0) when none exists. Each commit is
+    a small JSON document of its own; the highest part number is the state."""
+    from clickflow.sources.fs import names, read_text
+    commits = sorted(n for n in names(spark, _state_path(root, table)) if n.endswith(".json"))
+    text = read_text(spark, f"{_state_path(root, table)}/{commits[-1]}") if commits else None
     if not text:
         return None, 0
     state = json.loads(text)
@@ -135,9 +136,10 @@ def load_state(spark: SparkSession, root: str, table: str) -> tuple[str | None,
 
 
 def write_state(spark: SparkSession, root: str, table: str, last_id, part_number: int) -> None:
-    """Replace the table's state document (atomically: temporary file, then rename)."""
+    """Commit the table's state as a new document (written aside, then renamed); the documents
+    before it stay, so a crash leaves the last committed state."""
     from clickflow.sources.fs import write_text
-    write_text(spark, _state_path(root, table),
+    write_text(spark, f"{_state_path(root, table)}/{int(part_number):012d}.json",
                json.dumps({"table": table, "last_id": None if last_id is None else str(last_id),
                            "part_number": int(part_number)}))
 
@@ -157,10 +159,28 @@ def reset_state(spark: SparkSession, root: str, table: str) -> None:
     delete(spark, _state_path(root, table))
 
 
+def _identity(df: DataFrame, key: str):
+    """What tells a row from the exported ones: its key, or all of it when the key is null."""
+    whole = F.concat(F.lit("row:"), F.sha2(F.to_json(F.struct(*sorted(df.columns))), 256))
+    return F.coalesce(F.concat(F.lit("key:"), F.col(key).cast("string")), whole)
+
+
+def not_exported(df: DataFrame, exported: DataFrame, key: str) -> DataFrame:
+    """Rows of ``df`` that ``exported`` does not hold, by key (null keys: by the whole row)."""
+    done = exported.select(*df.columns).select(_identity(df, key).alias("_done")).distinct()
+    return df.join(done, _identity(df, key) == F.col("_done"), "left_anti")
+
+
 def incremental_export(spark: SparkSession, df: DataFrame, root: str, table: str, key: str = "_id",
                        size: int = EXPORT_CHUNK_SIZE, force_string: Sequence[str] | None = None,
-                       num_partitions: int | None = None) -> DataFrame:
-    """Export rows above the saved watermark as new parts, then save the state.
+                       num_partitions: int | None = None, arrival_ordered: bool = True) -> DataFrame:
+    """Export the rows that earlier runs have not exported as new parts, then save the state.
+
+    ``arrival_ordered`` says that ``key`` grows with arrival (an object id): new rows then are
+    those above the saved watermark, and rows with a null key, which no watermark can see,
+    are compared with the exported ones. Keys that say nothing about arrival (a product id,
+    an address) need ``arrival_ordered=False``: all rows are compared with the exported
+    keys, so an id that sorts below the last one is not lost.
 
     Order of commits: parts first, state second. A crash between the two rewrites the
     same part numbers on the next run (dynamic overwrite makes that idempotent).
@@ -172,9 +192,20 @@ def incremental_export(spark: SparkSession, df: DataFrame, root: str, table: str
     from clickflow.operators.standardize import standardize
 
     last_id, last_part = load_state(spark, root, table)
-    sliced = slice_after(df, key, last_id)
-    std = standardize(sliced, FORCE_STRING_COLUMNS if force_string is None else force_string)
     path = f"{root.rstrip('/')}/{table}"
+    strings = FORCE_STRING_COLUMNS if force_string is None else force_string
+    if last_part == 0:
+        std = standardize(df, strings)
+    else:
+        exported = spark.read.option("mergeSchema", "true").parquet(path).where(F.col("part_number") <= F.lit(last_part))
+        whole = standardize(df, strings)
+        missing = [F.lit(None).cast(f.dataType).alias(f.name) for f in whole.schema.fields if f.name not in exported.columns]
+        exported = exported.select("*", *missing)
+        if arrival_ordered and last_id is not None:
+            lost = not_exported(whole.where(F.col(key).isNull()), exported.where(F.col(key).isNull()), key)
+            std = standardize(slice_after(df, key, last_id), strings).unionByName(lost)
+        else:
+            std = not_exported(whole, exported, key)
     ranged = materialize_ranged(std, [key], num_partitions)
     try:
         # fills the cache; the numbering and the write then read it
@@ -184,7 +215,8 @@ def incremental_export(spark: SparkSession, df: DataFrame, root: str, table: str
             numbered = (_number(ranged, "_rn")
                         .withColumn("part_number", chunk_column("_rn", size, last_part + 1)).drop("_rn"))
             export_parts(numbered, root, table)
-            write_state(spark, root, table, summary["last_id"], last_part + -(-n // size))
+            top = summary["last_id"] if last_id is None or summary["last_id"] is None else max(str(summary["last_id"]), str(last_id))
+            write_state(spark, root, table, last_id if top is None else top, last_part + -(-n // size))
     finally:
         ranged.unpersist()
     if n == 0:
@@ -192,6 +224,3 @@ def incremental_export(spark: SparkSession, df: DataFrame, root: str, table: str
     written = spark.read.parquet(path).where(F.col("part_number") > F.lit(last_part))
     return chunk_manifest(written, key)
 
-
-def state_json(last_id: str | None, part_number: int) -> str:
-    return json.dumps({"last_id": last_id, "part_number": part_number})

@@ -6,6 +6,7 @@ so MERGE is expressed as an anti-join plus an append."""
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,10 +16,12 @@ from pyspark.sql import types as T
 _SIMPLE = (T.StringType, T.NumericType, T.BooleanType, T.DateType, T.TimestampType, T.TimestampNTZType)
 
 
-def align_to(df: DataFrame, schema: T.StructType) -> tuple[DataFrame, list[str]]:
-    """Same columns, order and types as ``schema``: matching columns are converted with
-    ``try_cast`` (a value that does not fit becomes null instead of failing the load),
-    missing columns are null, extra columns are dropped and reported."""
+def align_to(df: DataFrame, schema: T.StructType, mode: str = "lenient") -> tuple[DataFrame, list[str]]:
+    """Same columns, order and types as ``schema``; missing columns are null, extra columns
+    are dropped and reported. ``lenient``: a value that does not fit becomes null
+    (``nulled_values`` counts them). ``strict``: it fails the load."""
+    if mode not in ("lenient", "strict"):
+        raise ValueError(f"unknown mode {mode!r}")
     src = {f.name: f for f in df.schema.fields}
     cols = []
     for f in schema.fields:
@@ -30,13 +33,25 @@ def align_to(df: DataFrame, schema: T.StructType) -> tuple[DataFrame, list[str]]
         if have == f.dataType:
             cols.append(c)
         elif isinstance(f.dataType, _SIMPLE) and isinstance(have, _SIMPLE):
-            cols.append(c.try_cast(f.dataType).alias(f.name))
+            fits = c.try_cast(f.dataType)
+            if mode == "strict":
+                bad = F.concat(F.lit(f"column {f.name}: value does not fit {f.dataType.simpleString()}: "), c.cast("string"))
+                fits = F.when(c.isNotNull() & fits.isNull(), F.raise_error(bad).cast(f.dataType)).otherwise(fits)
+            cols.append(fits.alias(f.name))
         else:
             cols.append(c.cast(f.dataType).alias(f.name))
     lost = [n for n in df.columns if n not in set(schema.fieldNames())]
     return df.select(*cols), lost
 
 
+def nulled_values(df: DataFrame, schema: T.StructType) -> DataFrame:
+    """Per column of both ``df`` and ``schema``: values that lenient alignment turns into null."""
+    src = {f.name: f.dataType for f in df.schema.fields}
+    lost = [F.count(F.when(F.col(f"`{f.name}`").isNotNull() & F.col(f"`{f.name}`").try_cast(f.dataType).isNull(), 1)).alias(f.name)
+            for f in schema.fields if isinstance(f.dataType, _SIMPLE) and isinstance(src.get(f.name), _SIMPLE) and src[f.name] != f.dataType]
+    return df.agg(*lost) if lost else df.limit(0).select()
+
+
 def merge_insert_only(target: DataFrame, source: DataFrame, key: str = "_id",
                       source_is_bounded: bool | None = None, dedupe_source: bool = False,
                       prune_target: bool = False) -> DataFrame:
@@ -61,9 +76,10 @@ def merge_insert_only(target: DataFrame, source: DataFrame, key: str = "_id",
         if lo_hi["lo"] is not None:
             target = target.where(F.col(key).between(F.lit(lo_hi["lo"]), F.lit(lo_hi["hi"])))
     skeys = source.select(F.col(key).alias("_k")).where(F.col("_k").isNotNull())
-    if source_is_bounded is None:
-        from clickflow.config import BROADCAST_LIMIT_BYTES, ID_BYTES
-        source_is_bounded = skeys.count() * ID_BYTES <= BROADCAST_LIMIT_BYTES
+    # measured whatever the caller says: a wrong promise must not broadcast a large side
+    from clickflow.config import BROADCAST_LIMIT_BYTES, ID_BYTES
+    size = skeys.agg(F.sum(F.octet_length(F.col("_k").cast("string")) + ID_BYTES)).first()[0] or 0
+    source_is_bounded = source_is_bounded is not False and size <= BROADCAST_LIMIT_BYTES
     if source_is_bounded:
         skeys = F.broadcast(skeys)
     tkeys = target.select(F.col(key).alias("_k")).where(F.col("_k").isNotNull())
@@ -97,26 +113,41 @@ def append_rows(df: DataFrame, table: str) -> None:
 
 
 def load_part(batch: DataFrame, table: str, path: str, key: str = "_id",
-              source_is_bounded: bool | None = None, prune_target: bool = True) -> str:
+              source_is_bounded: bool | None = None, prune_target: bool = True, mode: str = "strict") -> str:
     """One arriving part: create the target from it, or align it to the target's schema
-    and insert the rows whose key is new. Returns 'created' or 'merged'."""
+    and insert the rows whose key is new. Columns that the target lacks are added to it; with
+    the default mode a value that does not fit fails the load (so that it can be retried).
+    Returns 'created' or 'merged'."""
     if create_from(batch, table, path):
         return "created"
     spark = batch.sparkSession
     spark.catalog.refreshTable(table)   # parts may have landed from another writer
+    known = set(spark.table(table).columns)
+    fresh = [f"`{f.name}` {f.dataType.simpleString()}" for f in batch.schema.fields if f.name not in known]
+    if fresh:
+        spark.sql(f"ALTER TABLE {table} ADD COLUMNS ({', '.join(fresh)})")
     target = spark.table(table)
-    aligned, _lost = align_to(batch, target.schema)
+    aligned, _none = align_to(batch, target.schema, mode)
     new = merge_insert_only(target, aligned, key, source_is_bounded=source_is_bounded,
                             prune_target=prune_target)
     append_rows(new, table)
     return "merged"
 
 
+def replace_table(spark: SparkSession, table: str, path: str) -> None:
+    """Let ``table`` stand for the Parquet files at ``path``. The files it stood for stay where
+    they are until their owner deletes them."""
+    spark.sql(f"DROP TABLE IF EXISTS {table}")   # external: drops the name, not the files
+    spark.catalog.createTable(table, path, "parquet")
+
+
 def load_full(spark: SparkSession, root: str, tables: Sequence[str], locations: dict[str, str],
               names: dict[str, str] | None = None) -> DataFrame:
-    """Truncate-and-load each table from all its parts below ``root/<table>``; a failing
-    table is reported and does not stop the others. Returns (table_name, status, rows,
-    error) -- one row per table."""
+    """Truncate-and-load each table from all its parts below ``root/<table>`` (columns of all
+    parts, without the part number). The rows are written to a new version below the table's
+    location, and the table is switched to it only when the write has succeeded: a failed
+    reload leaves the table as it was. A failing table is reported and does not stop the
+    others. Returns (table_name, status, rows, error) -- one row per table."""
     from clickflow.sources.tables import read_parts
     names = names or {}
     report = []
@@ -125,11 +156,13 @@ def load_full(spark: SparkSession, root: str, tables: Sequence[str], locations:
         target = names.get(t, t)
         try:
             obs = Observation(f"load_{t}")
-            parts = read_parts(spark, root, t).observe(obs, F.count(F.lit(1)).alias("rows"))
-            parts.write.format("parquet").mode("overwrite").option("path", locations[t]).saveAsTable(target)
+            parts = read_parts(spark, root, t).drop("part_number").observe(obs, F.count(F.lit(1)).alias("rows"))
+            version = f"{locations[t].rstrip('/')}/version-{uuid.uuid4().hex[:12]}"
+            parts.write.parquet(version)
+            replace_table(spark, target, version)
             report.append((t, "loaded", int(obs.get["rows"]), None))   # counted on the write itself
         except Exception as ex:  # noqa: BLE001 - one table's failure must not stop the rest
-            report.append((t, "failed", None, f"{type(ex).__name__}: {str(ex)[:500]}"))
+            report.append((t, "failed", None, f"{type(ex).__name__}: {ex}"))
     return spark.createDataFrame(report, "table_name string, status string, rows bigint, error string")
 
 

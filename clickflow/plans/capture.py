@@ -67,15 +67,16 @@ def run_capture(spark: SparkSession, raw: DataFrame, attempts: DataFrame, pages:
     """Up to ``rounds`` rounds. Each round reads the finished ids written so far, appends
     the result log, the clean products (insert-only by product_id) and the rejects, then
     appends its finished ids (last, so a crash before it only repeats work). With a
-    ``round`` column in the attempt log each round uses its own attempts; without one the
-    loop stops early when a round finishes nothing new. Returns one report per round
-    (the original's pending estimate as ``total`` plus the counters observed on the log
-    write)."""
+    ``round`` column in the attempt log each round uses its own attempts; without one there
+    is one round, as a second would repeat the first. Returns one report per round (the
+    original's pending estimate as ``total``, the counters observed on the log write, and
+    the capture report with its data-quality counters and rates)."""
     from clickflow.sources.tables import read_finished_ids
     root = out_root.rstrip("/")
     reports = []
     per_round = "round" in attempts.columns
-    for r in range(1, rounds + 1):
+    # without a round column every round would read the same attempts again
+    for r in range(1, (rounds if per_round else 1) + 1):
         finished = read_finished_ids(spark, *sinks.finished_paths(f"{root}/finished"))
         # the original's "total": distinct ids minus finished ids (an estimate)
         total = cand.pending_count(raw, finished, markers).first()["pending_estimate"]
@@ -84,6 +85,7 @@ def run_capture(spark: SparkSession, raw: DataFrame, attempts: DataFrame, pages:
         log = rnd.log.persist()
         try:
             counters = sinks.write_result_log(log, f"{root}/result_log") or {}
+            report = rep.crawl_report(log).first().asDict()
             success = log.where(F.col("status") == "success").select("product_id", "product_name", "url")
             clean, rejects = dq.split_valid(dq.validate_product(dq.normalize_product(success)))
             sinks.append_products(clean, f"{root}/product_names")
@@ -91,8 +93,5 @@ def run_capture(spark: SparkSession, raw: DataFrame, attempts: DataFrame, pages:
             sinks.append_finished(finished_rows(rnd, retry_invalid, log, rejects), f"{root}/finished")
         finally:
             log.unpersist()
-        reports.append({"round": r, "total": total, **counters})
-        done_now = counters.get("success", 0) + counters.get("err_404", 0)
-        if done_now == 0 and not per_round:
-            break
+        reports.append({"round": r, "total": total, **counters, **report})
     return reports

@@ -13,18 +13,21 @@ from clickflow.operators import export as ex
 
 def export_tables(spark: SparkSession, tables: dict, root: str, key: str = "_id",
                   size: int = EXPORT_CHUNK_SIZE) -> DataFrame:
-    """Incremental export of each table (parts + state); one table's failure is logged and
-    does not stop the others. ``tables`` maps a name to a DataFrame or to
-    ``(DataFrame, key)`` (a business key per table, e.g. product_id, ip). Returns
-    (table_name, part_number, rows, first_id, last_id) of the parts written now."""
-    out = []
+    """Incremental export of each table (parts + state). ``tables`` maps a name to a DataFrame
+    (ordered by ``key``, which grows with arrival) or to ``(DataFrame, its key)``; another key
+    than ``key`` (product_id, ip) says nothing about arrival, so such a table is compared with
+    its exported keys. One table's failure does not stop the others; it is raised at the end.
+    Returns (table_name, part_number, rows, first_id, last_id) of the parts written now."""
+    out, failed = [], []
     for name, spec in tables.items():
         df, k = spec if isinstance(spec, tuple) else (spec, key)
         try:
-            m = ex.incremental_export(spark, df, root, name, k, size)
+            m = ex.incremental_export(spark, df, root, name, k, size, arrival_ordered=k == key)
             out.append(m.select(F.lit(name).alias("table_name"), "*"))
         except Exception as exc:  # noqa: BLE001 - continue with the next table
-            print(f"export of {name} failed: {type(exc).__name__}: {exc}")
+            failed.append(f"{name}: {type(exc).__name__}: {exc}")
+    if failed:
+        raise RuntimeError(f"{len(failed)} of {len(tables)} exports failed: " + "; ".join(failed))
     if not out:
         return spark.createDataFrame([], "table_name string, part_number int, rows bigint, first_id string, last_id string")
     return reduce(lambda a, b: a.unionByName(b), out)

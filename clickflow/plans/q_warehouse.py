@@ -41,7 +41,7 @@ TARGET_SCHEMA = T.StructType([
 ])
 
 
-@register("load_parts", with_fixtures(f"WITH {STD}, {NUMBERED} SELECT * FROM numbered", "raw_data"))
+@register("load_parts", with_fixtures(f"WITH {STD} SELECT * FROM std", "raw_data"))
 def q_load_parts(spark, d):
     """OP-06/47: truncate-and-load the warehouse table from all parts (glob source)."""
     root = _exported(spark, d)

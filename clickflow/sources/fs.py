@@ -28,8 +28,9 @@ def touch(spark: SparkSession, path: str) -> None:
 
 
 def write_text(spark: SparkSession, path: str, text: str) -> None:
-    """Replace a small text file: write a temporary sibling, then rename it over the
-    target, so a reader sees the old or the new content, never a partial one."""
+    """Write a small text file: a temporary sibling first, then renamed. A reader of a new path
+    sees no file or the whole one; an existing file is deleted just before the rename, so
+    state that must never be absent goes to a new path for each version."""
     p, fs = _path(spark, path)
     jvm = spark.sparkContext._jvm
     tmp = jvm.org.apache.hadoop.fs.Path(path + "._tmp")
@@ -44,6 +45,12 @@ def write_text(spark: SparkSession, path: str, text: str) -> None:
         raise OSError(f"could not move {tmp} to {path}")
 
 
+def names(spark: SparkSession, path: str) -> list[str]:
+    """Names of the entries of a folder (none when it is absent)."""
+    p, fs = _path(spark, path)
+    return [s.getPath().getName() for s in fs.listStatus(p)] if fs.exists(p) else []
+
+
 def read_text(spark: SparkSession, path: str) -> str | None:
     """Content of a small text file, None when absent."""
     p, fs = _path(spark, path)

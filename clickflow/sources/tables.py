@@ -68,8 +68,9 @@ def read_table(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_parts(spark: SparkSession, root: str, table: str | None = None,
-               merge_schema: bool = False) -> DataFrame:
-    """All Parquet parts of one table below ``root/<table>`` (any depth)."""
+               merge_schema: bool = True) -> DataFrame:
+    """All Parquet parts of one table below ``root/<table>`` (any depth). Columns that first
+    appear in a later part are kept (null in the parts before)."""
     path = f"{root.rstrip('/')}/{table}" if table else root
     return (spark.read.option("pathGlobFilter", "*.parquet")
             .option("recursiveFileLookup", "false")
@@ -116,7 +117,8 @@ _OID = r'^\s*\{\s*"\$oid"\s*:\s*"([0-9A-Fa-f]{24})"\s*\}\s*$'
 
 def read_json_events(spark: SparkSession, path: str, schema: T.StructType = RAW_JSON_SCHEMA,
                      id_col: str = "_id") -> DataFrame:
-    """Raw events exported as JSON lines (one document per line, extended JSON).
+    """Raw events exported as JSON lines (one document per line, extended JSON). Malformed
+    lines are left out; ``read_bad_json`` gives them.
 
     Read with an explicit schema: a field declared string keeps any scalar as text and any
     nested value as its JSON text, so mixed-type fields never fail the read. The object
@@ -124,11 +126,23 @@ def read_json_events(spark: SparkSession, path: str, schema: T.StructType = RAW_
     id order)."""
     reader_schema = T.StructType([T.StructField(f.name, T.StringType() if f.name == id_col else f.dataType)
                                   for f in schema.fields])
-    df = spark.read.schema(reader_schema).option("mode", "PERMISSIVE").json(path)
+    df = (spark.read.schema(reader_schema.add("_malformed", T.StringType())).option("mode", "PERMISSIVE")
+          .option("columnNameOfCorruptRecord", "_malformed").json(path))
+    # always true, but names a second column: the reader refuses queries (a count, say) that
+    # need the malformed text alone
+    read = F.col(id_col).isNull() | (F.length(id_col) >= 0)
+    df = df.where(F.col("_malformed").isNull() & read).drop("_malformed")
     oid = F.nullif(F.regexp_extract(F.col(id_col), _OID, 1), F.lit(""))
     return df.withColumn(id_col, F.coalesce(F.lower(oid), F.col(id_col)))
 
 
+def read_bad_json(spark: SparkSession, path: str) -> DataFrame:
+    """The malformed lines of a JSON-lines export (source_file, line), to be quarantined and
+    counted; blank lines are no documents."""
+    lines = spark.read.text(path).select(F.col("_metadata.file_path").alias("source_file"), F.col("value").alias("line"))
+    return lines.where((F.trim("line") != "") & F.try_parse_json("line").isNull())
+
+
 def read_source(spark: SparkSession, fmt: str, path: str | None = None, schema: T.StructType | None = None,
                 **options: str) -> DataFrame:
     """Any Spark data source (e.g. a document-store connector with

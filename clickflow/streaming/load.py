@@ -30,12 +30,12 @@ def stream_parts(spark: SparkSession, root: str, table: str, schema: T.StructTyp
 
 
 def batch_loader(target: str, target_path: str, key: str = "_id", marker_root: str | None = None,
-                 drop_cols: tuple[str, ...] = ("part_number",)):
+                 drop_cols: tuple[str, ...] = ("part_number",), loaded: dict[int, int] | None = None):
     """The ``foreachBatch`` body: create or insert-only merge the batch into ``target``.
 
     With ``marker_root`` a batch id is recorded after its rows are committed and a batch
     seen again (a replay after a failure) is skipped, so even rows without a key land
-    exactly once."""
+    exactly once. ``loaded`` receives the input rows of each batch, counted from the batch."""
 
     def body(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
@@ -45,6 +45,8 @@ def batch_loader(target: str, target_path: str, key: str = "_id", marker_root: s
         # The merge reads the batch twice (keys, then rows): keep it for the batch only.
         rows = batch.drop("_source_file", *[c for c in drop_cols if c in batch.columns]).persist()
         try:
+            if loaded is not None:
+                loaded[batch_id] = rows.count()
             load_part(rows, target, target_path, key)
         finally:
             rows.unpersist()
@@ -58,7 +60,7 @@ def start_part_load(spark: SparkSession, root: str, table: str, target: str, tar
                     checkpoint: str, key: str = "_id", schema: T.StructType | None = None,
                     drop_cols: tuple[str, ...] = ("part_number",), available_now: bool = True,
                     max_files_per_trigger: int | None = None,
-                    trigger_interval: str = "10 seconds") -> StreamingQuery:
+                    trigger_interval: str = "10 seconds", loaded: dict[int, int] | None = None) -> StreamingQuery:
     """Start the load stream for one table. ``schema`` defaults to the schema of the
     parts already present (read from the Parquet footers); give it explicitly when the
     stream starts before the first part exists. Committed batch ids are recorded under
@@ -67,9 +69,9 @@ def start_part_load(spark: SparkSession, root: str, table: str, target: str, tar
     if schema is None:
         if not fs.exists(spark, path):
             raise ValueError(f"no parts under {path} yet: pass the part schema explicitly")
-        schema = spark.read.parquet(path).schema
+        schema = spark.read.option("mergeSchema", "true").parquet(path).schema
     src = stream_parts(spark, root, table, schema, max_files_per_trigger)
-    body = batch_loader(target, target_path, key, f"{checkpoint.rstrip('/')}/_loaded_batches", drop_cols)
+    body = batch_loader(target, target_path, key, f"{checkpoint.rstrip('/')}/_loaded_batches", drop_cols, loaded)
     writer = src.writeStream.foreachBatch(body).option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=trigger_interval)
     return writer.start()
@@ -87,17 +89,15 @@ def load_available(spark: SparkSession, root: str, table: str, target: str, targ
     """Load every part present now (``availableNow``), wait for it, fail on a batch
     error, and refresh the target in the calling session (batches run on a cloned
     session whose table cache is separate). Returns the number of input rows."""
+    loaded: dict[int, int] = {}
     q = start_part_load(spark, root, table, target, target_path, checkpoint, key,
-                        max_files_per_trigger=max_files_per_trigger)
+                        max_files_per_trigger=max_files_per_trigger, loaded=loaded)
     q.awaitTermination()
     if q.exception() is not None:
         raise RuntimeError(f"part load failed: {q.exception()}")
     if spark.catalog.tableExists(target):
         spark.catalog.refreshTable(target)
-    per_batch: dict[int, int] = {}
-    for p in q.recentProgress:           # a batch may report more than one progress event
-        per_batch[p["batchId"]] = max(per_batch.get(p["batchId"], 0), int(p.get("numInputRows", 0)))
-    return sum(per_batch.values())
+    return sum(loaded.values())
 
 
 def load_available_tables(spark: SparkSession, root: str, tables: dict[str, str], target_root: str,

@@ -110,9 +110,6 @@ def test_watermark_slice_pushed_to_scan(spark):
     assert slice_after(spark.read.parquet(path), "_id", None).count() == 100
 
 
-def test_state_json_shape():
-    assert json.loads(ex.state_json("abc", 3)) == {"last_id": "abc", "part_number": 3}
-
 
 def test_standardize_nested_timestamps(spark):
     """T24: nested datetimes are encoded, not an error."""
