@@ -16,7 +16,8 @@ row per directory is joined, and files meet their directory's licence by a measu
 broadcast or a shuffled join whose hot directories adaptive execution splits.
 
 Defined results: a null or empty text has no licence of its own; equal cosines go to the
-template first in order of name, equal declarations to the higher cosine, then the name;
+template first in order of name, of a directory's declarations a named
+licence file counts before others, then the higher cosine, then the later name;
 a null path has no directory and inherits nothing; repeated rows get equal results; an
 empty table gives an empty result.
 """
@@ -155,7 +156,8 @@ def licences(files: DataFrame) -> DataFrame:
     text); origin is own, inherited or none."""
     own = saved(own_licences(files), "licence-own").withColumn("dir", directory(F.col("path")))
     is_file = F.col("licence").isNotNull() & (F.col("path").rlike(NAMES) | (F.col("share") >= MOSTLY))
-    best = F.max_by(F.struct("licence", "cosine"), F.struct("cosine", F.col("licence").alias("l")))
+    named = F.coalesce(F.col("path").rlike(NAMES), F.lit(False))
+    best = F.max_by(F.struct("licence", "cosine"), F.struct(named.alias("n"), "cosine", F.col("licence").alias("l")))
     declared = saved(own.where(is_file & F.col("dir").isNotNull()).groupBy("dir").agg(best.alias("d"))
                      .select(F.col("dir").alias("at"), F.col("d.licence").alias("name"), F.col("d.cosine").alias("c")), "licence-dirs")
     dirs = own.where("dir is not null").select("dir").distinct()

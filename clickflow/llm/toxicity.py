@@ -28,7 +28,7 @@ from collections import Counter
 from dataclasses import dataclass, field
 
 import numpy as np
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 #: Labelled rows of either kind that the fit uses at most, and features that it keeps.
@@ -144,9 +144,9 @@ def training_sample(docs: DataFrame, labels: DataFrame, label: str = "toxic", cl
     known = labels.where(F.col(label).isNotNull() & F.col("doc_id").isNotNull()) \
         .groupBy("doc_id").agg(F.max(label).alias("_label"))
     known = known.withColumn("_h", F.xxhash64(F.lit("fit"), "doc_id"))
-    first = Window.partitionBy("_label").orderBy("_h", "doc_id")
-    chosen = known.withColumn("_n", F.row_number().over(first)).where(
-        F.col("_n") <= F.when(F.col("_label") > 0, toxic).otherwise(clean))
+    kinds = ((F.col("_label") > 0, toxic), (F.col("_label") <= 0, clean))  # the limits bound the sample
+    first, rest = (known.where(kind).orderBy("_h", "doc_id").limit(n) for kind, n in kinds)
+    chosen = first.unionByName(rest)
     rows = docs.select("doc_id", "text").where("text is not null").join(
         F.broadcast(chosen.select(F.col("doc_id").alias("_id"), "_label")), F.col("doc_id") == F.col("_id"))
 
