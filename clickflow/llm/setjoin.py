@@ -66,9 +66,10 @@ def _filters(n1, p1, n2, p2, num: int, den: int) -> Column:
 
 def shared_postings(postings: DataFrame) -> DataFrame:
     """The postings (t, id, n, p) whose token more than one set holds, saved."""
-    often = saved(postings.groupBy("t").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("t"), "join-shared")
-    made = saved(join_measured(postings, often, ["t"], "inner"), "join-postings")
-    discard(often)
+    every = saved(postings, "join-all")  # the texts are read once for the count and the join
+    often = saved(every.groupBy("t").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("t"), "join-shared")
+    made = saved(join_measured(every, often, ["t"], "inner"), "join-postings")
+    discard(every, often)
     return made
 
 
