@@ -30,21 +30,34 @@ from pyspark.sql import functions as F
 
 from clickflow.llm import setjoin
 from clickflow.llm.common import WORD, discard, join_measured, packed, saved
-from clickflow.llm.shingles import fingerprints, lines_of, portions, shingle_sets
+from clickflow.llm.shingles import fingerprints, hashed_lines, pieces, portions, shingle_sets
 
 
-def _line_groups(ids: list, texts: list, chosen: list | None = None):
-    """Portions of lines with words: (ids, line numbers, word lists); ``chosen`` limits each
-    document to some line numbers, None to all but those in the list."""
-    def rows():
-        for i, (key, text) in enumerate(zip(ids, texts, strict=True)):
-            if key is None or not text:
-                continue
-            pick = chosen[i] if chosen is not None else None
-            for at, words in enumerate(lines_of(text)):
-                if words and (pick is None or pick(at)):
-                    yield key, at, words
-    yield from portions(rows(), lambda r: len(r[2]), 150_000)
+def _lines(batch, inside: bool = True):
+    """Portions of the lines with words of a batch (id, text, and line numbers if there are
+    three columns): (ids, line numbers, word hashes, words per line). The line numbers are
+    the lines to read, or those to leave out (``inside`` false); null stands for none."""
+    import pyarrow as pa
+
+    batch = batch.filter(batch.column(0).is_valid())
+    keys = batch.column(0).to_numpy()
+    chosen = None
+    if batch.num_columns > 2:
+        lists = batch.column(2)
+        of = np.repeat(np.arange(len(keys)), lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False))
+        chosen = (of << 32) | lists.flatten().to_numpy().astype(np.int64)
+    texts = [t or b"" for t in batch.column(1).cast(pa.binary()).to_pylist()]
+    for part in portions(pieces(texts), lambda p: len(p[2])):
+        words, sizes, of, at = hashed_lines([p[2] for p in part])
+        text, first = (np.array([p[k] for p in part], dtype=np.int64)[of] for k in (0, 1))
+        at = at + first
+        take = sizes > 0
+        if chosen is not None:
+            take &= np.isin((text << 32) | at, chosen, invert=not inside)
+        if not take.all():
+            words, sizes, text, at = words[np.repeat(take, sizes)], sizes[take], text[take], at[take]
+        if len(sizes):
+            yield keys[text], at, words, sizes
 
 
 def line_classes(docs: DataFrame) -> tuple[DataFrame, np.ndarray]:
@@ -57,13 +70,13 @@ def line_classes(docs: DataFrame) -> tuple[DataFrame, np.ndarray]:
     def read(batches):
         sketch = np.zeros(setjoin.BUCKETS, dtype=np.int64)
         for b in batches:
-            for part in _line_groups(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                values, owner, sizes = shingle_sets([r[2] for r in part])
-                f1, f2 = fingerprints(values, owner, len(part))
+            for d, at, words, lengths in _lines(b):
+                values, owner, sizes = shingle_sets(words, lengths)
+                f1, f2 = fingerprints(values, owner, len(sizes))
                 sketch += np.bincount(setjoin.bucket_of(values), minlength=setjoin.BUCKETS)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([r[0] for r in part], pa.int64()), pa.array([r[1] for r in part], pa.int32()), pa.array(f1),
-                     pa.array(f2), pa.array(sizes), pa.nulls(len(part), pa.int32())], names=names)
+                    [pa.array(d), pa.array(at.astype(np.int32)), pa.array(f1), pa.array(f2), pa.array(sizes),
+                     pa.nulls(len(sizes), pa.int32())], names=names)
         used = np.flatnonzero(sketch)
         none = pa.nulls(len(used), pa.int64())
         yield pa.RecordBatch.from_arrays([none, pa.nulls(len(used), pa.int32()), none, none, pa.array(sketch[used]),
@@ -76,7 +89,7 @@ def line_classes(docs: DataFrame) -> tuple[DataFrame, np.ndarray]:
 
 
 def _first_prefixes(docs: DataFrame, later: DataFrame, counts: np.ndarray, num: int, den: int) -> DataFrame:
-    """Postings (t, id, n, p) of the first line of each class; id is (d, l)."""
+    """(id, n, ts) of the first line of each class: its (d, l), size and prefix of rare tokens."""
     import pyarrow as pa
 
     shipped = docs.sparkSession.sparkContext.broadcast(counts)
@@ -84,22 +97,20 @@ def _first_prefixes(docs: DataFrame, later: DataFrame, counts: np.ndarray, num:
     rows = join_measured(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), skipped, {"doc": F.col("doc_id")})
 
     def cut(batches):
-        counted = shipped.value
+        rank = setjoin.rarity_rank(shipped.value)
         for b in batches:
-            skip = [(lambda at, s=frozenset(s or ()): at not in s) for s in b.column(2).to_pylist()]
-            for part in _line_groups(b.column(0).to_pylist(), b.column(1).to_pylist(), skip):
-                values, owner, sizes = shingle_sets([r[2] for r in part])
-                values = values[setjoin.rarity_order(values, owner, counted)]
+            for d, at, words, lengths in _lines(b, inside=False):
+                values, owner, sizes = shingle_sets(words, lengths, rank)
                 place = np.arange(len(values)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-                keep = place < setjoin.prefix_size(sizes, num, den)[owner]
-                at = owner[keep]
-                d, l = (np.array([r[k] for r in part], dtype=t)[at] for k, t in ((0, np.int64), (1, np.int32)))  # noqa: E741
+                prefix = setjoin.prefix_size(sizes, num, den)
+                ends = np.r_[0, np.cumsum(prefix)].astype(np.int32)
+                rare = pa.array(values[place < prefix[owner]].view(np.int64))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(values[keep].view(np.int64)), pa.array(d), pa.array(l), pa.array(sizes[at].astype(np.int32)),
-                     pa.array(place[keep].astype(np.int32))], names=["t", "d", "l", "n", "p"])
+                    [pa.array(d), pa.array(at.astype(np.int32)), pa.array(sizes.astype(np.int32)),
+                     pa.ListArray.from_arrays(ends, rare)], names=["d", "l", "n", "ts"])
 
-    made = rows.select("doc_id", "text", "skip").mapInArrow(cut, "t long, d long, l int, n int, p int")
-    return made.select("t", F.struct("d", "l").alias("id"), "n", "p")
+    made = rows.select("doc_id", "text", "skip").mapInArrow(cut, "d long, l int, n int, ts array<long>")
+    return made.select(F.struct("d", "l").alias("id"), "n", "ts")
 
 
 def _sets(docs: DataFrame, lines: DataFrame) -> DataFrame:
@@ -111,16 +122,14 @@ def _sets(docs: DataFrame, lines: DataFrame) -> DataFrame:
 
     def made(batches):
         for b in batches:
-            want = [(lambda at, s=frozenset(s or ()): at in s) for s in b.column(2).to_pylist()]
-            for part in _line_groups(b.column(0).to_pylist(), b.column(1).to_pylist(), want):
-                values, owner, sizes = shingle_sets([r[2] for r in part])
+            for d, at, words, lengths in _lines(b):
+                values, owner, sizes = shingle_sets(words, lengths)
                 ends = np.r_[0, np.cumsum(sizes)].astype(np.int32)
-                bits = setjoin.parity_bits(values, owner, len(part)).reshape(-1)
-                words = np.arange(0, len(bits) + 1, setjoin.WORDS, dtype=np.int32)
+                bits = setjoin.parity_bits(values, owner, len(sizes)).reshape(-1)
+                steps = np.arange(0, len(bits) + 1, setjoin.WORDS, dtype=np.int32)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([r[0] for r in part], pa.int64()), pa.array([r[1] for r in part], pa.int32()),
-                     pa.ListArray.from_arrays(ends, pa.array(values.view(np.int64))),
-                     pa.ListArray.from_arrays(words, pa.array(bits))], names=["d", "l", "tokens", "bits"])
+                    [pa.array(d), pa.array(at.astype(np.int32)), pa.ListArray.from_arrays(ends, pa.array(values.view(np.int64))),
+                     pa.ListArray.from_arrays(steps, pa.array(bits))], names=["d", "l", "tokens", "bits"])
 
     got = rows.select("doc_id", "text", "lines").mapInArrow(made, "d long, l int, tokens array<long>, bits array<long>")
     return saved(got.select(F.struct("d", "l").alias("id"), "tokens", "bits").dropDuplicates(["id"]), "line-sets")

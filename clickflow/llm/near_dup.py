@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from clickflow.llm import setjoin
 from clickflow.llm.common import discard, join_measured, packed, saved
 from clickflow.llm.components import components
-from clickflow.llm.shingles import fingerprints, mixed, portions, shingle_sets, words_of
+from clickflow.llm.shingles import fingerprints, hashed_texts, mixed, portions, shingle_sets
 
 BANDS, ROWS = 32, 4
 M = BANDS * ROWS
@@ -94,9 +94,8 @@ def signatures(docs: DataFrame) -> DataFrame:
     def signed(batches):
         for b in batches:
             at = 0
-            for texts in portions([t or "" for t in b.column(1).to_pylist()], len):
-                part = [words_of(t) for t in texts]
-                values, owner, sizes = shingle_sets(part)
+            for part in portions([t or b"" for t in b.column(1).cast(pa.binary()).to_pylist()], len):
+                values, owner, sizes = shingle_sets(*hashed_texts(part))
                 f1, f2 = fingerprints(values, owner, len(part))
                 keys = band_keys(super_minhash(values, owner, len(part)))
                 lists = pa.ListArray.from_arrays(np.arange(0, keys.size + 1, BANDS, dtype=np.int32), pa.array(keys.reshape(-1)))
@@ -115,9 +114,8 @@ def full_sets(docs: DataFrame) -> DataFrame:
 
     def made(batches):
         for b in batches:
-            for texts in portions([t or "" for t in b.column(0).to_pylist()], len):
-                part = [words_of(t) for t in texts]
-                values, owner, sizes = shingle_sets(part)
+            for part in portions([t or b"" for t in b.column(0).cast(pa.binary()).to_pylist()], len):
+                values, owner, sizes = shingle_sets(*hashed_texts(part))
                 f1, f2 = fingerprints(values, owner, len(part))
                 ends = np.r_[0, np.cumsum(sizes)].astype(np.int32)
                 bits = setjoin.parity_bits(values, owner, len(part)).reshape(-1)
@@ -130,7 +128,7 @@ def full_sets(docs: DataFrame) -> DataFrame:
 
 
 def prefixes(sets: DataFrame, counts: np.ndarray, num: int, den: int) -> DataFrame:
-    """Postings (t, id, n, p) of the rarest tokens of each set (id, cluster, tokens); tokens of
+    """(id, n, ts) of each set (id, cluster, tokens): its size and its rarest tokens; tokens of
     different clusters differ."""
     import pyarrow as pa
 
@@ -146,14 +144,14 @@ def prefixes(sets: DataFrame, counts: np.ndarray, num: int, den: int) -> DataFra
             owner = np.repeat(np.arange(len(sizes)), sizes)
             values = values[setjoin.rarity_order(values, owner, counted)]
             place = np.arange(len(values)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-            keep = place < setjoin.prefix_size(sizes, num, den)[owner]
-            values, owner, place = values[keep], owner[keep], place[keep]
-            group = b.column(1).to_numpy().astype(np.int64).view(np.uint64)[owner]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(mixed(values ^ mixed(group, 21), 22).view(np.int64)), pa.array(b.column(0).to_numpy()[owner]),
-                 pa.array(sizes[owner]), pa.array(place)], names=["t", "id", "n", "p"])
-
-    return sets.select("id", "cluster", "tokens").mapInArrow(cut, "t long, id long, n long, p long")
+            lengths = setjoin.prefix_size(sizes, num, den) * (sizes > 0)
+            keep = place < lengths[owner]
+            group = b.column(1).to_numpy().astype(np.int64).view(np.uint64)[owner[keep]]
+            tokens = mixed(values[keep] ^ mixed(group, 21), 22).view(np.int64)
+            lists = pa.ListArray.from_arrays(np.r_[0, np.cumsum(lengths)].astype(np.int32), pa.array(tokens))
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(sizes), lists], names=["id", "n", "ts"])
+
+    return sets.select("id", "cluster", "tokens").mapInArrow(cut, "id long, n long, ts array<long>")
 
 
 def _links(clustered: DataFrame, docs: DataFrame, num: int, den: int) -> DataFrame:

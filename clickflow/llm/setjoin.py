@@ -39,6 +39,13 @@ def gathered_sketch(rows: DataFrame) -> np.ndarray:
     return out
 
 
+def rarity_rank(counts: np.ndarray):
+    """A function of tokens: the rank of their counter, the rarest first (16 bits)."""
+    rank = np.empty(BUCKETS, dtype=np.uint64)
+    rank[np.argsort(counts, kind="stable")] = np.arange(BUCKETS, dtype=np.uint64)
+    return lambda values: rank[bucket_of(values)]
+
+
 def rarity_order(values: np.ndarray, owner: np.ndarray, counts: np.ndarray) -> np.ndarray:
     """Order of tokens group by group, the rarest first. The tokens of a group come in order of
     value, which a stable sort keeps among equally rare ones."""
@@ -64,11 +71,14 @@ def _filters(n1, p1, n2, p2, num: int, den: int) -> Column:
     return sizes & (F.least(n1 - p1, n2 - p2) >= _needed(n1, n2, num, den))
 
 
-def shared_postings(postings: DataFrame) -> DataFrame:
-    """The postings (t, id, n, p) whose token more than one set holds, saved."""
-    every = saved(postings, "join-all")  # the texts are read once for the count and the join
-    often = saved(every.groupBy("t").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("t"), "join-shared")
-    made = saved(join_measured(every, often, ["t"], "inner"), "join-postings")
+def shared_postings(lists: DataFrame) -> DataFrame:
+    """The postings (t, id, n, p) of ``lists`` (id, n, ts: the prefix in order) whose token more
+    than one set holds, saved."""
+    every = saved(lists, "join-all")  # the texts are read once for the count and the join
+    often = every.select(F.explode("ts").alias("t")).groupBy("t").agg(F.count(F.lit(1)).alias("c"))
+    often = saved(often.where("c > 1").select("t"), "join-shared")
+    postings = every.select("id", "n", F.posexplode("ts").alias("p", "t")).select("t", "id", "n", "p")
+    made = saved(join_measured(postings, often, ["t"], "inner"), "join-postings")
     discard(every, often)
     return made
 

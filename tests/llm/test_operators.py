@@ -14,7 +14,7 @@ import pytest
 import corpus_pipeline
 from clickflow.llm import chat, licenses, line_dedup, mixing, near_dup, pieces, quality, token_counts, topk, toxicity
 from clickflow.llm.components import components
-from clickflow.llm.shingles import fingerprints, shingle_sets
+from clickflow.llm.shingles import fingerprints, hashed_lines, hashed_texts, pieces as line_pieces, shingle_sets
 from conftest import rows
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
@@ -265,9 +265,27 @@ def test_licences_and_inheritance(spark):
 
 
 def test_shingle_sets():
-    values, owner, sizes = shingle_sets([[b"a"] * 9, [], [b"a", b"b"], [b"b", b"a"], [b"a", b"b"]])
+    values, owner, sizes = shingle_sets(*hashed_texts([b"a " * 9, b"", b"a b", b"b a", b"A\tB"]))
     f1, _ = fingerprints(values, owner, 5)
     assert sizes.tolist() == [1, 0, 1, 1, 1] and f1[2] == f1[4] != f1[3]
+    by_rank = shingle_sets(*hashed_texts([b"c d e f g h i j", b"x"]), rank=lambda v: v % np.uint64(7))
+    ranks = (by_rank[0][:4] % np.uint64(7)).tolist()
+    assert ranks == sorted(ranks) and by_rank[2].tolist() == [4, 1]
+
+
+def test_words_hashed_in_bulk():
+    rng = random.Random(5)
+    texts = ["".join(rng.choice(["a", "B", "\u00a0", "\u00e9", " ", "\t", "\x0b", "\r", "\n", "xyzxyzxy", "w" * 9, "v" * 70])
+                     for _ in range(rng.randrange(80))).encode() for _ in range(300)] + [b"", b"\n\n", b" "]
+    words, sizes, of, number = hashed_lines(texts)
+    lines = [(i, k, line.split()) for i, t in enumerate(texts) for k, line in enumerate(t.lower().split(b"\n"))]
+    assert [(i, k, len(w)) for i, k, w in lines] == list(zip(of.tolist(), number.tolist(), sizes.tolist(), strict=True))
+    plain = [w for *_, ws in lines for w in ws]
+    assert len(set(zip(plain, words.tolist(), strict=True))) == len(set(plain)) == len(set(words.tolist()))
+    for limit in (1, 10, 1000):
+        cut = list(line_pieces(texts, limit))
+        assert [b"\n".join(p for i, _, p in cut if i == k) for k in range(len(texts))] == texts
+        assert all(first == sum(p.count(b"\n") + 1 for j, f, p in cut if j == i and f < first) for i, first, _ in cut)
 
 
 def test_pipeline_stages_keep_columns_and_act(spark, make_docs):
