@@ -39,8 +39,8 @@ def hashed_lines(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray
     starts, length = cuts[0::2], cuts[1::2] - cuts[0::2]
     # eight bytes at a time: words of up to eight bytes have no collisions among their length
     eight = np.ndarray(len(low) - 7, dtype="<u8", buffer=low, strides=(1,))
-    h = mixed(length.astype(np.uint64), 4)
-    k, at = 0, np.arange(len(starts))
+    h = mixed((length.astype(np.uint64) * _ODD[0]) ^ (eight[starts] & _FIRST[np.minimum(length, 8)]), 6)
+    k, at = 8, np.flatnonzero(length > 8)
     while len(at) and k < _LONG_WORD:
         h[at] = mixed(h[at] ^ (eight[starts[at] + k] & _FIRST[np.minimum(length[at] - k, 8)]), 6)
         k += 8
@@ -74,9 +74,10 @@ def shingle_sets(w: np.ndarray, sizes: np.ndarray, rank=None) -> tuple[np.ndarra
     place = np.arange(total) - np.repeat(np.cumsum(sizes) - sizes, sizes)
     length = np.repeat(sizes, sizes)
     at = np.flatnonzero(place + WIDTH <= length)
-    h = np.zeros(len(at), dtype=np.uint64)
+    h = np.zeros(max(0, total - WIDTH + 1), dtype=np.uint64)
     for k in range(WIDTH):
-        h += w[at + k] * _ODD[k]
+        h += w[k:k + len(h)] * _ODD[k]
+    h = h[at]
     short_at = np.flatnonzero((length < WIDTH) & (place == 0))
     s = mixed(length[short_at].astype(np.uint64), 5)
     for k in range(WIDTH - 1):
@@ -120,7 +121,7 @@ def fingerprints(values: np.ndarray, owner: np.ndarray, n: int) -> tuple[np.ndar
     return out[0], out[1]
 
 
-def portions(items, weight, limit: int = 1 << 20):
+def portions(items, weight, limit: int = 1 << 19):
     """Runs of ``items`` (texts, by characters) whose weights add up to about ``limit``."""
     held, size = [], 0
     for x in items:
