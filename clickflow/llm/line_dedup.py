@@ -147,7 +147,7 @@ def removed_lines(docs: DataFrame, num: int = 80, den: int = 100) -> DataFrame:
     central = saved(setjoin.central_pairs(postings, num, den), "line-central")
     gone = saved(setjoin.verified(central, sets, num, den).select("b").distinct(), "line-gone")
     labels = sets.select("id", "bits").join(gone.select(F.col("b").alias("id"), F.lit(True).alias("gone")), "id", "left")
-    rest = setjoin.open_pairs(postings.join(labels, "id"), F.col("y_gone").isNull() & (F.col("x_id") < F.col("y_id")), num, den)
+    rest = setjoin.open_pairs(postings.where("c > 2").join(labels, "id"), F.col("y_gone").isNull() & (F.col("x_id") < F.col("y_id")), num, den)
     more = setjoin.verified(rest.join(central, ["a", "b"], "left_anti"), sets, num, den).select("b")
     near = gone.unionByName(more).distinct().select("b.d", "b.l")
     removed = saved(later.unionByName(near), "line-removed")

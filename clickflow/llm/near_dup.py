@@ -169,9 +169,9 @@ def _links(clustered: DataFrame, docs: DataFrame, num: int, den: int) -> DataFra
                   .select(F.col("a").alias("u"), F.col("b").alias("v")), "near-links")
     known = saved(components(found), "near-known")
     labels = sets.select("id", "bits").join(known, F.col("id") == F.col("node"), "left").select(
-        "id", "bits", F.coalesce("component", "id").alias("c"))
-    labelled = postings.join(labels, "id").select("t", "id", "n", "p", "c", "bits")
-    rest = setjoin.open_pairs(labelled, F.col("x_c") < F.col("y_c"), num, den)
+        "id", "bits", F.coalesce("component", "id").alias("root"))
+    labelled = postings.where("c > 2").join(labels, "id").select("t", "id", "n", "p", "c", "root", "bits")
+    rest = setjoin.open_pairs(labelled, F.col("x_root") < F.col("y_root"), num, den)
     more = setjoin.verified(rest, sets, num, den).select(F.col("a").alias("u"), F.col("b").alias("v"))
     links = saved(found.unionByName(more), "near-links")
     discard(wanted, sets, postings, found, known)

@@ -10,7 +10,8 @@ one count. The rest is joined in two steps: first each token's most central set
 with the fewest rarer tokens) with the token's other sets, then, once the callers have
 merged or removed what that finds, whatever pairs are still open and whose parity bits
 differ in few enough places (an exact filter). Groups of copies so cost
-one pair per member instead of all pairs, and no pair is lost. Candidates are verified on
+one pair per member instead of all pairs, and no pair is lost. A token that two sets hold is
+done after the first step, as its only pair is that of the central set and the other. Candidates are verified on
 the full sets. All joins are plain shuffled ones, whose hot keys adaptive execution splits.
 """
 
@@ -72,11 +73,11 @@ def _filters(n1, p1, n2, p2, num: int, den: int) -> Column:
 
 
 def shared_postings(lists: DataFrame) -> DataFrame:
-    """The postings (t, id, n, p) of ``lists`` (id, n, ts: the prefix in order) whose token more
-    than one set holds, saved."""
+    """The postings (t, id, n, p, c) of ``lists`` (id, n, ts: the prefix in order) whose token
+    more than one set holds, with the number of sets that hold it, saved."""
     every = saved(lists, "join-all")  # the texts are read once for the count and the join
     often = every.select(F.explode("ts").alias("t")).groupBy("t").agg(F.count(F.lit(1)).alias("c"))
-    often = saved(often.where("c > 1").select("t"), "join-shared")
+    often = saved(often.where("c > 1"), "join-shared")
     postings = every.select("id", "n", F.posexplode("ts").alias("p", "t")).select("t", "id", "n", "p")
     made = saved(join_measured(postings, often, ["t"], "inner"), "join-postings")
     discard(every, often)
@@ -111,9 +112,11 @@ def _bits_allow(x: Column, y: Column, n1: Column, n2: Column, num: int, den: int
 
 
 def open_pairs(postings: DataFrame, is_open: Column, num: int, den: int) -> DataFrame:
-    """Distinct candidates (a, b) of all sets that share a token and for which ``is_open``,
+    """Distinct candidates (a, b) of all sets that share a token, beyond those that
+    ``central_pairs`` gives for tokens of two sets, and for which ``is_open``,
     over the columns of ``postings`` prefixed x_ and y_, holds. ``postings`` has the parity
     ``bits`` of each set and may carry more columns. ``is_open`` decides which side is which."""
+    postings = postings.where("c > 2").drop("c")
     x, y = (postings.select(*[F.col(c).alias(f"{s}_{c}") for c in postings.columns]) for s in "xy")
     joined = x.join(y, (F.col("x_t") == F.col("y_t")) & is_open & _filters(
         F.col("x_n"), F.col("x_p"), F.col("y_n"), F.col("y_p"), num, den) & _bits_allow(
