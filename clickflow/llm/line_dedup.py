@@ -132,7 +132,10 @@ def _sets(docs: DataFrame, lines: DataFrame) -> DataFrame:
                      pa.ListArray.from_arrays(steps, pa.array(bits))], names=["d", "l", "tokens", "bits"])
 
     got = rows.select("doc_id", "text", "lines").mapInArrow(made, "d long, l int, tokens array<long>, bits array<long>")
-    return saved(got.select(F.struct("d", "l").alias("id"), "tokens", "bits").dropDuplicates(["id"]), "line-sets")
+    sets = got.select(F.struct("d", "l").alias("id"), "tokens", "bits")
+    # one set per id; without repeated ids (one look at that column) nothing has to be shuffled
+    repeated = docs.select(F.col("doc_id").cast("long").alias("i")).where("i is not null").groupBy("i").agg(F.count(F.lit(1)).alias("c")).where("c > 1").limit(1)
+    return saved(sets if repeated.isEmpty() else sets.dropDuplicates(["id"]), "line-sets")
 
 
 def removed_lines(docs: DataFrame, num: int = 80, den: int = 100) -> DataFrame:
@@ -162,9 +165,10 @@ def dedup_lines(docs: DataFrame, num: int = 80, den: int = 100) -> DataFrame:
     rows = packed(docs, _id=F.col("doc_id").cast("long"), _t=F.col("text"))
     rows = join_measured(rows, saved(gone, "line-lists"), {"doc": F.col("_id")})
     split = F.split("_t", "\n")
+    lines = F.octet_length("_t") - F.octet_length(F.replace("_t", F.lit("\n"), F.lit(""))) + 1
     left = F.array_join(F.filter(split, lambda x, i: ~F.array_contains("_gone", i)), "\n")
     return rows.select("_row", F.when(F.col("_gone").isNull() | F.col("_t").isNull(), F.col("_t")).otherwise(left).alias("_text"),
-                       F.coalesce(F.size(split), F.lit(0)).cast("long").alias("_lines"),
+                       F.coalesce(lines, F.lit(0)).cast("long").alias("_lines"),
                        F.when(F.col("_gone").isNull(), 0).otherwise(F.size("_gone")).cast("long").alias("_removed"))
 
 
