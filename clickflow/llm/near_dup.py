@@ -144,7 +144,7 @@ def prefixes(sets: DataFrame, counts: np.ndarray, num: int, den: int) -> DataFra
             owner = np.repeat(np.arange(len(sizes)), sizes)
             values = values[setjoin.rarity_order(values, owner, counted)]
             place = np.arange(len(values)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-            lengths = setjoin.prefix_size(sizes, num, den) * (sizes > 0)
+            lengths = setjoin.prefix_size(sizes, num, den)
             keep = place < lengths[owner]
             group = b.column(1).to_numpy().astype(np.int64).view(np.uint64)[owner[keep]]
             tokens = mixed(values[keep] ^ mixed(group, 21), 22).view(np.int64)

@@ -55,8 +55,9 @@ def rarity_order(values: np.ndarray, owner: np.ndarray, counts: np.ndarray) -> n
 
 
 def prefix_size(n, num: int, den: int):
-    """Tokens of a set of ``n`` that any match of similarity num/den must reach."""
-    return n - (num * n + den - 1) // den + 1
+    """Tokens of sets of ``n`` that any match of similarity num/den must reach; none where even a
+    set with one more token is less similar, so that only equal sets (one class) match."""
+    return np.where(den * n >= num * (n + 1), n - (num * n + den - 1) // den + 1, 0)
 
 
 def _needed(n1: Column, n2: Column, num: int, den: int) -> Column:
