@@ -35,9 +35,11 @@ MARK = "▁"
 #: First characters of remembered keys that are not a word after a mark (noncharacters).
 WHOLE, BARE = "\ufffe", "\uffff"
 #: Segments remembered per task, and the longest that is remembered.
-REMEMBERED, LONGEST = 1_000_000, 64
+REMEMBERED, LONGEST = 400_000, 64
 #: Characters of text whose new segments are checked in one call.
 CHECKED = 1 << 20
+#: Rows whose ids and decoded texts are held at a time.
+SLICE = 512
 
 
 class PieceCodec:
@@ -214,7 +216,7 @@ def encode_decode(docs: DataFrame, path: str, with_ids: bool = False) -> DataFra
 
     def coded(batches):
         codec = PieceCodec(shipped.value)
-        for batch in batches:
+        for batch in (b.slice(k, SLICE) for b in batches for k in range(0, b.num_rows, SLICE)):
             rows = codec.encode([t or "" for t in batch.column(1).to_pylist()])
             digest, said, texts = [], [], []
             for ids in rows:
