@@ -37,6 +37,8 @@ from clickflow.llm.shingles import fingerprints, hashed_texts, mixed, portions,
 BANDS, ROWS = 32, 4
 M = BANDS * ROWS
 _U = np.uint64
+#: Members of sets whose prefixes are cut at a time (a larger set is cut alone).
+HELD = 1 << 19
 #: Rank in the high bits of a signature value, the fraction below.
 _RANK = _U(56)
 
@@ -127,6 +129,16 @@ def full_sets(docs: DataFrame) -> DataFrame:
     return docs.select("text").mapInArrow(made, "f1 long, f2 long, tokens array<long>, bits array<long>")
 
 
+def _held(batch):
+    """Slices of a batch (id, cluster, tokens) of about ``HELD`` tokens."""
+    ends = np.cumsum(batch.column(2).value_lengths().to_numpy().astype(np.int64))
+    cuts = np.r_[np.flatnonzero(np.diff(ends // HELD)) + 1, batch.num_rows]
+    start = 0
+    for end in cuts:
+        yield batch.slice(start, end - start)
+        start = end
+
+
 def prefixes(sets: DataFrame, counts: np.ndarray, num: int, den: int) -> DataFrame:
     """(id, n, ts) of each set (id, cluster, tokens): its size and its rarest tokens; tokens of
     different clusters differ."""
@@ -136,11 +148,10 @@ def prefixes(sets: DataFrame, counts: np.ndarray, num: int, den: int) -> DataFra
 
     def cut(batches):
         counted = shipped.value
-        for b in batches:
+        for b in (part for batch in batches for part in _held(batch)):
             lists = b.column(2)
-            ends = lists.offsets.to_numpy()
-            values = lists.values.to_numpy()[ends[0]:ends[-1]].view(np.uint64)
-            sizes = np.diff(ends).astype(np.int64)
+            values = lists.flatten().to_numpy().view(np.uint64)
+            sizes = lists.value_lengths().to_numpy().astype(np.int64)
             owner = np.repeat(np.arange(len(sizes)), sizes)
             values = values[setjoin.rarity_order(values, owner, counted)]
             place = np.arange(len(values)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
