@@ -65,7 +65,7 @@ def name_of(html: str | None) -> str:
     except Exception:  # noqa: BLE001 - malformed markup falls back like a missing tag
         pass
     text = "".join(p.texts)
-    if text:
+    if text and text != UNKNOWN_NAME:
         return text
     if p.og:
         return p.og

@@ -24,7 +24,7 @@ def is_nested_type(dt: T.DataType) -> bool:
 
 def json_text(c: Column, dt: T.DataType) -> Column:
     if isinstance(dt, T.VariantType):
-        return F.to_json(c)
+        return F.try_variant_get(c, "$", "string")  # plain text of scalars, JSON of arrays and objects
     return F.to_json(c, JSON_OPTIONS)
 
 

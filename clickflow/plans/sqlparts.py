@@ -54,28 +54,32 @@ FINISHED = """finished AS (
  SELECT DISTINCT product_id FROM final
  WHERE status IN ('success', 'err_404') AND product_id IS NOT NULL AND product_id <> '')"""
 
-# Regex text extraction in DuckDB, same patterns as clickflow.functions.html.
+# Regex text extraction in DuckDB, for the page shapes of the fixture.
 def name_sql(html: str) -> str:
-    from clickflow.functions.html import (ENTITIES, HEADING_PATTERN, OG_CONTENT_DQ, OG_CONTENT_SQ,
-                                          OG_TAG_PATTERN, SPAN_PATTERN, TAG_WITH_SPACE)
+    # patterns of the oracle's own: nothing is shared with the code under test
+    heading_pattern = r"(?is)<h1\s[^>]*class\s*=\s*[\"'](?:[^\"']*\s)?page-title(?:\s[^\"']*)?[\"'][^>]*>(.*?)</h1\s*>"
+    span_pattern = r"(?is)<span(?:\s[^>]*)?>(.*?)</span\s*>"
+    tag_pattern = r"(?is)(<meta\s[^>]*property\s*=\s*[\"']og:title[\"'][^>]*>)"
+    content_dq, content_sq = r"(?is)\scontent\s*=\s*\"([^\"]*)\"", r"(?is)\scontent\s*=\s*'([^']*)'"
+    entities = (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&apos;", "'"), ("&nbsp;", " "), ("&amp;", "&"))
 
     def q(p: str) -> str:
         return "'" + p.replace("'", "''") + "'"
 
     def decode(x: str) -> str:
-        for ent, ch in ENTITIES:
+        for ent, ch in entities:
             x = f"replace({x}, {q(ent)}, {q(ch)})"
         return x
 
     def strip(x: str) -> str:
         return f"regexp_replace({x}, '^\\s+|\\s+$', '', 'g')"
 
-    heading = f"regexp_extract({html}, {q(HEADING_PATTERN)}, 1)"
-    span = f"regexp_extract({heading}, {q(SPAN_PATTERN)}, 1)"
-    text = strip(decode(f"regexp_replace({span}, {q(TAG_WITH_SPACE)}, '', 'g')"))
-    tag = f"regexp_extract({html}, {q(OG_TAG_PATTERN)}, 1)"
-    content = (f"coalesce(nullif(regexp_extract({tag}, {q(OG_CONTENT_DQ)}, 1), ''), "
-               f"nullif(regexp_extract({tag}, {q(OG_CONTENT_SQ)}, 1), ''))")
+    heading = f"regexp_extract({html}, {q(heading_pattern)}, 1)"
+    span = f"regexp_extract({heading}, {q(span_pattern)}, 1)"
+    text = strip(decode(f"regexp_replace({span}, '\\s*<[^>]+>\\s*', '', 'g')"))
+    tag = f"regexp_extract({html}, {q(tag_pattern)}, 1)"
+    content = (f"coalesce(nullif(regexp_extract({tag}, {q(content_dq)}, 1), ''), "
+               f"nullif(regexp_extract({tag}, {q(content_sq)}, 1), ''))")
     return f"coalesce(nullif({text}, ''), nullif({decode(content)}, ''), 'Unknown name')"
 
 

@@ -1,5 +1,7 @@
 """Attempt outcomes, final status resolution, messages and name extraction."""
 
+import pytest
+
 from clickflow.operators import attempts as att
 from conftest import rows
 
@@ -84,3 +86,24 @@ def test_parser_method_handles_nesting(spark):
     ], "product_id string, html string")
     got = dict(rows(att.extract_name(df, method="parser"), "product_id", "product_name"))
     assert got == {"1": "Innertail & co", "2": "Og", "3": "Unknown name"}
+
+
+@pytest.mark.parametrize("method", ["regex", "parser"])
+def test_extract_name_on_ordinary_markup(spark, method):
+    """Page markup with names as a browser shows them, for both paths."""
+    h = '<h1 class="page-title">'
+    pages = [
+        ("numeric", h + "<span>A &#8211; B&#x2019;s</span></h1>", "A \u2013 B\u2019s"),
+        ("named", h + "<span>K&ouml;nig &amp;lt; &#38;gt;</span></h1>", "K\u00f6nig &lt; &gt;"),
+        ("second heading", h + "none</h1>" + h + "<span>Second</span></h1>", "Second"),
+        ("unquoted", "<h1 class=page-title><span>Plain</span></h1>", "Plain"),
+        ("comment", "<!-- " + h + "<span>Old</span></h1> -->" + h + "<span>New</span></h1>", "New"),
+        ("nested", h + "<span>A<span>B</span>C</span> <span>D</span></h1>", "ABC"),
+        ("says unknown", h + "<span>Unknown name</span></h1><meta property=og:title content=Og>", "Og"),
+        ("bad number", h + "<span>x&#1114112;&#55296;y</span></h1>", "x\ufffd\ufffdy"),
+        ("other attribute", '<h1 data-class="page-title"><span>No</span></h1>', "Unknown name"),
+        ("many tags", h + "<span>" + "<b>x</b>" * 20000 + "</span></h1>", "x" * 20000),
+    ]
+    df = spark.createDataFrame([p[:2] for p in pages], "product_id string, html string")
+    got = dict(rows(att.extract_name(df, method=method), "product_id", "product_name"))
+    assert got == {p[0]: p[2] for p in pages}

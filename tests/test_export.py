@@ -141,3 +141,11 @@ def test_row_numbers_with_duplicate_keys_is_a_permutation(spark):
         F.min("row_number").alias("lo"), F.max("row_number").alias("hi")).collect()}
     ordered = [per_key[k] for k in sorted(per_key)]
     assert all(a[1] < b[0] for a, b in zip(ordered, ordered[1:]))
+
+
+def test_standardize_writes_variant_scalars_as_plain_text(spark):
+    df = spark.sql("""SELECT k, parse_json(j) AS v FROM VALUES (1, '"abc"'), (2, '{"a":[1,"x"]}'), (3, '1.5'), (4, 'true'),
+                      (5, 'null'), (6, CAST(NULL AS STRING)) AS t(k, j)""")
+    from clickflow.operators.standardize import standardize
+    got = {r["k"]: r["v"] for r in standardize(df).collect()}
+    assert got == {1: "abc", 2: '{"a":[1,"x"]}', 3: "1.5", 4: "true", 5: None, 6: None}
