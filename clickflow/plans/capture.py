@@ -75,11 +75,12 @@ def run_capture(spark: SparkSession, raw: DataFrame, attempts: DataFrame, pages:
     root = out_root.rstrip("/")
     reports = []
     per_round = "round" in attempts.columns
+    products = cand.count_products(raw).first()["total_products"]  # one event scan for all rounds
     # without a round column every round would read the same attempts again
     for r in range(1, (rounds if per_round else 1) + 1):
         finished = read_finished_ids(spark, *sinks.finished_paths(f"{root}/finished"))
         # the original's "total": distinct ids minus finished ids (an estimate)
-        total = cand.pending_count(raw, finished, markers).first()["pending_estimate"]
+        total = products - cand.finished_union(finished).count()
         rnd = capture_round(raw, attempts, pages, finished, markers, round_no=r if per_round else None)
         # the round's log feeds four sinks: computed once, kept for the round
         log = rnd.log.persist()
