@@ -1,22 +1,23 @@
 """Licence scans.
 
-Lines are compared with licence templates by TF-IDF cosine over their words. Template terms
-carry inverse document frequencies counted over all files; words of a line outside the
-templates weigh as much as the rarest term, so ordinary prose never comes near a template.
-A file's own licence is its best line or block (headers may stand anywhere in the text; two
-lines that follow each other are also taken together) with a cosine of at least ``LEAST``.
+Windows of words are compared with licence templates by TF-IDF cosine. The weights are
+those of the terms among the templates and one fixed weight for all other words, so a text
+has the same licence in a table of any size. Words before and after a notice do not count:
+around each word that tells a template, the best window of about its length is taken,
+across line breaks and comment signs. A window holds the template's licence names and
+version numbers and no others, so siblings (CC BY-ND, GPL 2) are not taken for each other.
+A file's own licence is its best window with a cosine of at least ``LEAST``.
 
 A file that is a licence file (by name, or because most of its words stand in licence lines)
 declares the licence of its directory. Files without a licence of their own inherit from
 the nearest ancestor directory that declares one: directories are expanded to their
 ancestors (bounded by path depth), joined with the declaring ones, and the deepest wins.
 
-Two scans stream through Arrow batches; only template terms are counted (bounded), one
-row per directory is joined, and files meet their directory's licence by a measured
+One scan streams through Arrow batches; one row per directory is joined, and files meet their directory's licence by a measured
 broadcast or a shuffled join whose hot directories adaptive execution splits.
 
 Defined results: a null or empty text has no licence of its own; equal cosines go to the
-template first in order of name, of a directory's declarations a named
+earlier place, there to the longer template, then the first name; of a directory's declarations a named
 licence file counts before others, then the higher cosine, then the later name;
 a null path has no directory and inherits nothing; repeated rows get equal results; an
 empty table gives an empty result.
@@ -48,83 +49,137 @@ TEMPLATES = {
     "MIT": ["Released under the MIT License", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software"],
     "MPL-2.0": ["This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0"],
 }
+#: Licences whose notices hold those of a more general one, which then does not count.
+WITHIN = {"BSD-3-Clause": ["BSD-2-Clause"], "BSD-4-Clause": ["BSD-2-Clause", "BSD-3-Clause"],
+          "GPL-2.0": ["GPL-1.0-or-later"], "GPL-3.0": ["GPL-1.0-or-later"]}
 LEAST = 0.75
 #: Share of a file's words in licence lines from which it is a licence file.
 MOSTLY = 0.5
 NAMES = r"(?i)(^|/)(licen[cs]e|copying|notice|unlicense)([.\-][^/]*)?$"
 TERM = re.compile(r"[a-z0-9]+(?:\.[0-9]+)*")
+#: Weight of a word outside the templates, as that of a term in a seventh of the licences.
+OTHER = 3.0
+#: Words that name a licence: a window holds those of its template and no others.
+NAMING = set("mit apache bsd isc gnu gpl lgpl agpl affero lesser library mozilla mpl cc creative commons nc sa nd "
+             "noncommercial sharealike noderivatives cc0 zero boost bsl unlicense zlib eclipse epl simplified".split())
+#: Words that a window must hold if its template does.
+TELLING = NAMING | set("under by attribution spdx permission granted redistribution neither endorse".split())
+NUMBER = re.compile(r"[0-9](?:\.[0-9])?")
+#: One of these stands in every notice (in the normal form).
+MARKS = ("licens", "permission", "redistribution", "cc0", "neither the name")
+#: Spellings brought to one form.
+FORMS = [(re.compile(a), b) for a, b in (
+    (r"licenc", "licens"), (r"non[- ]commercial", "noncommercial"), (r"share[- ]alike", "sharealike"),
+    (r"no[- ]?deriv(ative)?s\b", "noderivatives"), (r"\b([al]?gpl|mpl)(?=v?[0-9])", r"\1 "),
+    (r"\bv(?:er(?:sion)?)?\.? ?(?=[0-9])", "version "), (r"\b([0-9])\.0\b(?!\.[0-9])", r"\1"))]
+
+
+def normal(text: str) -> str:
+    low = text.lower().replace("licenc", "licens")
+    if not any(m in low for m in MARKS):
+        return ""
+    for form, plain in FORMS:
+        low = form.sub(plain, low)
+    return low
 
 
 def terms(text: str) -> list[str]:
-    return TERM.findall(text.lower())
+    return TERM.findall(text)
 
 
-def vocabulary(templates=TEMPLATES) -> set[str]:
-    return {t for texts in templates.values() for text in texts for t in terms(text)}
+class Template:
+    """A notice, found by its rarest naming or telling term; a heading fills its lines."""
 
+    def __init__(self, name: str, text: str, idf: dict[str, float]):
+        self.name, self.heading = name, text.startswith("= ")
+        words = self.words = terms(normal(text))
+        v = {t: c * idf[t] for t, c in Counter(words).items()}
+        norm = math.sqrt(sum(x * x for x in v.values()))
+        self.vector = {t: x / norm for t, x in v.items()}
+        self.numbers = {w for w in words if NUMBER.fullmatch(w)}
+        self.must = self.numbers | (set(words) & TELLING)
+        self.anchor = max(sorted(self.must - self.numbers) or sorted(self.must), key=lambda t: (idf[t], t))
+        self.at = sorted({i for i, w in enumerate(words) if w == self.anchor})
+        self.slack = 0 if self.heading else min(3, len(words) // 3)
+
+    def names(self, window: list[str]) -> bool:
+        got = set(window)
+        return self.must <= got and got & NAMING == self.must & NAMING and (
+            not self.numbers or {w for w in got if NUMBER.fullmatch(w)} == self.numbers)
 
-class Matcher:
-    """Best template of a line, given document frequencies of the template terms."""
 
-    def __init__(self, n_files: int, df: dict[str, int], templates=TEMPLATES):
-        self.vocab = vocabulary(templates)
-        idf = {t: math.log((1 + n_files) / (1 + df.get(t, 0))) + 1 for t in self.vocab}
-        self.idf, self.other = idf, math.log(1 + n_files) + 1
-        self.vectors = []
+class Matcher:
+    """Notices of a text. Weights come from the templates alone, so a text has the same
+    licence in every table, whatever its size and its other rows."""
+
+    def __init__(self, templates=None):
+        templates = TEMPLATES if templates is None else templates
+        holds = Counter(t for texts in templates.values() for t in {t for x in texts for t in terms(normal(x))})
+        self.idf = {t: math.log((1 + len(templates)) / (1 + n)) + 1 for t, n in holds.items()}
+        self.anchors: dict[str, list[Template]] = {}
         for name in sorted(templates):
             for text in templates[name]:
-                v = {t: c * idf[t] for t, c in Counter(terms(text)).items()}
-                norm = math.sqrt(sum(x * x for x in v.values()))
-                self.vectors.append((name, {t: x / norm for t, x in v.items()}))
-
-    def best(self, words: list[str]) -> tuple[str | None, float]:
-        counts = Counter(words)
-        v = {t: c * self.idf.get(t, self.other) for t, c in counts.items()}
-        norm = math.sqrt(sum(x * x for x in v.values())) or 1.0
-        name, top = None, 0.0
-        for n, t in self.vectors:
-            dot = sum(x * v[k] for k, x in t.items() if k in v) / norm
-            if dot > top + 1e-12:
-                name, top = n, dot
-        return (name, top) if top >= LEAST else (None, 0.0)
+                t = Template(name, text, self.idf)
+                self.anchors.setdefault(t.anchor, []).append(t)
+
+    def cosine(self, template: Template, window: list[str]) -> float:
+        counts = Counter(window)
+        dot = norm = 0.0
+        for w, c in counts.items():
+            x = c * self.idf.get(w, OTHER)
+            norm += x * x
+            dot += x * template.vector.get(w, 0.0)
+        return dot / math.sqrt(norm) if norm else 0.0
+
+    def window(self, t: Template, words: list[str], line: list[int], pos: int) -> tuple[float, int, int]:
+        """(cosine, start, end) of the best window of ``words`` around the anchor at ``pos``."""
+        best, size, k = (0.0, 0, 0), len(t.words), t.slack
+        if not t.must.issubset(words[max(pos - size - 2 * k, 0):pos + size + 2 * k + 1]):
+            return best
+        for off in t.at:
+            for start in range(max(pos - off - k, 0), min(pos, pos - off + k) + 1):
+                for end in range(max(start + size - k, pos + 1), min(start + size + k, len(words)) + 1):
+                    if t.heading and (start and line[start - 1] == line[start] or end < len(words) and line[end] == line[end - 1]):
+                        continue
+                    part = words[start:end]
+                    if t.names(part) and (c := self.cosine(t, part)) > best[0] + 1e-12:
+                        best = (c, start, end)
+        return best
 
     def scan(self, text: str) -> tuple[str | None, float, float]:
         """(licence, cosine, share of the words in licence lines) of a whole text."""
-        name, top, inside, total, last = None, 0.0, 0, 0, []
-        for line in text.split("\n"):
-            words = terms(line)
-            total += len(words)
-            hits = sum(1 for w in words if w in self.vocab)
-            got: tuple[str | None, float] = (None, 0.0)
-            # below half of the words no cosine reaches the threshold: others weigh most
-            if hits >= 2 and 2 * hits >= len(words):
-                got = self.best(words)
-                both = self.best(last + words) if last else (None, 0.0)
-                if both[1] > got[1]:
-                    got = both
-            if got[0]:
-                inside += len(words)
-                if got[1] > top + 1e-12:
-                    name, top = got
-            last = words if hits >= 2 and 2 * hits >= len(words) else []
-        return name, top, inside / total if total else 0.0
-
-
-def term_counts(files: DataFrame) -> tuple[int, dict[str, int]]:
-    """Files, and files that hold each template term (counted over all; bounded by the terms)."""
-    words = F.split(F.lower(F.coalesce(F.col("text"), F.lit(""))), r"[^a-z0-9.]+")
-    clean = F.transform(words, lambda w: F.rtrim(w, F.lit(".")))
-    wanted = F.array(*[F.lit(t) for t in sorted(vocabulary())])
-    row = files.select(F.explode_outer(F.array_intersect(wanted, clean)).alias("term")).where("term is not null")
-    counts = {r["term"]: r["n"] for r in row.groupBy("term").agg(F.count(F.lit(1)).alias("n")).collect()}
-    return files.count(), counts
+        low = normal(text)
+        if not low:
+            return None, 0.0, 0.0
+        words, line = [], []
+        for i, row in enumerate(low.split("\n")):
+            got = terms(row)
+            words += got
+            line += [i] * len(got)
+        found: dict[str, tuple] = {}
+        lines: set[int] = set()
+        for pos, w in enumerate(words):
+            for t in self.anchors.get(w, ()):
+                c, start, end = self.window(t, words, line, pos)
+                if c >= LEAST:
+                    lines.update(line[start:end])
+                    # the higher cosine, the earlier place, the longer template, the first name
+                    key = (-round(c, 9), start, -len(t.words), t.name)
+                    found[t.name] = min(found.get(t.name, key), key)
+        for name in set(found) & set(WITHIN):
+            for general in WITHIN[name]:
+                found.pop(general, None)
+        if not found:
+            return None, 0.0, 0.0
+        top = min(found.values())
+        return top[3], -top[0], sum(1 for x in line if x in lines) / len(words)
 
 
 def own_licences(files: DataFrame) -> DataFrame:
     """(key, path, licence, cosine, share) of every row of ``files`` (key, path, text)."""
     import pyarrow as pa
 
-    shipped = files.sparkSession.sparkContext.broadcast(Matcher(*term_counts(files)))
+    shipped = files.sparkSession.sparkContext.broadcast(Matcher())
 
     def scanned(batches):
         m = shipped.value
