@@ -34,21 +34,56 @@ from pyspark.sql import functions as F
 
 from clickflow.llm.common import join_measured, saved
 
-#: Short notices by SPDX name, in the wording that files carry them.
+#: Notices and licence texts by SPDX name. "= " marks a heading, which fills its lines; the
+#: others are found anywhere. Each also has its SPDX tag.
 TEMPLATES = {
-    "Apache-2.0": ["Licensed under the Apache License, Version 2.0", "Apache License Version 2.0, January 2004"],
-    "BSD-3-Clause": ["Redistribution and use in source and binary forms, with or without modification, are permitted",
-                     "Licensed under the BSD 3-Clause License"],
-    "CC-BY-4.0": ["Licensed under CC BY 4.0", "This work is licensed under the Creative Commons Attribution 4.0 International License"],
-    "CC-BY-NC-4.0": ["Licensed under CC BY-NC 4.0",
-                     "This work is licensed under the Creative Commons Attribution-NonCommercial 4.0 International License"],
-    "GPL-3.0": ["This work is licensed under the GNU General Public License, version 3",
-                "GNU GENERAL PUBLIC LICENSE Version 3, 29 June 2007"],
-    "ISC": ["Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted"],
-    "LGPL-3.0": ["GNU LESSER GENERAL PUBLIC LICENSE Version 3, 29 June 2007"],
-    "MIT": ["Released under the MIT License", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software"],
-    "MPL-2.0": ["This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0"],
+    "AGPL-3.0": ["GNU Affero General Public License version 3", "GNU Affero General Public License as published by the Free "
+                 "Software Foundation, either version 3 of the License", "under the AGPL version 3"],
+    "Apache-2.0": ["Licensed under the Apache License, Version 2.0", "under the Apache License, Version 2.0", "under the Apache 2.0 license",
+                   "under Apache 2.0", "= Apache License Version 2.0, January 2004", "= Apache License 2.0", "= Apache License, Version 2.0"],
+    "BSD-2-Clause": ["Redistribution and use in source and binary forms, with or without modification, are permitted",
+                     "under the BSD 2-Clause License", "under the Simplified BSD License", "= BSD 2-Clause License",
+                     "= BSD 2-Clause Simplified License"],
+    "BSD-3-Clause": ["Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote "
+                     "products derived from this software", "Licensed under the BSD 3-Clause License", "under the BSD 3-Clause License",
+                     "under the New BSD License", "= BSD 3-Clause License", "= New BSD License"],
+    "BSD-4-Clause": ["under the BSD 4-Clause License", "= BSD 4-Clause License"],
+    "BSL-1.0": ["Distributed under the Boost Software License, Version 1.0", "under the Boost Software License, Version 1.0",
+                "= Boost Software License Version 1.0 August 17th 2003"],
+    "CC0-1.0": ["Creative Commons CC0 1.0 Universal license", "under CC0 1.0", "= Creative Commons Legal Code CC0 1.0 Universal"],
+    "EPL-2.0": ["under the terms of the Eclipse Public License 2.0", "= Eclipse Public License v 2.0"],
+    "GPL-1.0": ["GNU General Public License version 1"],
+    "GPL-1.0-or-later": ["under the terms of the GNU General Public License as published by"],
+    "GPL-2.0": ["GNU General Public License version 2", "GNU General Public License as published by the Free Software Foundation; "
+                "either version 2 of the License", "under the GPL version 2", "under the GPL 2"],
+    "GPL-3.0": ["This work is licensed under the GNU General Public License, version 3", "GNU General Public License version 3",
+                "GNU General Public License as published by the Free Software Foundation, either version 3 of the License",
+                "under the GPL version 3", "under the GPL 3"],
+    "ISC": ["Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted",
+            "under the ISC License", "= ISC License", "= The ISC License"],
+    "LGPL-2.0": ["GNU Library General Public License version 2", "GNU Library General Public License as published by the Free Software "
+                 "Foundation; either version 2 of the License"],
+    "LGPL-2.1": ["GNU Lesser General Public License version 2.1", "GNU Lesser General Public License as published by the Free Software "
+                 "Foundation; either version 2.1 of the License", "under the LGPL version 2.1"],
+    "LGPL-3.0": ["GNU Lesser General Public License version 3", "GNU Lesser General Public License as published by the Free Software "
+                 "Foundation, either version 3 of the License", "under the LGPL version 3"],
+    "MIT": ["Released under the MIT License", "under the MIT License", "Permission is hereby granted, free of charge, to any person "
+            "obtaining a copy of this software", "= MIT License", "= The MIT License", "= The MIT License (MIT)"],
+    "MIT-0": ["= MIT No Attribution"],
+    "MPL-1.1": ["subject to the Mozilla Public License Version 1.1", "= Mozilla Public License Version 1.1"],
+    "MPL-2.0": ["This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0",
+                "under the Mozilla Public License, Version 2.0", "= Mozilla Public License Version 2.0"],
+    "Unlicense": ["This is free and unencumbered software released into the public domain, see unlicense", "= The Unlicense"],
+    "Zlib": ["Permission is granted to anyone to use this software for any purpose, including commercial applications",
+             "under the zlib License", "= zlib License"],
 }
+#: The Creative Commons licences differ by their conditions and versions only.
+_CONDITIONS = {"BY": "Attribution", "BY-SA": "Attribution-ShareAlike", "BY-NC": "Attribution-NonCommercial", "BY-ND": "Attribution-NoDerivatives",
+               "BY-NC-SA": "Attribution-NonCommercial-ShareAlike", "BY-NC-ND": "Attribution-NonCommercial-NoDerivatives"}
+TEMPLATES |= {f"CC-{k}-{v}": [f"Licensed under CC {k} {v}", f"under CC {k} {v}", f"under the Creative Commons {name} {v} International License",
+                              f"under a Creative Commons {name} {v} License"]
+              for k, name in _CONDITIONS.items() for v in ("2.0", "2.5", "3.0", "4.0")}
+TEMPLATES = {k: [*texts, f"SPDX-License-Identifier: {k}"] for k, texts in TEMPLATES.items()}
 #: Licences whose notices hold those of a more general one, which then does not count.
 WITHIN = {"BSD-3-Clause": ["BSD-2-Clause"], "BSD-4-Clause": ["BSD-2-Clause", "BSD-3-Clause"],
           "GPL-2.0": ["GPL-1.0-or-later"], "GPL-3.0": ["GPL-1.0-or-later"]}
@@ -65,8 +100,8 @@ NAMING = set("mit apache bsd isc gnu gpl lgpl agpl affero lesser library mozilla
 #: Words that a window must hold if its template does.
 TELLING = NAMING | set("under by attribution spdx permission granted redistribution neither endorse".split())
 NUMBER = re.compile(r"[0-9](?:\.[0-9])?")
-#: One of these stands in every notice (in the normal form).
-MARKS = ("licens", "permission", "redistribution", "cc0", "neither the name")
+#: One of these stands in every template.
+MARKS = ("licens", "licenc", "permission", "redistribution", "neither", "gnu", "gpl", "apache", "creative", "cc0", "cc by", "cc-by", "no attribution")
 #: Spellings brought to one form.
 FORMS = [(re.compile(a), b) for a, b in (
     (r"licenc", "licens"), (r"non[- ]commercial", "noncommercial"), (r"share[- ]alike", "sharealike"),
@@ -75,9 +110,7 @@ FORMS = [(re.compile(a), b) for a, b in (
 
 
 def normal(text: str) -> str:
-    low = text.lower().replace("licenc", "licens")
-    if not any(m in low for m in MARKS):
-        return ""
+    low = text.lower()
     for form, plain in FORMS:
         low = form.sub(plain, low)
     return low
@@ -148,11 +181,11 @@ class Matcher:
 
     def scan(self, text: str) -> tuple[str | None, float, float]:
         """(licence, cosine, share of the words in licence lines) of a whole text."""
-        low = normal(text)
-        if not low:
+        low = text.lower()
+        if not any(m in low for m in MARKS):
             return None, 0.0, 0.0
         words, line = [], []
-        for i, row in enumerate(low.split("\n")):
+        for i, row in enumerate(normal(low).split("\n")):
             got = terms(row)
             words += got
             line += [i] * len(got)

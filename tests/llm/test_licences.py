@@ -31,3 +31,29 @@ def test_size_of_the_table(spark):
         files = spark.range(n).selectExpr("id AS key", "concat('d', id, '/f') AS path", f"if(id = 0, '{text}', 'file not here') AS text")
         got = {tuple(r) for r in licenses.own_licences(files).where("key = 0").select("licence", "cosine").collect()}
         assert got == {("MIT", 1.0)}
+
+
+@pytest.mark.parametrize("text, name", [
+    ("Licensed under the MIT License", "MIT"), ("MIT License", "MIT"), ("Distributed under the MIT License.", "MIT"),
+    ("SPDX-License-Identifier: MIT", "MIT"), ("SPDX-License-Identifier: GPL-2.0-only", "GPL-2.0"), ("Licensed under the GPLv3", "GPL-3.0"),
+    ("it under the terms of the GNU General Public License as published by", "GPL-1.0-or-later"),
+    ("# it under the terms of the GNU General Public License as published by\n# the Free Software Foundation; either version 2 of the License, or", "GPL-2.0"),
+    ("under the terms of the GNU Lesser General Public\nLicense as published by the Free Software Foundation; either\nversion 2.1 of the License", "LGPL-2.1"),
+    ("The ASF licenses this file to You under the Apache License, Version 2.0", "Apache-2.0"),
+    ("Licensed under the GNU General Public License, version 2", "GPL-2.0"), ("Licensed under the GNU Affero General Public License, version 3", "AGPL-3.0"),
+    ("Licensed under CC BY-SA 4.0", "CC-BY-SA-4.0"), ("Licensed under CC BY-NC-ND 4.0.", "CC-BY-NC-ND-4.0"), ("Licensed under CC BY 3.0", "CC-BY-3.0"),
+    ("This work is licensed under the Creative Commons Attribution-ShareAlike 4.0 International License", "CC-BY-SA-4.0"),
+    ("This work is licensed under the Creative Commons Attribution-NoDerivs 3.0 Unported License", "CC-BY-ND-3.0"),
+    ("Redistribution and use in source and binary forms, with or without\nmodification, are permitted", "BSD-2-Clause"),
+    ("BSD 2-Clause License", "BSD-2-Clause"), ("Mozilla Public License Version 2.0", "MPL-2.0"),
+    ("A permission slip is needed for a driving license.", None), ("It is unlike the MIT License in most respects.", None)])
+def test_ordinary_notices(text, name):
+    assert found(text) == name
+
+
+def test_every_template_is_found_under_its_own_name():
+    for name, texts in licenses.TEMPLATES.items():
+        for text in texts:
+            assert any(m in text.lower() for m in licenses.MARKS), text
+            if text not in licenses.TEMPLATES.get("BSD-3-Clause", ()):
+                assert found(text.removeprefix("= ")) == name, text
