@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -115,32 +115,86 @@ def read_pages(spark: SparkSession, path: str) -> DataFrame:
 _OID = r'^\s*\{\s*"\$oid"\s*:\s*"([0-9A-Fa-f]{24})"\s*\}\s*$'
 
 
+# A date with a time zone: "...T00:00:00Z", "...+02:00", "... UTC"
+_ZONED = r"[0-9]\s*(Z|UTC|GMT|[+-][0-9]{1,2}(:?[0-9]{2})?)$"
+
+
+def _instant(micros: Column) -> Column:
+    """Microseconds since the epoch as a UTC timestamp without zone."""
+    days = F.floor(micros / F.lit(86_400_000_000)).cast("int")
+    rest = F.pmod(micros, F.lit(86_400_000_000).cast("long"))
+    interval = F.make_dt_interval(days, F.lit(0), F.lit(0), (rest.cast("decimal(18,0)") / F.lit(1_000_000)).cast("decimal(18,6)"))
+    return F.lit("1970-01-01 00:00:00").cast("timestamp_ntz") + interval
+
+
+def _epoch(text: Column, factor: Column) -> Column:
+    """Microseconds of a number given as text; null beyond the years 1 to 9999."""
+    n = (text.try_cast("decimal(30,6)") * factor).try_cast("decimal(38,0)")
+    return F.when((n >= -62_135_596_800_000_000) & (n < 253_402_300_800_000_000), n.cast("long"))
+
+
+def utc_timestamp(text: Column) -> Column:
+    """The UTC timestamp (without zone) of a JSON value given as text: a date in ISO form
+    (without a zone it is taken as it stands), extended JSON (``$date`` as ISO text,
+    milliseconds or ``$numberLong``; ``$timestamp``) or an epoch number (from 10^11 on in
+    milliseconds, from 10^14 in microseconds, below in seconds). Null for anything else."""
+    date = F.get_json_object(text, "$['$date']")
+    millis = F.coalesce(F.get_json_object(date, "$['$numberLong']"), date)
+    plain = F.trim(F.coalesce(date, text))
+    size = F.abs(plain.try_cast("double"))
+    factor = (F.when(size >= 1e14, F.lit(1)).when(size >= 1e11, F.lit(1000)).otherwise(F.lit(1_000_000))).cast("decimal(7,0)")
+    number = F.when(date.isNotNull(), _epoch(millis, F.lit(1000).cast("decimal(7,0)"))).otherwise(_epoch(plain, factor))
+    number = F.coalesce(number, _epoch(F.get_json_object(text, "$['$timestamp'].t"), F.lit(1_000_000).cast("decimal(7,0)")))
+    iso = F.when(plain.rlike(_ZONED) & plain.contains(":"), _instant(F.unix_micros(plain.try_cast("timestamp")))).otherwise(
+        plain.try_cast("timestamp_ntz"))
+    return F.when(number.isNotNull(), _instant(number)).when(size.isNull(), iso)
+
+
+def _typed(text: Column, kind: T.DataType) -> Column:
+    """A JSON value given as text in its declared type; null if it does not convert."""
+    if isinstance(kind, T.StringType):
+        return text
+    if isinstance(kind, T.TimestampNTZType):
+        return utc_timestamp(text)
+    if isinstance(kind, (T.StructType, T.ArrayType, T.MapType)):
+        return F.from_json(text, kind)
+    return text.try_cast(kind)
+
+
+def _json_lines(spark: SparkSession, path: str, fields: Sequence[str]) -> DataFrame:
+    """The lines of a JSON export, all fields as text, so ``_malformed`` is filled only where
+    the line itself is no JSON document."""
+    schema = T.StructType([T.StructField(f, T.StringType()) for f in [*fields, "_malformed"]])
+    return (spark.read.schema(schema).option("mode", "PERMISSIVE")
+            .option("columnNameOfCorruptRecord", "_malformed").json(path))
+
+
 def read_json_events(spark: SparkSession, path: str, schema: T.StructType = RAW_JSON_SCHEMA,
                      id_col: str = "_id") -> DataFrame:
     """Raw events exported as JSON lines (one document per line, extended JSON). Malformed
-    lines are left out; ``read_bad_json`` gives them.
-
-    Read with an explicit schema: a field declared string keeps any scalar as text and any
-    nested value as its JSON text, so mixed-type fields never fail the read. The object
-    id ``{"$oid": "..."}`` becomes its 24-hex string (fixed width, so text order is the
-    id order)."""
-    reader_schema = T.StructType([T.StructField(f.name, T.StringType() if f.name == id_col else f.dataType)
-                                  for f in schema.fields])
-    df = (spark.read.schema(reader_schema.add("_malformed", T.StringType())).option("mode", "PERMISSIVE")
-          .option("columnNameOfCorruptRecord", "_malformed").json(path))
+    lines are left out; ``read_bad_json`` gives them, and no others.
+
+    Every field is read as text: any scalar as it stands, any nested value as its JSON
+    text, so mixed-type fields never fail the read. A field declared otherwise is then
+    converted (``utc_timestamp`` for ts); a value that does not convert is null and its
+    event stays. The object id ``{"$oid": "..."}`` becomes its 24-hex string (fixed width,
+    so text order is the id order)."""
+    df = _json_lines(spark, path, schema.names)
     # always true, but names a second column: the reader refuses queries (a count, say) that
     # need the malformed text alone
     read = F.col(id_col).isNull() | (F.length(id_col) >= 0)
-    df = df.where(F.col("_malformed").isNull() & read).drop("_malformed")
+    df = df.where(F.col("_malformed").isNull() & read)
+    df = df.select(*[_typed(F.col(f"`{f.name}`"), T.StringType() if f.name == id_col else f.dataType).alias(f.name) for f in schema.fields])
     oid = F.nullif(F.regexp_extract(F.col(id_col), _OID, 1), F.lit(""))
     return df.withColumn(id_col, F.coalesce(F.lower(oid), F.col(id_col)))
 
 
 def read_bad_json(spark: SparkSession, path: str) -> DataFrame:
     """The malformed lines of a JSON-lines export (source_file, line), to be quarantined and
-    counted; blank lines are no documents."""
-    lines = spark.read.text(path).select(F.col("_metadata.file_path").alias("source_file"), F.col("value").alias("line"))
-    return lines.where((F.trim("line") != "") & F.try_parse_json("line").isNull())
+    counted: those that ``read_json_events`` leaves out. Blank lines are no documents."""
+    df = _json_lines(spark, path, ["_id"]).withColumn("source_file", F.col("_metadata.file_path"))
+    read = F.col("_id").isNull() | (F.length("_id") >= 0)
+    return df.where(F.col("_malformed").isNotNull() & read).select("source_file", F.col("_malformed").alias("line"))
 
 
 def read_source(spark: SparkSession, fmt: str, path: str | None = None, schema: T.StructType | None = None,

@@ -50,3 +50,27 @@ def test_read_source_generic_and_missing_connector(spark):
     assert read_source(spark, "orc", path).count() == 1
     with pytest.raises(RuntimeError, match="not available"):
         read_source(spark, "no.such.connector", uri="x://y").count()
+
+
+def test_json_values_that_do_not_convert_keep_their_events(spark, tmp_path):
+    from datetime import datetime
+
+    from clickflow.sources.tables import read_bad_json
+    noon = datetime(2024, 1, 2, 12, 0, 0)
+    values = {
+        "iso": ('"2024-01-02T12:00:00.000000"', noon), "zone": ('"2024-01-02T14:00:00+02:00"', noon), "z": ('"2024-01-02T12:00:00Z"', noon),
+        "date": ('{"$date": "2024-01-02T12:00:00Z"}', noon), "millis": ('{"$date": 1704196800000}', noon),
+        "long": ('{"$date": {"$numberLong": "1704196800000"}}', noon), "old": ('{"$date": {"$numberLong": "-86400000"}}', datetime(1969, 12, 31)),
+        "second": ('{"$date": 1000}', datetime(1970, 1, 1, 0, 0, 1)), "early": ('{"$date": 86400000}', datetime(1970, 1, 2)), "s": ("1704196800", noon), "ms": ("1704196800000", noon),
+        "stamp": ('{"$timestamp": {"t": 1704196800, "i": 1}}', noon), "day": ('"2024-01-02"', datetime(2024, 1, 2)),
+        "us": ('"2024-01-02T12:00:00.123456Z"', datetime(2024, 1, 2, 12, 0, 0, 123456)),
+        "huge": ("1e30", None), "text": ('"02/01/2024 noon"', None), "null": ("null", None), "flag": ("true", None), "list": ("[1]", None)}
+    bad = ['{"_id": "cut", "ts": ', "no json", '{"_id": "x" "ts": 1}', "5"]
+    lines = [f'{{"_id": "{k}", "collection": "c", "ts": {v}}}' for k, (v, _) in values.items()] + ['{"_id": "twice", "_id": "twice"}']
+    p = tmp_path / "e.jsonl"
+    p.write_text("\n".join(lines[:5] + bad + ["", "  "] + lines[5:]) + "\n")
+    events = read_json_events(spark, str(p))
+    assert {r["_id"]: r["ts"] for r in events.collect()} == {k: v for k, (_, v) in values.items()} | {"twice": None}
+    assert events.count() == len(lines)
+    assert sorted(r["line"] for r in read_bad_json(spark, str(p)).collect()) == sorted(bad)
+    assert read_bad_json(spark, str(p)).count() == len(bad)
