@@ -8,7 +8,8 @@ across line breaks and comment signs. A window holds the template's licence name
 version numbers and no others, so siblings (CC BY-ND, GPL 2) are not taken for each other.
 A file's own licence is its best window with a cosine of at least ``LEAST``.
 
-A file that is a licence file (by name, or because most of its words stand in licence lines)
+A file that is a licence file (by name, because most of its words stand in licence lines, or
+because the whole text has a cosine of at least ``WHOLE`` to a full licence text)
 declares the licence of its directory. Files without a licence of their own inherit from
 the nearest ancestor directory that declares one: directories are expanded to their
 ancestors (bounded by path depth), joined with the declaring ones, and the deepest wins.
@@ -28,6 +29,7 @@ from __future__ import annotations
 import math
 import re
 from collections import Counter
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -90,6 +92,10 @@ WITHIN = {"BSD-3-Clause": ["BSD-2-Clause"], "BSD-4-Clause": ["BSD-2-Clause", "BS
 LEAST = 0.75
 #: Share of a file's words in licence lines from which it is a licence file.
 MOSTLY = 0.5
+#: Full licence texts, <SPDX name>.txt (read by the driver), and the least cosine of a whole
+#: text to one of them from which it is a licence file.
+TEXTS = Path(__file__).parent / "licence_texts"
+WHOLE = 0.8
 NAMES = r"(?i)(^|/)(licen[cs]e|copying|notice|unlicense)([.\-][^/]*)?$"
 TERM = re.compile(r"[a-z0-9]+(?:\.[0-9]+)*")
 #: Weight of a word outside the templates, as that of a term in a seventh of the licences.
@@ -154,6 +160,24 @@ class Matcher:
             for text in templates[name]:
                 t = Template(name, text, self.idf)
                 self.anchors.setdefault(t.anchor, []).append(t)
+        bodies = [Counter(terms(normal(f.read_text("utf-8")))) for f in sorted(TEXTS.glob("*.txt"))]
+        holds = Counter(t for b in bodies for t in b)
+        self.body_idf = {t: math.log((1 + len(bodies)) / (1 + n)) + 1 for t, n in holds.items()}
+        self.bodies = []
+        for b in bodies:
+            v = self.weighted(b)
+            norm = math.sqrt(sum(x * x for x in v.values()))
+            self.bodies.append({t: x / norm for t, x in v.items()})
+
+    def weighted(self, counts: Counter) -> dict[str, float]:
+        """Weights of a whole text: counts as logarithms, so common words do not decide."""
+        return {t: (1 + math.log(c)) * self.body_idf.get(t, OTHER) for t, c in counts.items()}
+
+    def whole(self, words: list[str]) -> float:
+        """Highest cosine of the whole text to a full licence text."""
+        v = self.weighted(Counter(words))
+        norm = math.sqrt(sum(x * x for x in v.values()))
+        return max((sum(x * v[t] for t, x in b.items() if t in v) / norm for b in self.bodies), default=0.0)
 
     def cosine(self, template: Template, window: list[str]) -> float:
         counts = Counter(window)
@@ -180,7 +204,8 @@ class Matcher:
         return best
 
     def scan(self, text: str) -> tuple[str | None, float, float]:
-        """(licence, cosine, share of the words in licence lines) of a whole text."""
+        """(licence, cosine, share of the words in licence lines) of a whole text; the share of a
+        full licence text is its cosine to that."""
         low = text.lower()
         if not any(m in low for m in MARKS):
             return None, 0.0, 0.0
@@ -204,8 +229,8 @@ class Matcher:
                 found.pop(general, None)
         if not found:
             return None, 0.0, 0.0
-        top = min(found.values())
-        return top[3], -top[0], sum(1 for x in line if x in lines) / len(words)
+        top, share, whole = min(found.values()), sum(1 for x in line if x in lines) / len(words), self.whole(words)
+        return top[3], -top[0], max(share, whole) if whole >= WHOLE else share
 
 
 def own_licences(files: DataFrame) -> DataFrame:

@@ -57,3 +57,17 @@ def test_every_template_is_found_under_its_own_name():
             assert any(m in text.lower() for m in licenses.MARKS), text
             if text not in licenses.TEMPLATES.get("BSD-3-Clause", ()):
                 assert found(text.removeprefix("= ")) == name, text
+
+
+def test_full_licence_texts_declare_their_directory(spark):
+    bodies = {f.stem: f.read_text("utf-8") for f in licenses.TEXTS.glob("*.txt")}
+    m = licenses.Matcher()
+    for name, body in bodies.items():
+        got = m.scan(f"Copyright (c) 2024 Acme Corporation and others. All rights reserved.\n\n{body}")
+        assert got[0] == name and got[2] >= licenses.WHOLE, (name, got)
+    code = "def spread(values):\n    return max(values) - min(values)\n" * 200
+    assert m.scan(bodies["MIT"] + code)[0] == "MIT" and m.scan(bodies["MIT"] + code)[2] < licenses.MOSTLY
+    files = [(1, "a/1.txt", bodies["BSD-2-Clause"]), (2, "a/b/2.txt", "no notice"), (3, "c/3.txt", bodies["MIT"] + code), (4, "c/4.txt", "no notice")]
+    got = {r.key: r for r in licenses.licences(spark.createDataFrame(files, "key long, path string, text string")).collect()}
+    assert {k: (r.licence, r.origin) for k, r in got.items()} == {
+        1: ("BSD-2-Clause", "own"), 2: ("BSD-2-Clause", "inherited"), 3: ("MIT", "own"), 4: (None, "none")}
