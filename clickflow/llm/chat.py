@@ -1,11 +1,12 @@
 """Chat formatting (DataFrame functions only).
 
 Records come in many layouts: rows by turn, message lists, role/value lists, prompts with
-responses, instructions with inputs. A layout is recognised by its schema fingerprint: the
-nested field paths of the record that some layout knows, sorted and hashed. The fingerprint
-selects a declarative mapping (``LAYOUTS``) that turns the record into canonical turns
-``array<struct<role, text>>``. A typed DataFrame has one fingerprint, taken from its schema
-(``frame_layout``); JSON records have one each, taken from ``schema_of_variant``
+responses, instructions with inputs. A layout (``LAYOUTS``) is a set of nested field paths
+with a declarative mapping that turns the record into canonical turns
+``array<struct<role, text>>``. A record has the layout with the most paths among those
+whose paths it has all, in the order of ``LAYOUTS`` where several have as many; its other
+fields are ignored. A typed DataFrame has one layout, taken from its schema
+(``frame_layout``); JSON records have one each, taken from their variant
 (``record_turns``), so files may mix layouts.
 
 Turns are rendered with a template whose control strings are escaped inside roles and texts
@@ -13,8 +14,8 @@ by a reversible rule, so no text can open or close a turn. The loss mask is a li
 (start, length) spans of the formatted text: the assistant texts.
 
 Defined results: a null text or role is empty; a record of unknown layout keeps its row
-with layout null and no turns; fields that no layout knows are ignored, also when their
-names clash with output columns; rows without a conversation id are conversations of one
+with layout null and no turns; fields that its layout does not know are ignored, also
+when their names clash with output columns; rows without a conversation id are conversations of one
 turn each (nothing says which belong together); turns with equal numbers are ordered by
 role, then text, and a null turn number comes last; repeated rows are repeated turns; an
 empty table gives an empty result.
@@ -22,8 +23,6 @@ empty table gives an empty result.
 
 from __future__ import annotations
 
-import hashlib
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -69,15 +68,8 @@ LAYOUTS = {
                           _pairs(("user", ("instruction", "input")), ("assistant", ("output",)))),
     "turn_rows": (("conv_id", "role", "text", "turn"), None),
 }
-KNOWN_PATHS = sorted({p for paths, _ in LAYOUTS.values() for p in paths})
-
-
-def fingerprint(paths) -> str:
-    """Hash of the known field paths among ``paths``."""
-    return hashlib.sha256("\n".join(sorted(set(paths) & set(KNOWN_PATHS))).encode()).hexdigest()
-
-
-FINGERPRINTS = {fingerprint(paths): name for name, (paths, _) in LAYOUTS.items()}
+#: Layout names, those with the most paths first.
+BY_PATHS = sorted(LAYOUTS, key=lambda name: -len(LAYOUTS[name][0]))
 
 
 def field_paths(kind: T.DataType, at: str = "") -> list[str]:
@@ -90,37 +82,42 @@ def field_paths(kind: T.DataType, at: str = "") -> list[str]:
 
 
 def frame_layout(df: DataFrame) -> str | None:
-    """The layout of a typed DataFrame, from the fingerprint of its schema."""
-    return FINGERPRINTS.get(fingerprint(field_paths(df.schema)))
+    """The layout of a typed DataFrame: the first of ``BY_PATHS`` whose paths its schema has."""
+    here = set(field_paths(df.schema))
+    return next((name for name in BY_PATHS if here.issuperset(LAYOUTS[name][0])), None)
 
 
-def _has_path(keys: Column, schema: Column, path: str) -> Column:
-    """Whether a record has the path: its outer keys, and for lists its variant schema."""
+def _has_path(keys: Column, variant: Column, path: str) -> Column:
+    """Whether a record has the path: its outer keys, and for lists of objects (or nulls) a
+    key of one of them."""
     root, _, leaf = path.partition("[].")
     here = F.array_contains(keys, root)
-    return here & schema.rlike(rf"(^OBJECT<|, ){root}: ARRAY<OBJECT<([^<>]*, )?{leaf}: ") if leaf else here
+    if not leaf:
+        return here
+    items = F.try_variant_get(variant, f"$.{root}", "array<variant>")
+    return here & F.forall(items, lambda m: F.schema_of_variant(m).rlike("^(OBJECT<|VOID$)")) & F.exists(
+        items, lambda m: F.try_variant_get(m, f"$.{leaf}", "variant").isNotNull())
 
 
 def record_turns(json: Column) -> tuple[Column, Column]:
-    """(layout, canonical turns) of a JSON record per row, by its own fingerprint."""
+    """(layout, canonical turns) of a JSON record per row, by its own field paths."""
     variant = F.try_parse_json(json)
-    schema = F.schema_of_variant(variant)
     keys = F.json_object_keys(json)
-    present = F.array_compact(F.array(*[F.when(_has_path(keys, schema, p), F.lit(p)) for p in KNOWN_PATHS]))
-    found = F.sha2(F.array_join(present, "\n"), 256)
     layout, turns = F.lit(None).cast("string"), F.lit(None).cast(TURNS)
     get = lambda name, kind: F.try_variant_get(variant, f"$.{name}", kind)
-    for mark, name in FINGERPRINTS.items():
-        mapping = LAYOUTS[name][1]
+    for name in reversed(BY_PATHS):
+        paths, mapping = LAYOUTS[name]
         if mapping:
-            layout = F.when(found == mark, F.lit(name)).otherwise(layout)
-            turns = F.when(found == mark, mapping(get)).otherwise(turns)
+            found = F.lit(True)
+            for p in paths:
+                found = found & _has_path(keys, variant, p)
+            layout = F.when(found, F.lit(name)).otherwise(layout)
+            turns = F.when(found, mapping(get)).otherwise(turns)
     return layout, F.coalesce(turns, F.array().cast(TURNS))
 
 
 def canonical(df: DataFrame, key: str = "conv_id") -> DataFrame:
-    """(conv_id, layout, turns) of a typed DataFrame, its mapping chosen by the fingerprint of
-    its schema. Rows by turn are gathered per conversation; other layouts are row by row."""
+    """(conv_id, layout, turns) of a typed DataFrame, its mapping chosen by its schema. Rows by turn are gathered per conversation; other layouts are row by row."""
     layout = frame_layout(df)
     if layout == "turn_rows":
         order = F.struct(F.col("turn").isNull().alias("late"), F.col("turn").alias("turn"),
