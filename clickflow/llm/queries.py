@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from clickflow.llm import chat, licenses, line_dedup, mixing, near_dup, pieces, quality, token_counts, topk, toxicity
+from clickflow.llm import (
+    chat, lexical, licenses, line_dedup, mixing, near_dup, pieces, quality, substrings, token_counts, topk, toxicity, whitening)
 from clickflow.llm.common import table
 from clickflow.llm.sql import SQL
 
@@ -82,7 +83,24 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
                        F.length(text).cast("long").alias("n_chars_left"), F.sha2(text, 256).alias("text_sha256"))
 
 
+def op11_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents without the words of repeated windows of 35 words."""
+    made = substrings.without_repeats(table(spark, sf_dir, "documents"))
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
+    return made.select(F.col("_row.doc_id").alias("doc_id"), "n_words", removed.alias("n_removed"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
+def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 best of all documents for every benchmark item."""
+    return lexical.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=20)
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every embedding on the four strongest whitening directions of all embeddings."""
+    return whitening.whiten(table(spark, sf_dir, "embeddings"), count=4)
+
+
 QUERIES = {f.__name__: f for f in (
     op1_top_k, op2_mix_sources, op3_toxicity, op4_sentencepiece, op5_token_counts, op6_chat_format, op7_quality_rules,
-    op8_near_duplicates, op9_licenses, op10_line_dedup)}
+    op8_near_duplicates, op9_licenses, op10_line_dedup, op11_substring_dedup, op12_lexical_search, op13_whitening)}
 ORACLE_SQL = {k: SQL[k] for k in QUERIES if k in SQL}

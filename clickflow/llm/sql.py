@@ -162,5 +162,47 @@ best AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC,
 SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM best WHERE rank <= 10
 """
 
+# All windows of 35 words, those whose words stand twice, and the words they cover.
+OP11 = r"""
+WITH split AS (
+    SELECT row_number() OVER () AS id, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+windows AS MATERIALIZED (
+    SELECT id, p, array_to_string(w[p:p + 34], ' ') AS words
+    FROM (SELECT id, w, unnest(range(1, len(w) - 33)) AS p FROM split WHERE len(w) >= 35)),
+again AS (SELECT id, p FROM (SELECT *, count(*) OVER (PARTITION BY words) AS c FROM windows) WHERE c > 1),
+words AS (SELECT id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS i FROM split),
+judged AS (
+    SELECT w.id, w.i, w.word, coalesce(w.i - max(a.p) OVER (PARTITION BY w.id ORDER BY w.i) < 35, false) AS gone
+    FROM words w LEFT JOIN again a ON a.id = w.id AND a.p = w.i),
+told AS (
+    SELECT id, count(*) FILTER (gone) AS n_removed, string_agg(word, ' ' ORDER BY i) FILTER (NOT gone) AS kept FROM judged GROUP BY id)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+FROM split LEFT JOIN told USING (id)
+"""
+
+# Terms of every document and item, joined by term.
+OP12 = r"""
+WITH low AS (
+    SELECT row_number() OVER () AS id, doc_id, regexp_extract_all(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS t FROM documents),
+whole AS (SELECT count(*) AS total, sum(len(t))::BIGINT AS words FROM low WHERE len(t) > 0),
+held AS MATERIALIZED (SELECT id, term, count(*) AS tf FROM (SELECT id, unnest(t) AS term FROM low) GROUP BY id, term),
+weighed AS (
+    SELECT term, floor(1000 * ln((2 * any_value(total) + 2)::DOUBLE / (2 * count(*) + 1)))::BIGINT AS w
+    FROM held, whole GROUP BY term),
+lengths AS (SELECT id, doc_id, 100 - 25 + ((25 * len(t) * total) // words) AS m FROM low, whole WHERE len(t) > 0),
+asked AS (
+    SELECT item_id, term, count(*) AS times FROM (
+        SELECT item_id, unnest(regexp_extract_all(
+            translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+            '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark) GROUP BY item_id, term),
+scored AS (
+    SELECT item_id, id, any_value(doc_id) AS doc_id, sum(times * w * ((1000000000 * tf) // (1000 * tf + 12 * m)))::BIGINT AS score
+    FROM asked JOIN weighed USING (term) JOIN held USING (term) JOIN lengths USING (id) GROUP BY item_id, id),
+best AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM scored WHERE score > 0)
+SELECT item_id, rank::INTEGER AS rank, doc_id, score FROM best WHERE rank <= 20
+"""
+
 SQL = {"op1_top_k": OP1, "op2_mix_sources": OP2, "op6_chat_format": OP6, "op7_quality_rules": OP7,
-       "op8_near_duplicates": OP8, "op10_line_dedup": OP10}
+       "op8_near_duplicates": OP8, "op10_line_dedup": OP10, "op11_substring_dedup": OP11, "op12_lexical_search": OP12}
