@@ -35,7 +35,9 @@ TERM = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 #: Bytes of the terms of one block of items (an automaton takes about 60 times as much).
 TERM_BYTES = 4 << 20
 #: Scores (documents by items) that a task holds at a time, and (document, item) additions made at a time.
-CELLS = 1 << 21
+CELLS = 1 << 18
+#: Bytes of texts that are scanned at a time.
+PIECE = 1 << 21
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _RESULT = "item_id long, rank int, doc_id long, score long"
 
@@ -85,11 +87,23 @@ class Scanner:
         if terms:
             self.automaton.make_automaton()
 
-    def scan(self, text: bytes) -> tuple[int, list[int]]:
+    def scan(self, text: bytes) -> tuple[int, np.ndarray]:
         """Number of terms of a text, and the place in ``terms`` of every occurrence."""
         low = text.translate(GUARDED)
-        found = [i for _, i in self.automaton.iter(f" {low.decode('latin-1')} ")] if len(self.automaton) else []
-        return len(low.split()), found
+        if not len(self.automaton):
+            return len(low.split()), np.zeros(0, dtype=np.int64)
+        return len(low.split()), np.fromiter((i for _, i in self.automaton.iter(f" {low.decode('latin-1')} ")), dtype=np.int64)
+
+
+def _slices(batch):
+    """Runs of rows of a batch with about ``PIECE`` bytes of text."""
+    import pyarrow.compute as pc
+
+    sizes = np.asarray(pc.fill_null(pc.binary_length(batch.column(1)), 0)).astype(np.int64)
+    run = (np.cumsum(sizes) - sizes) // PIECE
+    cuts = np.r_[np.flatnonzero(np.r_[True, run[1:] != run[:-1]]), len(sizes)] if len(sizes) else np.zeros(1, dtype=np.int64)
+    for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
+        yield batch.slice(a, b - a)
 
 
 def _scan(docs: DataFrame, terms) -> DataFrame:
@@ -99,13 +113,11 @@ def _scan(docs: DataFrame, terms) -> DataFrame:
     def scanned(batches):
         scanner = Scanner(terms.value)
         width = max(1, len(terms.value))
-        for batch in batches:
-            texts = batch.column(1).cast(pa.binary()).to_pylist()
-            told = [scanner.scan(t or b"") for t in texts]
+        for batch in (part for whole in batches for part in _slices(whole)):
+            told = [scanner.scan(t or b"") for t in batch.column(1).cast(pa.binary()).to_pylist()]
             n = np.array([t[0] for t in told], dtype=np.int64)
             sizes = np.array([len(t[1]) for t in told], dtype=np.int64)
-            found = np.fromiter((i for t in told for i in t[1]), dtype=np.int64, count=int(sizes.sum()))
-            pairs, times = np.unique(np.repeat(np.arange(len(told)), sizes) * width + found, return_counts=True)
+            pairs, times = np.unique(np.repeat(np.arange(len(told)), sizes) * width + np.concatenate([t[1] for t in told]), return_counts=True)
             ends = pa.array(np.r_[0, np.cumsum(np.bincount(pairs // width, minlength=len(told)))].astype(np.int32))
             made = pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(n), pa.ListArray.from_arrays(ends, pa.array((pairs % width).astype(np.int32))),
