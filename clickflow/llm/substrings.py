@@ -212,8 +212,8 @@ def word_counts(texts: list[bytes]) -> np.ndarray:
 
 
 def repeats(docs: DataFrame, width: int = WIDTH, seed: int = SEED, limit: int | None = None) -> DataFrame:
-    """(k1, k2, found): for each text with repeated windows, by its key, the runs of window
-    starts (lo, hi) that are repeated. A saved table."""
+    """(k1, k2, spans): the maximal repeats (start, end), in words, of each text that has any,
+    by its key. A saved table."""
     bound = {} if limit is None else {"limit": limit}
     keyed = docs.select(*text_key(), F.coalesce("text", F.lit("")).alias("text"))
     anchors = saved(_anchors(keyed, width, seed), "repeat-anchors")
@@ -232,16 +232,20 @@ def repeats(docs: DataFrame, width: int = WIDTH, seed: int = SEED, limit: int |
     again = saved(grown.groupBy("w1", "w2").agg(F.count(F.lit(1)).alias("n"), F.max("alone").alias("alone"))
                   .where("n > 1 and alone").select("w1", "w2"), "repeat-again")
     partial = join_measured(grown.where("alone"), again, ["w1", "w2"], "left_semi", **bound).select("k1", "k2", F.col("p").alias("lo"), F.col("p").alias("hi"))
-    made = saved(complete.unionByName(partial).distinct().groupBy("k1", "k2")
-                 .agg(F.sort_array(F.collect_list(F.struct("lo", "hi"))).alias("found")), "repeat-spans")
+    runs = complete.unionByName(partial).distinct().groupBy("k1", "k2").agg(F.sort_array(F.collect_list(F.struct("lo", "hi"))).alias("found"))
+    made = saved(_merged(runs, width), "repeat-spans")
     discard(held, classes, many, several, lists, grown, again)
     return made
 
 
-def merged(found, width: int) -> list[tuple[int, int]]:
+#: Maximal repeats of a text, in words.
+SPANS = ArrayType(StructType([StructField("start", LongType()), StructField("end", LongType())]))
+
+
+def merged(found: list[tuple[int, int]], width: int) -> list[tuple[int, int]]:
     """Maximal repeats as (first word, end) from runs of repeated windows in order."""
     out: list[tuple[int, int]] = []
-    for lo, hi in found or ():
+    for lo, hi in found:
         if out and lo <= out[-1][1]:
             out[-1] = (out[-1][0], max(out[-1][1], hi + width))
         else:
@@ -249,6 +253,25 @@ def merged(found, width: int) -> list[tuple[int, int]]:
     return out
 
 
+def _span_array(spans: list[list[tuple[int, int]]]):
+    import pyarrow as pa
+
+    kind = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
+    return pa.array([[{"start": a, "end": b} for a, b in x] for x in spans], kind)
+
+
+def _merged(runs: DataFrame, width: int) -> DataFrame:
+    """(k1, k2, spans) of (k1, k2, found): neighbouring and overlapping runs as one repeat."""
+    import pyarrow as pa
+
+    def joined(batches):
+        for batch in batches:
+            spans = [merged([(x["lo"], x["hi"]) for x in f], width) for f in batch.column(2).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), _span_array(spans)], names=["k1", "k2", "spans"])
+
+    return runs.select("k1", "k2", "found").mapInArrow(joined, StructType([StructField("k1", LongType()), StructField("k2", LongType()), StructField("spans", SPANS)]))
+
+
 def without_repeats(docs: DataFrame, width: int = WIDTH, seed: int = SEED, limit: int | None = None) -> DataFrame:
     """(_row, n_words, spans, kept) of each row of ``docs`` (text and any other columns): the row,
     its number of words, its maximal repeats as (start, end) in words, and the words that are
@@ -259,24 +282,20 @@ def without_repeats(docs: DataFrame, width: int = WIDTH, seed: int = SEED, limit
     k1, k2 = text_key()
     keyed = packed(docs, _k1=k1, _k2=k2, _text=F.coalesce("text", F.lit("")))
     bound = {} if limit is None else {"limit": limit}
-    told = join_measured(keyed, found, {"k1": F.col("_k1"), "k2": F.col("_k2")}, **bound).select("_row", "_text", "found")
+    told = join_measured(keyed, found, {"k1": F.col("_k1"), "k2": F.col("_k2")}, **bound).select("_row", "_text", "spans")
 
     def stripped(batches):
         for batch in batches:
-            n, spans, kept = [], [], []
-            runs = batch.column(2).to_pylist()
-            for text, f in zip(batch.column(1).cast(pa.binary()).to_pylist(), runs, strict=True):
+            n, kept = [], []
+            spans = [[(x["start"], x["end"]) for x in s or ()] for s in batch.column(2).to_pylist()]
+            for text, gone in zip(batch.column(1).cast(pa.binary()).to_pylist(), spans, strict=True):
                 words = text.split()
-                gone = merged([(x["lo"], x["hi"]) for x in f or ()], width)
                 n.append(len(words))
-                spans.append([{"start": a, "end": b} for a, b in gone])
                 for a, b in reversed(gone):
                     del words[a:b]
                 kept.append(b" ".join(words))
-            kind = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(spans, kind), pa.array(kept, pa.binary()).cast(pa.string())],
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), _span_array(spans), pa.array(kept, pa.binary()).cast(pa.string())],
                                              names=["_row", "n_words", "spans", "kept"])
 
-    span = ArrayType(StructType([StructField("start", LongType()), StructField("end", LongType())]))
-    return told.mapInArrow(stripped, StructType([told.schema["_row"], StructField("n_words", LongType()), StructField("spans", span),
+    return told.mapInArrow(stripped, StructType([told.schema["_row"], StructField("n_words", LongType()), StructField("spans", SPANS),
                                                  StructField("kept", StringType())]))
