@@ -2,16 +2,22 @@
 derive the message/HTTP code, and extract product names from captured pages.
 
 Live fetching is not done here: the input is an attempt log
-(product_id, url, attempt, status_code, error_kind[, error_msg]) and a table of
-captured pages (product_id, html)."""
+(product_id, url, attempt, status_code, error_kind[, error_msg, round, finished_at]) and a
+table of captured pages (product_id, html[, round, attempt, captured_at])."""
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from clickflow.config import MAX_ATTEMPTS, MSG_403, MSG_404, MSG_429, UNKNOWN_NAME
 from clickflow.functions.html import extract_product_name
+from clickflow.operators.asof import asof_join
+
+#: Optional columns: the time of an attempt, and the time a page was captured.
+FINISHED_AT, CAPTURED_AT = "finished_at", "captured_at"
 
 
 def attempt_class(code: Column, kind: Column) -> Column:
@@ -51,34 +57,37 @@ def attempt_message(df: DataFrame, status_col: str = "status", code_col: str = "
     return df.withColumn("http_code", http_code).withColumn("error_msg", msg)
 
 
-def resolve_attempts(df: DataFrame, max_attempts: int = MAX_ATTEMPTS, id_col: str = "product_id") -> DataFrame:
-    """Final outcome per item. Attempts stop at the first 200/404; any other outcome is
-    retried until ``max_attempts``; the final status is the class of the last attempt made.
-    Implemented as ``min(struct(rank...))`` per item: decomposable, so it is partially
-    aggregated before the shuffle.
+def resolve_attempts(df: DataFrame, max_attempts: int = MAX_ATTEMPTS, id_col: str = "product_id",
+                     by: Sequence[str] = ()) -> DataFrame:
+    """Final outcome per item (and per value of the columns ``by``, e.g. the round). Attempts stop
+    at the first 200/404; any other outcome is retried until ``max_attempts``; the final status is the
+    class of the last attempt made. Implemented as ``min(struct(rank...))`` per item: decomposable, so
+    it is partially aggregated before the shuffle.
 
-    Output: product_id, url, attempts (number made), status, http_code, error_msg."""
+    Output: product_id, url, attempts (number made), status, http_code, error_msg, ``by``, and
+    ``finished_at`` (time of that attempt) when the log has it."""
     c = classify_attempt(df)
     terminal = F.col("status").isin("success", "err_404") | (F.col("attempt") >= max_attempts)
     has_msg = "error_msg" in df.columns
     payload = [F.col("attempt").alias("attempt"), F.col("status").alias("status"),
                F.col("status_code").alias("status_code"), F.col("error_kind").alias("error_kind"),
                F.col("url").alias("url")]
-    if has_msg:
-        payload.append(F.col("error_msg").alias("error_msg"))
+    more = [c for c in ("error_msg", FINISHED_AT) if c in df.columns]
+    payload += [F.col(c).alias(c) for c in more]
     key = F.struct(
         F.when(terminal, F.lit(0)).otherwise(F.lit(1)).alias("nt"),
         # terminal: earliest wins; no terminal attempt logged: latest wins
         F.when(terminal, F.col("attempt")).otherwise(-F.col("attempt")).alias("ord"),
         *payload,
     )
-    best = (c.groupBy(F.col(id_col).cast("string").alias("product_id"))
+    best = (c.groupBy(F.col(id_col).cast("string").alias("product_id"), *by)
             .agg(F.min(key).alias("_b"))
-            .select("product_id", "_b.*")
+            .select("product_id", *by, "_b.*")
             .withColumnRenamed("attempt", "attempts")
             .drop("nt", "ord"))
     out = attempt_message(best, msg_col="error_msg" if has_msg else None)
-    return out.select("product_id", "url", "attempts", "status", "http_code", "error_msg")
+    times = [FINISHED_AT] if FINISHED_AT in more else []
+    return out.select("product_id", "url", "attempts", "status", "http_code", "error_msg", *by, *times)
 
 
 def extract_name(df: DataFrame, html_col: str = "html", out: str = "product_name",
@@ -94,23 +103,31 @@ def extract_name(df: DataFrame, html_col: str = "html", out: str = "product_name
 
 def result_log(resolved: DataFrame, pages: DataFrame, method: str = "regex") -> DataFrame:
     """The six-column result log: every outcome, product_name only for successes
-    (extracted from the captured page), absent fields null.
-
-    One row per item whatever the number of captured pages: with an ``attempt`` column the page
-    of the winning attempt counts, and pages that are left give one name per product. Only
-    pages of successful items are read for names; after the semi-join only
-    (product_id, name) moves on, never the HTML."""
-    wins = resolved.where(F.col("status") == "success").select(F.col("product_id").alias("_won"), F.col("attempts").alias("_try"))
-    by_attempt = "attempt" in pages.columns
-    p = pages.select(F.col("product_id").cast("string").alias("_pid"), "html", *(["attempt"] if by_attempt else []))
-    on = F.col("_pid") == F.col("_won")
-    if by_attempt:   # the page of the attempt that succeeded
-        on = on & (F.col("attempt") == F.col("_try"))
-    captured = p.join(wins, on, "left_semi")
-    named = extract_name(captured, "html", "_one", method).drop("html")
-    # several pages of one attempt make one row: a found name before the fallback text
+    (extracted from the captured page), absent fields null; plus ``round`` if ``resolved`` has it.
+
+    One row per item whatever the number of captured pages. A page belongs to an outcome by all
+    the keys that both sides have: product, ``round``, ``attempt``. Pages without an attempt but with
+    ``captured_at`` belong to the outcome whose time (``finished_at``) they precede most closely: the
+    last capture not after it counts (``asof_join``). Pages that are still several (one attempt
+    captured twice, or no key at all) give one name: a found name before the fallback text, then the least.
+
+    Names are extracted on the page side, in the scan of the pages, so only keys and names
+    are shuffled, never the HTML; ``resolved`` is read once."""
+    keys = ["product_id", *(["round"] if {"round"} <= set(resolved.columns) & set(pages.columns) else [])]
+    timed = "attempt" not in pages.columns and CAPTURED_AT in pages.columns and FINISHED_AT in resolved.columns
+    extra = {"attempt": "attempts"} if "attempt" in pages.columns else {CAPTURED_AT: FINISHED_AT} if timed else {}
+    named = extract_name(pages, "html", "_one", method).select(
+        F.col("product_id").cast("string").alias("_k_product_id"), *[F.col(c).alias(f"_k_{c}") for c in [*keys[1:], *extra]], "_one")
     best = F.min(F.struct((F.col("_one") == F.lit(UNKNOWN_NAME)).alias("u"), F.col("_one").alias("n")))
-    names = named.groupBy("_pid").agg(best.alias("_b")).select("_pid", F.col("_b.n").alias("_name"))
-    j = resolved.join(names, resolved["product_id"] == names["_pid"], "left")
-    name = F.when(F.col("status") == "success", F.col("_name"))
-    return j.select("product_id", name.alias("product_name"), "url", "status", "http_code", "error_msg")
+    marks = [f"_k_{c}" for c in [*keys, *extra]]
+    names = named.groupBy(*marks).agg(best.alias("_b")).select(*marks, F.col("_b.n").alias("_name"))
+    won = F.col("status") == "success"
+    out = ["product_id", F.when(won, F.col("_name")).alias("product_name"), "url", "status", "http_code", "error_msg",
+           *(["round"] if "round" in resolved.columns else [])]
+    if timed:
+        sides = names.select(*[F.col(f"_k_{c}").alias(c) for c in keys], F.col(f"_k_{CAPTURED_AT}").alias("_at"), "_name")
+        return asof_join(resolved, sides, keys, FINISHED_AT, "_at", "_name", out="_name").select(*out)
+    on = F.lit(True)
+    for c in [*keys, *extra]:
+        on = on & (resolved[extra.get(c, c)] == names[f"_k_{c}"])
+    return resolved.join(names, on, "left").select(*out)

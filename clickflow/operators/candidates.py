@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from clickflow.config import BROADCAST_LIMIT_BYTES, FINAL_STATUSES, GROUP1_EVENTS, GROUP2_EVENTS, ID_BYTES
+from clickflow.operators import bloom
 from clickflow.operators.common import merge_rows
 from clickflow.operators.events import resolve_product_id, resolve_url, tag_event_group
 
@@ -35,14 +36,32 @@ def _sized_ids(finished: DataFrame, limit: int) -> tuple[DataFrame, bool]:
     return f, size <= limit
 
 
-def _without(df: DataFrame, col: str, ids: DataFrame, small: bool) -> DataFrame:
-    """Rows of ``df`` whose ``col`` is not among ``ids``. Null keys are kept in any case; in a
-    shuffled join they go past it, so that they do not meet in one task."""
+def _without(df: DataFrame, col: str, ids: DataFrame, small: bool, filter_bytes: int = BROADCAST_LIMIT_BYTES) -> DataFrame:
+    """Rows of ``df`` whose ``col`` is not among ``ids``. Small sets are broadcast. Beyond the
+    budget a Bloom filter of the ids (``operators.bloom``) tells which rows may match: only
+    these meet the ids in a shuffled, exact anti-join. All others, and rows with a null key, go
+    past the shuffle."""
     if small:
         ids = F.broadcast(ids)
         return df.join(ids, F.col(col) == ids["_fid"], "left_anti")
-    keyed = df.where(F.col(col).isNotNull()).join(ids, F.col(col) == ids["_fid"], "left_anti")
-    return keyed.unionByName(df.where(F.col(col).isNull()))
+    words = bloom.words_for(ids.count(), filter_bytes)
+    if words is None:
+        maybe = df.where(F.col(col).isNotNull())
+        past = df.where(F.col(col).isNull())
+    else:
+        told = bloom.flagged(df, col, bloom.build(ids, "_fid", words), words)
+        maybe, past = told.where("_maybe").drop("_maybe"), told.where(~F.col("_maybe")).drop("_maybe")
+    return past.unionByName(maybe.join(ids, F.col(col) == ids["_fid"], "left_anti"))
+
+
+def _marked(df: DataFrame, col: str, ids: DataFrame, small: bool, out: str = "_done") -> DataFrame:
+    """``df`` with ``out``: the id (of the distinct ``ids``) that equals ``col``, else null. Null
+    keys go past a shuffled join."""
+    mark = ids.select(F.col("_fid").alias(out))
+    if small:
+        return df.join(F.broadcast(mark), F.col(col) == F.col(out), "left")
+    keyed = df.where(F.col(col).isNotNull()).join(mark, F.col(col) == F.col(out), "left")
+    return keyed.unionByName(df.where(F.col(col).isNull()).withColumn(out, F.lit(None).cast("string")))
 
 
 def exclude_finished(df: DataFrame, finished: DataFrame, group_col: str = "event_group",
@@ -50,8 +69,8 @@ def exclude_finished(df: DataFrame, finished: DataFrame, group_col: str = "event
     """Row-level store-side exclusion: a group-1 row is dropped when either its
     product_id or its viewing_product_id is finished; a group-2 row when its
     viewing_product_id is. Rows with a null key are kept (left_anti, never NOT IN).
-    The finished ids are broadcast when their count fits ``broadcast_limit_bytes``;
-    beyond it the anti-joins shuffle (sort-merge), chosen by Spark."""
+    The finished ids are broadcast when their bytes fit ``broadcast_limit_bytes``;
+    beyond it a Bloom filter keeps all rows that cannot match out of the shuffled anti-joins."""
     limit = BROADCAST_LIMIT_BYTES if broadcast_limit_bytes is None else broadcast_limit_bytes
     f, small = _sized_ids(finished, limit)
     k1 = F.when(F.col(group_col) == 1, F.col("product_id").cast("string"))
@@ -88,9 +107,9 @@ def candidates(raw: DataFrame, finished: DataFrame | None = None, markers: Seque
     The finished ids are counted first (one small job). When they fit
     ``broadcast_limit_bytes`` the viewing-id test is a broadcast hash anti-join on the
     event rows (no shuffle). Beyond it, events are first reduced map-side to one row per
-    (product, viewing id) with ``min(struct)``, and only those rows meet the finished ids
-    in a shuffled anti-join (the test is constant inside such a group, so the result is
-    the same); a second ``min`` per product finishes the job."""
+    (product, viewing id) with ``min(struct)``, and of those only the rows that a Bloom filter
+    of the ids lets through meet them in a shuffled anti-join (the test is constant inside such a
+    group, so the result is the same); a second ``min`` per product finishes the job."""
     ev = tag_event_group(raw.select(*_NEEDED), group1, group2)
     ev = resolve_url(resolve_product_id(ev), markers)
     if finished is None:
@@ -102,14 +121,42 @@ def candidates(raw: DataFrame, finished: DataFrame | None = None, markers: Seque
         kept = ev.join(fb, F.col("_k2") == fb["_fid"], "left_anti").drop("_k2")
         best = first_url(kept)
         return best.join(fb, best["product_id"] == fb["_fid"], "left_anti")
+    return _best_urls(_without(_work_pairs(ev), "_k2", f, False), f, False)
+
+
+def _work_pairs(ev: DataFrame) -> DataFrame:
+    """One row per (product, viewing id) with its first valid URL as a struct (null if none of
+    its events has one). Mergeable: the least of two such rows stands for the events of both."""
     key = F.struct(F.col("event_group").alias("g"), F.col("_id").alias("o"), F.col("url").alias("u"))
-    pairs = (ev.where(F.col("resolved_id").isNotNull())
-             .groupBy("resolved_id", "_k2").agg(F.min(key).alias("_b")))
-    pairs = _without(pairs, "_k2", f, False)
-    best = (pairs.groupBy(F.col("resolved_id").alias("product_id")).agg(F.min("_b").alias("_b"))
+    return (ev.where(F.col("resolved_id").isNotNull())
+            .groupBy("resolved_id", "_k2").agg(F.min(F.when(F.col("url").isNotNull(), key)).alias("_b")))
+
+
+def _best_urls(pairs: DataFrame, ids: DataFrame, small: bool) -> DataFrame:
+    """The first URL per product of the pairs that are left, without the finished products."""
+    best = (pairs.groupBy(F.col("resolved_id").alias("product_id")).agg(F.min("_b").alias("_b")).where("_b IS NOT NULL")
             .select("product_id", F.col("_b.u").alias("url"), F.col("_b.g").alias("event_group"),
                     F.col("_b.o").alias("_id")))
-    return best.join(f, best["product_id"] == f["_fid"], "left_anti")
+    return _without(best, "product_id", ids, small)
+
+
+def work_state(raw: DataFrame, markers: Sequence[str] = (), group1: Sequence[str] = GROUP1_EVENTS,
+               group2: Sequence[str] = GROUP2_EVENTS) -> DataFrame:
+    """What candidate selection needs of the events: one row per (product, viewing id) with the
+    first valid URL (null if there is none). One event scan with map-side minima; written once, it
+    serves the counts and the candidates of any number of rounds."""
+    ev = resolve_product_id(tag_event_group(raw.select(*_NEEDED), group1, group2))
+    urls = resolve_url(ev, markers, keep_invalid=True)
+    return _work_pairs(urls.withColumn("_k2", F.col("viewing_product_id").cast("string")))
+
+
+def state_candidates(state: DataFrame, finished: DataFrame | None = None,
+                     broadcast_limit_bytes: int = BROADCAST_LIMIT_BYTES) -> DataFrame:
+    """``candidates`` from a ``work_state`` instead of the events."""
+    ids, small = _sized_ids(finished, broadcast_limit_bytes) if finished is not None else (None, False)
+    if ids is None:
+        ids, small = state.select(F.lit("").alias("_fid")).limit(0), True
+    return _best_urls(_without(state, "_k2", ids, small), ids, small)
 
 
 def count_products(raw: DataFrame, group1: Sequence[str] = GROUP1_EVENTS,
@@ -124,10 +171,17 @@ def pending_count(raw: DataFrame, finished: DataFrame, markers: Sequence[str] =
     """Pending work, two ways: ``pending_estimate`` = distinct ids - finished ids (the
     original formula, which ignores URL rules and can drift below zero) and
     ``pending_exact`` = candidates left after exclusion."""
-    total = count_products(raw)
-    n_finished = _ids(finished).distinct().agg(F.count("*").alias("finished"))
-    exact = candidates(raw, finished, markers).agg(F.count("*").alias("pending_exact"))
-    return merge_rows(total, n_finished, exact).select(
+    ids, small = _sized_ids(finished, BROADCAST_LIMIT_BYTES)
+    ids = ids.distinct()
+    # one event scan: the state's pairs learn whether their viewing id is finished, then each
+    # product whether a pair with a URL is left
+    pairs = _marked(work_state(raw, markers), "_k2", ids, small)
+    products = pairs.groupBy("resolved_id").agg(F.min(F.when(F.col("_done").isNull(), F.col("_b"))).isNotNull().alias("open"))
+    judged = _marked(products, "resolved_id", ids, small)
+    counts = judged.agg(F.count(F.lit(1)).alias("total_products"),
+                        F.count(F.when(F.col("open") & F.col("_done").isNull(), 1)).alias("pending_exact"))
+    n_finished = ids.agg(F.count(F.lit(1)).alias("finished"))
+    return merge_rows(counts, n_finished).select(
         "total_products", "finished",
         (F.col("total_products") - F.col("finished")).alias("pending_estimate"), "pending_exact")
 

@@ -37,15 +37,16 @@ def resolve_product_id(df: DataFrame, group_col: str = "event_group", out: str =
 
 
 def resolve_url(df: DataFrame, markers: Sequence[str] = (), group_col: str = "event_group",
-                out: str = "url") -> DataFrame:
+                out: str = "url", keep_invalid: bool = False) -> DataFrame:
     """Group 1 takes current_url, group 2 referrer_url. Rows whose URL is null/blank or
-    holds one of the test-site markers (case-sensitive substrings) are dropped."""
+    holds one of the test-site markers (case-sensitive substrings) are dropped, or with
+    ``keep_invalid`` keep a null URL."""
     url = F.when(F.col(group_col) == 1, F.col("current_url")).otherwise(F.col("referrer_url")).cast("string")
     df = df.withColumn(out, url)
     cond = F.col(out).isNotNull() & (F.col(out) != "")
     for m in markers:
         cond = cond & ~F.col(out).contains(m)
-    return df.where(cond)
+    return df.withColumn(out, F.when(cond, F.col(out))) if keep_invalid else df.where(cond)
 
 
 def slice_after(df: DataFrame, key: str, last_id) -> DataFrame:

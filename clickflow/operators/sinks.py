@@ -28,15 +28,16 @@ def _status_counters(status_col: str = "status"):
     return aggs
 
 
-def write_result_log(df: DataFrame, path: str, fmt: str = "csv", observe: bool = True) -> dict | None:
+def write_result_log(df: DataFrame, path: str, fmt: str = "csv", observe: bool = True, mode: str = "append") -> dict | None:
     """Append every outcome with the six log columns (absent fields null/empty). CSV gets
-    a header in every part file. Returns the outcome counters measured on the write."""
+    a header in every part file. ``mode="overwrite"`` replaces the folder, for a round that is run
+    again. Returns the outcome counters measured on the write."""
     out = df.select(*RESULT_LOG_COLUMNS)
     obs = None
     if observe:
         obs = Observation("result_log")
         out = out.observe(obs, *_status_counters())
-    w = out.write.mode("append")
+    w = out.write.mode(mode)
     if fmt == "csv":
         # keep values as they are: Spark's CSV writer trims surrounding spaces by default
         (w.option("header", "true").option("encoding", "UTF-8")
@@ -71,19 +72,21 @@ def refresh_locations(validated: DataFrame, path: str) -> dict:
     return obs.get
 
 
-def append_finished(results: DataFrame, path: str, final: Sequence[str] = FINAL_STATUSES) -> None:
+def append_finished(results: DataFrame, path: str, final: Sequence[str] = FINAL_STATUSES, mode: str = "append") -> None:
     """Append finished ids as text, one id per line, one folder per status
-    (``status=success``, ``status=err_404``). Call after the batch's other sinks commit."""
+    (``status=success``, ``status=err_404``). Call after the batch's other sinks commit.
+    ``mode="overwrite"`` replaces the folder, for a round that is run again."""
     (results.where(F.col("status").isin(list(final)))
      .select(F.col("product_id").cast("string").alias("value"), "status")
      .where(F.col("value").isNotNull() & (F.col("value") != ""))
-     .write.mode("append").partitionBy("status").text(path))
+     .write.mode(mode).option("partitionOverwriteMode", "static").partitionBy("status").text(path))
 
 
 def finished_paths(root: str, final: Sequence[str] = FINAL_STATUSES) -> list[str]:
     return [f"{root.rstrip('/')}/status={s}" for s in final]
 
 
-def append_rejects(rejects: DataFrame, path: str) -> None:
-    """Quarantine: rejected rows with their first failing rule, appended as Parquet."""
-    rejects.write.mode("append").parquet(path)
+def append_rejects(rejects: DataFrame, path: str, mode: str = "append") -> None:
+    """Quarantine: rejected rows with their first failing rule, appended as Parquet.
+    ``mode="overwrite"`` replaces the folder, for a round that is run again."""
+    rejects.write.mode(mode).parquet(path)

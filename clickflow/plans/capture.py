@@ -19,6 +19,8 @@ from clickflow.operators import candidates as cand
 from clickflow.operators import quality as dq
 from clickflow.operators import reports as rep
 from clickflow.operators import sinks
+from clickflow.session import work_path
+from clickflow.sources import commits, fs
 
 
 @dataclass
@@ -31,15 +33,20 @@ class CaptureRound:
     report: DataFrame
 
 
+def _of_round(df: DataFrame, round_no: int | None) -> DataFrame:
+    """The rows of one round, where the table tells rounds apart."""
+    return df.where(F.col("round") == F.lit(round_no)).drop("round") if round_no is not None and "round" in df.columns else df
+
+
 def capture_round(raw: DataFrame, attempts: DataFrame, pages: DataFrame, finished: DataFrame | None,
                   markers: Sequence[str] = (), max_attempts: int = MAX_ATTEMPTS,
-                  round_no: int | None = None) -> CaptureRound:
+                  round_no: int | None = None, state: DataFrame | None = None) -> CaptureRound:
     """One round over the work left: candidates not finished, their final outcome, the
-    six-column result log, validated names and the report row. When the attempt log
-    has a ``round`` column, only this round's attempts count (``round_no``)."""
-    cands = cand.candidates(raw, finished, markers)
-    if round_no is not None and "round" in attempts.columns:
-        attempts = attempts.where(F.col("round") == F.lit(round_no)).drop("round")
+    six-column result log, validated names and the report row. When the attempt log or the pages
+    have a ``round`` column, only this round's rows count (``round_no``). With ``state`` (a
+    ``work_state`` of the events) the events are not scanned again."""
+    cands = cand.candidates(raw, finished, markers) if state is None else cand.state_candidates(state, finished)
+    attempts, pages = _of_round(attempts, round_no), _of_round(pages, round_no)
     tried = attempts.join(cands.select("product_id"), "product_id", "left_semi")
     resolved = att.resolve_attempts(tried, max_attempts)
     log = att.result_log(resolved, pages)
@@ -54,45 +61,83 @@ def finished_rows(rnd: CaptureRound, retry_invalid: bool = False, log: DataFrame
     """Result rows that finish their item. By default a success finishes the item even
     when its name fails validation (it is never fetched again); with ``retry_invalid``
     such items stay open for the next round."""
-    log = rnd.log if log is None else log
-    rejects = rnd.rejects if rejects is None else rejects
+    return _final_rows(rnd.log if log is None else log, rnd.rejects if rejects is None else rejects, retry_invalid)
+
+
+def _final_rows(log: DataFrame, rejects: DataFrame, retry_invalid: bool) -> DataFrame:
     if not retry_invalid:
         return log
     bad = rejects.select(F.col("product_id").alias("_bad"))
     return log.join(bad, (log["product_id"] == bad["_bad"]) & (log["status"] == "success"), "left_anti")
 
 
+def _judged(log: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Clean products and rejects of a log."""
+    success = log.where(F.col("status") == "success").select("product_id", "product_name", "url")
+    return dq.split_valid(dq.validate_product(dq.normalize_product(success)))
+
+
+def round_folder(root: str, sink: str, run: int, round_no: int) -> str:
+    return f"{root.rstrip('/')}/{sink}/run={run}/round={round_no}"
+
+
+def _finish(spark: SparkSession, root: str, version: int, doc: dict, retry_invalid: bool) -> int:
+    """Append the finished ids of a logged round, commit that and drop the round's rows; the new version."""
+    log = spark.read.parquet(doc["rows"])
+    sinks.append_finished(_final_rows(log, _judged(log)[1], retry_invalid), f"{root}/finished")
+    commits.commit(spark, f"{root}/_rounds", version + 1, doc | {"step": "finished"})
+    fs.delete(spark, doc["rows"])
+    return version + 1
+
+
 def run_capture(spark: SparkSession, raw: DataFrame, attempts: DataFrame, pages: DataFrame, out_root: str,
                 markers: Sequence[str] = (), rounds: int = MAX_ROUNDS, retry_invalid: bool = False) -> list[dict]:
-    """Up to ``rounds`` rounds. Each round reads the finished ids written so far, appends
-    the result log, the clean products (insert-only by product_id) and the rejects, then
-    appends its finished ids (last, so a crash before it only repeats work). With a
-    ``round`` column in the attempt log each round uses its own attempts; without one there
-    is one round, as a second would repeat the first. Returns one report per round (the
-    original's pending estimate as ``total``, the counters observed on the log write, and
-    the capture report with its data-quality counters and rates)."""
+    """Up to ``rounds`` rounds. The events are scanned once per run (``work_state``). Each round
+    reads the finished ids written so far and writes the result log and the rejects to folders of its own
+    (``run=<n>/round=<n>``), the clean products (insert-only by product_id) and then its
+    finished ids. With a ``round`` column in the attempt log each round uses its own attempts (and
+    pages, if they have the column); without one there is one round, as a second would repeat the first.
+
+    Every round commits two documents below ``_rounds``: "logged" when its folders and products
+    are whole, "finished" when its ids are appended. A run that was cut off goes on where it
+    stopped: a round that was not logged replaces its folders, a logged one appends its ids from the stored
+    rows, and no outcome is stored twice or lost. Returns one report per round of this call (the original's pending
+    estimate as ``total``, the counters observed on the log write, and the capture report with
+    its data-quality counters and rates)."""
     from clickflow.sources.tables import read_finished_ids
     root = out_root.rstrip("/")
     reports = []
     per_round = "round" in attempts.columns
-    products = cand.count_products(raw).first()["total_products"]  # one event scan for all rounds
+    version, doc = commits.head(spark, f"{root}/_rounds")
+    if doc and doc["step"] == "logged":
+        version = _finish(spark, root, version, doc, retry_invalid)
+    cut_off = bool(doc) and doc["round"] < doc["rounds"]
+    run = doc["run"] + (0 if cut_off else 1) if doc else 1
     # without a round column every round would read the same attempts again
-    for r in range(1, (rounds if per_round else 1) + 1):
-        finished = read_finished_ids(spark, *sinks.finished_paths(f"{root}/finished"))
-        # the original's "total": distinct ids minus finished ids (an estimate)
-        total = products - cand.finished_union(finished).count()
-        rnd = capture_round(raw, attempts, pages, finished, markers, round_no=r if per_round else None)
-        # the round's log feeds four sinks: computed once, kept for the round
-        log = rnd.log.persist()
-        try:
-            counters = sinks.write_result_log(log, f"{root}/result_log") or {}
-            report = rep.crawl_report(log).first().asDict()
-            success = log.where(F.col("status") == "success").select("product_id", "product_name", "url")
-            clean, rejects = dq.split_valid(dq.validate_product(dq.normalize_product(success)))
+    last = doc["rounds"] if cut_off else rounds if per_round else 1
+    path = work_path(spark, "work-state")
+    cand.work_state(raw, markers).write.parquet(path)   # one event scan for all rounds
+    try:
+        state = spark.read.parquet(path)
+        products = state.select("resolved_id").distinct().count()
+        for r in range(doc["round"] + 1 if cut_off else 1, last + 1):
+            finished = read_finished_ids(spark, *sinks.finished_paths(f"{root}/finished"))
+            # the original's "total": distinct ids minus finished ids (an estimate)
+            total = products - cand.finished_union(finished).count()
+            rnd = capture_round(raw, attempts, pages, finished, markers, round_no=r if per_round else None, state=state)
+            # computed once: all sinks, also after a crash, read these rows
+            doc = {"run": run, "round": r, "rounds": last, "step": "logged", "rows": work_path(spark, "round-rows")}
+            rnd.log.write.parquet(doc["rows"])
+            log = spark.read.parquet(doc["rows"])
+            counters = sinks.write_result_log(log, round_folder(root, "result_log", run, r), mode="overwrite") or {}
+            clean, rejects = _judged(log)
+            sinks.append_rejects(rejects, round_folder(root, "product_rejects", run, r), mode="overwrite")
             sinks.append_products(clean, f"{root}/product_names")
-            sinks.append_rejects(rejects, f"{root}/product_rejects")
-            sinks.append_finished(finished_rows(rnd, retry_invalid, log, rejects), f"{root}/finished")
-        finally:
-            log.unpersist()
-        reports.append({"round": r, "total": total, **counters, **report})
+            report = rep.crawl_report(log).first().asDict()
+            version += 1
+            commits.commit(spark, f"{root}/_rounds", version, doc)
+            version = _finish(spark, root, version, doc, retry_invalid)
+            reports.append({"round": r, "total": total, **counters, **report})
+    finally:
+        fs.delete(spark, path)
     return reports

@@ -89,6 +89,34 @@ def q_event_scan_stored(spark, d):
                        list(GROUP1_EVENTS + GROUP2_EVENTS))
 
 
+@register("full_scan", with_fixtures("SELECT * FROM raw_data", "raw_data"))
+def q_full_scan(spark, d):
+    """OP-02: every field of a stored table."""
+    from clickflow.session import work_path
+    from clickflow.sources.tables import read_table
+    path = work_path(spark, "raw_data")
+    fx.raw_data(spark, d).write.parquet(path)
+    return read_table(spark, path)
+
+
+@register("full_scan_json", with_fixtures(
+    """SELECT _id, device_id, price, CAST(k AS VARCHAR) AS k, nested FROM (
+  SELECT *, CASE WHEN _id > '000000000000000000000010' THEN 'late ' || store_id END AS k, '{"a":[' || store_id || ']}' AS nested FROM raw_data) z""",
+    "raw_data"))
+def q_full_scan_json(spark, d):
+    """OP-02 on a JSON-lines export: every field of every document, also those that no schema
+    names, that only later documents have, or that are nested."""
+    from clickflow.session import work_path
+    from clickflow.sources.tables import read_json_documents
+    path = work_path(spark, "raw_json")
+    raw = fx.raw_data(spark, d)
+    late = F.when(F.col("_id") > "0" * 22 + "10", F.concat(F.lit("late "), F.col("store_id")))
+    raw.select("_id", "device_id", "price", late.alias("late"), F.struct(F.array(F.col("store_id").cast("int")).alias("a")).alias("nested")).write.json(path)
+    doc = read_json_documents(spark, path)
+    get = lambda p: F.try_variant_get("doc", p, "string")
+    return doc.select("_id", get("$.device_id").alias("device_id"), get("$.price").alias("price"), get("$.late").alias("k"), get("$.nested").alias("nested"))
+
+
 @register("event_scan_json", with_fixtures(
     "SELECT _id, collection, product_id, viewing_product_id, current_url, referrer_url, ip, user_id_db, "
     "device_id, store_id, api_version, price, cat_id, CAST(is_paypal AS VARCHAR) AS is_paypal, ts FROM raw_data",
@@ -355,3 +383,60 @@ def q_capture_round(spark, d):
     """One capture round end to end: candidates -> their attempts -> result log."""
     from clickflow.plans.capture import capture_round
     return capture_round(fx.raw_data(spark, d), fx.attempts(spark, d), fx.product_pages(spark, d), None, M).log
+
+
+# --- Several rounds, several pages per product -----------------------------------------
+def _outcomes_sql(src: str, name: str) -> str:
+    """Final outcome per (product, round) of the attempts ``src``, with the name on the last page
+    captured not after it."""
+    return f"""{name}_classified AS ({CLASSIFIED.split('(', 1)[1].rsplit(')', 1)[0].replace('FROM attempts', f'FROM {src}')}),
+ {name}_final AS (SELECT product_id, round, url, status, {MESSAGES}, finished_at FROM (
+  SELECT *, row_number() OVER (PARTITION BY product_id, round ORDER BY
+    CASE WHEN status IN ('success', 'err_404') OR attempt >= 3 THEN 0 ELSE 1 END,
+    CASE WHEN status IN ('success', 'err_404') OR attempt >= 3 THEN attempt ELSE -attempt END) AS rn
+  FROM {name}_classified) z WHERE rn = 1),
+ {name}_log AS (SELECT f.product_id, f.round, CASE WHEN status = 'success' THEN regexp_extract(p.html, '<span>(.*)</span>', 1) END AS product_name,
+   url, status, http_code, error_msg
+  FROM {name}_final f ASOF LEFT JOIN round_pages p ON f.product_id = p.product_id AND f.round = p.round AND f.finished_at >= p.captured_at)"""
+
+
+def _rounds_sql(rounds: int = 3) -> str:
+    """Each round works on the candidates that no earlier round has finished."""
+    ctes, done = [TAGGED], "SELECT CAST(NULL AS VARCHAR) AS product_id WHERE false"
+    for r in range(1, rounds + 1):
+        ctes.append(f"done{r} AS ({done})")
+        ctes.append(f"""kept{r} AS (SELECT * FROM tagged t
+ WHERE NOT EXISTS (SELECT 1 FROM done{r} f WHERE t.event_group = 1 AND f.product_id = t.product_id)
+   AND NOT EXISTS (SELECT 1 FROM done{r} f WHERE f.product_id = t.viewing_product_id))""")
+        ctes.append(RESOLVED.replace("resolved AS", f"resolved{r} AS").replace("FROM tagged", f"FROM kept{r}"))
+        ctes.append(VALID_URLS.replace("valid_urls AS", f"valid{r} AS").replace("FROM resolved", f"FROM resolved{r}"))
+        ctes.append(f"tried{r} AS (SELECT * FROM attempt_rounds WHERE round = {r} AND product_id IN (SELECT resolved_id FROM valid{r}))")
+        ctes.append(_outcomes_sql(f"tried{r}", f"r{r}"))
+        done += f" UNION SELECT product_id FROM r{r}_final WHERE status IN ('success', 'err_404')"
+    logs = " UNION ALL ".join(f"SELECT * FROM r{r}_log" for r in range(1, rounds + 1))
+    return f"WITH {', '.join(ctes)} SELECT round, product_id, product_name, url, status, http_code, nullif(error_msg, '') AS error_msg FROM ({logs}) l"
+
+
+ROUND_VIEWS = ("attempt_rounds", "round_pages")
+
+
+@register("outcome_pages", with_fixtures(f"WITH {_outcomes_sql('attempt_rounds', 'a')} SELECT * FROM a_log", *ROUND_VIEWS))
+def q_outcome_pages(spark, d):
+    """OP-44/05: outcome of every product and round with the name on its own page: the last one
+    captured not after the outcome (as-of join), whatever the other attempts captured."""
+    resolved = att.resolve_attempts(fx.attempt_rounds(spark, d), by=["round"])
+    return att.result_log(resolved, fx.round_pages(spark, d))
+
+
+@register("capture_rounds", with_fixtures(_rounds_sql(), "raw_data", *ROUND_VIEWS))
+def q_capture_rounds(spark, d):
+    """OP-43/44: three capture rounds end to end, each with its own attempts and pages and without what
+    the rounds before finished; the stored result log read back (blank fields as null)."""
+    from clickflow.operators.sinks import RESULT_LOG_SCHEMA
+    from clickflow.plans.capture import run_capture
+    from clickflow.session import work_path
+    root = work_path(spark, "capture-rounds")
+    run_capture(spark, fx.raw_data(spark, d), fx.attempt_rounds(spark, d), fx.round_pages(spark, d), root, M, rounds=3)
+    log = (spark.read.schema(RESULT_LOG_SCHEMA + ", run int, round int").option("header", "true").option("ignoreLeadingWhiteSpace", "false")
+           .option("ignoreTrailingWhiteSpace", "false").csv(f"{root}/result_log"))
+    return log.select("round", "product_id", "product_name", "url", "status", "http_code", "error_msg")

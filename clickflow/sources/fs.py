@@ -3,6 +3,8 @@ local, HDFS or object stores. Metadata operations on the driver only."""
 
 from __future__ import annotations
 
+import time
+
 from pyspark.sql import SparkSession
 
 
@@ -27,22 +29,35 @@ def touch(spark: SparkSession, path: str) -> None:
     fs.create(p, True).close()
 
 
-def write_text(spark: SparkSession, path: str, text: str) -> None:
-    """Write a small text file: a temporary sibling first, then renamed. A reader of a new path
-    sees no file or the whole one; an existing file is deleted just before the rename, so
-    state that must never be absent goes to a new path for each version."""
+def create_text(spark: SparkSession, path: str, text: str) -> None:
+    """Write a small text file that must not be there yet (``FileExistsError`` if it is). The
+    create is exclusive, so of two writers one fails."""
     p, fs = _path(spark, path)
-    jvm = spark.sparkContext._jvm
-    tmp = jvm.org.apache.hadoop.fs.Path(path + "._tmp")
-    out = fs.create(tmp, True)
+    try:
+        out = fs.create(p, False)
+    except Exception as ex:  # noqa: BLE001 - the gateway's exception names the Java class in its text
+        if fs.exists(p):
+            raise FileExistsError(path) from ex
+        raise
     try:
         out.write(bytearray(text.encode("utf-8")))
     finally:
         out.close()
-    if fs.exists(p):
-        fs.delete(p, False)
-    if not fs.rename(tmp, p):
-        raise OSError(f"could not move {tmp} to {path}")
+
+
+def age_seconds(spark: SparkSession, path: str) -> float:
+    """Seconds since a file was last written, by this machine's clock."""
+    p, fs = _path(spark, path)
+    return time.time() - fs.getFileStatus(p).getModificationTime() / 1000.0
+
+
+def rename(spark: SparkSession, src: str, dst: str) -> None:
+    """Move a file or folder to a place that must not be there yet (its parent is made)."""
+    p, fs = _path(spark, src)
+    q, _ = _path(spark, dst)
+    fs.mkdirs(q.getParent())
+    if fs.exists(q) or not fs.rename(p, q):
+        raise OSError(f"could not move {src} to {dst}")
 
 
 def names(spark: SparkSession, path: str) -> list[str]:

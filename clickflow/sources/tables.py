@@ -95,12 +95,15 @@ def read_finished_ids(spark: SparkSession, *paths: str) -> DataFrame:
             .distinct())
 
 
-def read_ip_ranges(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
+def read_ip_ranges(spark: SparkSession, path: str, fmt: str = "parquet", text_ends: bool = False) -> DataFrame:
     """IP range table (ip_from, ip_to inclusive, country_short, country_long, region, city).
-    The read is eager about existence: a missing range file fails the job."""
+    With ``text_ends`` the ends are text: 128-bit numbers in digits (the IPv6 editions, with
+    IPv4 at its mapped place) or addresses; else IPv4 numbers. A missing range file fails the job at
+    once; ``operators.ranges.bad_ranges`` lists rows whose ends cannot be used."""
     if not _exists(spark, path):
         raise FileNotFoundError(f"IP range data not found: {path}")
-    reader = spark.read.schema(IP_RANGES_SCHEMA)
+    schema = T.StructType([T.StructField(f.name, T.StringType()) for f in IP_RANGES_SCHEMA.fields]) if text_ends else IP_RANGES_SCHEMA
+    reader = spark.read.schema(schema)
     if fmt == "csv":
         return reader.option("header", "false").csv(path)
     return reader.format(fmt).load(path)
@@ -189,6 +192,14 @@ def read_json_events(spark: SparkSession, path: str, schema: T.StructType = RAW_
     return df.withColumn(id_col, F.coalesce(F.lower(oid), F.col(id_col)))
 
 
+def read_json_documents(spark: SparkSession, path: str, id_col: str = "_id") -> DataFrame:
+    """Every field of every document of a JSON-lines export: (``id_col``, doc), the document as one
+    variant, whatever its fields and their types. Malformed lines are left out (``read_bad_json``)."""
+    lines = spark.read.text(path).select(F.try_parse_json("value").alias("doc")).where(F.col("doc").isNotNull())
+    oid = F.lower(F.try_variant_get("doc", f"$.{id_col}['$oid']", "string"))
+    return lines.select(F.coalesce(oid, F.try_variant_get("doc", f"$.{id_col}", "string")).alias(id_col), "doc")
+
+
 def read_bad_json(spark: SparkSession, path: str) -> DataFrame:
     """The malformed lines of a JSON-lines export (source_file, line), to be quarantined and
     counted: those that ``read_json_events`` leaves out. Blank lines are no documents."""

@@ -20,7 +20,7 @@ def test_run_capture_rounds(spark):
     reports = run_capture(spark, raw, att, pages, root, ["stage.shop", "test.shop"], rounds=3)
     assert reports and reports[0]["processed"] >= reports[0]["success"]
     log = spark.read.option("header", "true").csv(f"{root}/result_log")
-    assert set(log.columns) == {"product_id", "product_name", "url", "status", "http_code", "error_msg"}
+    assert set(log.columns) == {"product_id", "product_name", "url", "status", "http_code", "error_msg", "run", "round"}
     finished = read_finished_ids(spark, f"{root}/finished/status=success", f"{root}/finished/status=err_404")
     # finished ids are unique and never offered again in a later round
     assert finished.count() == finished.distinct().count()
