@@ -4,11 +4,11 @@ full refresh of ip_locations, with the reason counters observed on that write.""
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from clickflow.operators import geo
 from clickflow.operators import quality as dq
 from clickflow.operators import sinks
+from clickflow.operators.ranges import bad_ranges
 
 
 def validated_locations(raw: DataFrame, ranges: DataFrame, ip_col: str = "ip") -> DataFrame:
@@ -18,11 +18,12 @@ def validated_locations(raw: DataFrame, ranges: DataFrame, ip_col: str = "ip") -
 def run_ip_locations(spark: SparkSession, raw: DataFrame, ranges: DataFrame, out_path: str,
                      rejects_path: str | None = None) -> dict:
     """Rebuild ip_locations (and, with ``rejects_path``, the quarantined rows); returns
-    total and per-reason counts (they sum to total). Ranges that overlap or leave the IPv4
-    space fail the job before anything is written: the lookup would miss addresses."""
-    broken = ranges.where((F.col("ip_from") < 0) | (F.col("ip_to") > 2 ** 32 - 1)).limit(1)
-    if broken.count() or geo.overlapping_ranges(ranges).limit(1).count():
-        raise ValueError("IP ranges overlap or leave the IPv4 space")
+    total and per-reason counts (they sum to total). Ranges may nest or cross (the narrowest
+    wins); ends that are missing, no addresses, outside the address space or the wrong way round
+    fail the job before anything is written: the lookup would miss addresses."""
+    broken = bad_ranges(ranges).limit(1).collect()
+    if broken:
+        raise ValueError(f"IP ranges with bad ends, for example {broken[0].asDict()}")
     validated = validated_locations(raw, ranges)
     if rejects_path is not None:
         validated = validated.persist()          # shared by the two sinks

@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clickflow.functions.ipv4 import IPV4_PATTERN, IPV6_PATTERN
 from clickflow.operators import geo
 from clickflow.operators import quality as dq
 from clickflow.operators import reports as rep
@@ -23,11 +22,14 @@ def _validated(spark, d) -> DataFrame:
     return dq.validate_location(dq.normalize_location(_located(spark, d)))
 
 
+# the oracle's own reading of addresses: four decimal numbers without leading zeros
 NUM = ("CAST(split_part(ip, '.', 1) AS BIGINT) * 16777216 + CAST(split_part(ip, '.', 2) AS BIGINT) * 65536"
        " + CAST(split_part(ip, '.', 3) AS BIGINT) * 256 + CAST(split_part(ip, '.', 4) AS BIGINT)")
+QUAD = ("(len(string_split(ip, '.')) = 4 AND len(list_filter(string_split(ip, '.'), lambda x: "
+        "x <> CAST(TRY_CAST(x AS UTINYINT) AS VARCHAR) OR TRY_CAST(x AS UTINYINT) IS NULL)) = 0)")
 PARSED = f"""ips AS (SELECT DISTINCT ip FROM raw_data),
- parsed AS (SELECT ip, CASE WHEN regexp_matches(ip, '{IPV4_PATTERN}') THEN {NUM} END AS n FROM ips)"""
-BAD = f"(p.n IS NULL AND NOT (p.ip IS NULL OR p.ip = '' OR regexp_matches(p.ip, '{IPV6_PATTERN}')))"
+ parsed AS (SELECT ip, CASE WHEN {QUAD} THEN {NUM} END AS n FROM ips)"""
+BAD = "(p.n IS NULL AND NOT (p.ip IS NULL OR p.ip = '' OR p.ip LIKE '%:%:%'))"
 LOCATED = f"""{PARSED},
  located AS (SELECT p.ip,
   CASE WHEN {BAD} THEN 'INVALID IP ADDRESS' ELSE r.country_short END AS country_short,
@@ -156,3 +158,34 @@ _PROG_COLS = ", ".join(f"CAST(sum(n_dq_{x}) OVER w AS BIGINT) AS dq_{x}"
 def q_ip_chunk_progress(spark, d):
     """OP-36 for the IP job: progress per insert batch of distinct addresses."""
     return rep.ip_progress(_validated(spark, d), IP_QUERY_CHUNK)
+
+
+# 128-bit numbers of both families: groups of the two halves around "::" with zeros between
+_MIXED = f"""ips AS (SELECT DISTINCT ip FROM mixed_ips),
+ tails AS (SELECT ip AS text, CASE WHEN contains(ip, ':') THEN string_split(ip, ':')[-1] ELSE ip END AS ip FROM ips),
+ quads AS (SELECT text, CASE WHEN {QUAD} THEN {NUM} END AS n FROM tails),
+ plain AS (SELECT text, n, CASE WHEN n IS NOT NULL AND contains(text, ':')
+   THEN regexp_extract(text, '^(.*:)[^:]*$', 1) || format('{{:x}}:{{:x}}', n // 65536, n % 65536) ELSE text END AS p FROM quads),
+ halves AS (SELECT text, n, list_transform(string_split(p, '::'), lambda h: CASE WHEN h = '' THEN [] ELSE string_split(h, ':') END) AS h FROM plain),
+ counted AS (SELECT *, len(flatten(h)) AS k, len(list_filter(flatten(h), lambda g: NOT regexp_full_match(g, '[0-9a-fA-F]{{1,4}}'))) AS odd FROM halves),
+ keyed AS (SELECT text AS ip, CASE WHEN NOT contains(text, ':') THEN 281470681743360::HUGEINT + n
+   WHEN odd = 0 AND ((len(h) = 1 AND k = 8) OR (len(h) = 2 AND k <= 7)) THEN list_reduce(list_transform(
+    list_concat(h[1], list_transform(range(8 - k), lambda z: '0'), coalesce(h[2], [])), lambda g: ('0x' || g)::BIGINT::HUGEINT),
+    lambda a, b: a * 65536 + b) END AS key FROM counted),
+ hits AS (SELECT k.ip, k.key, r.*, row_number() OVER (PARTITION BY k.ip ORDER BY r.ip_to - r.ip_from, r.ip_from, r.country_short) AS place
+  FROM keyed k LEFT JOIN mixed_ranges r ON k.key BETWEEN r.ip_from AND r.ip_to)"""
+_BAD_MIXED = "key IS NULL AND ip IS NOT NULL AND ip <> ''"
+
+
+@register("locate_mixed_ips", with_fixtures(
+    f"WITH {_MIXED} SELECT ip, " + ", ".join(f"CASE WHEN {_BAD_MIXED} THEN 'INVALID IP ADDRESS' ELSE {c} END AS {c}" for c in geo.LOCATION_COLS)
+    + " FROM hits WHERE place = 1", "mixed_ranges", "mixed_ips"))
+def q_locate_mixed_ips(spark, d):
+    """OP-04/22: IPv4 and IPv6 addresses in nested, crossing and equal ranges, read from a CSV edition
+    with 128-bit ends; the narrowest range that holds an address wins."""
+    from clickflow.session import work_path
+    from clickflow.sources.tables import read_ip_ranges
+    path = work_path(spark, "ip-edition")
+    fx.mixed_ranges(spark, d).write.option("ignoreLeadingWhiteSpace", "false").option("ignoreTrailingWhiteSpace", "false").csv(path)
+    ranges = read_ip_ranges(spark, path, fmt="csv", text_ends=True)
+    return geo.locate_ips(geo.unique_ips(fx.mixed_ips(spark, d)), ranges)
