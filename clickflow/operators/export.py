@@ -16,7 +16,7 @@ so numbering stays stable under failures.
 
 from __future__ import annotations
 
-import json
+import uuid
 from collections.abc import Sequence
 from contextlib import contextmanager
 
@@ -24,6 +24,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from clickflow.config import EXPORT_CHUNK_SIZE
+from clickflow.sources import commits, fs
 
 _POS_BITS = 33
 _POS_MASK = (1 << _POS_BITS) - 1
@@ -110,7 +111,7 @@ def export_parts(df: DataFrame, root: str, table: str, part_col: str = "part_num
     """Write each part below ``root/<table>/part_number=<n>/``. Dynamic partition
     overwrite replaces exactly the parts present in ``df`` (a rerun of the same part
     replaces it, other parts stay)."""
-    path = f"{root.rstrip('/')}/{table}"
+    path = f"{root.rstrip('/')}/{table}".rstrip("/")
     # No repartition: rows are already range-partitioned by key, so each task writes
     # the few parts its key range covers (several files per part, no extra shuffle).
     (df.write.mode("overwrite")
@@ -124,24 +125,31 @@ def _state_path(root: str, table: str) -> str:
 
 
 def load_state(spark: SparkSession, root: str, table: str) -> tuple[str | None, int]:
-    """(last_id, part_number) saved for ``table``; (None, 0) when none exists. Each commit is
-    a small JSON document of its own; the highest part number is the state."""
-    from clickflow.sources.fs import names, read_text
-    commits = sorted(n for n in names(spark, _state_path(root, table)) if n.endswith(".json"))
-    text = read_text(spark, f"{_state_path(root, table)}/{commits[-1]}") if commits else None
-    if not text:
-        return None, 0
-    state = json.loads(text)
-    return state.get("last_id"), int(state.get("part_number") or 0)
-
-
-def write_state(spark: SparkSession, root: str, table: str, last_id, part_number: int) -> None:
-    """Commit the table's state as a new document (written aside, then renamed); the documents
-    before it stay, so a crash leaves the last committed state."""
-    from clickflow.sources.fs import write_text
-    write_text(spark, f"{_state_path(root, table)}/{int(part_number):012d}.json",
-               json.dumps({"table": table, "last_id": None if last_id is None else str(last_id),
-                           "part_number": int(part_number)}))
+    """(last_id, part_number) saved for ``table``; (None, 0) when none exists: the highest complete
+    commit (``sources.commits``)."""
+    version, doc = commits.head(spark, _state_path(root, table))
+    return (doc.get("last_id"), int(doc["part_number"])) if doc else (None, 0)
+
+
+def write_state(spark: SparkSession, root: str, table: str, last_id, part_number: int, staged: str | None = None) -> None:
+    """Commit the table's state, and with it the parts below ``staged``. The commit is exclusive: if
+    another run has committed these parts, it fails with ``CommitConflict``."""
+    commits.commit(spark, _state_path(root, table), int(part_number), {
+        "table": table, "last_id": None if last_id is None else str(last_id), "part_number": int(part_number), "staged": staged})
+
+
+def publish(spark: SparkSession, root: str, table: str) -> None:
+    """Move the committed parts of the last run to their place below ``root/<table>``. Repeating it, also
+    after a crash half-way, changes nothing."""
+    _, doc = commits.head(spark, _state_path(root, table))
+    staged = doc.get("staged") if doc else None
+    if not staged or not fs.exists(spark, staged):
+        return
+    for part in sorted(n for n in fs.names(spark, staged) if n.startswith("part_number=")):
+        place = f"{root.rstrip('/')}/{table}/{part}"
+        fs.delete(spark, place)   # never committed: an older attempt's
+        fs.rename(spark, f"{staged}/{part}", place)
+    fs.delete(spark, staged)
 
 
 def save_state(manifest: DataFrame, root: str, table: str) -> None:
@@ -155,8 +163,7 @@ def save_state(manifest: DataFrame, root: str, table: str) -> None:
 
 def reset_state(spark: SparkSession, root: str, table: str) -> None:
     """Explicit state reset (the next export starts from part 1 over all rows)."""
-    from clickflow.sources.fs import delete
-    delete(spark, _state_path(root, table))
+    fs.delete(spark, _state_path(root, table))
 
 
 def _identity(df: DataFrame, key: str):
@@ -182,15 +189,17 @@ def incremental_export(spark: SparkSession, df: DataFrame, root: str, table: str
     an address) need ``arrival_ordered=False``: all rows are compared with the exported
     keys, so an id that sorts below the last one is not lost.
 
-    Order of commits: parts first, state second. A crash between the two rewrites the
-    same part numbers on the next run (dynamic overwrite makes that idempotent).
-    Row count and last key of the slice come from one aggregate over the materialised
-    range partitions (two scalars to the driver). Returns the manifest of the parts
+    Order of commits: the parts are written to a folder of this run, the state commit names it
+    (exclusive: of two runs at once one fails before it has touched a part), then the parts move to their place.
+    A crash before the commit leaves the state as it was, one after it is made good by the next run,
+    which publishes first. Row count and last key of the slice come from one aggregate over the
+    materialised range partitions (two scalars to the driver). Returns the manifest of the parts
     written by this run (read back from storage, lazily)."""
     from clickflow.config import FORCE_STRING_COLUMNS
     from clickflow.operators.events import slice_after
     from clickflow.operators.standardize import standardize
 
+    publish(spark, root, table)
     last_id, last_part = load_state(spark, root, table)
     path = f"{root.rstrip('/')}/{table}"
     strings = FORCE_STRING_COLUMNS if force_string is None else force_string
@@ -214,9 +223,11 @@ def incremental_export(spark: SparkSession, df: DataFrame, root: str, table: str
         if n > 0:
             numbered = (_number(ranged, "_rn")
                         .withColumn("part_number", chunk_column("_rn", size, last_part + 1)).drop("_rn"))
-            export_parts(numbered, root, table)
+            staged = f"{root.rstrip('/')}/_staged/{table}-{uuid.uuid4().hex[:12]}"
+            export_parts(numbered, staged, "")
             top = summary["last_id"] if last_id is None or summary["last_id"] is None else max(str(summary["last_id"]), str(last_id))
-            write_state(spark, root, table, last_id if top is None else top, last_part + -(-n // size))
+            write_state(spark, root, table, last_id if top is None else top, last_part + -(-n // size), staged)
+            publish(spark, root, table)
     finally:
         ranged.unpersist()
     if n == 0:

@@ -18,15 +18,15 @@ DEFAULT_NAMES = {
 }
 
 
-def _blank(c: str):
+def blank(c: str):
     return F.col(c).isNull() | (F.col(c) == "")
 
 
-def _count_if(cond):
+def count_if(cond):
     return F.count(F.when(cond, F.lit(1)))
 
 
-def _pct(num, den, digits: int = 2):
+def percent(num, den, digits: int = 2):
     # Decimal arithmetic: exact half-up rounding, null (not an error) on an empty table.
     return F.round(F.try_divide(num.cast("decimal(38,0)") * F.lit(100), den.cast("decimal(38,0)")), digits).cast("double")
 
@@ -46,15 +46,15 @@ def profile(df: DataFrame, cfg: ProfileConfig = ProfileConfig(), names: dict[str
     dkey = distinct(cfg.key)
     aggs = [total.alias("total_rows"), dkey.alias("distinct_id_count"),
             F.when(total == dkey, F.lit("Passed")).otherwise(F.lit("Failed - Duplicated")).alias("is_id_unique"),
-            _count_if(F.col(cfg.key).isNull()).alias("null_key_count")]
+            count_if(F.col(cfg.key).isNull()).alias("null_key_count")]
     for c in cfg.blank_cols:
-        aggs.append(_count_if(_blank(c)).alias(f"null_{c}"))
+        aggs.append(count_if(blank(c)).alias(f"null_{c}"))
         if c in cfg.pct_cols:
-            aggs.append(_pct(_count_if(_blank(c)), total).alias(f"null_pct_{c}"))
+            aggs.append(percent(count_if(blank(c)), total).alias(f"null_pct_{c}"))
     for c in cfg.distinct_cols:
         aggs.append(distinct(c).alias(names.get(f"distinct:{c}", f"distinct_{c}")))
     for c in cfg.zero_cols:
-        aggs.append(_count_if(_blank(c) | (F.col(c) == "0")).alias(names.get(f"zero:{c}", f"zero_or_null_{c}_count")))
+        aggs.append(count_if(blank(c) | (F.col(c) == "0")).alias(names.get(f"zero:{c}", f"zero_or_null_{c}_count")))
     return df.agg(*aggs)
 
 
@@ -63,14 +63,14 @@ def key_uniqueness(df: DataFrame, key: str = "_id") -> DataFrame:
     d = F.count_distinct(key)
     return df.agg(total.alias("total_rows"), d.alias("distinct_id_count"),
                   F.when(total == d, F.lit("Passed")).otherwise(F.lit("Failed - Duplicated")).alias("is_id_unique"),
-                  _count_if(F.col(key).isNull()).alias("null_key_count"))
+                  count_if(F.col(key).isNull()).alias("null_key_count"))
 
 
 def blank_rates(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     total = F.count(F.lit(1))
     aggs = [total.alias("total_rows")]
     for c in cols:
-        aggs += [_count_if(_blank(c)).alias(f"null_{c}"), _pct(_count_if(_blank(c)), total).alias(f"null_pct_{c}")]
+        aggs += [count_if(blank(c)).alias(f"null_{c}"), percent(count_if(blank(c)), total).alias(f"null_pct_{c}")]
     return df.agg(*aggs)
 
 
@@ -80,7 +80,7 @@ def distinct_counts(df: DataFrame, cols: Sequence[str], approximate: bool = Fals
 
 
 def zero_counts(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    return df.agg(*[_count_if(_blank(c) | (F.col(c) == "0")).alias(f"zero_or_null_{c}_count") for c in cols])
+    return df.agg(*[count_if(blank(c) | (F.col(c) == "0")).alias(f"zero_or_null_{c}_count") for c in cols])
 
 
 def catalog_columns(tables: dict, schemas: dict | None = None, spark=None) -> DataFrame:

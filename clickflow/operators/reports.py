@@ -76,41 +76,50 @@ def ip_report(validated: DataFrame) -> DataFrame:
 
 def running_totals(df: DataFrame, order_col: str, sum_cols: list[str], block: int = 1024) -> DataFrame:
     """Cumulative sums (``cum_<c>``) and grand totals (``total_<c>``) of ``sum_cols`` in
-    ``order_col`` order, for integer, distinct ``order_col`` values.
-
-    Two-level prefix sums, so no window sees more than ``block`` rows or one row per
-    block: rows are grouped into blocks of ``block`` consecutive keys; per block its
-    totals (one row per block) get exclusive prefix sums; inside a block a running sum
-    over at most ``block`` rows is added to the block's offset."""
-    blk = F.floor(F.col(order_col) / F.lit(block))
-    with_block = df.withColumn("_blk", blk)
-    blocks = with_block.groupBy("_blk").agg(*[F.sum(c).alias(f"_bt_{c}") for c in sum_cols])
-    wb = Window.orderBy("_blk").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    wt = Window.orderBy("_blk").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    offsets = blocks.select(
-        "_blk",
-        *[(F.sum(f"_bt_{c}").over(wb) - F.col(f"_bt_{c}")).alias(f"_bo_{c}") for c in sum_cols],
-        *[F.sum(f"_bt_{c}").over(wt).alias(f"total_{c}") for c in sum_cols])
-    wi = Window.partitionBy("_blk").orderBy(order_col).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    j = with_block.join(offsets, "_blk")
-    return j.select(*df.columns,
-                    *[(F.col(f"_bo_{c}") + F.sum(c).over(wi)).alias(f"cum_{c}") for c in sum_cols],
-                    *[F.col(f"total_{c}") for c in sum_cols])
+    ``order_col`` order, for integer, distinct, non-negative ``order_col`` values.
+
+    A prefix scan over as many levels as it needs: rows are grouped into blocks of ``block``
+    consecutive keys, blocks into blocks of blocks, until one block is left; then the offsets come down
+    again. Every window is partitioned and sees at most ``block`` rows, whatever the number of rows. The
+    height follows from the greatest key (one small aggregate)."""
+    top = df.agg(F.max(order_col)).first()[0] or 0
+    levels = [df.select(F.col(order_col).cast("long").alias("_k"), *[F.col(c).alias(f"_s_{c}") for c in sum_cols])]
+    while top >= block:
+        top //= block
+        up = levels[-1].groupBy(F.floor(F.col("_k") / block).alias("_k")).agg(*[F.sum(f"_s_{c}").alias(f"_s_{c}") for c in sum_cols])
+        levels.append(up)
+    # sums before each key: those inside its block of the level, and those before the block
+    before = None
+    for level in reversed(levels):
+        ahead = Window.partitionBy("_blk").orderBy("_k").rowsBetween(Window.unboundedPreceding, -1)
+        here = level.withColumn("_blk", F.floor(F.col("_k") / block)).select("_k", "_blk", *[F.coalesce(F.sum(f"_s_{c}").over(ahead), F.lit(0)).alias(f"_b_{c}") for c in sum_cols])
+        if before is not None:
+            off = before.select(F.col("_k").alias("_blk"), *[F.col(f"_b_{c}").alias(f"_o_{c}") for c in sum_cols])
+            here = here.join(off, "_blk").select("_k", *[(F.col(f"_b_{c}") + F.col(f"_o_{c}")).alias(f"_b_{c}") for c in sum_cols])
+        before = here.drop("_blk")
+    totals = levels[-1].agg(*[F.sum(f"_s_{c}").alias(f"total_{c}") for c in sum_cols]).first()
+    joined = df.join(before, F.col(order_col) == F.col("_k"))
+    return joined.select(*df.columns, *[(F.col(f"_b_{c}") + F.col(c)).alias(f"cum_{c}") for c in sum_cols],
+                         *[F.lit(totals[f"total_{c}"]).cast("long").alias(f"total_{c}") for c in sum_cols])
 
 
 def progress(df: DataFrame, order_col: str, size: int, counters: dict, block: int = 1024) -> DataFrame:
     """Running progress per chunk of ``size`` rows in ``order_col`` order: per chunk its
     row count ``n``, cumulative ``processed`` and cumulative counter columns (one per
     ``counters`` entry: name -> condition), and rows ``pending`` after the chunk.
-    Distributed numbering and two-level prefix sums: no window over all rows or chunks."""
-    from clickflow.operators.export import assign_chunks
-    from pyspark import StorageLevel
-    numbered = assign_chunks(df, [order_col], size, start=1, out="chunk")
-    # one row per chunk (rows / size of them), used twice below: kept so the numbered
-    # data is read once
-    per = (numbered.groupBy("chunk").agg(F.count(F.lit(1)).alias("n"),
-                                         *[_count_if(cond).alias(f"n_{k}") for k, cond in counters.items()])
-           .persist(StorageLevel.MEMORY_AND_DISK))
+    Distributed numbering and a prefix scan of as many levels as it needs: no window over all rows
+    or chunks."""
+    from clickflow.operators.export import chunk_column, numbered_rows
+    from clickflow.session import work_path
+    spark = df.sparkSession
+    # one row per chunk (rows / size of them), read by every level of the scan: written once, so
+    # the numbered data is read once and its cached ranges go as soon as it is
+    path = work_path(spark, "chunks")
+    with numbered_rows(df, [order_col], out="_rn") as numbered:
+        chunks = numbered.withColumn("chunk", chunk_column("_rn", size, 1))
+        (chunks.groupBy("chunk").agg(F.count(F.lit(1)).alias("n"), *[_count_if(cond).alias(f"n_{k}") for k, cond in counters.items()])
+         .write.parquet(path))
+    per = spark.read.parquet(path)
     sums = ["n"] + [f"n_{k}" for k in counters]
     cum = running_totals(per, "chunk", sums, block)
     return cum.select("chunk", "n", F.col("cum_n").alias("processed"),

@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -80,6 +80,29 @@ def detect_nested(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame
 
 
 def sample_non_null(df: DataFrame, col: str, n: int = 100) -> DataFrame:
-    """First ``n`` non-null values of a column (a profiling helper; the limit is the
-    feature)."""
-    return df.where(F.col(col).isNotNull()).select(col).limit(n)
+    """``n`` non-null values of a column, the same on every run (those with the least hashes; the
+    limit is the feature). The top-n is taken per task first."""
+    value = F.col(f"`{col}`")
+    order = [F.xxhash64(json_text(value, df.schema[col].dataType) if is_nested_type(df.schema[col].dataType) else value), F.col("_t")]
+    text = json_text(value, df.schema[col].dataType) if is_nested_type(df.schema[col].dataType) else value.cast("string")
+    return df.where(value.isNotNull()).select(value, text.alias("_t")).orderBy(*order).limit(n).select(col)
+
+
+def sample_columns(df: DataFrame, cols: Sequence[str] | None = None, n: int = 100, key: str | None = None) -> DataFrame:
+    """(column_name, place, value): ``n`` non-null values of every column as text (nested ones as JSON), in
+    one pass over the rows. A bottom-k sample by the MD5 of key and column (or of the value, if no
+    ``key`` is given): the least hashes of any part hold those of the whole, so each task keeps its
+    own ``n`` per column and only these are shuffled; ties go by the value, so every run gives
+    the same rows. Null keys hash as blank ones."""
+    names = list(cols) if cols is not None else list(df.columns)
+    kinds = {f.name: f.dataType for f in df.schema.fields}
+
+    def text(c: str) -> Column:
+        return json_text(F.col(f"`{c}`"), kinds[c]) if is_nested_type(kinds[c]) else F.col(f"`{c}`").cast("string")
+
+    cells = F.array(*[F.struct(F.lit(c).alias("column_name"), text(c).alias("value")) for c in names])
+    by = F.col("_key").cast("string") if key else F.col("c.value")
+    long = df.select(*([F.col(f"`{key}`").alias("_key")] if key else []), F.explode(cells).alias("c")).where("c.value IS NOT NULL")
+    long = long.select("c.column_name", "c.value", F.md5(F.concat(F.coalesce(by, F.lit("")), F.lit("|"), F.col("c.column_name"))).alias("_h"))
+    w = Window.partitionBy("column_name").orderBy("_h", "value")
+    return long.withColumn("place", F.row_number().over(w)).where(F.col("place") <= n).select("column_name", "place", "value")

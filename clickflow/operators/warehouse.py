@@ -13,6 +13,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from clickflow.sources import commits, fs
+
 _SIMPLE = (T.StringType, T.NumericType, T.BooleanType, T.DateType, T.TimestampType, T.TimestampNTZType)
 
 
@@ -87,8 +89,10 @@ def merge_insert_only(target: DataFrame, source: DataFrame, key: str = "_id",
     # bounded by the source's distinct keys
     matched = tkeys.join(skeys, "_k", "left_semi").distinct()
     if source_is_bounded:
-        matched = F.broadcast(matched)
-    return source.join(matched, source[key] == matched["_k"], "left_anti")
+        return source.join(F.broadcast(matched), source[key] == matched["_k"], "left_anti")
+    # null keys are inserted in any case: past the shuffle, or they would meet in one task
+    keyed = source.where(F.col(key).isNotNull()).join(matched, F.col(key) == matched["_k"], "left_anti")
+    return keyed.unionByName(source.where(F.col(key).isNull()))
 
 
 def table_exists(spark: SparkSession, table: str) -> bool:
@@ -134,20 +138,68 @@ def load_part(batch: DataFrame, table: str, path: str, key: str = "_id",
     return "merged"
 
 
+def _versions(location: str) -> str:
+    return f"{location.rstrip('/')}/_versions"
+
+
 def replace_table(spark: SparkSession, table: str, path: str) -> None:
-    """Let ``table`` stand for the Parquet files at ``path``. The files it stood for stay where
-    they are until their owner deletes them."""
-    spark.sql(f"DROP TABLE IF EXISTS {table}")   # external: drops the name, not the files
+    """Let ``table`` stand for the Parquet files at ``path``. A table of the same columns, or with
+    columns missing at its end, is switched in place, so it is there all the time. Otherwise it is
+    dropped and made anew (``sync_table`` makes good a crash between the two)."""
+    if table_exists(spark, table):
+        have, want = spark.table(table).schema.fields, spark.read.parquet(path).schema.fields
+        kept = [(f.name, f.dataType) for f in want[:len(have)]] == [(f.name, f.dataType) for f in have]
+        if kept:
+            fresh = [f"`{f.name}` {f.dataType.simpleString()}" for f in want[len(have):]]
+            if fresh:
+                spark.sql(f"ALTER TABLE {table} ADD COLUMNS ({', '.join(fresh)})")
+            spark.sql(f"ALTER TABLE {table} SET LOCATION '{path}'")
+            spark.catalog.refreshTable(table)
+            return
+        spark.sql(f"DROP TABLE {table}")   # external: drops the name, not the files
     spark.catalog.createTable(table, path, "parquet")
 
 
+def table_path(spark: SparkSession, table: str) -> str | None:
+    """The folder that a table stands for, None when there is no such table."""
+    if not table_exists(spark, table):
+        return None
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").where("col_name = 'Location'").collect()
+    return rows[0]["data_type"] if rows else None
+
+
+def sync_table(spark: SparkSession, table: str, location: str) -> bool:
+    """Let the table stand for the last committed version below ``location``: what a load that was
+    cut off between its commit and the switch has left undone. Returns whether it changed the table."""
+    _, doc = commits.head(spark, _versions(location))
+    if not doc:
+        return False
+    now = table_path(spark, table)
+    if now is not None and now.rstrip("/").endswith(doc["path"].rstrip("/").removeprefix("file:").lstrip("/")):
+        return False
+    replace_table(spark, table, doc["path"])
+    return True
+
+
+def drop_old_versions(spark: SparkSession, location: str, keep: int = 2) -> list[str]:
+    """Delete the files of all versions but the last ``keep`` committed ones, and of loads that
+    were never committed. For the owner of the table, when no reader holds an older version."""
+    docs = [commits.read(spark, _versions(location), v) for v in commits.versions(spark, _versions(location))]
+    held = [d["path"].rsplit("/", 1)[-1] for d in docs if d][-keep:]
+    gone = [n for n in fs.names(spark, location) if n.startswith("version-") and n not in held]
+    for n in gone:
+        fs.delete(spark, f"{location.rstrip('/')}/{n}")
+    return gone
+
+
 def load_full(spark: SparkSession, root: str, tables: Sequence[str], locations: dict[str, str],
               names: dict[str, str] | None = None) -> DataFrame:
     """Truncate-and-load each table from all its parts below ``root/<table>`` (columns of all
     parts, without the part number). The rows are written to a new version below the table's
-    location, and the table is switched to it only when the write has succeeded: a failed
-    reload leaves the table as it was. A failing table is reported and does not stop the
-    others. Returns (table_name, status, rows, error) -- one row per table."""
+    location; the version is committed (exclusive: of two loads at once one fails), then the table is
+    switched to it. A load that fails or is cut off before the commit leaves the table as it was, one that is
+    cut off after it is made good by the next load or by ``sync_table``. A failing table is
+    reported and does not stop the others. Returns (table_name, status, rows, error) -- one row per table."""
     from clickflow.sources.tables import read_parts
     names = names or {}
     report = []
@@ -155,12 +207,16 @@ def load_full(spark: SparkSession, root: str, tables: Sequence[str], locations:
     for t in tables:
         target = names.get(t, t)
         try:
+            sync_table(spark, target, locations[t])
+            last, _ = commits.head(spark, _versions(locations[t]))
             obs = Observation(f"load_{t}")
             parts = read_parts(spark, root, t).drop("part_number").observe(obs, F.count(F.lit(1)).alias("rows"))
             version = f"{locations[t].rstrip('/')}/version-{uuid.uuid4().hex[:12]}"
             parts.write.parquet(version)
+            rows = int(obs.get["rows"])   # counted on the write itself
+            commits.commit(spark, _versions(locations[t]), last + 1, {"path": version, "rows": rows})
             replace_table(spark, target, version)
-            report.append((t, "loaded", int(obs.get["rows"]), None))   # counted on the write itself
+            report.append((t, "loaded", rows, None))
         except Exception as ex:  # noqa: BLE001 - one table's failure must not stop the rest
             report.append((t, "failed", None, f"{type(ex).__name__}: {ex}"))
     return spark.createDataFrame(report, "table_name string, status string, rows bigint, error string")

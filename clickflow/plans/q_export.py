@@ -87,6 +87,21 @@ def q_detect_nested(spark, d):
     return st.detect_nested(fx.table(spark, d, "events"))
 
 
+_SAMPLED = ("collection", "product_id", "ip", "price", "is_paypal", "tags")
+_SAMPLE = " UNION ALL ".join(f"SELECT _id, '{c}' AS column_name, CAST({c} AS VARCHAR) AS value FROM std" for c in _SAMPLED)
+
+
+@register("sample_columns", with_fixtures(
+    f"""WITH std AS (SELECT _id, collection, product_id, ip, price, CAST(is_paypal AS VARCHAR) AS is_paypal,
+  CAST(to_json([{{'k': cat_id, 'v': store_id}}]) AS VARCHAR) AS tags FROM raw_data),
+ cells AS (SELECT *, row_number() OVER (PARTITION BY column_name ORDER BY md5(_id || '|' || column_name), value) AS place
+  FROM ({_SAMPLE}) z WHERE value IS NOT NULL)
+ SELECT column_name, CAST(place AS INTEGER) AS place, value FROM cells WHERE place <= 50""", "raw_data"))
+def q_sample_columns(spark, d):
+    """OP-39: 50 non-null values of six columns (one nested), the same rows on every run."""
+    return st.sample_columns(with_tags(fx.raw_data(spark, d)), _SAMPLED, 50, key="_id")
+
+
 @register("ordered_export", with_fixtures(
     "SELECT _id, row_number() OVER (ORDER BY _id) AS row_number FROM raw_data", "raw_data"))
 def q_ordered_export(spark, d):

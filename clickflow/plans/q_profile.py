@@ -34,6 +34,27 @@ def q_profile_raw(spark, d):
     return pf.profile(fx.raw_data(spark, d), ProfileConfig())
 
 
+@register("profile_parts", with_fixtures(
+    """SELECT count(*) AS total_rows, count(*) FILTER (WHERE _id IS NULL) AS null_key_count,
+ count(*) FILTER (WHERE user_id_db IS NULL OR user_id_db = '') AS null_user_id_db,
+ count(*) FILTER (WHERE device_id IS NULL OR device_id = '') AS null_device_id,
+ count(*) FILTER (WHERE price IS NULL OR price = '' OR price = '0') AS zero_or_null_price_count, 2 AS reads_of_new_parts FROM raw_data""", "raw_data"))
+def q_profile_parts(spark, d):
+    """OP-32 over arriving parts: profiled after each of two deliveries; the second reads the new parts only.
+    The exact counts (the distinct counts carry the sketches' error and are tested apart)."""
+    from pyspark.sql import functions as F
+    from clickflow.operators.export import export_parts
+    from clickflow.operators.part_profile import stored_profile, update_sketches
+    from clickflow.session import work_path
+    root, raw, reads = work_path(spark, "profiled"), fx.raw_data(spark, d), 0
+    for late in (0, 1):
+        part = raw.where(F.pmod(F.xxhash64("_id"), F.lit(2)) == late).withColumn("part_number", F.lit(late + 1))
+        export_parts(part, root, "raw_data")
+        reads += update_sketches(spark, root, "raw_data") > 0 and update_sketches(spark, root, "raw_data") == 0
+    made = stored_profile(spark, root, "raw_data")
+    return made.select("total_rows", "null_key_count", "null_user_id_db", "null_device_id", "zero_or_null_price_count", F.lit(reads).alias("reads_of_new_parts"))
+
+
 @register("key_uniqueness", with_fixtures(f"SELECT {KEY} FROM raw_data", "raw_data"))
 def q_key_uniqueness(spark, d):
     """OP-32 (narrow): key distinct count and uniqueness verdict."""

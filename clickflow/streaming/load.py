@@ -18,10 +18,15 @@ from clickflow.sources import fs
 from clickflow.operators.warehouse import load_part
 
 
+#: Bytes of part files in one micro-batch, unless the caller says otherwise.
+MAX_BATCH_BYTES = 32 << 30
+
+
 def stream_parts(spark: SparkSession, root: str, table: str, schema: T.StructType,
                  max_files_per_trigger: int | None = None) -> DataFrame:
-    """New ``*.parquet`` files below ``root/<table>`` as a stream, with the source file
-    path and the table name derived from it."""
+    """New ``*.parquet`` files below ``root/<table>`` as a stream of rows, with the source file
+    path and the table name derived from it. The schema is fixed while the query runs;
+    ``stream_part_files`` is for parts that may bring new columns."""
     reader = spark.readStream.schema(schema).option("pathGlobFilter", "*.parquet")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
@@ -29,6 +34,18 @@ def stream_parts(spark: SparkSession, root: str, table: str, schema: T.StructTyp
     return df.withColumn("_source_file", F.col("_metadata.file_path"))
 
 
+def stream_part_files(spark: SparkSession, root: str, table: str, max_files_per_trigger: int | None = None,
+                      max_bytes_per_trigger: int | None = MAX_BATCH_BYTES) -> DataFrame:
+    """The names (path, length) of new ``*.parquet`` files below ``root/<table>`` as a stream; the files
+    themselves are not read. A batch holds files of about ``max_bytes_per_trigger``, or a number of files if that is
+    given instead (the source takes one limit), and one file at least."""
+    limit = {"maxFilesPerTrigger": str(max_files_per_trigger)} if max_files_per_trigger else \
+        {"maxBytesPerTrigger": str(max_bytes_per_trigger)} if max_bytes_per_trigger else {}
+    schema = "path string, modificationTime timestamp, length long, content binary"
+    return (spark.readStream.format("binaryFile").schema(schema).option("pathGlobFilter", "*.parquet").options(**limit)
+            .load(f"{root.rstrip('/')}/{table}").select("path", "length"))
+
+
 def batch_loader(target: str, target_path: str, key: str = "_id", marker_root: str | None = None,
                  drop_cols: tuple[str, ...] = ("part_number",), loaded: dict[int, int] | None = None):
     """The ``foreachBatch`` body: create or insert-only merge the batch into ``target``.
@@ -56,22 +73,44 @@ def batch_loader(target: str, target_path: str, key: str = "_id", marker_root: s
     return body
 
 
+def file_batch_loader(root: str, table: str, target: str, target_path: str, key: str = "_id", marker_root: str | None = None,
+                      drop_cols: tuple[str, ...] = ("part_number",), loaded: dict[int, int] | None = None):
+    """The ``foreachBatch`` body for ``stream_part_files``: the files of the batch are read by their names
+    with the merged schema of this batch, so a column that first appears in it is loaded
+    (and added to ``target``) without a restart. Files that have gone since are passed over.
+    The batch bounds the list of names."""
+    body = batch_loader(target, target_path, key, marker_root, drop_cols, loaded)
+
+    def read(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        paths = sorted(r["path"] for r in batch.select("path").distinct().collect())
+        paths = [p for p in paths if fs.exists(spark, p)]
+        if paths:
+            rows = spark.read.option("mergeSchema", "true").option("basePath", f"{root.rstrip('/')}/{table}").parquet(*paths)
+            body(rows, batch_id)
+
+    return read
+
+
 def start_part_load(spark: SparkSession, root: str, table: str, target: str, target_path: str,
                     checkpoint: str, key: str = "_id", schema: T.StructType | None = None,
                     drop_cols: tuple[str, ...] = ("part_number",), available_now: bool = True,
                     max_files_per_trigger: int | None = None,
-                    trigger_interval: str = "10 seconds", loaded: dict[int, int] | None = None) -> StreamingQuery:
-    """Start the load stream for one table. ``schema`` defaults to the schema of the
-    parts already present (read from the Parquet footers); give it explicitly when the
-    stream starts before the first part exists. Committed batch ids are recorded under
-    the checkpoint folder, so a replayed batch is not loaded twice."""
-    path = f"{root.rstrip('/')}/{table}"
-    if schema is None:
-        if not fs.exists(spark, path):
-            raise ValueError(f"no parts under {path} yet: pass the part schema explicitly")
-        schema = spark.read.option("mergeSchema", "true").parquet(path).schema
-    src = stream_parts(spark, root, table, schema, max_files_per_trigger)
-    body = batch_loader(target, target_path, key, f"{checkpoint.rstrip('/')}/_loaded_batches", drop_cols, loaded)
+                    trigger_interval: str = "10 seconds", loaded: dict[int, int] | None = None,
+                    max_bytes_per_trigger: int | None = MAX_BATCH_BYTES) -> StreamingQuery:
+    """Start the load stream for one table: a stream of file names whose batches (bounded by bytes) are read
+    with their own schema, so parts may bring new columns while the query runs. With ``schema`` every part is
+    read with it instead; give it, or start later, where no part exists yet. Committed batch ids
+    are recorded under the checkpoint folder, so a replayed batch is not loaded twice."""
+    markers = f"{checkpoint.rstrip('/')}/_loaded_batches"
+    if schema is not None:
+        src = stream_parts(spark, root, table, schema, max_files_per_trigger)
+        body = batch_loader(target, target_path, key, markers, drop_cols, loaded)
+    else:
+        if not fs.exists(spark, f"{root.rstrip('/')}/{table}"):
+            raise ValueError(f"no parts under {root}/{table} yet: pass the part schema explicitly")
+        src = stream_part_files(spark, root, table, max_files_per_trigger, max_bytes_per_trigger)
+        body = file_batch_loader(root, table, target, target_path, key, markers, drop_cols, loaded)
     writer = src.writeStream.foreachBatch(body).option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=trigger_interval)
     return writer.start()
