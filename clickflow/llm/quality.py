@@ -1,12 +1,20 @@
 """Quality rules with adaptive thresholds (DataFrame functions only).
 
 Each text gets base measures; fixed rules reject the shortest and the most repetitive ones.
-For the others the cutoffs adapt: every ratio goes into a log-binned quantile sketch
-(relative error ``GAMMA - 1``) per language and source. The sketch is a count per bin, so
-partial sketches merge by adding counts: map-side within a group, then from (language,
-source) up to the language and the whole corpus for groups too small to stand alone. A
-ratio is rejected above a far-out fence of its own group. The thresholds (one row per
-language and source) are joined back to the documents.
+For the others every cutoff comes from the texts themselves: each ratio goes into a log-binned
+quantile sketch (relative error ``GAMMA - 1``) per language and source. The sketch is a count per
+bin, so partial sketches merge by adding counts: map-side within a group, then from (language,
+source) up to the language and the whole corpus for groups too small to stand alone. Shares are
+taken as (count + 1/2) / (size + 1), so a text without any says no more than its size allows.
+
+A group's fence, in bins of its own sketch, is the lower of
+
+* its tail carried on: as far above the 99th percentile, in ratio, as that is above the 90th;
+* the edge of a gap in its upper quarter: where no text lies within a factor of ``GAP`` above. A
+  lump of odd texts beyond it can hold up to a quarter of the group and does not move it.
+
+No constant is a cutoff of any measure. The thresholds (one row per language and source) are
+joined back to the documents.
 
 A group's sketch has at most a few hundred bins per measure whatever its size, and hot
 groups are pre-aggregated before the shuffle. Windows are found within the row by sorting
@@ -22,17 +30,18 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from clickflow.llm.common import WORD, join_measured, packed, saved
+from clickflow.llm.common import WORD, discard, join_measured, packed, saved
 
 #: Characters counted as symbols.
 SYMBOLS = "#*$%&|<>"
 MIN_WORDS, MAX_REPEAT_PERCENT, WINDOW = 50, 50, 3
 GAMMA = 1.02
-#: Ratios and the least distance of their fence above the group's median.
-RATIOS = {"symbols": 0.05, "dup_lines": 0.3, "repeats": 0.2, "word_length": 4.0}
-#: Documents that a group needs for thresholds of its own.
-MIN_GROUP = 100
-FAR_OUT = 3.0
+#: The adaptive measures.
+RATIOS = ["symbols", "dup_lines", "repeats", "word_length"]
+#: Documents that a group needs for thresholds of its own (its 99th percentile should be of ten texts).
+MIN_GROUP = 1000
+#: A gap is empty up to this factor; at most this share of a group may lie beyond one.
+GAP, BEYOND = 4.0, 0.25
 MEASURES = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 
 
@@ -71,39 +80,41 @@ def measured(docs: DataFrame, **keep: Column) -> DataFrame:
 
 
 def _ratios() -> dict[str, Column]:
-    """The adaptive measures, as doubles (0 for a text without words)."""
-    part = lambda a, b: F.when(F.col(b) > 0, F.col(a).cast("double") / F.col(b)).otherwise(F.lit(0.0))
+    """The adaptive measures, as positive doubles."""
+    part = lambda a, b: (F.col(a) + F.lit(0.5)) / (F.col(b) + F.lit(1.0))
     return {"symbols": part("n_symbols", "word_chars"), "dup_lines": part("n_dup_lines", "n_lines"),
             "repeats": part("n_repeat_words", "n_words"), "word_length": part("word_chars", "n_words")}
 
 
+def _bin(x: Column) -> Column:
+    return F.ceil(F.ln(x) / F.ln(F.lit(GAMMA))).cast("int")
+
+
 def base_failed() -> Column:
     return (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
 
 
 def sketches(rows: DataFrame) -> DataFrame:
     """Quantile sketches of ``rows`` (lang, source and the measures) that pass the base rules:
-    one count per (lang, source, measure, bin); bin null holds zeros."""
-    ratios = F.explode(F.array(*[F.struct(F.lit(k).alias("measure"), e.alias("x")) for k, e in _ratios().items()]))
+    one count per (lang, source, measure, bin)."""
+    ratios = F.explode(F.array(*[F.struct(F.lit(k).alias("measure"), _bin(e).alias("bin")) for k, e in _ratios().items()]))
     long = rows.where(~base_failed()).select("lang", "source", ratios.alias("r")).select("lang", "source", "r.*")
-    bin_ = F.when(F.col("x") > 0, F.ceil(F.ln("x") / F.ln(F.lit(GAMMA)))).cast("int")
-    return long.groupBy("lang", "source", "measure", bin_.alias("bin")).agg(F.count(F.lit(1)).alias("n"))
+    return long.groupBy("lang", "source", "measure", "bin").agg(F.count(F.lit(1)).alias("n"))
 
 
-def _fences(sketch: DataFrame, group: list[str]) -> DataFrame:
-    """Merge sketches to ``group`` and read a fence per measure: columns f_<measure> and the
-    documents of the group in ``docs``."""
+def fences(sketch: DataFrame, group: list[str]) -> DataFrame:
+    """Merge sketches to ``group`` and read a fence per measure: columns f_<measure> (the last bin
+    inside) and the documents of the group in ``docs``."""
     merged = sketch.groupBy(*group, "measure", "bin").agg(F.sum("n").alias("n"))
     by = Window.partitionBy(*group, "measure")
-    run = F.sum("n").over(by.orderBy(F.col("bin").asc_nulls_first()))
-    value = F.when(F.col("bin").isNull(), F.lit(0.0)).otherwise(
-        2 * F.pow(F.lit(GAMMA), F.col("bin")) / F.lit(GAMMA + 1))
-    at = merged.select(*group, "measure", value.alias("v"), run.alias("run"), F.sum("n").over(by).alias("all"))
-    least = lambda q: F.min(F.when(F.col("run") >= q * F.col("all"), F.col("v")))
-    q = at.groupBy(*group, "measure").agg(least(0.25).alias("q1"), least(0.5).alias("q2"), least(0.75).alias("q3"),
-                                          F.max("all").alias("all"))
-    margin = F.create_map(*[x for k, v in RATIOS.items() for x in (F.lit(k), F.lit(float(v)))])[F.col("measure")]
-    fence = F.greatest(F.col("q3") + FAR_OUT * (F.col("q3") - F.col("q1")), F.col("q2") + margin)
+    at = merged.select(*group, "measure", "bin", F.sum("n").over(by.orderBy("bin")).alias("run"), F.sum("n").over(by).alias("all"),
+                       (F.lead("bin").over(by.orderBy("bin")) - F.col("bin")).alias("gap"))
+    least = lambda met: F.min(F.when(met, F.col("bin")))
+    far = F.ceil(F.ln(F.lit(GAP)) / F.ln(F.lit(GAMMA)))
+    q = at.groupBy(*group, "measure").agg(
+        least(F.col("run") >= 0.9 * F.col("all")).alias("q90"), least(F.col("run") >= 0.99 * F.col("all")).alias("q99"),
+        least((F.col("gap") >= far) & (F.col("run") >= (1 - BEYOND) * F.col("all"))).alias("edge"), F.max("all").alias("all"))
+    fence = F.least(2 * F.col("q99") - F.col("q90"), F.col("edge"))
     return q.groupBy(*group).agg(*[F.max(F.when(F.col("measure") == k, fence)).alias(f"f_{k}") for k in RATIOS],
                                  F.max("all").alias("docs"))
 
@@ -112,24 +123,23 @@ def thresholds(rows: DataFrame) -> DataFrame:
     """A saved table of fences per (lang, source) of ``rows``: the group's own with at least
     ``MIN_GROUP`` documents, else those of its language, else those of the corpus."""
     sketch = saved(sketches(rows), "quality-sketch")
-    levels = [_fences(sketch, ["lang", "source"])]
     names = [f"f_{k}" for k in RATIOS]
-    for level, group in ((1, ["lang"]), (2, ["_all"])):
-        up = _fences(sketch.withColumn("_all", F.lit(1)), group)
-        up = saved(up.select(*group, *[F.col(c).alias(f"{c}_{level}") for c in [*names, "docs"]]), f"quality-up{level}")
-        levels.append(up)
-    own, lang, corpus = levels
-    t = join_measured(own, lang, ["lang"])
-    t = join_measured(t, corpus, {"_all": F.lit(1)})
-    pick = lambda c: F.when(F.col("docs") >= MIN_GROUP, F.col(c)).when(F.col("docs_1") >= MIN_GROUP, F.col(f"{c}_1")).otherwise(F.col(f"{c}_2"))
-    return saved(t.select("lang", "source", *[pick(c).alias(c) for c in names]), "quality-fences")
-
-
-def _judged(rows: DataFrame, lang: Column, source: Column, fences: DataFrame) -> DataFrame:
-    joined = join_measured(rows, fences, {"lang": lang, "source": source})
+    lang = fences(sketch, ["lang"])
+    lang = saved(lang.select("lang", *[F.col(c).alias(f"{c}_1") for c in [*names, "docs"]]), "quality-lang")
+    corpus = fences(sketch.withColumn("_all", F.lit(1)), ["_all"]).first()   # one row
+    t = join_measured(fences(sketch, ["lang", "source"]), lang, ["lang"])
+    pick = lambda c: F.when(F.col("docs") >= MIN_GROUP, F.col(c)).when(F.col("docs_1") >= MIN_GROUP, F.col(f"{c}_1")) \
+        .otherwise(F.lit(corpus[c] if corpus else None).cast("int"))
+    made = saved(t.select("lang", "source", *[pick(c).alias(c) for c in names]), "quality-fences")
+    discard(sketch, lang)
+    return made
+
+
+def _judged(rows: DataFrame, lang: Column, source: Column, limits: DataFrame) -> DataFrame:
+    joined = join_measured(rows, limits, {"lang": lang, "source": source})
     inside = F.lit(True)
     for k, x in _ratios().items():
-        inside = inside & F.coalesce(x <= F.col(f"f_{k}"), F.lit(True))
+        inside = inside & F.coalesce(_bin(x) <= F.col(f"f_{k}"), F.lit(True))
     return joined.withColumn("base_failed", base_failed()).withColumn("kept", ~F.col("base_failed") & inside)
 
 

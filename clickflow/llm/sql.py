@@ -72,30 +72,35 @@ rows_ AS (
         coalesce(n_repeat_words, 0)::BIGINT AS n_repeat_words FROM base b LEFT JOIN repeated USING (id)),
 rated AS (
     SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
-        CASE WHEN word_chars > 0 THEN n_symbols::DOUBLE / word_chars ELSE 0 END AS symbols,
-        CASE WHEN n_lines > 0 THEN n_dup_lines::DOUBLE / n_lines ELSE 0 END AS dup_lines,
-        CASE WHEN n_words > 0 THEN n_repeat_words::DOUBLE / n_words ELSE 0 END AS repeats,
-        CASE WHEN n_words > 0 THEN word_chars::DOUBLE / n_words ELSE 0 END AS word_length FROM rows_),
+        ceil(ln((n_symbols + 0.5::DOUBLE) / (word_chars + 1)) / ln(1.02::DOUBLE))::INTEGER AS symbols,
+        ceil(ln((n_dup_lines + 0.5::DOUBLE) / (n_lines + 1)) / ln(1.02::DOUBLE))::INTEGER AS dup_lines,
+        ceil(ln((n_repeat_words + 0.5::DOUBLE) / (n_words + 1)) / ln(1.02::DOUBLE))::INTEGER AS repeats,
+        ceil(ln((word_chars + 0.5::DOUBLE) / (n_words + 1)) / ln(1.02::DOUBLE))::INTEGER AS word_length FROM rows_),
 long AS (
     SELECT lang, source, unnest(['symbols', 'dup_lines', 'repeats', 'word_length']) AS measure,
-        unnest([symbols, dup_lines, repeats, word_length]) AS x FROM rated WHERE NOT base_failed),
-binned AS (
-    SELECT lang, source, measure, CASE WHEN x > 0 THEN 2 * pow(1.02::DOUBLE, ceil(ln(x) / ln(1.02::DOUBLE))) / 2.02::DOUBLE ELSE 0 END AS v FROM long),
+        unnest([symbols, dup_lines, repeats, word_length]) AS bin FROM rated WHERE NOT base_failed),
 levels AS (
-    SELECT 0 AS level, lang, source, measure, v FROM binned
-    UNION ALL SELECT 1, lang, NULL, measure, v FROM binned UNION ALL SELECT 2, NULL, NULL, measure, v FROM binned),
-fences AS (
-    SELECT level, lang, source, measure, count(*) AS docs, quantile_disc(v, 0.25) AS q1, quantile_disc(v, 0.5) AS q2,
-        quantile_disc(v, 0.75) AS q3 FROM levels GROUP BY ALL),
+    SELECT 0 AS level, lang, source, measure, bin FROM long
+    UNION ALL SELECT 1, lang, NULL, measure, bin FROM long UNION ALL SELECT 2, NULL, NULL, measure, bin FROM long),
+tails AS (
+    SELECT level, lang, source, measure, count(*) AS docs, 2 * quantile_disc(bin, 0.99) - quantile_disc(bin, 0.9) AS tail
+    FROM levels GROUP BY ALL),
+steps AS (
+    SELECT level, lang, source, measure, bin, n, sum(n) OVER w AS run, sum(n) OVER (PARTITION BY level, lang, source, measure) AS whole,
+        lead(bin) OVER w - bin AS gap
+    FROM (SELECT *, count(*) AS n FROM levels GROUP BY ALL) WINDOW w AS (PARTITION BY level, lang, source, measure ORDER BY bin)),
+edges AS (
+    SELECT level, lang, source, measure, min(bin) AS edge FROM steps
+    WHERE gap >= ceil(ln(4) / ln(1.02::DOUBLE)) AND run >= 0.75 * whole GROUP BY level, lang, source, measure),
 fenced AS (
-    SELECT *, greatest(q3 + 3 * (q3 - q1), q2 + CASE measure WHEN 'symbols' THEN 0.05 WHEN 'dup_lines' THEN 0.3
-        WHEN 'repeats' THEN 0.2 ELSE 4.0 END) AS fence FROM fences),
+    SELECT t.*, least(tail, edge) AS fence FROM tails t LEFT JOIN edges e ON t.level = e.level AND t.measure = e.measure
+        AND t.lang IS NOT DISTINCT FROM e.lang AND t.source IS NOT DISTINCT FROM e.source),
 wide AS (
     SELECT level, lang, source, any_value(docs) AS docs, max(fence) FILTER (measure = 'symbols') AS symbols,
         max(fence) FILTER (measure = 'dup_lines') AS dup_lines, max(fence) FILTER (measure = 'repeats') AS repeats,
         max(fence) FILTER (measure = 'word_length') AS word_length FROM fenced GROUP BY level, lang, source),
 chosen AS (
-    SELECT a.lang, a.source, unnest(CASE WHEN a.docs >= 100 THEN [a] WHEN b.docs >= 100 THEN [b] ELSE [c] END) AS f
+    SELECT a.lang, a.source, unnest(CASE WHEN a.docs >= 1000 THEN [a] WHEN b.docs >= 1000 THEN [b] ELSE [c] END) AS f
     FROM wide a JOIN wide b ON b.level = 1 AND a.lang IS NOT DISTINCT FROM b.lang JOIN wide c ON c.level = 2
     WHERE a.level = 0)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
