@@ -16,10 +16,12 @@ lines by word grow with the corpus, while lists by shingle grow with actual repe
 No text is shuffled unless the lists of removed lines outgrow the broadcast limit; classes
 are reduced map-side, so a line that makes up a third of all lines is one row per task.
 
+Documents are in order of their ids; where ids repeat or are missing, each different text is a
+document of its own, in order of id (missing ones last) and text hash.
+
 Defined results: lines without words are never removed; a null or empty text stays as it
-is; documents without an id take no part and stay as they are; rows that repeat an id are
-one document told more than once and are treated alike; long lines and texts count whole;
-an empty table gives an empty result.
+is; rows that repeat an id and a text are one document told more than once and are treated
+alike; long lines and texts count whole; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -29,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from clickflow.llm import setjoin
-from clickflow.llm.common import WORD, discard, join_measured, packed, saved
+from clickflow.llm.common import WORD, discard, join_measured, packed, ranked, saved
 from clickflow.llm.shingles import fingerprints, hashed_lines, pieces, portions, shingle_sets
 
 
@@ -60,6 +62,24 @@ def _lines(batch, inside: bool = True):
             yield keys[text], at, words, sizes
 
 
+def _told(docs: DataFrame) -> list:
+    """Id and text hashes of each row: what tells documents apart."""
+    text = F.coalesce("text", F.lit(""))
+    return [F.col("doc_id").cast("long").alias("i"), F.xxhash64(text).alias("k1"), F.xxhash64(F.lit(1), text).alias("k2")]
+
+
+def numbered(docs: DataFrame) -> tuple[DataFrame, bool]:
+    """``docs`` with ``_d``, a number per document in order, and whether each row has one of its own. It
+    is the id where every row has an id of its own (one look at that column); else the rank of id and
+    text hash."""
+    ids = docs.select(F.col("doc_id").cast("long").alias("i")).groupBy("i").agg(F.count(F.lit(1)).alias("c"))
+    if ids.where("i is null or c > 1").limit(1).isEmpty():
+        return docs.withColumn("_d", F.col("doc_id").cast("long")), True
+    order = [F.col("i").isNull(), F.coalesce("i", F.lit(0)), F.col("k1"), F.col("k2")]
+    keys = saved(ranked(docs.select(*_told(docs)).distinct(), order, "line-ranked", "_d").select("i", "k1", "k2", "_d"), "line-keys")
+    return join_measured(docs, keys, dict(zip(("i", "k1", "k2"), _told(docs), strict=True))), False
+
+
 def line_classes(docs: DataFrame) -> tuple[DataFrame, np.ndarray]:
     """A saved table of all lines with words (d, l, f1, f2, n; bucket null) and the count sketch
     of their tokens, from one pass over the texts."""
@@ -82,7 +102,7 @@ def line_classes(docs: DataFrame) -> tuple[DataFrame, np.ndarray]:
         yield pa.RecordBatch.from_arrays([none, pa.nulls(len(used), pa.int32()), none, none, pa.array(sketch[used]),
                                           pa.array(used.astype(np.int32))], names=names)
 
-    rows = saved(docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(
+    rows = saved(docs.select("_d", "text").mapInArrow(
         read, "d long, l int, f1 long, f2 long, n long, bucket int"), "line-rows")
     counts = setjoin.gathered_sketch(rows.where("bucket is not null").select("bucket", "n"))
     return rows, counts
@@ -94,7 +114,7 @@ def _first_prefixes(docs: DataFrame, later: DataFrame, counts: np.ndarray, num:
 
     shipped = docs.sparkSession.sparkContext.broadcast(counts)
     skipped = saved(later.groupBy(F.col("d").alias("doc")).agg(F.collect_set("l").alias("skip")), "line-later")
-    rows = join_measured(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), skipped, {"doc": F.col("doc_id")})
+    rows = join_measured(docs.select("_d", "text"), skipped, {"doc": F.col("_d")})
 
     def cut(batches):
         rank = setjoin.rarity_rank(shipped.value)
@@ -109,16 +129,16 @@ def _first_prefixes(docs: DataFrame, later: DataFrame, counts: np.ndarray, num:
                     [pa.array(d), pa.array(at.astype(np.int32)), pa.array(sizes.astype(np.int32)),
                      pa.ListArray.from_arrays(ends, rare)], names=["d", "l", "n", "ts"])
 
-    made = rows.select("doc_id", "text", "skip").mapInArrow(cut, "d long, l int, n int, ts array<long>")
+    made = rows.select("_d", "text", "skip").mapInArrow(cut, "d long, l int, n int, ts array<long>")
     return made.select(F.struct("d", "l").alias("id"), "n", "ts")
 
 
-def _sets(docs: DataFrame, lines: DataFrame) -> DataFrame:
+def _sets(docs: DataFrame, lines: DataFrame, alone: bool) -> DataFrame:
     """A saved table of the full sets (id, tokens, bits) of the lines in ``lines`` (id)."""
     import pyarrow as pa
 
     wanted = saved(lines.groupBy(F.col("id.d").alias("doc")).agg(F.collect_set("id.l").alias("lines")), "line-wanted")
-    rows = join_measured(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), wanted, {"doc": F.col("doc_id")}, "inner")
+    rows = join_measured(docs.select("_d", "text"), wanted, {"doc": F.col("_d")}, "inner")
 
     def made(batches):
         for b in batches:
@@ -131,22 +151,21 @@ def _sets(docs: DataFrame, lines: DataFrame) -> DataFrame:
                     [pa.array(d), pa.array(at.astype(np.int32)), pa.ListArray.from_arrays(ends, pa.array(values.view(np.int64))),
                      pa.ListArray.from_arrays(steps, pa.array(bits))], names=["d", "l", "tokens", "bits"])
 
-    got = rows.select("doc_id", "text", "lines").mapInArrow(made, "d long, l int, tokens array<long>, bits array<long>")
+    got = rows.select("_d", "text", "lines").mapInArrow(made, "d long, l int, tokens array<long>, bits array<long>")
     sets = got.select(F.struct("d", "l").alias("id"), "tokens", "bits")
-    # one set per id; without repeated ids (one look at that column) nothing has to be shuffled
-    repeated = docs.select(F.col("doc_id").cast("long").alias("i")).where("i is not null").groupBy("i").agg(F.count(F.lit(1)).alias("c")).where("c > 1").limit(1)
-    return saved(sets if repeated.isEmpty() else sets.dropDuplicates(["id"]), "line-sets")
+    # one set per line, however often its document is told; with ids of their own nothing is shuffled
+    return saved(sets if alone else sets.dropDuplicates(["id"]), "line-sets")
 
 
-def removed_lines(docs: DataFrame, num: int = 80, den: int = 100) -> DataFrame:
-    """(d, l) of every line of ``docs`` (doc_id, text) that matches an earlier one."""
+def removed_lines(docs: DataFrame, num: int = 80, den: int = 100, alone: bool = False) -> DataFrame:
+    """(d, l) of every line of ``docs`` (text and ``_d`` of ``numbered``) that matches an earlier one."""
     rows, counts = line_classes(docs)
     lines = rows.where("bucket is null")
     repeated = lines.groupBy("f1", "f2").agg(F.min(F.struct("d", "l")).alias("first"), F.count(F.lit(1)).alias("c")) \
         .where("c > 1").select("f1", "f2", "first")
     later = saved(lines.join(repeated, ["f1", "f2"]).where("struct(d, l) <> first").select("d", "l").distinct(), "line-copies")
-    postings = setjoin.shared_postings(_first_prefixes(docs, later, counts, num, den))
-    sets = _sets(docs, postings.select("id").distinct())
+    postings = setjoin.shared_postings(_first_prefixes(docs, later, counts, num, den), num, den)
+    sets = _sets(docs, postings.select("id").distinct(), alone)
     central = saved(setjoin.central_pairs(postings, num, den), "line-central")
     gone = saved(setjoin.verified(central, sets, num, den).select("b").distinct(), "line-gone")
     labels = sets.select("id", "bits").join(gone.select(F.col("b").alias("id"), F.lit(True).alias("gone")), "id", "left")
@@ -161,9 +180,12 @@ def removed_lines(docs: DataFrame, num: int = 80, den: int = 100) -> DataFrame:
 def dedup_lines(docs: DataFrame, num: int = 80, den: int = 100) -> DataFrame:
     """The rows of ``docs`` in ``_row``, with ``_text`` (the text without the removed lines),
     ``_lines`` and ``_removed`` (numbers of lines)."""
-    gone = removed_lines(docs, num, den).groupBy(F.col("d").alias("doc")).agg(F.collect_set("l").alias("_gone"))
-    rows = packed(docs, _id=F.col("doc_id").cast("long"), _t=F.col("text"))
-    rows = join_measured(rows, saved(gone, "line-lists"), {"doc": F.col("_id")})
+    told, alone = numbered(packed(docs, doc_id=F.col("doc_id"), text=F.col("text")))
+    removed = removed_lines(told, num, den, alone)
+    gone = removed.groupBy(F.col("d").alias("doc")).agg(F.collect_set("l").alias("_gone"))
+    rows = told.select("_row", "_d", F.col("text").alias("_t"))
+    rows = join_measured(rows, saved(gone, "line-lists"), {"doc": F.col("_d")})
+    discard(removed)
     split = F.split("_t", "\n")
     lines = F.octet_length("_t") - F.octet_length(F.replace("_t", F.lit("\n"), F.lit(""))) + 1
     left = F.array_join(F.filter(split, lambda x, i: ~F.array_contains("_gone", i)), "\n")

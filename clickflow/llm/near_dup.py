@@ -89,25 +89,32 @@ def band_keys(sig: np.ndarray) -> np.ndarray:
     return mixed(key + np.arange(BANDS, dtype=np.uint64)[None, :], 310).view(np.int64)
 
 
+def _text_key() -> dict:
+    """Two independent hashes of the text (null: empty)."""
+    t = F.coalesce("text", F.lit(""))
+    return {"k1": F.xxhash64(t), "k2": F.xxhash64(F.lit(1), t)}
+
+
 def signatures(docs: DataFrame) -> DataFrame:
-    """(doc_id, n_shingles, f1, f2, bands) of every row of ``docs``."""
+    """(doc_id, k1, k2, n_shingles, f1, f2, bands) of every row of ``docs``; k1 and k2 tell its text."""
     import pyarrow as pa
 
     def signed(batches):
         for b in batches:
             at = 0
-            for part in portions([t or b"" for t in b.column(1).cast(pa.binary()).to_pylist()], len):
+            for part in portions([t or b"" for t in b.column(3).cast(pa.binary()).to_pylist()], len):
                 values, owner, sizes = shingle_sets(*hashed_texts(part))
                 f1, f2 = fingerprints(values, owner, len(part))
                 keys = band_keys(super_minhash(values, owner, len(part)))
                 lists = pa.ListArray.from_arrays(np.arange(0, keys.size + 1, BANDS, dtype=np.int32), pa.array(keys.reshape(-1)))
-                yield pa.RecordBatch.from_arrays([b.column(0).slice(at, len(part)), pa.array(sizes), pa.array(f1), pa.array(f2), lists],
-                                                 names=["doc_id", "n_shingles", "f1", "f2", "bands"])
+                told = [b.column(i).slice(at, len(part)) for i in range(3)]
+                yield pa.RecordBatch.from_arrays([*told, pa.array(sizes), pa.array(f1), pa.array(f2), lists],
+                                                 names=["doc_id", "k1", "k2", "n_shingles", "f1", "f2", "bands"])
                 at += len(part)
 
     kind = dict(docs.dtypes)["doc_id"]
-    return docs.select("doc_id", "text").mapInArrow(
-        signed, f"doc_id {kind}, n_shingles long, f1 long, f2 long, bands array<long>")
+    return docs.select("doc_id", *[e.alias(k) for k, e in _text_key().items()], "text").mapInArrow(
+        signed, f"doc_id {kind}, k1 long, k2 long, n_shingles long, f1 long, f2 long, bands array<long>")
 
 
 def full_sets(docs: DataFrame) -> DataFrame:
@@ -175,7 +182,7 @@ def _links(clustered: DataFrame, docs: DataFrame, num: int, den: int) -> DataFra
     token = F.explode("tokens").alias("x")
     bucket = F.shiftrightunsigned("x", 20).bitwiseAND(F.lit(setjoin.BUCKETS - 1)).alias("bucket")
     counts = setjoin.gathered_sketch(sets.select(token).select(bucket, F.lit(1).alias("n")))
-    postings = setjoin.shared_postings(prefixes(sets, counts, num, den))
+    postings = setjoin.shared_postings(prefixes(sets, counts, num, den), num, den)
     found = saved(setjoin.verified(setjoin.central_pairs(postings, num, den), sets, num, den)
                   .select(F.col("a").alias("u"), F.col("b").alias("v")), "near-links")
     known = saved(components(found), "near-known")
@@ -189,9 +196,9 @@ def _links(clustered: DataFrame, docs: DataFrame, num: int, den: int) -> DataFra
     return links
 
 
-def near_duplicates(docs: DataFrame, num: int = 85, den: int = 100) -> DataFrame:
-    """(doc_id, n_shingles, component_id, kept) of every row of ``docs`` (doc_id, text):
-    documents are linked from Jaccard num/den on and grouped by their links."""
+def _grouped(docs: DataFrame, num: int, den: int) -> tuple[DataFrame, DataFrame]:
+    """Saved tables: (doc_id, k1, k2, n_shingles, f1, f2, bands) of every row, k1 and k2 telling its text,
+    and (f1, f2, g) of every class of equal sets with its group."""
     signed = saved(signatures(docs), "near-signed")
     some = signed.where("n_shingles > 0")
     classes = some.groupBy("f1", "f2").agg(F.min("doc_id").alias("first"), F.first("bands").alias("bands"))
@@ -203,24 +210,40 @@ def near_duplicates(docs: DataFrame, num: int = 85, den: int = 100) -> DataFrame
     clustered = saved(classes.join(clusters, F.col("id") == F.col("node")).select(
         "id", F.col("component").alias("cluster"), "f1", "f2", "first"), "near-clustered")
     links = _links(clustered, docs, num, den)
-    grouped = saved(components(links), "near-groups")
-    named = classes.join(grouped, F.col("id") == F.col("node"), "left").select(
-        "f1", "f2", "first", F.coalesce("component", "id").alias("g"))
-    ids = named.groupBy("g").agg(F.min("first").alias("component_id"))
-    named = saved(named.join(ids, "g").select("f1", "f2", "component_id"), "near-named")
-    discard(classes, clustered, links, grouped)
+    groups = saved(components(links), "near-groups")
+    named = saved(classes.join(groups, F.col("id") == F.col("node"), "left").select(
+        "f1", "f2", "first", F.coalesce("component", "id").alias("g")), "near-classed")
+    discard(classes, clustered, links, groups)
+    return signed, named
+
+
+def near_duplicates(docs: DataFrame, num: int = 85, den: int = 100) -> DataFrame:
+    """(doc_id, n_shingles, component_id, kept) of every row of ``docs`` (doc_id, text):
+    documents are linked from Jaccard num/den on and grouped by their links."""
+    signed, classed = _grouped(docs, num, den)
+    ids = classed.groupBy("g").agg(F.min("first").alias("component_id"))
+    named = saved(classed.join(ids, "g").select("f1", "f2", "component_id"), "near-named")
+    discard(classed)
     alone = signed.where("n_shingles = 0").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
-    together = join_measured(some, named, ["f1", "f2"]).select("doc_id", "n_shingles", "component_id")
+    together = join_measured(signed.where("n_shingles > 0"), named, ["f1", "f2"]).select("doc_id", "n_shingles", "component_id")
     return together.unionByName(alone).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
 def keep_one(docs: DataFrame, num: int = 80, den: int = 100) -> DataFrame:
-    """The rows of ``docs`` without near duplicates: one document of each group stays. Rows that
-    repeat a kept document's id and text are dropped."""
-    whole = packed(docs, _id=F.col("doc_id"), _text=F.col("text"))
-    ids = saved(near_duplicates(docs, num, den).groupBy("doc_id").agg(F.max("kept").alias("kept"), F.sum(
-        F.col("kept").cast("long")).alias("times")).where("not kept or times > 1"), "near-kept")
-    rows = join_measured(whole, ids, {"doc_id": F.col("_id")})
-    once = rows.where("kept is null").select("_row.*")
-    again = rows.where("kept").dropDuplicates(["_id", "_text"]).select("_row.*")
+    """The rows of ``docs`` without near duplicates: of each group one row stays, that with the least
+    id (a missing one last), then the least hash of its text; of equal rows one. Texts without
+    words are linked with nothing and all stay."""
+    signed, classed = _grouped(docs, num, den)
+    rows = join_measured(signed.where("n_shingles > 0").select("doc_id", "k1", "k2", "f1", "f2"), classed.select("f1", "f2", "g"), ["f1", "f2"])
+    told = rows.groupBy("g", "doc_id", "k1", "k2").agg(F.count(F.lit(1)).alias("times"))   # equal rows as one
+    key = F.struct(F.col("doc_id").isNull().alias("late"), "doc_id", "k1", "k2")
+    best = told.groupBy("g").agg(F.min(key).alias("best"), F.count(F.lit(1)).alias("rows"), F.max("times").alias("most"))
+    best = saved(best.where("rows > 1 or most > 1").select("g", "best"), "near-best")
+    judged = told.join(best, "g").withColumn("stays", key == F.col("best")).where("not stays or times > 1")
+    verdicts = saved(judged.select("doc_id", "k1", "k2", "stays"), "near-kept")
+    discard(signed, classed, best)
+    whole = packed(docs, _id=F.col("doc_id"), **{f"_{k}": e for k, e in _text_key().items()})
+    marked = join_measured(whole, verdicts, {"doc_id": F.col("_id"), "k1": F.col("_k1"), "k2": F.col("_k2")})
+    once = marked.where("stays is null").select("_row.*")
+    again = marked.where("stays").dropDuplicates(["_id", "_k1", "_k2"]).select("_row.*")
     return once.unionByName(again)

@@ -1,12 +1,14 @@
 """Exact set-similarity join (Jaccard) by rarity order, prefix, length and positional filters.
 
 Each set's tokens are ordered by rarity, the rarest first. Two sets of similarity t can only
-match when they share a token within their prefixes of n - ceil(t n) + 1 tokens. Rarity
-comes from a count sketch of ``BUCKETS`` counters filled from all sets; any order that is
+match when they share a token within the larger one's prefix of n - ceil(t n) + 1 tokens and the smaller
+one's index prefix of n - ceil(2 t / (1 + t) n) + 1 (of equally large ones the lesser id counts as the smaller). Sets that
+have most of a template in common but too little to match so share no token there: what differs
+is rarer and fills the index prefix. Rarity comes from a count sketch of ``BUCKETS`` counters filled from all sets; any order that is
 the same for all sets gives exact results, so collisions in the sketch cost time only.
 
-Postings (token, set, size, position) of tokens that one set alone holds are dropped after
-one count. The rest is joined in two steps: first each token's most central set (the one
+Postings (token, set, size, position) of tokens that one set alone holds, or that no set has in its
+index prefix, are dropped after one count. The rest is joined in two steps: first each token's most central set (the one
 with the fewest rarer tokens) with the token's other sets, then, once the callers have
 merged or removed what that finds, whatever pairs are still open and whose parity bits
 differ in few enough places (an exact filter). Groups of copies so cost
@@ -60,25 +62,33 @@ def prefix_size(n, num: int, den: int):
     return np.where(den * n >= num * (n + 1), n - (num * n + den - 1) // den + 1, 0)
 
 
+def _index_size(n: Column, num: int, den: int) -> Column:
+    """Tokens of the smaller of two sets that any match must reach."""
+    return n - F.floor((F.lit(2 * num) * n + F.lit(num + den - 1)) / F.lit(num + den)) + 1
+
+
 def _needed(n1: Column, n2: Column, num: int, den: int) -> Column:
     """Least overlap of sets of these sizes: ceil(t / (1 + t) (n1 + n2))."""
     return F.floor((F.lit(num) * (n1 + n2) + F.lit(num + den - 1)) / F.lit(num + den))
 
 
-def _filters(n1, p1, n2, p2, num: int, den: int) -> Column:
-    """Length and positional filters for a shared token at these positions (from 0). The
-    positional filter takes the token for the first that the sets share: a similar pair
-    passes it at that token, and one passing token makes a candidate."""
+def _filters(id1, n1, p1, id2, n2, p2, num: int, den: int) -> Column:
+    """Length, index-prefix and positional filters for a shared token at these positions (from
+    0). They take the token for the first that the sets share: a similar pair
+    passes them at that token, and one passing token makes a candidate."""
     sizes = (F.lit(den) * F.least(n1, n2) >= F.lit(num) * F.greatest(n1, n2))
-    return sizes & (F.least(n1 - p1, n2 - p2) >= _needed(n1, n2, num, den))
+    first_smaller = (n1 < n2) | ((n1 == n2) & (id1 < id2))
+    indexed = F.when(first_smaller, p1 < _index_size(n1, num, den)).otherwise(p2 < _index_size(n2, num, den))
+    return sizes & indexed & (F.least(n1 - p1, n2 - p2) >= _needed(n1, n2, num, den))
 
 
-def shared_postings(lists: DataFrame) -> DataFrame:
+def shared_postings(lists: DataFrame, num: int, den: int) -> DataFrame:
     """The postings (t, id, n, p, c) of ``lists`` (id, n, ts: the prefix in order) whose token
-    more than one set holds, with the number of sets that hold it, saved."""
+    more than one set holds, and one in its index prefix, with the number of sets that hold it, saved."""
     every = saved(lists, "join-all")  # the texts are read once for the count and the join
-    often = every.select(F.explode("ts").alias("t")).groupBy("t").agg(F.count(F.lit(1)).alias("c"))
-    often = saved(often.where("c > 1"), "join-shared")
+    held = every.select("n", F.posexplode("ts").alias("p", "t"))
+    often = held.groupBy("t").agg(F.count(F.lit(1)).alias("c"), F.max(F.col("p") < _index_size(F.col("n"), num, den)).alias("i"))
+    often = saved(often.where("c > 1 and i").select("t", "c"), "join-shared")
     postings = every.select("id", "n", F.posexplode("ts").alias("p", "t")).select("t", "id", "n", "p")
     made = saved(join_measured(postings, often, ["t"], "inner"), "join-postings")
     discard(every, often)
@@ -90,7 +100,7 @@ def central_pairs(postings: DataFrame, num: int, den: int) -> DataFrame:
     key = F.struct("p", "id")
     heads = postings.groupBy("t").agg(F.min_by(F.struct("id", "n", "p"), key).alias("h"))
     joined = postings.join(heads, "t").where("id <> h.id")
-    joined = joined.where(_filters(F.col("n"), F.col("p"), F.col("h.n"), F.col("h.p"), num, den))
+    joined = joined.where(_filters(F.col("id"), F.col("n"), F.col("p"), F.col("h.id"), F.col("h.n"), F.col("h.p"), num, den))
     return joined.select(F.least("id", "h.id").alias("a"), F.greatest("id", "h.id").alias("b")).distinct()
 
 
@@ -120,7 +130,7 @@ def open_pairs(postings: DataFrame, is_open: Column, num: int, den: int) -> Data
     postings = postings.where("c > 2").drop("c")
     x, y = (postings.select(*[F.col(c).alias(f"{s}_{c}") for c in postings.columns]) for s in "xy")
     joined = x.join(y, (F.col("x_t") == F.col("y_t")) & is_open & _filters(
-        F.col("x_n"), F.col("x_p"), F.col("y_n"), F.col("y_p"), num, den) & _bits_allow(
+        F.col("x_id"), F.col("x_n"), F.col("x_p"), F.col("y_id"), F.col("y_n"), F.col("y_p"), num, den) & _bits_allow(
         F.col("x_bits"), F.col("y_bits"), F.col("x_n"), F.col("y_n"), num, den))
     return joined.select(F.least("x_id", "y_id").alias("a"), F.greatest("x_id", "y_id").alias("b")).distinct()
 
