@@ -3,11 +3,13 @@
 Records come in many layouts: rows by turn, message lists, role/value lists, prompts with
 responses, instructions with inputs. A layout (``LAYOUTS``) is a set of nested field paths
 with a declarative mapping that turns the record into canonical turns
-``array<struct<role, text>>``. A record has the layout with the most paths among those
-whose paths it has all, in the order of ``LAYOUTS`` where several have as many; its other
-fields are ignored. A typed DataFrame has one layout, taken from its schema
-(``frame_layout``); JSON records have one each, taken from their variant
-(``record_turns``), so files may mix layouts.
+``array<struct<role, text>>``. Layouts are told by schema fingerprints: the hash of a record's sorted
+nested field paths is looked up in a table of fingerprints. The table starts with the layouts' own; a
+schema that it does not hold (a layout's paths among others, say) is mapped once: to the layout with
+the most paths whose fingerprint is that of the same paths found inside the schema, in the order of
+``LAYOUTS`` where several have as many. Other fields are ignored. A typed DataFrame has one
+fingerprint (``frame_layout``); JSON records have one each (``record_layouts``, one entry per different
+schema; ``record_turns`` as plain expressions), so files may mix layouts.
 
 Turns are rendered with a template whose control strings are escaped inside roles and texts
 by a reversible rule, so no text can open or close a turn. The loss mask is a list of
@@ -27,6 +29,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from clickflow.llm.common import join_measured, saved
+
 OPEN, CLOSE = "<|im_start|>", "<|im_end|>"
 TURNS = "array<struct<role:string,text:string>>"
 #: Order key of rows by turn: null turn numbers last, then role and text.
@@ -70,50 +74,110 @@ LAYOUTS = {
 }
 #: Layout names, those with the most paths first.
 BY_PATHS = sorted(LAYOUTS, key=lambda name: -len(LAYOUTS[name][0]))
+#: Parts of a schema's text: quoted names, types with arguments, names, marks.
+_TOKEN = r"`(?:[^`]|``)*`|\w+\([^)]*\)|[^\s<>:,`]+|[<>:,]"
+
+
+def _plain(name: str) -> str:
+    return name.replace(".", "\\.").replace("[", "\\[")
 
 
 def field_paths(kind: T.DataType, at: str = "") -> list[str]:
-    """Nested field paths of a schema; ``[]`` marks a list."""
+    """Nested field paths of a schema; ``[]`` marks a list (dots and brackets of names are escaped)."""
     if isinstance(kind, T.ArrayType):
         return field_paths(kind.elementType, f"{at}[]")
     if isinstance(kind, T.StructType):
-        return [p for f in kind.fields for p in field_paths(f.dataType, f"{at}.{f.name}" if at else f.name)]
+        return [p for f in kind.fields for p in field_paths(f.dataType, f"{at}.{_plain(f.name)}" if at else _plain(f.name))]
     return [at]
 
 
+def fingerprint(paths: Column) -> Column:
+    """The hash of nested field paths, whatever their order."""
+    return F.xxhash64(F.array_join(F.array_sort(F.array_distinct(paths)), "\n"))
+
+
+def layout_of(paths: Column, names: list[str] | None = None) -> Column:
+    """The layout whose own fingerprint the paths have, or else the first of ``names`` (all) whose
+    fingerprint its paths found among them have."""
+    def own(name: str) -> Column:
+        return F.array(*[F.lit(p) for p in LAYOUTS[name][0]])
+
+    def chosen(held: Column) -> Column:
+        whole, inside = F.lit(None).cast("string"), F.lit(None).cast("string")
+        for name in reversed(BY_PATHS if names is None else names):
+            known = fingerprint(own(name))
+            whole = F.when(fingerprint(held) == known, F.lit(name)).otherwise(whole)
+            inside = F.when(fingerprint(F.array_intersect(own(name), held)) == known, F.lit(name)).otherwise(inside)
+        return F.coalesce(whole, inside)
+    return _let(paths, chosen)
+
+
+def _let(value: Column, then) -> Column:
+    """``then(value)`` with the value computed once, however often ``then`` names it."""
+    return F.get(F.transform(F.array(value), then), F.lit(0))
+
+
 def frame_layout(df: DataFrame) -> str | None:
-    """The layout of a typed DataFrame: the first of ``BY_PATHS`` whose paths its schema has."""
-    here = set(field_paths(df.schema))
-    return next((name for name in BY_PATHS if here.issuperset(LAYOUTS[name][0])), None)
+    """The layout of a typed DataFrame, by the fingerprint of its schema."""
+    paths = F.array(*[F.lit(p) for p in field_paths(df.schema)])
+    return df.sparkSession.range(1).select(layout_of(paths).alias("layout")).first()["layout"]
+
+
+def schema_paths(schema: Column) -> Column:
+    """Nested field paths of a variant's schema, given as text (``OBJECT<a: ARRAY<OBJECT<b: STRING>>>``),
+    read token by token: the open fields and lists stand on a stack, and a type's name ends a path."""
+    def state(at: Column, paths: Column, last: Column) -> Column:
+        return F.struct(at.alias("at"), paths.alias("paths"), last.alias("last"))
+
+    def step(s: Column, t: Column) -> Column:
+        top = F.element_at(s["at"], -1)
+        below = F.slice(s["at"], 1, F.size(s["at"]) - 1)
+        quoted = F.replace(F.substring(t, F.lit(2), F.length(t) - 2), F.lit("``"), F.lit("`"))
+        name = F.when(t.startswith("`"), F.replace(F.replace(quoted, F.lit("."), F.lit("\\.")), F.lit("["), F.lit("\\["))).otherwise(t)
+        field = F.when(top == "", s["last"]).otherwise(F.concat(top, F.lit("."), s["last"]))
+        # "{" says that an object has been opened and holds nothing yet
+        paths = F.when(s["last"].isin("", "{"), s["paths"]).otherwise(F.concat(s["paths"], F.array(top)))
+        return F.when(t == ":", state(F.concat(s["at"], F.array(field)), s["paths"], F.lit(""))) \
+            .when((t == "<") & (s["last"] == "OBJECT"), state(s["at"], s["paths"], F.lit("{"))) \
+            .when(t == "<", state(F.concat(s["at"], F.array(F.concat(top, F.lit("[]")))), s["paths"], F.lit(""))) \
+            .when((t == ">") & (s["last"] == "{"), state(s["at"], s["paths"], F.lit(""))) \
+            .when(t.isin(",", ">"), state(below, paths, F.lit(""))) \
+            .otherwise(state(s["at"], s["paths"], name))
+
+    start = state(F.array(F.lit("")), F.array().cast("array<string>"), F.lit(""))
+    return F.aggregate(F.regexp_extract_all(schema, F.lit(_TOKEN), F.lit(0)), start, step)["paths"]
+
+
+def _mapped(variant: Column, layout: Column) -> Column:
+    """The canonical turns of a record by the mapping of its layout."""
+    get = lambda name, kind: F.try_variant_get(variant, f"$.{name}", kind)
+    turns = F.lit(None).cast(TURNS)
+    for name, (_, mapping) in LAYOUTS.items():
+        if mapping:
+            turns = F.when(layout == name, mapping(get)).otherwise(turns)
+    return F.coalesce(turns, F.array().cast(TURNS))
 
 
-def _has_path(keys: Column, variant: Column, path: str) -> Column:
-    """Whether a record has the path: its outer keys, and for lists of objects (or nulls) a
-    key of one of them."""
-    root, _, leaf = path.partition("[].")
-    here = F.array_contains(keys, root)
-    if not leaf:
-        return here
-    items = F.try_variant_get(variant, f"$.{root}", "array<variant>")
-    return here & F.forall(items, lambda m: F.schema_of_variant(m).rlike("^(OBJECT<|VOID$)")) & F.exists(
-        items, lambda m: F.try_variant_get(m, f"$.{leaf}", "variant").isNotNull())
+#: Layouts of single records.
+_RECORDS = [name for name in BY_PATHS if LAYOUTS[name][1]]
 
 
 def record_turns(json: Column) -> tuple[Column, Column]:
-    """(layout, canonical turns) of a JSON record per row, by its own field paths."""
+    """(layout, canonical turns) of a JSON record per row, by the fingerprint of its own field paths."""
     variant = F.try_parse_json(json)
-    keys = F.json_object_keys(json)
-    layout, turns = F.lit(None).cast("string"), F.lit(None).cast(TURNS)
-    get = lambda name, kind: F.try_variant_get(variant, f"$.{name}", kind)
-    for name in reversed(BY_PATHS):
-        paths, mapping = LAYOUTS[name]
-        if mapping:
-            found = F.lit(True)
-            for p in paths:
-                found = found & _has_path(keys, variant, p)
-            layout = F.when(found, F.lit(name)).otherwise(layout)
-            turns = F.when(found, mapping(get)).otherwise(turns)
-    return layout, F.coalesce(turns, F.array().cast(TURNS))
+    layout = layout_of(schema_paths(F.schema_of_variant(variant)), _RECORDS)
+    return layout, _mapped(variant, layout)
+
+
+def record_layouts(df: DataFrame, json: str) -> DataFrame:
+    """``df`` with ``layout`` and ``turns`` of the JSON records in the column ``json``: each different
+    schema is fingerprinted and mapped once, and the rows look theirs up (broadcast within the
+    measured limit, else by a shuffled join whose hot schemas adaptive execution splits)."""
+    schema = F.schema_of_variant(F.try_parse_json(F.col(f"`{json}`")))
+    shapes = df.select(schema.alias("_schema")).where("_schema is not null").distinct()
+    table = saved(shapes.select(F.col("_schema").alias("schema"), layout_of(schema_paths(F.col("_schema")), _RECORDS).alias("layout")), "chat-fingerprints")
+    told = join_measured(df, table, {"schema": schema})
+    return told.withColumn("turns", _mapped(F.try_parse_json(F.col(f"`{json}`")), F.col("layout")))
 
 
 def canonical(df: DataFrame, key: str = "conv_id") -> DataFrame:

@@ -5,8 +5,12 @@ those of the terms among the templates and one fixed weight for all other words,
 has the same licence in a table of any size. Words before and after a notice do not count:
 around each word that tells a template, the best window of about its length is taken,
 across line breaks and comment signs. A window holds the template's licence names and
-version numbers and no others, so siblings (CC BY-ND, GPL 2) are not taken for each other.
-A file's own licence is its best window with a cosine of at least ``LEAST``.
+version numbers and no others, so siblings (CC BY-ND, GPL 2) are not taken for each other, and
+no word that denies it stands in or shortly before it. SPDX expressions are read name by name.
+
+A whole text with a cosine of at least ``WHOLE`` to a full licence text is that licence,
+whatever notices stand in or around it. Else a file's own licence is its best window with a cosine
+of at least ``LEAST``; ``licences`` lists all that it declares, in order of place.
 
 A file that is a licence file (by name, because most of its words stand in licence lines, or
 because the whole text has a cosine of at least ``WHOLE`` to a full licence text)
@@ -85,7 +89,10 @@ _CONDITIONS = {"BY": "Attribution", "BY-SA": "Attribution-ShareAlike", "BY-NC":
 TEMPLATES |= {f"CC-{k}-{v}": [f"Licensed under CC {k} {v}", f"under CC {k} {v}", f"under the Creative Commons {name} {v} International License",
                               f"under a Creative Commons {name} {v} License"]
               for k, name in _CONDITIONS.items() for v in ("2.0", "2.5", "3.0", "4.0")}
-TEMPLATES = {k: [*texts, f"SPDX-License-Identifier: {k}"] for k, texts in TEMPLATES.items()}
+#: Either of two, as many projects offer.
+_EITHER = ["either of Apache License, Version 2.0 or MIT license", "under the MIT license or Apache License, Version 2.0"]
+TEMPLATES = {k: [*texts, *(_EITHER if k in ("Apache-2.0", "MIT") else []), f"SPDX-License-Identifier: {k}", f"= License: {k}",
+                 f"This project uses the {k} license", *([f"= {k}"] if "-" in k else [])] for k, texts in TEMPLATES.items()}
 #: Licences whose notices hold those of a more general one, which then does not count.
 WITHIN = {"BSD-3-Clause": ["BSD-2-Clause"], "BSD-4-Clause": ["BSD-2-Clause", "BSD-3-Clause"],
           "GPL-2.0": ["GPL-1.0-or-later"], "GPL-3.0": ["GPL-1.0-or-later"]}
@@ -106,8 +113,13 @@ NAMING = set("mit apache bsd isc gnu gpl lgpl agpl affero lesser library mozilla
 #: Words that a window must hold if its template does.
 TELLING = NAMING | set("under by attribution spdx permission granted redistribution neither endorse".split())
 NUMBER = re.compile(r"[0-9](?:\.[0-9])?")
+#: Words that deny a notice, in it or up to so many words before it.
+DENYING, BEFORE = frozenset("not never unlike without nor except".split()), 3
+#: A tag with names joined by AND, OR, WITH.
+SPDX = re.compile(r"spdx-license-identifier:[ \t]*([^\n]*)", re.I)
 #: One of these stands in every template.
-MARKS = ("licens", "licenc", "permission", "redistribution", "neither", "gnu", "gpl", "apache", "creative", "cc0", "cc by", "cc-by", "no attribution")
+MARKS = ("licens", "licenc", "permission", "redistribution", "neither", "gnu", "gpl", "apache", "creative", "cc0", "cc by", "cc-by", "no attribution",
+         "bsd-", "bsl-", "epl-", "mpl-", "mit-0")
 #: Spellings brought to one form.
 FORMS = [(re.compile(a), b) for a, b in (
     (r"licenc", "licens"), (r"non[- ]commercial", "noncommercial"), (r"share[- ]alike", "sharealike"),
@@ -135,6 +147,7 @@ class Template:
         v = {t: c * idf[t] for t, c in Counter(words).items()}
         norm = math.sqrt(sum(x * x for x in v.values()))
         self.vector = {t: x / norm for t, x in v.items()}
+        self.holds = set(words)
         self.numbers = {w for w in words if NUMBER.fullmatch(w)}
         self.must = self.numbers | (set(words) & TELLING)
         self.anchor = max(sorted(self.must - self.numbers) or sorted(self.must), key=lambda t: (idf[t], t))
@@ -160,7 +173,10 @@ class Matcher:
             for text in templates[name]:
                 t = Template(name, text, self.idf)
                 self.anchors.setdefault(t.anchor, []).append(t)
-        bodies = [Counter(terms(normal(f.read_text("utf-8")))) for f in sorted(TEXTS.glob("*.txt"))]
+        files = sorted(TEXTS.glob("*.txt"))
+        bodies = [Counter(terms(normal(f.read_text("utf-8")))) for f in files]
+        self.body_names = [f.stem for f in files]
+        self.spdx = {name.lower(): name for name in templates}
         holds = Counter(t for b in bodies for t in b)
         self.body_idf = {t: math.log((1 + len(bodies)) / (1 + n)) + 1 for t, n in holds.items()}
         self.bodies = []
@@ -173,11 +189,22 @@ class Matcher:
         """Weights of a whole text: counts as logarithms, so common words do not decide."""
         return {t: (1 + math.log(c)) * self.body_idf.get(t, OTHER) for t, c in counts.items()}
 
-    def whole(self, words: list[str]) -> float:
-        """Highest cosine of the whole text to a full licence text."""
+    def whole(self, words: list[str]) -> tuple[float, str | None]:
+        """Highest cosine of the whole text to a full licence text, and that one's name."""
         v = self.weighted(Counter(words))
         norm = math.sqrt(sum(x * x for x in v.values()))
-        return max((sum(x * v[t] for t, x in b.items() if t in v) / norm for b in self.bodies), default=0.0)
+        cosines = [sum(x * v[t] for t, x in b.items() if t in v) / norm for b in self.bodies]
+        best = max(range(len(cosines)), key=cosines.__getitem__, default=None)
+        return (0.0, None) if best is None else (cosines[best], self.body_names[best])
+
+    def tagged(self, text: str) -> list[str]:
+        """Names in the SPDX expressions of a text that are no plain names of their own."""
+        out = []
+        for found in SPDX.findall(text):
+            names = re.split(r"[\s()]+", found.lower())
+            if len(names) > 1:
+                out += [self.spdx[k] for n in names for k in (n, re.sub("-only$|-or-later$|[+]$", "", n)) if k in self.spdx]
+        return list(dict.fromkeys(out))
 
     def cosine(self, template: Template, window: list[str]) -> float:
         counts = Counter(window)
@@ -200,21 +227,29 @@ class Matcher:
                         continue
                     part = words[start:end]
                     if t.names(part) and (c := self.cosine(t, part)) > best[0] + 1e-12:
+                        if not (DENYING - t.holds).isdisjoint(words[max(0, start - BEFORE):end]):
+                            continue
                         best = (c, start, end)
         return best
 
-    def scan(self, text: str) -> tuple[str | None, float, float]:
-        """(licence, cosine, share of the words in licence lines) of a whole text; the share of a
-        full licence text is its cosine to that."""
+    def scan(self, text: str) -> tuple[str | None, float, float, list[str]]:
+        """(licence, cosine, share of the words in licence lines, all licences) of a whole text; the
+        share of a full licence text is its cosine to that."""
         low = text.lower()
         if not any(m in low for m in MARKS):
-            return None, 0.0, 0.0
+            return None, 0.0, 0.0, []
         words, line = [], []
         for i, row in enumerate(normal(low).split("\n")):
             got = terms(row)
             words += got
             line += [i] * len(got)
+        if not words:
+            return None, 0.0, 0.0, []
+        whole, body = self.whole(words)
+        if whole >= WHOLE:
+            return body, whole, whole, [body]
         found: dict[str, tuple] = {}
+        places: dict[str, int] = {}
         lines: set[int] = set()
         for pos, w in enumerate(words):
             for t in self.anchors.get(w, ()):
@@ -224,17 +259,24 @@ class Matcher:
                     # the higher cosine, the earlier place, the longer template, the first name
                     key = (-round(c, 9), start, -len(t.words), t.name)
                     found[t.name] = min(found.get(t.name, key), key)
+                    places[t.name] = min(places.get(t.name, start), start)
         for name in set(found) & set(WITHIN):
             for general in WITHIN[name]:
                 found.pop(general, None)
+        tags = self.tagged(text)
+        if not found and not tags:
+            return None, 0.0, 0.0, []
+        named = sorted(found, key=lambda n: (places[n], found[n]))
+        every = list(dict.fromkeys([*named, *tags]))
+        share = sum(1 for x in line if x in lines) / len(words)
         if not found:
-            return None, 0.0, 0.0
-        top, share, whole = min(found.values()), sum(1 for x in line if x in lines) / len(words), self.whole(words)
-        return top[3], -top[0], max(share, whole) if whole >= WHOLE else share
+            return tags[0], 1.0, share, every
+        top = min(found.values())
+        return top[3], -top[0], share, every
 
 
 def own_licences(files: DataFrame) -> DataFrame:
-    """(key, path, licence, cosine, share) of every row of ``files`` (key, path, text)."""
+    """(key, path, licence, cosine, share, licences) of every row of ``files`` (key, path, text)."""
     import pyarrow as pa
 
     shipped = files.sparkSession.sparkContext.broadcast(Matcher())
@@ -242,15 +284,15 @@ def own_licences(files: DataFrame) -> DataFrame:
     def scanned(batches):
         m = shipped.value
         for b in batches:
-            got = [m.scan(t) if t else (None, 0.0, 0.0) for t in b.column(2).to_pylist()]
-            names, tops, shares = zip(*got, strict=True) if got else ((), (), ())
+            got = [m.scan(t) if t else (None, 0.0, 0.0, []) for t in b.column(2).to_pylist()]
+            names, tops, shares, every = zip(*got, strict=True) if got else ((), (), (), ())
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(names, pa.string()),
-                                              pa.array(tops, pa.float64()), pa.array(shares, pa.float64())],
-                                             names=["key", "path", "licence", "cosine", "share"])
+                                              pa.array(tops, pa.float64()), pa.array(shares, pa.float64()), pa.array(every, pa.list_(pa.string()))],
+                                             names=["key", "path", "licence", "cosine", "share", "licences"])
 
     kind = dict(files.dtypes)["key"]
     return files.select("key", "path", "text").mapInArrow(
-        scanned, f"key {kind}, path string, licence string, cosine double, share double")
+        scanned, f"key {kind}, path string, licence string, cosine double, share double, licences array<string>")
 
 
 def directory(path: Column) -> Column:
@@ -265,8 +307,8 @@ def ancestors(d: Column) -> Column:
 
 
 def licences(files: DataFrame) -> DataFrame:
-    """(key, path, licence, cosine, origin, licence_dir) of every row of ``files`` (key, path,
-    text); origin is own, inherited or none."""
+    """(key, path, licence, cosine, origin, licence_dir, licences) of every row of ``files`` (key, path,
+    text); origin is own, inherited or none; licences lists all that the file declares (or the one it inherits)."""
     own = saved(own_licences(files), "licence-own").withColumn("dir", directory(F.col("path")))
     is_file = F.col("licence").isNotNull() & (F.col("path").rlike(NAMES) | (F.col("share") >= MOSTLY))
     named = F.coalesce(F.col("path").rlike(NAMES), F.lit(False))
@@ -285,4 +327,5 @@ def licences(files: DataFrame) -> DataFrame:
     return joined.select("key", "path", F.coalesce("licence", "up_name").alias("licence"),
                          F.when(mine, F.col("cosine")).otherwise(F.coalesce("up_c", F.lit(0.0))).alias("cosine"),
                          F.when(mine, "own").when(inherits, "inherited").otherwise("none").alias("origin"),
-                         F.when(inherits, F.col("licence_dir")).alias("licence_dir"))
+                         F.when(inherits, F.col("licence_dir")).alias("licence_dir"),
+                         F.when(inherits, F.array("up_name")).otherwise(F.col("licences")).alias("licences"))

@@ -50,8 +50,7 @@ def op6_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     record = spark.range(1).select(F.to_json(F.struct(F.array(
         *[F.struct(F.lit(r).alias("role"), F.lit(said).alias("content")) for r in ("user", "assistant")]
     ).alias("messages"))).alias("json"))
-    layout, made = chat.record_turns(F.col("json"))
-    extra = record.select(F.lit(-1).cast("long").alias("conv_id"), layout.alias("layout"), made.alias("turns"))
+    extra = chat.record_layouts(record, "json").select(F.lit(-1).cast("long").alias("conv_id"), "layout", "turns")
     return chat.digests(chat.format_turns(turns.unionByName(extra)))
 
 
@@ -69,8 +68,9 @@ def op8_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Licences of all documents, filed as source/lang/doc_id by thousands."""
     docs = table(spark, sf_dir, "documents")
-    shelf = F.floor(F.col("doc_id") / 1000).cast("string")
-    path = F.concat_ws("/", F.col("source"), F.col("lang"), shelf, F.concat(F.col("doc_id").cast("string"), F.lit(".txt")))
+    part = lambda c: F.coalesce(c.cast("string"), F.lit("none"))
+    path = F.concat_ws("/", part(F.col("source")), part(F.col("lang")), part(F.floor(F.col("doc_id") / 1000)),
+                       F.concat(part(F.col("doc_id")), F.lit(".txt")))
     files = docs.select(F.col("doc_id").alias("key"), path.alias("path"), "text")
     return licenses.licences(files).withColumnRenamed("key", "doc_id")
 

@@ -55,7 +55,9 @@ def test_every_template_is_found_under_its_own_name():
     for name, texts in licenses.TEMPLATES.items():
         for text in texts:
             assert any(m in text.lower() for m in licenses.MARKS), text
-            if text not in licenses.TEMPLATES.get("BSD-3-Clause", ()):
+            if text in licenses._EITHER:      # stands under both names
+                assert name in licenses.Matcher().scan(text)[3], text
+            elif text not in licenses.TEMPLATES.get("BSD-3-Clause", ()):
                 assert found(text.removeprefix("= ")) == name, text
 
 
@@ -71,3 +73,43 @@ def test_full_licence_texts_declare_their_directory(spark):
     got = {r.key: r for r in licenses.licences(spark.createDataFrame(files, "key long, path string, text string")).collect()}
     assert {k: (r.licence, r.origin) for k, r in got.items()} == {
         1: ("BSD-2-Clause", "own"), 2: ("BSD-2-Clause", "inherited"), 3: ("MIT", "own"), 4: (None, "none")}
+
+
+BODIES = {f.stem: f.read_text("utf-8") for f in licenses.TEXTS.glob("*.txt")}
+
+
+def test_the_body_names_the_file_not_a_notice_in_it():
+    m = licenses.Matcher()
+    assert m.scan("Parts were released under the MIT License before 2010.\n" + BODIES["GPL-3.0"])[0] == "GPL-3.0"
+    nameless = BODIES["MPL-2.0"].replace("Mozilla", "").replace("MPL", "")
+    assert m.scan(nameless)[0] == "MPL-2.0"
+    assert m.scan("Parts were released under the MIT License before 2010.")[0] == "MIT"
+
+
+@pytest.mark.parametrize("text", ["This code is not under the MIT License", "It was never released under the MIT License.", "everything except what is under the GPL version 3"])
+def test_denied_notices_do_not_count(text):
+    assert found(text) is None
+
+
+@pytest.mark.parametrize("text, names", [
+    ("License: MIT", ["MIT"]), ("some code\nLicense: Apache-2.0\nmore", ["Apache-2.0"]), ("This project uses the MIT license", ["MIT"]), ("Apache-2.0", ["Apache-2.0"]),
+    ("GPL-3.0", ["GPL-3.0"]), ("BSD-3-Clause", ["BSD-3-Clause"]), ("SPDX-License-Identifier: MIT OR Apache-2.0", ["MIT", "Apache-2.0"]),
+    ("// SPDX-License-Identifier: (GPL-2.0-only OR BSD-3-Clause)", ["GPL-2.0", "BSD-3-Clause"]),
+    ("Licensed under either of Apache License, Version 2.0 or MIT license at your option", ["Apache-2.0", "MIT"]),
+    ("either of Apache License, Version 2.0 or MIT", ["Apache-2.0", "MIT"]),
+    ("Released under the MIT License.\n" + "code and more code\n" * 30 + "Vendored parts: licensed under the Apache License, Version 2.0", ["MIT", "Apache-2.0"])])
+def test_short_and_several_declarations(text, names):
+    got = licenses.Matcher().scan(text)
+    assert sorted(got[3]) == sorted(names) and got[0] in names
+
+
+def test_missing_and_repeated_files(spark):
+    files = [(1, "a/1.txt", "Released under the MIT License"), (1, "a/1.txt", "Released under the MIT License"), (2, None, "Released under the MIT License"), (3, None, None),
+             (4, "a/4.txt", ""), (5, "a/5.txt", "word " * 200_000 + "\nReleased under the MIT License"), (None, "a/b/c.txt", "x")]
+    df = spark.createDataFrame(files, "key long, path string, text string")
+    got = licenses.licences(df).collect()
+    assert len(got) == 7
+    by = {(r.key, r.path): r for r in got}
+    assert by[(1, "a/1.txt")].licences == ["MIT"] and by[(2, None)].origin == "own" and by[(3, None)].origin == "none" and by[(5, "a/5.txt")].licence == "MIT"
+    assert by[(4, "a/4.txt")].licence == "MIT" and by[(4, "a/4.txt")].origin == "inherited" and by[(None, "a/b/c.txt")].licences == ["MIT"]
+    assert licenses.licences(df.limit(0)).count() == 0
