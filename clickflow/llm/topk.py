@@ -7,10 +7,11 @@ nodes leave a heap in order of their bounds, and the walk ends when the best bou
 below the k-th score found. That k-th score is propagated: every query first searches one
 home shard, and what it finds there bounds its walks through all shards.
 
-Queries travel to the shards in blocks of ``BLOCK`` (a grid of blocks and shards), so a task
-holds one shard and one block whatever the size of the table; per query and shard at most
-k rows leave a task. Scores are exact integers: doubles while all sums stay below 2^53,
-else Python integers, cut to the range of a long.
+Rows and queries are dealt to the shards in one shuffle and sorted within a task, a shard's rows
+before its queries: the task builds each tree once and streams the queries past it, in Arrow
+batches. So rows are never copied (a query goes once to each shard), a task holds one shard and one batch whatever the
+size of the table, and per query and shard at most k rows leave it. Scores are exact integers: doubles
+while all sums stay below 2^53, else Python integers, cut to the range of a long.
 
 Defined results: vectors that are null or hold null or non-finite components, and rows
 without an id, take no part; vectors are compared with those of the same length only
@@ -24,20 +25,23 @@ from __future__ import annotations
 import heapq
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-SHARD_ROWS, BLOCK, LEAF = 4096, 4096, 64
+SHARD_ROWS, LEAF = 4096, 64
 SCALE = 1024.0
 _EXACT = float(2 ** 53)
 _LONG = 2 ** 63 - 1
 
 
-def quantised(vectors) -> np.ndarray:
+def quantised(rows: np.ndarray) -> np.ndarray:
     """floor(1024 x) of each component, as doubles that hold integers."""
-    rows = np.array([np.asarray(v, dtype=np.float64) for v in vectors])
-    return np.floor(SCALE * rows.reshape(len(vectors), -1))
+    return np.floor(SCALE * rows)
+
+
+def integers(m: np.ndarray) -> np.ndarray:
+    """The same numbers as Python integers."""
+    return np.array([[int(x) for x in row] for row in m], dtype=object).reshape(m.shape)
 
 
 class KdTree:
@@ -100,27 +104,67 @@ def search(tree: KdTree, ids: np.ndarray, query: np.ndarray, own: int, bounds: n
     return scores, found
 
 
-def search_cell(queries: pd.DataFrame, rows: pd.DataFrame, k: int) -> pd.DataFrame:
-    """All queries of a block against one shard: (query_id, vec_id, score)."""
-    out = {"query_id": [], "vec_id": [], "score": []}
-    if len(queries) and len(rows):
-        q, points = quantised(queries["vector"]), quantised(rows["vector"])
-        if q.shape[1] * max(1.0, np.abs(q).max(initial=0)) * max(1.0, np.abs(points).max(initial=0)) >= _EXACT:
-            q, points = (np.array([[int(x) for x in row] for row in m], dtype=object).reshape(m.shape) for m in (q, points))
-        tree = KdTree(points)
-        ids = rows["vec_id"].to_numpy(dtype=np.int64)[tree.order]
-        bounds = tree.bounds(q)
-        own, kths = queries["vec_id"].to_numpy(dtype=np.int64), queries["kth"].tolist()
-        for n in range(len(q)):
-            kth = None if kths[n] is None or pd.isna(kths[n]) else int(kths[n])
-            # a score cut to the range of a long says nothing about what lies beyond
-            kth = None if kth is not None and abs(kth) >= _LONG else kth
-            scores, found = search(tree, ids, q[n], own[n], bounds[n], k, kth)
-            out["query_id"].append(np.full(len(found), own[n]))
-            out["vec_id"].append(found)
-            out["score"].append(np.array([max(-_LONG - 1, min(_LONG, int(s))) for s in scores], dtype=np.int64))
-    made = {c: np.concatenate(v) if v else np.zeros(0, dtype=np.int64) for c, v in out.items()}
-    return pd.DataFrame(made)
+class Shard:
+    """Rows of a shard as they come, and its tree, built when the first query asks."""
+
+    def __init__(self, key):
+        self.key, self.ids, self.rows, self.trees = key, [], [], {}
+
+    def add(self, ids: np.ndarray, rows: np.ndarray) -> None:
+        self.ids.append(ids)
+        self.rows.append(quantised(rows))
+
+    def tree(self, exact: bool) -> tuple[KdTree, np.ndarray] | None:
+        """The tree (over Python integers if ``exact``) and the ids in its order."""
+        if not self.ids:
+            return None
+        if exact not in self.trees:
+            points = np.concatenate(self.rows)
+            made = KdTree(integers(points) if exact else points)
+            self.trees[exact] = made, np.concatenate(self.ids)[made.order]
+        return self.trees[exact]
+
+    def search(self, own: np.ndarray, queries: np.ndarray, kths: list, k: int) -> tuple[np.ndarray, ...]:
+        """All queries against the rows: (query ids, ids, scores)."""
+        out: tuple[list, ...] = ([np.zeros(0, dtype=np.int64)], [np.zeros(0, dtype=np.int64)], [np.zeros(0, dtype=np.int64)])
+        q = quantised(queries)
+        largest = max((np.abs(r).max(initial=0) for r in self.rows), default=0)
+        exact = q.shape[1] * max(1.0, np.abs(q).max(initial=0)) * max(1.0, largest) >= _EXACT
+        held = self.tree(exact)
+        if held is not None:
+            tree, ids = held
+            q = integers(q) if exact else q
+            bounds = tree.bounds(q)
+            for n in range(len(q)):
+                # a score cut to the range of a long says nothing about what lies beyond
+                kth = None if kths[n] is None or abs(kths[n]) >= _LONG else kths[n]
+                scores, found = search(tree, ids, q[n], own[n], bounds[n], k, kth)
+                out[0].append(np.full(len(found), own[n]))
+                out[1].append(found)
+                out[2].append(np.array([max(-_LONG - 1, min(_LONG, int(s))) for s in scores], dtype=np.int64))
+        return tuple(np.concatenate(x) for x in out)
+
+
+def searched(batches, k: int):
+    """Results of a task's rows (dim, shard, kind, vec_id, vector, kth), sorted by the first three."""
+    import pyarrow as pa
+
+    at = None
+    for batch in batches:
+        key = np.stack([np.asarray(batch.column(i)).astype(np.int64) for i in range(3)], axis=1)
+        cuts = np.r_[0, np.flatnonzero((key[1:] != key[:-1]).any(axis=1)) + 1, len(key)] if len(key) else np.zeros(1, dtype=np.int64)
+        for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
+            dim, shard, kind = key[a].tolist()
+            if at is None or at.key != (dim, shard):
+                at = Shard((dim, shard))
+            run = batch.slice(a, b - a)
+            ids = np.asarray(run.column(3))
+            vectors = np.asarray(run.column(4).flatten()).reshape(b - a, dim)
+            if kind == 0:
+                at.add(ids, vectors)
+            else:
+                made = at.search(ids, vectors, run.column(5).to_pylist(), k)
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in made], names=["query_id", "vec_id", "score"])
 
 
 def _valid(vector: Column) -> Column:
@@ -128,25 +172,23 @@ def _valid(vector: Column) -> Column:
     return vector.isNotNull() & ~F.coalesce(bad, F.lit(False))
 
 
-def top_k(vectors: DataFrame, queries: DataFrame, k: int = 10, shard_rows: int = SHARD_ROWS, block: int = BLOCK) -> DataFrame:
+def top_k(vectors: DataFrame, queries: DataFrame, k: int = 10, shard_rows: int = SHARD_ROWS) -> DataFrame:
     """(query_id, rank, vec_id, score): the ``k`` best rows of ``vectors`` (vec_id, embedding)
     for each row of ``queries`` (same columns)."""
     clean = lambda df: df.select(F.col("vec_id").cast("long"), F.col("embedding").cast("array<double>").alias("vector")) \
         .where(F.col("vec_id").isNotNull() & _valid(F.col("vector"))).withColumn("dim", F.size("vector"))
     rows, asked = clean(vectors), clean(queries).groupBy("vec_id").agg(F.min("vector").alias("vector")).withColumn("dim", F.size("vector"))
     shards = max(1, -(-rows.count() // shard_rows))
-    blocks = max(1, -(-asked.count() // block))
-    asked = asked.withColumn("block", F.pmod(F.xxhash64("vec_id"), F.lit(blocks)))
-    dealt = rows.withColumn("shard", F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(shards))) \
-        .withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))))
-    cell = ["dim", "shard", "block"]
+    columns = ["dim", "shard", "kind", "vec_id", "vector", "kth"]
+    dealt = rows.withColumns({"shard": F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(shards).cast("long")), "kind": F.lit(0),
+                              "kth": F.lit(None).cast("long")}).select(*columns)
 
     def run(of: DataFrame) -> DataFrame:
-        def searched(left, right):
-            return search_cell(left, right, k)
-        return of.groupBy(*cell).cogroup(dealt.groupBy(*cell)).applyInPandas(searched, "query_id long, vec_id long, score long")
+        both = dealt.unionByName(of.withColumn("kind", F.lit(1)).select(*columns))
+        ordered = both.repartition(_tasks(rows, shards), "dim", "shard").sortWithinPartitions("dim", "shard", "kind")
+        return ordered.mapInArrow(lambda batches: searched(batches, k), "query_id long, vec_id long, score long")
 
-    home = F.pmod(F.xxhash64("vec_id", F.lit(1)), F.lit(shards))
+    home = F.pmod(F.xxhash64("vec_id", F.lit(1)), F.lit(shards).cast("long"))
     first = run(asked.withColumn("shard", home).withColumn("kth", F.lit(None).cast("long")))
     kth = first.groupBy("query_id").agg(F.when(F.count(F.lit(1)) >= k, F.min("score")).alias("kth"))
     known = asked.join(kth, F.col("vec_id") == F.col("query_id"), "left").drop("query_id")
@@ -154,3 +196,8 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 10, shard_rows: int =
     best = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
     return run(every).withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k) \
         .select("query_id", "rank", "vec_id", "score")
+
+
+def _tasks(df: DataFrame, shards: int) -> int:
+    """Tasks of the search: as many as the session shuffles into, or one per shard if that is fewer."""
+    return max(1, min(shards, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
