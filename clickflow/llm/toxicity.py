@@ -6,14 +6,15 @@ The output is the expected severity, the sum over k of P(grade > k).
 
 Features are the distinct words of the whole text and their prefixes of four and five
 letters, so inflected forms share weight. Training uses a bounded sample of labelled rows
-(``MAX_CLEAN`` and ``MAX_TOXIC``, the smallest hashes of the id), reduced to their features on the
-executors; the ``MAX_FEATURES`` features most associated with the grade are kept, so the
-model is a dictionary of bounded size that is shipped to the executors. Scoring is one
-pass over all documents in Arrow batches (bounded in bytes), without a shuffle.
+(``MAX_CLEAN`` and ``MAX_TOXIC``, the smallest hashes of the id), whole texts, reduced to their features on the
+executors. Spark counts each feature among the sample's clean and toxic rows; the ``MAX_FEATURES``
+most associated with the label are kept, and each row keeps all of its own among them, so what reaches the driver is
+bounded however long the texts are, and the model is a dictionary of bounded size that is shipped to the
+executors. Scoring is one pass over all documents in Arrow batches (bounded in bytes), without a shuffle.
 
-The label table is binary. Its toxic rows are graded 1 to 3 by terciles of the number of
-their distinct features that are at least ``EVIDENCE`` times as frequent among toxic as
-among clean rows of the sample.
+The label table is binary, so severity is a proxy: its toxic rows are graded 1 to 3 by terciles of the
+number of their distinct features that are at least ``EVIDENCE`` times as frequent among toxic as
+among clean rows of the sample. Of texts with one id the one with the least hash trains.
 
 Defined results: a null or empty text has no features and gets the score of the cutpoints
 alone; null grades take no part in training; without both clean and toxic labels nothing
@@ -31,10 +32,12 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from clickflow.llm.common import discard, saved
+
 #: Labelled rows of either kind that the fit uses at most, and features that it keeps.
 MAX_CLEAN, MAX_TOXIC, MAX_FEATURES = 4500, 1500, 4000
-#: Distinct features of a training row that are used (the smallest hashes beyond it).
-MAX_ROW_FEATURES = 5000
+#: Rows that a feature must stand in.
+LEAST_ROWS = 3
 EVIDENCE = 10.0
 #: A text is called toxic from this probability of a grade above 0.
 TOXIC = 0.6
@@ -88,7 +91,7 @@ def fit(rows: list[tuple[str, ...]], grades: list[int], max_features: int = MAX_
         a, all_ = toxic[f], seen[f]
         e = all_ * n1 / n
         return (a - e) ** 2 * n / max(e * (n - all_) * (n - n1) / n, 1e-9)
-    names = sorted((f for f in seen if 3 <= seen[f] < n), key=lambda f: (-chi2(f), f))[:max_features]
+    names = sorted((f for f in seen if LEAST_ROWS <= seen[f] < n), key=lambda f: (-chi2(f), f))[:max_features]
     index = {f: i for i, f in enumerate(names)}
     pairs = [(i, index[f]) for i, row in enumerate(rows) for f in row if f in index]
     at, of = (np.array(x, dtype=np.int64) for x in zip(*pairs, strict=True)) if pairs else (np.zeros(0, np.int64),) * 2
@@ -120,25 +123,19 @@ def fit(rows: list[tuple[str, ...]], grades: list[int], max_features: int = MAX_
     return OrdinalModel({f: float(x) for f, x in zip(names, w, strict=True) if abs(x) > 1e-6}, cuts)
 
 
-def severity_grades(rows: list[tuple[str, ...]], toxic: list[int]) -> list[int]:
+def severity_grades(amount: list[int], toxic: list[int]) -> list[int]:
     """Grades of a binary sample: 0, and terciles of toxic evidence among the toxic rows."""
-    n1 = sum(1 for t in toxic if t)
-    n0 = len(toxic) - n1
-    if not n0 or not n1:
+    held = [a for a, t in zip(amount, toxic, strict=True) if t]
+    if not held or len(held) == len(toxic):
         return [0] * len(toxic)
-    clean, bad = Counter(), Counter()
-    for row, t in zip(rows, toxic, strict=True):
-        (bad if t else clean).update(row)
-    telling = {f for f, c in bad.items() if c >= 3 and c / n1 >= EVIDENCE * clean[f] / n0}
-    amount = [sum(f in telling for f in row) for row in rows]
-    cuts = np.quantile([a for a, t in zip(amount, toxic, strict=True) if t], [1 / 3, 2 / 3])
+    cuts = np.quantile(held, [1 / 3, 2 / 3])
     return [0 if not t else 1 + int(a > cuts[0]) + int(a > cuts[1]) for a, t in zip(amount, toxic, strict=True)]
 
 
-def training_sample(docs: DataFrame, labels: DataFrame, label: str = "toxic", clean: int = MAX_CLEAN,
-                    toxic: int = MAX_TOXIC) -> tuple[list[tuple[str, ...]], list[int]]:
-    """Features and label of a bounded, hash-ordered sample of labelled documents. The ids of the
-    sample are chosen among the labels first, so only their texts are read into Python."""
+def sample_rows(docs: DataFrame, labels: DataFrame, label: str = "toxic", clean: int = MAX_CLEAN, toxic: int = MAX_TOXIC) -> DataFrame:
+    """(doc_id, label, features) of a bounded, hash-ordered sample of labelled documents, as a saved
+    table. The ids of the sample are chosen among the labels first, so only their texts are read into
+    Python."""
     import pyarrow as pa
 
     known = labels.where(F.col(label).isNotNull() & F.col("doc_id").isNotNull()) \
@@ -152,21 +149,41 @@ def training_sample(docs: DataFrame, labels: DataFrame, label: str = "toxic", cl
 
     def reduced(batches):
         for b in batches:
-            sets = [sorted(features(t), key=lambda f: (hash_of(f), f))[:MAX_ROW_FEATURES] for t in b.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), pa.array(sets, pa.list_(pa.string()))],
-                                             names=["doc_id", "label", "features"])
-
-    got = rows.select("doc_id", "text", F.col("_label").cast("int").alias("_label")).mapInArrow(
-        reduced, f"doc_id {dict(docs.dtypes)['doc_id']}, label int, features array<string>") \
-        .dropDuplicates(["doc_id"]).toArrow().sort_by("doc_id")
+            for i in range(b.num_rows):   # a text at a time: its features can be many
+                one = b.slice(i, 1)
+                yield pa.RecordBatch.from_arrays([one.column(0), one.column(2), one.column(3), pa.array([sorted(features(one.column(1)[0].as_py()))], pa.list_(pa.string()))],
+                                                 names=["doc_id", "label", "order", "features"])
+
+    told = rows.select("doc_id", "text", F.col("_label").cast("int").alias("_label"), F.xxhash64("text").alias("_order")).mapInArrow(
+        reduced, f"doc_id {dict(docs.dtypes)['doc_id']}, label int, order long, features array<string>")
+    one = told.groupBy("doc_id").agg(F.min_by(F.struct("label", "features"), F.struct("order", F.size("features"))).alias("r"))
+    return saved(one.select("doc_id", "r.*"), "toxic-sample")
+
+
+def training_sample(docs: DataFrame, labels: DataFrame, label: str = "toxic", clean: int = MAX_CLEAN, toxic: int = MAX_TOXIC,
+                    max_features: int = MAX_FEATURES) -> tuple[list[tuple[str, ...]], list[int], list[int]]:
+    """Per row of the sample, in order of id: all its features among the ``max_features`` most associated with the
+    label, its label, and its amount of toxic evidence. Chosen from counts that Spark makes over all features
+    of the sample."""
+    rows = sample_rows(docs, labels, label, clean, toxic)
+    size = rows.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum((F.col("label") > 0).cast("long")), F.lit(0)).alias("n1")).first()
+    n, n1 = size["n"], size["n1"]
+    if not n1 or n1 == n:
+        return [], [], []
+    each = rows.select("doc_id", "label", F.explode("features").alias("f"))
+    counts = saved(each.groupBy("f").agg(F.count(F.lit(1)).alias("seen"), F.sum((F.col("label") > 0).cast("long")).alias("bad"))
+                   .where(F.col("seen") >= LEAST_ROWS), "toxic-counts")
+    expected = F.col("seen") * (n1 / n)
+    chi2 = F.pow(F.col("bad") - expected, 2) * n / F.greatest(expected * (n - F.col("seen")) * (n - n1) / n, F.lit(1e-9))
+    chosen = counts.where(F.col("seen") < n).orderBy(chi2.desc(), "f").limit(max_features).select("f")   # the limit bounds the model
+    telling = counts.where((F.col("bad") >= LEAST_ROWS) & (F.col("bad") / n1 >= EVIDENCE * (F.col("seen") - F.col("bad")) / (n - n1)))
+    kept = each.join(F.broadcast(chosen), "f").groupBy("doc_id").agg(F.sort_array(F.collect_list("f")).alias("kept"))
+    amount = each.join(telling.select("f"), "f").groupBy("doc_id").agg(F.count(F.lit(1)).alias("amount"))
+    got = rows.select("doc_id", "label").join(kept, "doc_id", "left").join(amount, "doc_id", "left").toArrow().sort_by("doc_id")
+    discard(rows, counts)
     pool: dict[str, str] = {}  # one string object per feature
-    made = [tuple(pool.setdefault(f, f) for f in row.as_py()) for row in got.column("features")]
-    return made, got.column("label").to_pylist()
-
-
-def hash_of(text: str) -> int:
-    import zlib
-    return zlib.crc32(text.encode())
+    made = [tuple(pool.setdefault(f, f) for f in row.as_py() or ()) for row in got.column("kept")]
+    return made, got.column("label").to_pylist(), [a or 0 for a in got.column("amount").to_pylist()]
 
 
 def score(docs: DataFrame, model: OrdinalModel) -> DataFrame:
@@ -213,5 +230,5 @@ def score(docs: DataFrame, model: OrdinalModel) -> DataFrame:
 
 def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """Fit on the labelled sample of ``docs``, then score all of ``docs``."""
-    rows, toxic = training_sample(docs, labels)
-    return score(docs, fit(rows, severity_grades(rows, toxic)))
+    rows, toxic, amount = training_sample(docs, labels)
+    return score(docs, fit(rows, severity_grades(amount, toxic)))

@@ -301,7 +301,8 @@ def test_pipeline_stages_keep_columns_and_act(spark, make_docs):
         out = stage(spark, now, "")
         assert out.columns == docs.columns, name
         now = spark.createDataFrame(out.collect(), out.schema)
-    assert {r.doc_id for r in now.collect()} <= set(range(30))
+    left = {r.doc_id for r in now.collect()}
+    assert left <= {*range(30), 101} and 102 not in left      # a short text goes only for what it holds
     last = corpus_pipeline.STAGES[-1][1](spark, now, "")
     assert last.count() == now.count()
 
