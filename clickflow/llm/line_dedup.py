@@ -163,7 +163,10 @@ def removed_lines(docs: DataFrame, num: int = 80, den: int = 100, alone: bool =
     lines = rows.where("bucket is null")
     repeated = lines.groupBy("f1", "f2").agg(F.min(F.struct("d", "l")).alias("first"), F.count(F.lit(1)).alias("c")) \
         .where("c > 1").select("f1", "f2", "first")
-    later = saved(lines.join(repeated, ["f1", "f2"]).where("struct(d, l) <> first").select("d", "l").distinct(), "line-copies")
+    # written, so that the join has plain shuffles on both sides and a line that is everywhere can be split
+    repeated = saved(repeated, "line-repeated")
+    later = join_measured(lines, repeated, ["f1", "f2"], "inner").where("struct(d, l) <> first").select("d", "l")
+    later = saved(later if alone else later.distinct(), "line-copies")
     postings = setjoin.shared_postings(_first_prefixes(docs, later, counts, num, den), num, den)
     sets = _sets(docs, postings.select("id").distinct(), alone)
     central = saved(setjoin.central_pairs(postings, num, den), "line-central")
@@ -173,7 +176,7 @@ def removed_lines(docs: DataFrame, num: int = 80, den: int = 100, alone: bool =
     more = setjoin.verified(rest.join(central, ["a", "b"], "left_anti"), sets, num, den).select("b")
     near = gone.unionByName(more).distinct().select("b.d", "b.l")
     removed = saved(later.unionByName(near), "line-removed")
-    discard(rows, later, postings, sets, central, gone)
+    discard(rows, repeated, later, postings, sets, central, gone)
     return removed
 
 

@@ -79,9 +79,10 @@ def measured(docs: DataFrame, **keep: Column) -> DataFrame:
     return df.select(*[F.col(k) for k in keep], *[e.cast("long").alias(k) for k, e in out.items()])
 
 
-def _ratios() -> dict[str, Column]:
-    """The adaptive measures, as positive doubles."""
-    part = lambda a, b: (F.col(a) + F.lit(0.5)) / (F.col(b) + F.lit(1.0))
+def _ratios(half: float = 0.5) -> dict[str, Column]:
+    """The adaptive measures, as doubles; with a negative half what a text holds for certain (0 or
+    less: nothing)."""
+    part = lambda a, b: (F.col(a) + F.lit(half)) / (F.col(b) + F.lit(1.0))
     return {"symbols": part("n_symbols", "word_chars"), "dup_lines": part("n_dup_lines", "n_lines"),
             "repeats": part("n_repeat_words", "n_words"), "word_length": part("word_chars", "n_words")}
 
@@ -90,8 +91,12 @@ def _bin(x: Column) -> Column:
     return F.ceil(F.ln(x) / F.ln(F.lit(GAMMA))).cast("int")
 
 
+def too_repetitive() -> Column:
+    return 100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words")
+
+
 def base_failed() -> Column:
-    return (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
+    return (F.col("n_words") < MIN_WORDS) | too_repetitive()
 
 
 def sketches(rows: DataFrame) -> DataFrame:
@@ -140,7 +145,11 @@ def _judged(rows: DataFrame, lang: Column, source: Column, limits: DataFrame) ->
     inside = F.lit(True)
     for k, x in _ratios().items():
         inside = inside & F.coalesce(_bin(x) <= F.col(f"f_{k}"), F.lit(True))
-    return joined.withColumn("base_failed", base_failed()).withColumn("kept", ~F.col("base_failed") & inside)
+    certain = F.lit(True)
+    for k, x in _ratios(-0.5).items():
+        certain = certain & F.coalesce((x <= 0) | (_bin(F.greatest(x, F.lit(1e-300))) <= F.col(f"f_{k}")), F.lit(True))
+    short = F.col("n_words").between(1, MIN_WORDS - 1) & ~too_repetitive() & certain
+    return joined.withColumn("base_failed", base_failed()).withColumn("kept", ~F.col("base_failed") & inside).withColumn("short_kept", short)
 
 
 def quality(docs: DataFrame) -> DataFrame:
@@ -150,11 +159,14 @@ def quality(docs: DataFrame) -> DataFrame:
     return _judged(rows, F.col("lang"), F.col("source"), thresholds(rows))
 
 
-def keep_good(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that the rules keep. The rows travel packed beside their measures
-    through one written table, so texts are measured once."""
+def keep_good(docs: DataFrame, judge_short: bool = False) -> DataFrame:
+    """The rows of ``docs`` that the rules keep. With ``judge_short`` texts of fewer than ``MIN_WORDS`` words
+    do not go for their length: they go if they have no words, if the rule on repetition rejects
+    them, or if what they hold for certain, (count - 1/2) / (size + 1), is beyond a fence of their
+    group. The rows travel packed beside their measures through one written table, so texts are
+    measured once."""
     whole = packed(docs, text=F.col("text"))
     rows = saved(measured(whole, _row=F.col("_row")), "quality-rows")
     flat = rows.select(F.col("_row.lang").alias("lang"), F.col("_row.source").alias("source"), *MEASURES, "n_lines")
     judged = _judged(rows, F.col("_row.lang"), F.col("_row.source"), thresholds(flat))
-    return judged.where("kept").select("_row.*")
+    return judged.where(F.col("kept") | F.lit(judge_short) & F.col("short_kept")).select("_row.*")
