@@ -101,6 +101,13 @@ def assign_chunks(df: DataFrame, keys: Sequence[str] | str = "_id", size: int =
     return numbered.withColumn(out, chunk_column("_rn", size, start)).drop("_rn")
 
 
+def rows_for_bytes(df: DataFrame, part_bytes: int) -> int:
+    """Rows per part so that a part holds about ``part_bytes`` of text (rows as JSON), at least one
+    (one aggregate, one row to the driver)."""
+    row = df.select(F.octet_length(F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns]))).alias("b")).agg(F.avg("b").alias("b")).first()
+    return max(1, int(part_bytes // max(1.0, row["b"] or 1.0)))
+
+
 def chunk_manifest(df: DataFrame, key: str = "_id", part_col: str = "part_number") -> DataFrame:
     """Per part: row count and first/last key."""
     return (df.groupBy(part_col)
@@ -180,8 +187,11 @@ def not_exported(df: DataFrame, exported: DataFrame, key: str) -> DataFrame:
 
 def incremental_export(spark: SparkSession, df: DataFrame, root: str, table: str, key: str = "_id",
                        size: int = EXPORT_CHUNK_SIZE, force_string: Sequence[str] | None = None,
-                       num_partitions: int | None = None, arrival_ordered: bool = True) -> DataFrame:
-    """Export the rows that earlier runs have not exported as new parts, then save the state.
+                       num_partitions: int | None = None, arrival_ordered: bool = True,
+                       part_bytes: int | None = None) -> DataFrame:
+    """Export the rows that earlier runs have not exported as new parts, then save the state. Parts have
+    ``size`` rows, or about ``part_bytes`` if that is given (so that a large export is not cut into
+    a folder per 250,000 narrow rows).
 
     ``arrival_ordered`` says that ``key`` grows with arrival (an object id): new rows then are
     those above the saved watermark, and rows with a null key, which no watermark can see,
@@ -221,6 +231,7 @@ def incremental_export(spark: SparkSession, df: DataFrame, root: str, table: str
         summary = ranged.agg(F.count(F.lit(1)).alias("n"), F.max(key).alias("last_id")).first()
         n = int(summary["n"])
         if n > 0:
+            size = rows_for_bytes(ranged, part_bytes) if part_bytes else size
             numbered = (_number(ranged, "_rn")
                         .withColumn("part_number", chunk_column("_rn", size, last_part + 1)).drop("_rn"))
             staged = f"{root.rstrip('/')}/_staged/{table}-{uuid.uuid4().hex[:12]}"

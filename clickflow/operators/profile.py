@@ -83,11 +83,12 @@ def zero_counts(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return df.agg(*[count_if(blank(c) | (F.col(c) == "0")).alias(f"zero_or_null_{c}_count") for c in cols])
 
 
-def catalog_columns(tables: dict, schemas: dict | None = None, spark=None) -> DataFrame:
+def catalog_columns(tables: dict, schemas: dict | None = None, spark=None, counts: bool = True) -> DataFrame:
     """(table_name, column_name, data_type, is_nullable, ordinal_position, non_null_count)
     ordered by table and position. ``tables`` maps names to DataFrames or to catalog
     table names (read with ``spark.table``). Names/types come from each table's declared
-    schema (``schemas``) or its schema; the non-null counts are one aggregate per table."""
+    schema (``schemas``) or its schema; the non-null counts are one aggregate per table.
+    Without ``counts`` the listing is metadata alone (no such column): no row is read."""
     from functools import reduce
     schemas = schemas or {}
     parts = []
@@ -95,6 +96,10 @@ def catalog_columns(tables: dict, schemas: dict | None = None, spark=None) -> Da
         if isinstance(df, str):
             df = spark.table(df)
         fields = (schemas.get(tname) or df.schema).fields
+        if not counts:
+            parts += [(tname, f.name, f.dataType.simpleString().upper(), "YES" if f.nullable else "NO", i + 1) for i, f in enumerate(fields)]
+            session = df.sparkSession
+            continue
         wide = df.agg(*[F.count(F.col(f"`{f.name}`")).alias(f"c{i}") for i, f in enumerate(fields)])
         rows = F.explode(F.array(*[
             F.struct(F.lit(tname).alias("table_name"), F.lit(f.name).alias("column_name"),
@@ -103,5 +108,8 @@ def catalog_columns(tables: dict, schemas: dict | None = None, spark=None) -> Da
                      F.lit(i + 1).alias("ordinal_position"), F.col(f"c{i}").alias("non_null_count"))
             for i, f in enumerate(fields)]))
         parts.append(wide.select(rows.alias("r")).select("r.*"))
+    if not counts:
+        kind = "table_name string, column_name string, data_type string, is_nullable string, ordinal_position int"
+        return session.createDataFrame(sorted(parts, key=lambda r: (r[0], r[4])), kind)
     out = reduce(lambda a, b: a.unionByName(b), parts)
     return out.orderBy("table_name", "ordinal_position")

@@ -14,8 +14,9 @@ from clickflow.llm.common import saved, table
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality rules keep."""
-    return quality.keep_good(docs)
+    """Documents that the quality rules keep; short ones are judged by what they hold, not by
+    their length, as most of them are clean."""
+    return quality.keep_good(docs, judge_short=True)
 
 
 def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -41,7 +42,7 @@ def sentencepiece(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 STAGES = [("quality_rules", quality_rules), ("line_dedup", line_dedup_stage), ("near_duplicates", near_duplicates),
           ("mix_sources", mix_sources), ("sentencepiece", sentencepiece)]
 
-#: SQL cannot express the encoder; tests hold every stage against a brute-force version.
+#: SQL cannot express the encoder; ``tests/llm/test_pipeline.py`` holds the whole run against a brute-force version.
 ORACLE_SQL = None
 
 

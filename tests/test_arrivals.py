@@ -225,3 +225,20 @@ def test_samples_are_the_same_on_every_run(spark):
     assert "[" in one[0][2] and all(v for *_, v in one)
     assert rows(st.sample_non_null(df, "s", 5)) == rows(st.sample_non_null(df.repartition(3), "s", 5))
     assert rows(st.sample_columns(df.limit(0), n=3)) == [] and len(rows(st.sample_columns(df, ["s"], 500))) == 133
+
+
+def test_parts_sized_by_bytes(spark):
+    root = work_path(spark, "t-part-bytes")
+    df = spark.range(1000).select(F.format_string("%06d", "id").alias("_id"), F.lit("x" * 80).alias("name"))
+    per_row = len('{"_id":"000000","name":""}') + 80
+    m = ex.incremental_export(spark, df, root, "t", size=10, part_bytes=250 * per_row)
+    assert [r["rows"] for r in m.orderBy("part_number").collect()] == [250] * 4
+    assert ex.load_state(spark, root, "t") == ("000999", 4)
+
+
+def test_listing_of_columns_reads_no_row(spark):
+    path = work_path(spark, "t-listing")
+    spark.range(5).select(F.col("id"), F.lit("x").alias("s")).write.parquet(path)
+    got = pf.catalog_columns({"b": spark.read.parquet(path), "a": spark.createDataFrame([], "z int")}, counts=False)
+    assert [tuple(r) for r in got.collect()] == [("a", "z", "INT", "YES", 1), ("b", "id", "BIGINT", "YES", 1), ("b", "s", "STRING", "YES", 2)]
+    assert "Scan parquet" not in plan_text(got)
