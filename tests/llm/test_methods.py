@@ -200,3 +200,23 @@ def test_lines_of_one_template_do_not_meet(spark, lines):
     bits = postings.select("t", "id", "n", "p", "c", F.array(*[F.lit(0).cast("long")] * setjoin.WORDS).alias("bits"))
     assert setjoin.open_pairs(bits, F.col("x_id") < F.col("y_id"), 80, 100).count() <= 4 * lines
     assert line_dedup.removed_lines(told, 80, 100, alone).count() == 0
+
+
+def test_plans_beyond_the_broadcast_limit_give_the_same_results(spark, monkeypatch):
+    """Nothing broadcast: texts and lists are shuffled instead."""
+    from functools import partial
+
+    from clickflow.llm import common, line_dedup, near_dup, setjoin
+    import clickflow.llm.components as hubs
+    r = random.Random(8)
+    base = [" ".join("w%d" % r.randrange(3000) for _ in range(30)) for _ in range(12)]
+    items = [(i, "\n".join(r.sample(base, 4) + [f"own line {i} " + " ".join("x%d" % r.randrange(99) for _ in range(9))])) for i in range(60)]
+    items += [(100 + i, items[i][1].replace("w1", "v1", i % 3)) for i in range(30)]
+    df = spark.createDataFrame(items, "doc_id long, text string").repartition(4)
+    lines = lambda: rows(line_dedup.dedup_lines(df).select("_row.doc_id", "_text", "_removed"))
+    groups = lambda: rows(near_dup.near_duplicates(df, 60, 100))
+    want = lines(), groups()
+    for module in (line_dedup, near_dup, setjoin, hubs):
+        monkeypatch.setattr(module, "join_measured", partial(common.join_measured, limit=0))
+    assert (lines(), groups()) == want
+    assert len({r[2] for r in want[1]}) < 90 and sum(r[2] for r in want[0]) > 100
