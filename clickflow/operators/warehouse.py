@@ -7,6 +7,7 @@ so MERGE is expressed as an anti-join plus an append."""
 from __future__ import annotations
 
 import uuid
+from bisect import bisect_left, bisect_right
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -56,7 +57,7 @@ def nulled_values(df: DataFrame, schema: T.StructType) -> DataFrame:
 
 def merge_insert_only(target: DataFrame, source: DataFrame, key: str = "_id",
                       source_is_bounded: bool | None = None, dedupe_source: bool = False,
-                      prune_target: bool = False) -> DataFrame:
+                      prune_target: bool = False, between: tuple | None = None) -> DataFrame:
     """Rows of ``source`` to append: those whose key is absent from ``target``. Matched
     rows are left alone (never updated); null keys are always inserted; duplicates inside
     the source are all inserted unless ``dedupe_source``.
@@ -70,17 +71,20 @@ def merge_insert_only(target: DataFrame, source: DataFrame, key: str = "_id",
 
     ``prune_target`` bounds the target scan by the source's key range (two scalars from
     one small aggregate): parts arrive in key order, so the filter reaches the Parquet
-    scan and row-group statistics skip nearly all of a target written in key order."""
+    scan and row-group statistics skip nearly all of a target written in key order. ``between``
+    (first and last key) bounds it where the caller knows that no other key of the source is in the target."""
     if dedupe_source:
         source = source.dropDuplicates([key])
-    if prune_target:
-        lo_hi = source.agg(F.min(key).alias("lo"), F.max(key).alias("hi")).first()
-        if lo_hi["lo"] is not None:
-            target = target.where(F.col(key).between(F.lit(lo_hi["lo"]), F.lit(lo_hi["hi"])))
     skeys = source.select(F.col(key).alias("_k")).where(F.col("_k").isNotNull())
     # measured whatever the caller says: a wrong promise must not broadcast a large side
     from clickflow.config import BROADCAST_LIMIT_BYTES, ID_BYTES
-    size = skeys.agg(F.sum(F.octet_length(F.col("_k").cast("string")) + ID_BYTES)).first()[0] or 0
+    ends = [F.min("_k").alias("lo"), F.max("_k").alias("hi")] if prune_target and between is None else []
+    seen = skeys.agg(F.sum(F.octet_length(F.col("_k").cast("string")) + ID_BYTES).alias("size"), *ends).first()
+    size = seen["size"] or 0
+    if ends and seen["lo"] is not None:
+        between = seen["lo"], seen["hi"]
+    if between is not None:
+        target = target.where(F.col(key).between(F.lit(between[0]), F.lit(between[1])))
     source_is_bounded = source_is_bounded is not False and size <= BROADCAST_LIMIT_BYTES
     if source_is_bounded:
         skeys = F.broadcast(skeys)
@@ -116,15 +120,71 @@ def append_rows(df: DataFrame, table: str) -> None:
     df.sparkSession.catalog.refreshTable(table)
 
 
+def _table_state(spark: SparkSession, table: str) -> tuple:
+    """What changes with every write to a table: its folder, and the folder's files, bytes and time of change."""
+    path = table_path(spark, table)
+    return path, *fs.usage(spark, path)
+
+
+class HeldKeys:
+    """The key ranges that a target table holds, as far as the one loader that fills it knows. A batch whose
+    ranges meet none of them has new keys only, so it needs no look at the target, however large
+    that is. The ranges hold for the files that were there after the loader's last write: if the table has other
+    files now (another writer's, or none seen yet), its whole key range is read from it."""
+
+    #: Key types that Python orders as Spark does.
+    KINDS = (T.StringType(), T.LongType(), T.IntegerType())
+
+    def __init__(self) -> None:
+        self._starts: list = []
+        self._ends: list = []
+        self._files: tuple | None = None
+
+    def _around(self, lo, hi) -> tuple[int, int]:
+        """The slice of the ranges that meet [lo, hi]."""
+        return bisect_left(self._ends, lo), bisect_right(self._starts, hi)
+
+    def _add(self, lo, hi) -> None:
+        i, j = self._around(lo, hi)
+        if i < j:
+            lo, hi = min(lo, self._starts[i]), max(hi, self._ends[j - 1])
+        self._starts[i:j], self._ends[i:j] = [lo], [hi]
+
+    def meets(self, table: str, target: DataFrame, key: str, spans: Sequence[tuple]) -> tuple | None:
+        """First and last key that ``spans`` (first and last key each) can have in common with the target; None: no key."""
+        now = _table_state(target.sparkSession, table)
+        if now != self._files:
+            self._starts, self._ends = [], []
+            row = target.agg(F.min(key).alias("lo"), F.max(key).alias("hi")).first()
+            if row["lo"] is not None:
+                self._add(row["lo"], row["hi"])
+            self._files = now
+        found = [(max(lo, self._starts[i]), min(hi, self._ends[j - 1])) for lo, hi in spans
+                 for i, j in [self._around(lo, hi)] if i < j]
+        return (min(lo for lo, _ in found), max(hi for _, hi in found)) if found else None
+
+    def loaded(self, spark: SparkSession, table: str, spans: Sequence[tuple]) -> None:
+        """The rows of ``spans`` are in the target now, by this loader's write."""
+        for lo, hi in spans:
+            self._add(lo, hi)
+        self._files = _table_state(spark, table)
+
+
 def load_part(batch: DataFrame, table: str, path: str, key: str = "_id",
-              source_is_bounded: bool | None = None, prune_target: bool = True, mode: str = "strict") -> str:
+              source_is_bounded: bool | None = None, prune_target: bool = True, mode: str = "strict",
+              spans: Sequence[tuple] | None = None, held: HeldKeys | None = None) -> str:
     """One arriving part: create the target from it, or align it to the target's schema
     and insert the rows whose key is new. Columns that the target lacks are added to it; with
     the default mode a value that does not fit fails the load (so that it can be retried).
-    Returns 'created' or 'merged'."""
+    With ``spans`` (key ranges that hold all keys of the batch) and the loader's ``held`` the target is read only where
+    it can have keys of the batch. Returns 'created' or 'merged'."""
+    spark = batch.sparkSession
+    kind = batch.schema[key].dataType if key in batch.columns else None
+    ranged = spans is not None and held is not None and kind in HeldKeys.KINDS
     if create_from(batch, table, path):
+        if ranged:
+            held.loaded(spark, table, spans)
         return "created"
-    spark = batch.sparkSession
     spark.catalog.refreshTable(table)   # parts may have landed from another writer
     known = set(spark.table(table).columns)
     fresh = [f"`{f.name}` {f.dataType.simpleString()}" for f in batch.schema.fields if f.name not in known]
@@ -132,9 +192,16 @@ def load_part(batch: DataFrame, table: str, path: str, key: str = "_id",
         spark.sql(f"ALTER TABLE {table} ADD COLUMNS ({', '.join(fresh)})")
     target = spark.table(table)
     aligned, _none = align_to(batch, target.schema, mode)
-    new = merge_insert_only(target, aligned, key, source_is_bounded=source_is_bounded,
-                            prune_target=prune_target)
+    ranged = ranged and target.schema[key].dataType == kind
+    between = held.meets(table, target, key, spans) if ranged else None
+    if ranged and between is None:
+        new = aligned
+    else:
+        new = merge_insert_only(target, aligned, key, source_is_bounded=source_is_bounded,
+                                prune_target=prune_target, between=between)
     append_rows(new, table)
+    if ranged:
+        held.loaded(spark, table, spans)
     return "merged"
 
 
@@ -164,7 +231,7 @@ def table_path(spark: SparkSession, table: str) -> str | None:
     """The folder that a table stands for, None when there is no such table."""
     if not table_exists(spark, table):
         return None
-    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").where("col_name = 'Location'").collect()
+    rows = [r for r in spark.sql(f"DESCRIBE TABLE EXTENDED {table}").collect() if r["col_name"] == "Location"]   # no job
     return rows[0]["data_type"] if rows else None
 
 

@@ -26,7 +26,8 @@ def _name(prefix: str) -> str:
 
 def _exported(spark, d) -> str:
     root = work_path(spark, "parts")
-    ex.export_parts(ex.assign_chunks(std_raw(spark, d), "_id", QUERY_CHUNK), root, "raw_data")
+    with ex.numbered_rows(std_raw(spark, d), "_id", out="_rn") as numbered:   # cached for the export only
+        ex.export_parts(numbered.withColumn("part_number", ex.chunk_column("_rn", QUERY_CHUNK)).drop("_rn"), root, "raw_data")
     return root
 
 

@@ -51,6 +51,13 @@ def age_seconds(spark: SparkSession, path: str) -> float:
     return time.time() - fs.getFileStatus(p).getModificationTime() / 1000.0
 
 
+def usage(spark: SparkSession, path: str) -> tuple[int, int, int]:
+    """Files below a folder, their bytes, and the folder's time of change."""
+    p, fs = _path(spark, path)
+    all_of = fs.getContentSummary(p)
+    return all_of.getFileCount(), all_of.getLength(), fs.getFileStatus(p).getModificationTime()
+
+
 def rename(spark: SparkSession, src: str, dst: str) -> None:
     """Move a file or folder to a place that must not be there yet (its parent is made)."""
     p, fs = _path(spark, src)
